@@ -7,6 +7,19 @@ Fixture mappings are those of ``inspecta.fixtures``.
 AS_OF_HISTORY = "DATE '2001-08-01'"
 AS_OF_DELTA = "DATE '2024-01-31'"
 
+
+
+def enrich_sql(src: str, as_of: str) -> str:
+    return f"""
+  SELECT {src}.*,
+         tests[-1].completedDate AS last_test_date,
+         coalesce(tests[-1].testResult, 'NEVER MOT') AS last_test_result,
+         CAST(tests[-1].odometerValue AS BIGINT) AS mileage,
+         CAST(year({as_of}) - year(firstUsedDate) AS BIGINT) AS vehicle_age,
+         n_pass AS pass_count, n_fail AS fail_count
+  FROM {src}"""
+
+
 # ---- F1: vehicles with their test history ---------------------------------
 F1 = f"""
 t AS (
@@ -38,7 +51,8 @@ v AS (
                            ON n_regionkey = r_regionkey) g ON c_nationkey = g.n_nationkey
 ),
 hist AS (
-  SELECT v.*, CAST(first_ts AS DATE) AS firstUsedDate, last_ts AS lastMotTestDate,
+  SELECT v.*, CAST(first_ts AS DATE) AS manufactureDate, CAST(first_ts AS DATE) AS registrationDate,
+         CAST(first_ts AS DATE) AS firstUsedDate, last_ts AS lastMotTestDate,
          'CREATED' AS modification, tests,
          CAST(coalesce(n_tests, 0) AS BIGINT) AS n_tests,
          CAST(coalesce(n_pass, 0) AS BIGINT) AS n_pass,
@@ -46,15 +60,7 @@ hist AS (
          '01-02-2026' AS date, DATE '2026-02-01' AS feed_date
   FROM v LEFT JOIN tagg USING (registration)
 ),
-enriched AS (
-  SELECT hist.*,
-         tests[-1].completedDate AS last_test_date,
-         coalesce(tests[-1].testResult, 'NEVER MOT') AS last_test_result,
-         CAST(tests[-1].odometerValue AS BIGINT) AS mileage,
-         CAST(year({AS_OF_HISTORY}) - year(firstUsedDate) AS BIGINT) AS vehicle_age,
-         n_pass AS pass_count, n_fail AS fail_count
-  FROM hist
-)"""
+enriched AS ({enrich_sql("hist", AS_OF_HISTORY)})"""
 
 ENRICH_COLS = ("registration, make, model, primaryColour, fuelType, engineSize, firstUsedDate, "
                "lastMotTestDate, last_test_date, last_test_result, mileage, vehicle_age, "
@@ -85,3 +91,71 @@ FROM enriched
 WHERE CAST(last_test_date AS DATE) >= {AS_OF_HISTORY} - 60
   AND last_test_result IN ('PASSED', 'FAILED')
 GROUP BY 1, 2"""
+
+# ---- F2: delta records against a main table --------------------------------
+F2 = F1 + f""",
+ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS registration, upper(event_type) AS make, event_type AS model,
+         'silver' AS primaryColour, CAST(NULL AS VARCHAR) AS secondaryColour, 'ELECTRIC' AS fuelType,
+         CAST(NULL AS VARCHAR) AS engineSize, CAST(ts AS DATE) AS manufactureDate,
+         CAST(ts AS DATE) AS registrationDate, CAST(ts AS DATE) AS firstUsedDate,
+         ts AS lastMotTestDate,
+         CASE WHEN event_id % 10 IN (0, 3, 7) THEN 'DELETED' WHEN event_id % 10 = 1 THEN 'CREATED'
+              WHEN event_id % 10 = 9 THEN 'NOISE' ELSE 'UPDATED' END AS modification,
+         CASE event_type WHEN 'purchase' THEN 'PASSED' WHEN 'error' THEN 'FAILED'
+                         ELSE 'ABANDONED' END AS test_result,
+         CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS odometer,
+         strftime(ts, '%d-%m-%Y') AS date, CAST(ts AS DATE) AS feed_date, event_id
+  FROM events
+),
+valid AS (SELECT * FROM ev WHERE modification IN ('CREATED', 'UPDATED', 'DELETED')),
+dd AS (
+  SELECT * FROM valid
+  QUALIFY row_number() OVER (PARTITION BY registration ORDER BY lastMotTestDate DESC, event_id DESC) = 1
+),
+de AS (
+  SELECT dd.*, lastMotTestDate AS last_test_date, test_result AS last_test_result,
+         CAST(odometer AS BIGINT) AS mileage,
+         CAST(year({AS_OF_DELTA}) - year(firstUsedDate) AS BIGINT) AS vehicle_age,
+         CAST(test_result = 'PASSED' AS BIGINT) AS pass_count,
+         CAST(test_result = 'FAILED' AS BIGINT) AS fail_count, CAST(1 AS BIGINT) AS n_tests
+  FROM dd
+),
+mall AS ({enrich_sql("hist", AS_OF_DELTA)}),
+mn AS (SELECT * FROM mall WHERE CAST(registration AS BIGINT) % 5 <> 0)"""
+
+SET_COLS = ["modification", "make", "model", "primaryColour", "secondaryColour", "fuelType",
+            "engineSize", "manufactureDate", "registrationDate", "firstUsedDate", "lastMotTestDate",
+            "last_test_date", "last_test_result", "mileage", "vehicle_age", "pass_count",
+            "fail_count", "n_tests"]
+_set = ",\n  ".join(f"CASE WHEN d.registration IS NOT NULL THEN d.{c} ELSE m.{c} END AS {c}" for c in SET_COLS)
+
+SQL["valid_delta"] = f"WITH {F2} SELECT registration, modification, lastMotTestDate, event_id FROM valid"
+SQL["dedupe_delta"] = f"WITH {F2} SELECT registration, modification, lastMotTestDate, event_id FROM dd"
+SQL["upsert"] = f"""WITH {F2}
+SELECT coalesce(m.registration, d.registration) AS registration,
+  {_set},
+  m.date AS date, m.feed_date AS feed_date
+FROM mn m FULL OUTER JOIN de d ON m.registration = d.registration
+WHERE d.registration IS NULL OR d.modification <> 'DELETED'"""
+SQL["upsert_broadcast"] = SQL["upsert"]
+SQL["upsert_shuffle"] = SQL["upsert"]
+SQL["merge_report"] = f"""WITH {F2}
+SELECT CASE WHEN d.registration IS NULL THEN 'keep'
+            WHEN m.registration IS NULL AND d.modification = 'DELETED' THEN 'ignore'
+            WHEN m.registration IS NULL THEN 'insert'
+            WHEN d.modification = 'DELETED' THEN 'delete' ELSE 'update' END AS action,
+       count(*) AS rows
+FROM mn m FULL OUTER JOIN de d ON m.registration = d.registration
+GROUP BY 1"""
+SQL["new_vehicles"] = f"""WITH {F2}
+SELECT registration, modification, lastMotTestDate, last_test_result, mileage
+FROM de WHERE modification <> 'DELETED'
+  AND registration NOT IN (SELECT registration FROM mn)"""
+SQL["drop_deleted"] = f"""WITH {F2}
+SELECT registration, last_test_result, mileage FROM mn
+WHERE registration NOT IN (SELECT registration FROM de WHERE modification = 'DELETED')"""
+SQL["stage_union"] = f"""WITH {F2}
+SELECT registration, modification, lastMotTestDate, event_id,
+       CASE WHEN lastMotTestDate < TIMESTAMP '2024-01-15' THEN engineSize END AS engineSize
+FROM ev"""

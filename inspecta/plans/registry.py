@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from inspecta import fixtures as fx
 from inspecta.operators.counts import daily_counts
 from inspecta.operators.enrich import enrich, enrich_flat
+from inspecta.operators.merge import (
+    dedupe_delta, drop_deleted, merge_report, new_vehicles, prepare_delta, upsert, valid_delta,
+)
+from inspecta.sources.sinks import stage
 
 ENRICH_COLS = ["registration", "make", "model", "primaryColour", "fuelType", "engineSize",
                "firstUsedDate", "lastMotTestDate", "last_test_date", "last_test_result",
@@ -73,3 +77,77 @@ def q_daily_counts(spark, d):
 @query
 def q_daily_counts_by_day(spark, d):
     return daily_counts(_enriched_history(spark, d), fx.AS_OF_HISTORY, grain="day")
+
+
+# ---- delta + merge (P9, W1, L1, J1-J4, SNK4, U2) ---------------------------
+UPSERT_COLS = ["registration", "modification", "make", "model", "primaryColour", "secondaryColour",
+               "fuelType", "engineSize", "manufactureDate", "registrationDate", "firstUsedDate",
+               "lastMotTestDate", "last_test_date", "last_test_result", "mileage", "vehicle_age",
+               "pass_count", "fail_count", "n_tests", "date", "feed_date"]
+
+
+def _merge_inputs(spark, d):
+    main = fx.main_table(spark, d, fx.AS_OF_DELTA)
+    prepared = prepare_delta(fx.delta(spark, d), fx.AS_OF_DELTA)
+    return main, prepared
+
+
+@query
+def q_valid_delta(spark, d):
+    return valid_delta(fx.delta(spark, d)).select("registration", "modification", "lastMotTestDate", "event_id")
+
+
+@query
+def q_dedupe_delta(spark, d):
+    return (dedupe_delta(valid_delta(fx.delta(spark, d)))
+            .select("registration", "modification", "lastMotTestDate", "event_id"))
+
+
+def _upsert(spark, d, strategy):
+    main, prepared = _merge_inputs(spark, d)
+    return _with_n_tests(upsert(main, prepared, strategy=strategy)).select(*UPSERT_COLS)
+
+
+@query
+def q_upsert(spark, d):
+    return _upsert(spark, d, "auto")
+
+
+@query
+def q_upsert_broadcast(spark, d):
+    return _upsert(spark, d, "broadcast")
+
+
+@query
+def q_upsert_shuffle(spark, d):
+    return _upsert(spark, d, "shuffle")
+
+
+@query
+def q_merge_report(spark, d):
+    main, prepared = _merge_inputs(spark, d)
+    return merge_report(main, prepared)
+
+
+@query
+def q_new_vehicles(spark, d):
+    main, prepared = _merge_inputs(spark, d)
+    return new_vehicles(main, prepared).select(
+        "registration", "modification", "lastMotTestDate", "last_test_result", "mileage")
+
+
+@query
+def q_drop_deleted(spark, d):
+    main, prepared = _merge_inputs(spark, d)
+    return drop_deleted(main, prepared).select("registration", "last_test_result", "mileage")
+
+
+@query
+def q_stage_union(spark, d):
+    ev = fx.delta(spark, d)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    first = ev.where(F.col("lastMotTestDate") < cut)
+    # later batch arrives without engineSize: the union fills it with NULL
+    later = ev.where(F.col("lastMotTestDate") >= cut).drop("engineSize")
+    return stage([first, later]).select("registration", "modification", "lastMotTestDate",
+                                        "event_id", "engineSize")
