@@ -159,3 +159,150 @@ SQL["stage_union"] = f"""WITH {F2}
 SELECT registration, modification, lastMotTestDate, event_id,
        CASE WHEN lastMotTestDate < TIMESTAMP '2024-01-15' THEN engineSize END AS engineSize
 FROM ev"""
+
+# ---- F3: daily count series ------------------------------------------------
+F3 = """
+f3 AS (
+  SELECT o_orderdate AS test_date,
+         CASE o_orderstatus WHEN 'F' THEN 'PASSED' ELSE 'FAILED' END AS result_type,
+         count(*) AS count
+  FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2
+),
+complete AS (
+  SELECT test_date FROM f3 GROUP BY test_date HAVING count(DISTINCT result_type) = 2
+),
+train AS (
+  SELECT CAST(test_date AS DATE) AS test_date, result_type, CAST(sum(count) AS BIGINT) AS count
+  FROM f3
+  WHERE CAST(test_date AS DATE) >= CAST(DATE '2001-08-01' - INTERVAL 3 YEAR AS DATE)
+    AND CAST(test_date AS DATE) <= (SELECT CAST(max(test_date) AS DATE) FROM f3
+                                    WHERE test_date IN (SELECT test_date FROM complete))
+  GROUP BY 1, 2
+),
+s AS (SELECT CAST(test_date AS DATE) AS test_date, result_type, CAST(count AS DOUBLE) AS y FROM f3),
+span AS (SELECT result_type, min(test_date) AS lo, max(test_date) AS hi FROM s GROUP BY 1),
+grid AS (
+  SELECT result_type, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS test_date
+  FROM span
+),
+gj AS (
+  SELECT g.result_type, g.test_date, s.y,
+    last_value(s.y IGNORE NULLS) OVER (PARTITION BY g.result_type ORDER BY g.test_date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y0,
+    last_value(CASE WHEN s.y IS NOT NULL THEN g.test_date END IGNORE NULLS) OVER (
+      PARTITION BY g.result_type ORDER BY g.test_date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d0,
+    first_value(s.y IGNORE NULLS) OVER (PARTITION BY g.result_type ORDER BY g.test_date
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y1,
+    first_value(CASE WHEN s.y IS NOT NULL THEN g.test_date END IGNORE NULLS) OVER (
+      PARTITION BY g.result_type ORDER BY g.test_date
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS d1
+  FROM grid g LEFT JOIN s ON g.result_type = s.result_type AND g.test_date = s.test_date
+),
+filled AS (
+  SELECT result_type, test_date,
+         coalesce(y, y0 + (y1 - y0) * (CAST(test_date - d0 AS DOUBLE) / CAST(d1 - d0 AS DOUBLE))) AS count,
+         y IS NULL AS filled
+  FROM gj
+)"""
+
+SQL["complete_dates"] = f"WITH {F3} SELECT test_date FROM complete"
+SQL["training_cutoff"] = f"""WITH {F3}
+SELECT CAST(max(test_date) AS DATE) AS cutoff FROM f3 WHERE test_date IN (SELECT test_date FROM complete)"""
+SQL["forecast_training"] = f"WITH {F3} SELECT * FROM train"
+SQL["fill_daily"] = f"WITH {F3} SELECT result_type, test_date, round(count, 6) AS count, filled FROM filled"
+
+
+def _spike_sql(mult: float) -> str:
+    return f"""
+sw AS (
+  SELECT result_type, test_date, count,
+         list(count) OVER (PARTITION BY result_type ORDER BY test_date
+                           ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS win
+  FROM filled
+),
+sm AS (SELECT *, list_median(win) AS med FROM sw),
+sd AS (SELECT *, list_median(list_transform(win, lambda v: abs(v - med))) AS mad FROM sm)"""
+
+
+SQL["clean_spikes"] = f"""WITH {F3}, {_spike_sql(3.0 * 1.4826)}
+SELECT result_type, test_date,
+       round(CASE WHEN abs(count - med) > CAST({3.0 * 1.4826!r} AS DOUBLE) * mad THEN med ELSE count END, 6) AS count,
+       abs(count - med) > CAST({3.0 * 1.4826!r} AS DOUBLE) * mad AS is_spike
+FROM sd"""
+
+# Bank-holiday rules (England & Wales) evaluated in SQL; Easter by the
+# anonymous Gregorian computus.  DuckDB dayofweek: 0 = Sunday.
+HOLIDAYS = """
+yrs AS (SELECT CAST(unnest(range(1990, 2031)) AS BIGINT) AS y),
+ea AS (
+  SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yrs
+),
+eb AS (SELECT *, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f FROM ea),
+ec AS (SELECT *, (b - f + 1) // 3 AS g, c // 4 AS i, c % 4 AS k FROM eb),
+ed AS (SELECT *, (19 * a + b - d - g + 15) % 30 AS h FROM ec),
+ee AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM ed),
+ef AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM ee),
+easter AS (
+  SELECT y, make_date(y, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) AS es FROM ef
+),
+base AS (
+  SELECT y, es, make_date(y, 1, 1) AS ny, make_date(y, 5, 1) AS may1, make_date(y, 5, 25) AS may25,
+         make_date(y, 8, 25) AS aug25, make_date(y, 12, 25) AS xmas, make_date(y, 12, 26) AS boxing
+  FROM easter
+),
+hol AS (
+  SELECT CAST(CASE dayofweek(ny) WHEN 6 THEN ny + 2 WHEN 0 THEN ny + 1 ELSE ny END AS DATE) AS holiday_date,
+         'NewYear' AS holiday_name FROM base
+  UNION ALL SELECT CAST(es - 2 AS DATE), 'GoodFriday' FROM base
+  UNION ALL SELECT CAST(es + 1 AS DATE), 'EasterMonday' FROM base
+  UNION ALL SELECT CAST(may1 + CAST((8 - dayofweek(may1)) % 7 AS INTEGER) AS DATE), 'EarlyMayBankHoliday' FROM base
+  UNION ALL SELECT CAST(may25 + CAST((8 - dayofweek(may25)) % 7 AS INTEGER) AS DATE), 'SpringBankHoliday' FROM base
+  UNION ALL SELECT CAST(aug25 + CAST((8 - dayofweek(aug25)) % 7 AS INTEGER) AS DATE), 'SummerBankHoliday' FROM base
+  UNION ALL SELECT CAST(CASE WHEN dayofweek(xmas) IN (0, 6) THEN xmas + 2 ELSE xmas END AS DATE), 'Christmas' FROM base
+  UNION ALL SELECT CAST(CASE WHEN dayofweek(boxing) IN (0, 6) THEN boxing + 2 ELSE boxing END AS DATE), 'BoxingDay' FROM base
+),
+wh AS (
+  SELECT f.result_type, f.test_date, f.count, hol.holiday_name
+  FROM filled f LEFT JOIN hol ON f.test_date = hol.holiday_date
+)"""
+
+SQL["with_holidays"] = f"""WITH {F3}, {HOLIDAYS}
+SELECT result_type, test_date, round(count, 6) AS count, holiday_name FROM wh"""
+SQL["holiday_effect"] = f"""WITH {F3}, {HOLIDAYS},
+mw AS (SELECT *, avg(count) OVER (PARTITION BY result_type) AS mean FROM wh)
+SELECT result_type, holiday_name, round(avg(count - mean), 6) AS effect, count(*) AS days
+FROM mw WHERE holiday_name IS NOT NULL GROUP BY 1, 2"""
+
+AR1 = """
+lagged AS (
+  SELECT result_type, test_date, CAST(count AS DOUBLE) AS y,
+         lag(CAST(count AS DOUBLE)) OVER (PARTITION BY result_type ORDER BY test_date) AS ylag
+  FROM train
+),
+ar1 AS (
+  SELECT result_type, regr_slope(y, ylag) AS phi, regr_intercept(y, ylag) AS c,
+         arg_max(y, test_date) AS last_value, max(test_date) AS last_date, count(*) AS n
+  FROM lagged GROUP BY 1
+),
+hs AS (SELECT CAST(unnest(range(1, 31)) AS INTEGER) AS h),
+fc AS (
+  SELECT CAST(last_date + h AS TIMESTAMP) AS forecast_timestamp, result_type,
+         CASE WHEN phi = 1.0 THEN c * h ELSE c * (1 - pow(phi, h)) / (1 - phi) END
+           + pow(phi, h) * last_value AS forecast_value
+  FROM ar1, hs
+)"""
+SQL["ar1_baseline"] = f"""WITH {F3}, {AR1}
+SELECT result_type, round(phi, 6) AS phi, round(c, 6) AS c, last_value, last_date, n FROM ar1"""
+SQL["prediction_output"] = f"""WITH {F3}, {AR1},
+combined AS (
+  SELECT CAST(test_date AS DATE) AS test_date, result_type || ' - ACTUAL' AS chart_series,
+         CAST(count AS DOUBLE) AS count
+  FROM f3 WHERE CAST(test_date AS DATE) < DATE '2001-08-01'
+  UNION ALL
+  SELECT CAST(forecast_timestamp AS DATE), result_type || ' - FORECAST',
+         CASE WHEN forecast_value IS NOT NULL THEN greatest(forecast_value, 0.0) END
+  FROM fc WHERE CAST(forecast_timestamp AS DATE) >= DATE '2001-08-01'
+)
+SELECT test_date, chart_series, round(count, 4) AS count FROM combined
+WHERE test_date >= DATE '2001-08-01' - 30 AND test_date <= DATE '2001-08-01' + 30"""

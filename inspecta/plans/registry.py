@@ -11,6 +11,10 @@ from inspecta.operators.enrich import enrich, enrich_flat
 from inspecta.operators.merge import (
     dedupe_delta, drop_deleted, merge_report, new_vehicles, prepare_delta, upsert, valid_delta,
 )
+from inspecta.operators.forecast import (
+    ar1_baseline, ar1_forecast, clean_spikes, complete_dates, fill_daily, forecast_training,
+    holiday_effect, prediction_output, training_cutoff, with_holidays,
+)
 from inspecta.sources.sinks import stage
 
 ENRICH_COLS = ["registration", "make", "model", "primaryColour", "fuelType", "engineSize",
@@ -151,3 +155,72 @@ def q_stage_union(spark, d):
     later = ev.where(F.col("lastMotTestDate") >= cut).drop("engineSize")
     return stage([first, later]).select("registration", "modification", "lastMotTestDate",
                                         "event_id", "engineSize")
+
+
+# ---- series: training, grid, cleaning, holidays, baseline, blend (FC1-FC5, U1) ----
+def _f3(spark, d):
+    return fx.series_counts(spark, d)
+
+
+def _f3_daily(spark, d):
+    return _f3(spark, d).select(F.to_date("test_date").alias("test_date"), "result_type", "count")
+
+
+def _training(spark, d):
+    return forecast_training(_f3(spark, d), fx.AS_OF_HISTORY)
+
+
+@query
+def q_complete_dates(spark, d):
+    return complete_dates(_f3(spark, d))
+
+
+@query
+def q_training_cutoff(spark, d):
+    return training_cutoff(_f3(spark, d))
+
+
+@query
+def q_forecast_training(spark, d):
+    return _training(spark, d)
+
+
+@query
+def q_fill_daily(spark, d):
+    return fill_daily(_f3_daily(spark, d)).withColumn("count", F.round("count", 6))
+
+
+@query
+def q_clean_spikes(spark, d):
+    return clean_spikes(fill_daily(_f3_daily(spark, d)).drop("filled")).withColumn("count", F.round("count", 6))
+
+
+def _holidays(spark, d):
+    return with_holidays(fill_daily(_f3_daily(spark, d)).drop("filled"),
+                         first_year=1990, last_year=2030)
+
+
+@query
+def q_with_holidays(spark, d):
+    return _holidays(spark, d).withColumn("count", F.round("count", 6))
+
+
+@query
+def q_holiday_effect(spark, d):
+    return holiday_effect(_holidays(spark, d)).withColumn("effect", F.round("effect", 6))
+
+
+@query
+def q_ar1_baseline(spark, d):
+    p = ar1_baseline(_training(spark, d))
+    return p.withColumn("phi", F.round("phi", 6)).withColumn("c", F.round("c", 6))
+
+
+def _ar1_forecast(spark, d, horizon=30):
+    return ar1_forecast(ar1_baseline(_training(spark, d)), horizon)
+
+
+@query
+def q_prediction_output(spark, d):
+    out = prediction_output(_f3(spark, d), _ar1_forecast(spark, d), fx.AS_OF_HISTORY)
+    return out.withColumn("count", F.round("count", 4))
