@@ -160,3 +160,44 @@ def budget_envelopes(spark: SparkSession, sf_dir: str, budget: float = 50.0) ->
     body = F.to_json(F.struct(F.col("value").alias("costAmount"),
                               F.lit(float(budget)).alias("budgetAmount")))
     return e.select("event_id", F.base64(F.encode(body, "UTF-8")).alias("data"))
+
+
+# ---- F4: feed folders ----------------------------------------------------------
+BULK_FOLDER = "bulk-light-vehicle_02-02-2026"
+DELTA_OLD_FOLDER = "delta-light-vehicle_15-01-2024"
+DELTA_NEW_FOLDER = "delta-light-vehicle_31-01-2024"
+DELTA_SPLIT = "2024-01-15 00:00:00"
+
+
+def _split_col():
+    return F.lit(DELTA_SPLIT).cast("timestamp_ntz")
+
+
+def write_feed_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Write F1 as a bulk folder and F2 as two delta folders (gz NDJSON)."""
+    from inspecta.session import scratch_dir
+    from inspecta.sources.feed import write_feed
+    root = root or scratch_dir(spark, "feed")
+    fields = VEHICLE.fieldNames()
+    write_feed(history(spark, sf_dir).select(*fields), root, BULK_FOLDER)
+    e = delta(spark, sf_dir).select(*fields)
+    write_feed(e.where(F.col("lastMotTestDate") < _split_col()), root, DELTA_OLD_FOLDER)
+    write_feed(e.where(F.col("lastMotTestDate") >= _split_col()), root, DELTA_NEW_FOLDER)
+    return root
+
+
+def write_corrupt_feed_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """F2 as one delta folder where 'error' events are truncated JSON lines and
+    every 'view' event is followed by a blank line (gz text files)."""
+    from inspecta.session import scratch_dir
+    root = root or scratch_dir(spark, "feed-corrupt")
+    e = delta(spark, sf_dir)
+    from inspecta.sources.feed import TS_WRITE_FORMAT
+    js = F.to_json(F.struct(*[F.col(c) for c in VEHICLE.fieldNames()]),
+                   {"timestampNTZFormat": TS_WRITE_FORMAT})
+    line = F.when(F.col("model") == "error", F.substring(js, 1, 25)).otherwise(js)
+    lines = e.select(line.alias("value"))
+    blanks = e.where(F.col("model") == "view").select(F.lit("").alias("value"))
+    (lines.unionByName(blanks).write.mode("overwrite").option("compression", "gzip")
+     .text(f"{root}/{DELTA_NEW_FOLDER}"))
+    return root

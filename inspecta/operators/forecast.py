@@ -179,3 +179,124 @@ def prediction_output(counts: DataFrame, forecast: DataFrame, as_of=None, days:
                   F.concat("result_type", F.lit(FORECAST_SUFFIX)).alias("chart_series"),
                   F.when(v.isNotNull(), F.greatest(v, F.lit(0.0))).alias("count")))
     return around(actual.unionByName(fc), "test_date", days, as_of)
+
+
+# ---- order search + fit + forecast (FC5-FC7) ------------------------------------
+# Candidate (p, d, q) orders searched per series; the best is chosen by AIC.
+CANDIDATE_ORDERS = [(p, d, q) for p in (0, 1, 2) for d in (0, 1) for q in (0, 1)]
+
+FIT_SCHEMA = ("result_type string, p int, d int, q int, n bigint, aic double, sigma2 double, "
+              "coefs array<double>, last_date date, forecast array<double>, status string")
+
+
+def _design(z, e, dow, p, q, start):
+    """Regressors [1, z lags, e lags, weekday dummies] for rows start..n-1."""
+    n = len(z)
+    rows = np.arange(start, n)
+    cols = [np.ones(len(rows))]
+    cols += [z[rows - i] for i in range(1, p + 1)]
+    cols += [e[rows - j] for j in range(1, q + 1)]
+    cols += [(dow[rows] == k).astype(float) for k in range(1, 7)]
+    return np.column_stack(cols), rows
+
+
+def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, horizon: int):
+    """Hannan-Rissanen two-stage least squares ARIMA(p,d,q) + weekday effects.
+
+    Returns (n_eff, aic, sigma2, coefs, forecast path, status).  Short or
+    constant series fall back to the mean (status 'fallback').
+    """
+    y = np.asarray(y, dtype=float)
+    z = np.diff(y, n=d) if d else y.copy()
+    zdow = dow[d:]
+    n = len(z)
+    k = 1 + p + q + 6
+    m = max(p, q) + 7 if q else 0  # long-AR order of the first stage
+    start = max(p, q + m)
+    if n - start < k + 5 or np.allclose(z, z[0]):
+        level = float(np.mean(y[-28:])) if len(y) else float("nan")
+        return n, float("nan"), float("nan"), [], [level] * horizon, "fallback"
+    e = np.zeros(n)
+    if q:
+        X1 = np.column_stack([np.ones(n - m)] + [z[m - i:n - i] for i in range(1, m + 1)])
+        b1, *_ = np.linalg.lstsq(X1, z[m:], rcond=None)
+        e[m:] = z[m:] - X1 @ b1
+    X, rows = _design(z, e, zdow, p, q, start)
+    b, *_ = np.linalg.lstsq(X, z[rows], rcond=None)
+    resid = z[rows] - X @ b
+    n_eff = len(rows)
+    sigma2 = float(resid @ resid / n_eff)
+    aic = float(n_eff * np.log(max(sigma2, 1e-12)) + 2 * (k + 1))
+    e[rows] = resid
+    # recursive forecast of z, future shocks 0, weekday effect of each day
+    zf, ef = list(z), list(e)
+    last_dow = int(zdow[-1]) if len(zdow) else 0
+    path = []
+    for h in range(1, horizon + 1):
+        wd = (last_dow + h) % 7
+        x = [1.0] + [zf[-i] for i in range(1, p + 1)] + [ef[-j] for j in range(1, q + 1)]
+        x += [1.0 if wd == kk else 0.0 for kk in range(1, 7)]
+        val = float(np.dot(b, x))
+        zf.append(val)
+        ef.append(0.0)
+        path.append(val)
+    if d:
+        path = list(y[-1] + np.cumsum(path))
+    return n_eff, aic, sigma2, [float(v) for v in b], path, "ok"
+
+
+def _fit_group(horizon: int):
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("test_date")
+        dates = pd.to_datetime(pdf["test_date"])
+        dow = dates.dt.dayofweek.to_numpy()  # Monday = 0
+        p, d, q = (int(pdf[c].iloc[0]) for c in ("p", "d", "q"))
+        n, aic, s2, coefs, path, status = fit_arima_series(pdf["y"].to_numpy(), dow, p, d, q, horizon)
+        return pd.DataFrame([{
+            "result_type": pdf["result_type"].iloc[0], "p": p, "d": d, "q": q, "n": n,
+            "aic": aic, "sigma2": s2, "coefs": coefs, "last_date": dates.iloc[-1].date(),
+            "forecast": path, "status": status}])
+    return fit
+
+
+def fit_forecast(train: DataFrame, horizon: int = 30, orders=CANDIDATE_ORDERS,
+                 id_col: str = "result_type", date_col: str = "test_date",
+                 value_col: str = "count") -> DataFrame:
+    """Fit every candidate order to every series: one task per (series, order).
+
+    Input must be a regular daily series (``fill_daily``/``clean_spikes``).
+    Each row is copied once per candidate order with ``explode`` (no join),
+    then grouped; a group is one daily series.  Returns one row per
+    (series, order) with AIC, coefficients and the forecast path.
+    """
+    grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"))
+                     for p, d, q in orders])
+    x = (train.select(F.col(id_col).alias("result_type"), F.col(date_col).alias("test_date"),
+                      F.col(value_col).cast("double").alias("y"), F.explode(grid).alias("o"))
+         .select("result_type", "test_date", "y", "o.p", "o.d", "o.q"))
+    return x.groupBy("result_type", "p", "d", "q").applyInPandas(_fit_group(horizon), FIT_SCHEMA)
+
+
+def best_fits(fits: DataFrame) -> DataFrame:
+    """Lowest-AIC order per series (fallback fits only when nothing else fits)."""
+    w = Window.partitionBy("result_type").orderBy(
+        (F.col("status") != "ok").asc(), F.col("aic").asc_nulls_last(), "p", "d", "q")
+    return fits.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def forecast(fits: DataFrame, horizon: int | None = None) -> DataFrame:
+    """(forecast_timestamp, result_type, forecast_value) of the best order."""
+    b = best_fits(fits)
+    x = b.select("result_type", "last_date", F.posexplode("forecast").alias("i", "forecast_value"))
+    if horizon is not None:
+        x = x.where(F.col("i") < horizon)
+    return x.select(F.date_add("last_date", F.col("i") + 1).cast("timestamp_ntz").alias("forecast_timestamp"),
+                    "result_type", "forecast_value")
+
+
+def evaluate_forecast(fits: DataFrame) -> DataFrame:
+    """One row per (series, order): AIC, variance, fit status, chosen flag."""
+    b = best_fits(fits).select("result_type", "p", "d", "q", F.lit(True).alias("chosen"))
+    return (fits.join(b, ["result_type", "p", "d", "q"], "left")
+            .select("result_type", "p", "d", "q", "n", "aic", "sigma2", "status",
+                    F.coalesce("chosen", F.lit(False)).alias("chosen")))

@@ -306,3 +306,50 @@ combined AS (
 )
 SELECT test_date, chart_series, round(count, 4) AS count FROM combined
 WHERE test_date >= DATE '2001-08-01' - 30 AND test_date <= DATE '2001-08-01' + 30"""
+
+# ---- F4: feed folders written and read back ------------------------------------
+F4 = F2 + """,
+feed AS (
+  SELECT registration, modification, lastMotTestDate, firstUsedDate, make, engineSize,
+         DATE '2026-02-01' AS feed_date, '01-02-2026' AS date, n_tests, 'bulk' AS kind
+  FROM hist
+  UNION ALL
+  SELECT registration, modification, lastMotTestDate, firstUsedDate, make, engineSize,
+         CASE WHEN lastMotTestDate < TIMESTAMP '2024-01-15' THEN DATE '2024-01-14' ELSE DATE '2024-01-30' END,
+         CASE WHEN lastMotTestDate < TIMESTAMP '2024-01-15' THEN '14-01-2024' ELSE '30-01-2024' END,
+         CAST(1 AS BIGINT), 'delta'
+  FROM ev
+)"""
+FEED_COLS = "registration, modification, lastMotTestDate, firstUsedDate, make, engineSize, feed_date, date, n_tests"
+
+SQL["feed_round_trip"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed"
+SQL["feed_stats"] = f"""WITH {F4}
+SELECT CASE WHEN kind = 'bulk' THEN 'bulk-light-vehicle_02-02-2026'
+            WHEN feed_date = DATE '2024-01-14' THEN 'delta-light-vehicle_15-01-2024'
+            ELSE 'delta-light-vehicle_31-01-2024' END AS folder, count(*) AS records
+FROM feed GROUP BY 1"""
+SQL["latest_feed"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed WHERE kind = 'delta' AND feed_date = DATE '2024-01-30'"
+SQL["feed_zip"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed WHERE kind = 'delta'"
+SQL["feed_corrupt_split"] = f"""WITH {F2}
+SELECT registration, modification, lastMotTestDate, DATE '2024-01-30' AS feed_date
+FROM ev WHERE model <> 'error'"""
+SQL["feed_corrupt_rows"] = f"""WITH {F2}
+SELECT CAST(NULL AS VARCHAR) AS registration, CAST(25 AS BIGINT) AS raw_length
+FROM ev WHERE model = 'error'"""
+SQL["table_append_overwrite"] = f"""WITH {F2}
+SELECT registration, modification, last_test_result, mileage, vehicle_age FROM mn
+UNION ALL
+SELECT registration, modification, last_test_result, mileage, vehicle_age FROM de"""
+SQL["main_by_day"] = f"""WITH {F1}
+SELECT CAST(lastMotTestDate AS DATE) AS p_day, count(*) AS vehicles FROM hist GROUP BY 1"""
+SQL["counts_by_month"] = f"""WITH {F3}
+SELECT test_date, result_type, count, CAST(date_trunc('month', test_date) AS DATE) AS p_month FROM f3"""
+SQL["flat_export"] = f"""WITH {F1}
+SELECT date, registration, make, model, primaryColour, secondaryColour, fuelType, engineSize,
+       coalesce(strftime(manufactureDate, '%Y-%m-%d'), '') AS manufactureDate,
+       coalesce(strftime(registrationDate, '%Y-%m-%d'), '') AS registrationDate,
+       coalesce(strftime(firstUsedDate, '%Y-%m-%d'), '') AS firstUsedDate,
+       coalesce(strftime(lastMotTestDate, '%Y-%m-%dT%H:%M:%S'), '') AS lastMotTestDate,
+       modification, CAST(n_tests AS INTEGER) AS motTestCount
+FROM hist"""
+SQL["versioned_upsert"] = SQL["upsert"]

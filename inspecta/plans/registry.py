@@ -12,10 +12,17 @@ from inspecta.operators.merge import (
     dedupe_delta, drop_deleted, merge_report, new_vehicles, prepare_delta, upsert, valid_delta,
 )
 from inspecta.operators.forecast import (
-    ar1_baseline, ar1_forecast, clean_spikes, complete_dates, fill_daily, forecast_training,
-    holiday_effect, prediction_output, training_cutoff, with_holidays,
+    ar1_baseline, ar1_forecast, clean_spikes, complete_dates, evaluate_forecast, fill_daily,
+    fit_forecast, forecast, forecast_training, holiday_effect, prediction_output, training_cutoff,
+    with_holidays,
+)
+from inspecta.session import scratch_dir
+from inspecta.sources.feed import (
+    feed_glob, feed_stats, latest_feed, read_feed, read_feed_zip, split_corrupt, write_feed_zip,
+)
+from inspecta.sources.sinks import (
+    create_main, read_latest, stage, to_flat, write_daily_counts, write_table, write_version,
 )
-from inspecta.sources.sinks import stage
 
 ENRICH_COLS = ["registration", "make", "model", "primaryColour", "fuelType", "engineSize",
                "firstUsedDate", "lastMotTestDate", "last_test_date", "last_test_result",
@@ -224,3 +231,138 @@ def _ar1_forecast(spark, d, horizon=30):
 def q_prediction_output(spark, d):
     out = prediction_output(_f3(spark, d), _ar1_forecast(spark, d), fx.AS_OF_HISTORY)
     return out.withColumn("count", F.round("count", 4))
+
+
+def _multi_series_fits(spark, d, horizon=30):
+    counts = fx.series_counts(spark, d, with_abandoned=True)
+    train = forecast_training(counts, fx.AS_OF_HISTORY, n_types=3)
+    clean = clean_spikes(fill_daily(train).drop("filled"))
+    return fit_forecast(clean, horizon)
+
+
+@query
+def q_fit_forecast(spark, d):
+    return _multi_series_fits(spark, d).drop("coefs", "forecast")
+
+
+@query
+def q_forecast(spark, d):
+    return forecast(_multi_series_fits(spark, d))
+
+
+@query
+def q_evaluate_forecast(spark, d):
+    return evaluate_forecast(_multi_series_fits(spark, d))
+
+
+@query
+def q_forecast_blend(spark, d):
+    """Blend of actual counts with the searched-order forecast (model output)."""
+    return prediction_output(_f3(spark, d), forecast(_multi_series_fits(spark, d)), fx.AS_OF_HISTORY)
+
+
+# ---- feed I/O (SRC1-SRC10) ------------------------------------------------------
+FEED_COLS = ["registration", "modification", "lastMotTestDate", "firstUsedDate", "make",
+             "engineSize", "feed_date", "date", "n_tests"]
+
+
+@query
+def q_feed_round_trip(spark, d):
+    root = fx.write_feed_fixture(spark, d)
+    return _with_n_tests(read_feed(spark, root)).select(*FEED_COLS)
+
+
+@query
+def q_feed_stats(spark, d):
+    root = fx.write_feed_fixture(spark, d)
+    return feed_stats(read_feed(spark, root))
+
+
+@query
+def q_latest_feed(spark, d):
+    root = fx.write_feed_fixture(spark, d)
+    return _with_n_tests(latest_feed(read_feed(spark, root, kind="delta"))).select(*FEED_COLS)
+
+
+@query
+def q_feed_corrupt_split(spark, d):
+    root = fx.write_corrupt_feed_fixture(spark, d)
+    good, _bad = split_corrupt(read_feed(spark, root, kind="delta", ext="*.gz"))
+    return good.select("registration", "modification", "lastMotTestDate", "feed_date")
+
+
+@query
+def q_feed_corrupt_rows(spark, d):
+    root = fx.write_corrupt_feed_fixture(spark, d)
+    _good, bad = split_corrupt(read_feed(spark, root, kind="delta", ext="*.gz"))
+    return bad.select("registration", F.length("raw").cast("bigint").alias("raw_length"))
+
+
+@query
+def q_feed_zip(spark, d):
+    root = fx.write_feed_fixture(spark, d)
+    gz = spark.read.format("binaryFile").load(feed_glob(root, "delta"))
+    write_feed_zip(gz, root).collect()  # writes one archive per folder
+    good, _bad = split_corrupt(read_feed_zip(spark, root, kind="delta"))
+    return _with_n_tests(good).select(*FEED_COLS)
+
+
+@query
+def q_feed_infer(spark, d):
+    """Schema inferred from the data (dates stay text, as autodetect would see them)."""
+    root = fx.write_feed_fixture(spark, d)
+    return read_feed(spark, root, kind="delta", schema=None).select(
+        "registration", "modification", "lastMotTestDate", "feed_date")
+
+
+@query
+def q_feed_limit(spark, d):
+    """First n records of the bulk feed (the reference's sample load)."""
+    root = fx.write_feed_fixture(spark, d)
+    return read_feed(spark, root, kind="bulk", limit=10_000).select("registration", "feed_date")
+
+
+# ---- sinks (SNK1-SNK3, SNK6, SNK8) ------------------------------------------------
+@query
+def q_table_append_overwrite(spark, d):
+    path = scratch_dir(spark, "table")
+    main, prepared = _merge_inputs(spark, d)
+    cols = ["registration", "modification", "last_test_result", "mileage", "vehicle_age"]
+    write_table(prepared.select(*cols), path, "overwrite")   # replaced by the next overwrite
+    write_table(main.select(*cols), path, "overwrite")
+    write_table(prepared.select(*cols), path, "append")
+    return spark.read.parquet(path)
+
+
+@query
+def q_main_by_day(spark, d):
+    path = scratch_dir(spark, "main")
+    create_main(_enriched_history(spark, d).drop("motTests"), path)
+    return spark.read.parquet(path).groupBy("p_day").agg(F.count(F.lit(1)).alias("vehicles"))
+
+
+@query
+def q_counts_by_month(spark, d):
+    path = scratch_dir(spark, "counts")
+    counts = fx.series_counts(spark, d)
+    write_daily_counts(counts, path)
+    # refresh the last two months only: other months must stay as written
+    recent_counts = counts.where(F.col("test_date") >= F.lit("2001-06-01").cast("timestamp_ntz"))
+    write_daily_counts(recent_counts, path)
+    return spark.read.parquet(path).select("test_date", "result_type", "count", "p_month")
+
+
+@query
+def q_flat_export(spark, d):
+    return to_flat(fx.history(spark, d)).drop("motTests")
+
+
+@query
+def q_versioned_upsert(spark, d):
+    """Upsert written as a new table version next to the old one, read back."""
+    path = scratch_dir(spark, "versioned")
+    main, prepared = _merge_inputs(spark, d)
+    write_version(main, path)
+    current = read_latest(spark, path)
+    write_version(upsert(current, prepared), path)
+    return _with_n_tests(read_latest(spark, path)).select(*UPSERT_COLS)

@@ -17,3 +17,125 @@ def stage(batches: list[DataFrame]) -> DataFrame:
     if not batches:
         raise ValueError("no batches to stage")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None,
+                fmt: str = "parquet") -> str:
+    """Append (``mode='append'``) or truncate-and-load (``'overwrite'``).
+
+    Never overwrite a path that the same job reads: Spark deletes the target
+    before the read happens.  Use ``write_version`` for in-place updates.
+    """
+    w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return path
+
+
+def create_main(df: DataFrame, path: str, files_per_day: int = 4, day_col: str = "lastMotTestDate") -> str:
+    """Main table partitioned by day of ``lastMotTestDate`` (``p_day``).
+
+    Rows are clustered by (day, hash(registration) mod files_per_day) before
+    the write, so one hot day is written by several tasks and each task
+    writes to few day folders.
+    """
+    out = df.withColumn("p_day", F.to_date(day_col))
+    salt = F.pmod(F.xxhash64("registration"), F.lit(files_per_day))
+    out = out.repartition("p_day", salt)
+    out.write.mode("overwrite").partitionBy("p_day").parquet(path)
+    return path
+
+
+def write_daily_counts(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Counts table partitioned by month (``p_month``).
+
+    With ``mode='overwrite'`` only the months present in ``df`` are replaced
+    (dynamic partition overwrite), so a refresh of recent days leaves older
+    months in place.
+    """
+    out = df.withColumn("p_month", F.trunc(F.to_date("test_date"), "MONTH"))
+    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("p_month").parquet(path))
+    return path
+
+
+def drop_stage(spark: SparkSession, name: str) -> None:
+    """Drop a staging table if it exists."""
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
+
+
+# ---- versioned tables: copy-on-write without a table format -----------------
+def _fs(path: str):
+    from pyarrow import fs as pafs
+    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+
+
+def table_versions(path: str) -> list[int]:
+    """Committed versions (folders ``v=N`` holding a ``_SUCCESS`` marker)."""
+    from pyarrow import fs as pafs
+    fs, root = _fs(path)
+    try:
+        infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    except FileNotFoundError:
+        return []
+    out = []
+    for i in infos:
+        name = i.path.rstrip("/").rsplit("/", 1)[-1]
+        if i.type == pafs.FileType.Directory and name.startswith("v="):
+            if fs.get_file_info(f"{i.path}/_SUCCESS").type == pafs.FileType.File:
+                out.append(int(name[2:]))
+    return sorted(out)
+
+
+def write_version(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """Write ``df`` as the next version; readers switch when it is committed.
+
+    The job commit writes ``_SUCCESS`` last, so a failed or running write is
+    never visible, and the previous version stays readable meanwhile.
+    """
+    versions = table_versions(path)
+    n = (versions[-1] + 1) if versions else 1
+    write_table(df, f"{path.rstrip('/')}/v={n:06d}", "overwrite", partition_by)
+    return n
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    versions = table_versions(path)
+    if not versions:
+        raise FileNotFoundError(f"no committed version under {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/v={versions[-1]:06d}")
+
+
+# ---- flat export (SNK8) --------------------------------------------------------
+def to_flat(df: DataFrame) -> DataFrame:
+    """15-column flat form: text columns ('' when missing), test count, tests as JSON."""
+    from inspecta.schema import FLAT_COLUMNS
+
+    def text(c: str):
+        if c not in df.columns:
+            return F.lit("")
+        t = df.schema[c].dataType.simpleString()
+        if t.startswith("timestamp"):
+            v = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        elif t == "date":
+            v = F.date_format(c, "yyyy-MM-dd")
+        else:
+            v = F.col(c).cast("string")
+        return F.coalesce(v, F.lit(""))
+
+    tests = F.coalesce(F.col("motTests"), F.array().cast(df.schema["motTests"].dataType))
+    cols = []
+    for c in FLAT_COLUMNS:
+        if c == "motTestCount":
+            cols.append(F.size(tests).alias(c))
+        elif c == "motTests":
+            cols.append(F.to_json(tests, {"ignoreNullFields": "false"}).alias(c))
+        else:
+            cols.append(text(c).alias(c))
+    return df.select(*cols)
+
+
+def write_csv(df: DataFrame, path: str) -> str:
+    to_flat(df).write.mode("overwrite").option("header", True).csv(path)
+    return path
