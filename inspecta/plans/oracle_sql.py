@@ -353,3 +353,26 @@ SELECT date, registration, make, model, primaryColour, secondaryColour, fuelType
        modification, CAST(n_tests AS INTEGER) AS motTestCount
 FROM hist"""
 SQL["versioned_upsert"] = SQL["upsert"]
+
+# ---- classifier inputs -----------------------------------------------------------
+TRAIN = """
+tr AS (
+  SELECT last_test_result, mileage, vehicle_age, upper(make) AS make, upper(model) AS model,
+         upper(primaryColour) AS primaryColour
+  FROM enriched
+  WHERE last_test_result IN ('PASSED', 'FAILED') AND mileage IS NOT NULL AND vehicle_age IS NOT NULL
+)"""
+SQL["pass_fail_training"] = f"WITH {F1}, {TRAIN} SELECT * FROM tr"
+SQL["class_weights"] = f"""WITH {F1}, {TRAIN},
+cc AS (SELECT last_test_result, count(*) AS n_class FROM tr GROUP BY 1)
+SELECT last_test_result, n_class,
+       round(CAST(sum(n_class) OVER () AS DOUBLE) / (count(*) OVER () * n_class), 6) AS weight
+FROM cc"""
+SQL["pass_probability"] = f"""WITH {F1}
+SELECT registration,
+       round(CASE WHEN pass_count + fail_count > 0
+                  THEN CAST(pass_count AS DOUBLE) / (pass_count + fail_count) END, 6) AS pass_probability
+FROM enriched"""
+SQL["lookup"] = f"""WITH {F2}
+SELECT registration, mileage, vehicle_age, make, model, primaryColour FROM enriched
+WHERE registration IN (SELECT registration FROM ev)"""

@@ -16,6 +16,11 @@ from inspecta.operators.forecast import (
     fit_forecast, forecast, forecast_training, holiday_effect, prediction_output, training_cutoff,
     with_holidays,
 )
+from inspecta.operators.classify import (
+    FEATURES, class_weights, fit_pass_fail, load_model, lookup, lookup_score, pass_fail_training,
+    save_model, score, what_if_score,
+)
+from inspecta.functions.columns import pass_probability
 from inspecta.session import scratch_dir
 from inspecta.sources.feed import (
     feed_glob, feed_stats, latest_feed, read_feed, read_feed_zip, split_corrupt, write_feed_zip,
@@ -366,3 +371,68 @@ def q_versioned_upsert(spark, d):
     current = read_latest(spark, path)
     write_version(upsert(current, prepared), path)
     return _with_n_tests(read_latest(spark, path)).select(*UPSERT_COLS)
+
+
+# ---- classifier (ML1-ML9, A6, P8, P13, P14) -------------------------------------
+def _training_set(spark, d):
+    return pass_fail_training(_enriched_history(spark, d))
+
+
+@query
+def q_pass_fail_training(spark, d):
+    return _training_set(spark, d)
+
+
+@query
+def q_class_weights(spark, d):
+    return class_weights(_training_set(spark, d)).withColumn("weight", F.round("weight", 6))
+
+
+@query
+def q_pass_probability(spark, d):
+    """PASSED probability out of per-label probability arrays built from pass/fail shares."""
+    h = _enriched_history(spark, d)
+    total = F.col("pass_count") + F.col("fail_count")
+    probs = F.when(total > 0, F.array(
+        F.struct(F.lit("FAILED").alias("label"), (F.col("fail_count") / total).alias("prob")),
+        F.struct(F.lit("PASSED").alias("label"), (F.col("pass_count") / total).alias("prob"))))
+    return h.select("registration", F.round(pass_probability(probs), 6).alias("pass_probability"))
+
+
+def _lookup_keys(spark, d):
+    # vehicles named in the change feed, looked up in the full history
+    return fx.delta(spark, d).select("registration")
+
+
+@query
+def q_lookup(spark, d):
+    h = _enriched_history(spark, d).drop("motTests")
+    return lookup(h, _lookup_keys(spark, d)).select(
+        "registration", "mileage", "vehicle_age", "make", "model", "primaryColour")
+
+
+def _model(spark, d):
+    model = fit_pass_fail(_training_set(spark, d))
+    path = save_model(model, scratch_dir(spark, "model"))
+    return load_model(path)
+
+
+@query
+def q_score(spark, d):
+    h = _enriched_history(spark, d)
+    return score(_model(spark, d), h.select("registration", *FEATURES)).select(
+        "registration", "predicted_last_test_result", "pass_probability")
+
+
+@query
+def q_lookup_score(spark, d):
+    h = _enriched_history(spark, d)
+    return lookup_score(_model(spark, d), h, _lookup_keys(spark, d))
+
+
+@query
+def q_what_if_score(spark, d):
+    """Every vehicle's features with twice its mileage, as what-if scenarios."""
+    h = _enriched_history(spark, d).where(F.col("mileage").isNotNull())
+    scen = h.select((F.col("mileage") * 2).alias("mileage"), "vehicle_age", "make", "model", "primaryColour")
+    return what_if_score(_model(spark, d), scen)
