@@ -376,3 +376,13 @@ FROM enriched"""
 SQL["lookup"] = f"""WITH {F2}
 SELECT registration, mileage, vehicle_age, make, model, primaryColour FROM enriched
 WHERE registration IN (SELECT registration FROM ev)"""
+
+# ---- streams, alerts, jobs ---------------------------------------------------------
+# Each delta record keeps the feed date of its folder; the merge does not set it.
+SQL["stream_ingest"] = SQL["feed_round_trip"]
+SQL["stream_upsert"] = SQL["upsert"]
+SQL["weekly_delta_ingest"] = SQL["upsert"]
+SQL["prediction_view"] = SQL["prediction_output"]
+SQL["budget_overruns"] = """
+SELECT event_id, value AS costAmount, CAST(50.0 AS DOUBLE) AS budgetAmount
+FROM events WHERE value > 50.0"""

@@ -21,7 +21,9 @@ from inspecta.operators.classify import (
     save_model, score, what_if_score,
 )
 from inspecta.functions.columns import pass_probability
+from inspecta.plans.pipelines import register_views, weekly_delta_ingest
 from inspecta.session import scratch_dir
+from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
 from inspecta.sources.feed import (
     feed_glob, feed_stats, latest_feed, read_feed, read_feed_zip, split_corrupt, write_feed_zip,
 )
@@ -436,3 +438,51 @@ def q_what_if_score(spark, d):
     h = _enriched_history(spark, d).where(F.col("mileage").isNotNull())
     scen = h.select((F.col("mileage") * 2).alias("mileage"), "vehicle_age", "make", "model", "primaryColour")
     return what_if_score(_model(spark, d), scen)
+
+
+# ---- streams (SRC9, STR1-STR3) and end-to-end jobs --------------------------------
+@query
+def q_stream_ingest(spark, d):
+    """Feed folders ingested by a file stream (availableNow), rerun, read back."""
+    root = fx.write_feed_fixture(spark, d)
+    sink, ckpt = scratch_dir(spark, "stream-sink"), scratch_dir(spark, "stream-ckpt")
+    for _ in range(2):  # the second run finds no new file
+        ingest(stream_feed(spark, root, kind=None), sink, ckpt).awaitTermination()
+    good, _bad = split_corrupt(spark.read.parquet(sink))
+    return _with_n_tests(good).select(*FEED_COLS)
+
+
+@query
+def q_stream_upsert(spark, d):
+    """Delta folders applied by foreachBatch upserts to a versioned main table."""
+    root = fx.write_feed_fixture(spark, d)
+    table, ckpt = scratch_dir(spark, "stream-main"), scratch_dir(spark, "stream-upsert-ckpt")
+    write_version(fx.main_table(spark, d, fx.AS_OF_DELTA), table)
+    for _ in range(2):
+        start_upsert(stream_feed(spark, root, kind="delta"), table, ckpt, fx.AS_OF_DELTA).awaitTermination()
+    return _with_n_tests(read_latest(spark, table)).select(*UPSERT_COLS)
+
+
+@query
+def q_budget_overruns(spark, d):
+    return budget_overruns(fx.budget_envelopes(spark, d)).select("event_id", "costAmount", "budgetAmount")
+
+
+@query
+def q_weekly_delta_ingest(spark, d):
+    """Feed delta folders -> dedupe -> enrich -> upsert into a versioned main table."""
+    root = fx.write_feed_fixture(spark, d)
+    table = scratch_dir(spark, "weekly-main")
+    write_version(fx.main_table(spark, d, fx.AS_OF_DELTA), table)
+    weekly_delta_ingest(spark, root, table, fx.AS_OF_DELTA)
+    return _with_n_tests(read_latest(spark, table)).select(*UPSERT_COLS)
+
+
+@query
+def q_prediction_view(spark, d):
+    """Counts and AR(1) forecast registered as views; the chart view read back by name."""
+    frames = {"daily_counts_f3": _f3(spark, d), "forecast_f3": _ar1_forecast(spark, d)}
+    register_views(spark, frames)
+    view = prediction_output(spark.table("daily_counts_f3"), spark.table("forecast_f3"), fx.AS_OF_HISTORY)
+    register_views(spark, {"prediction_output_f3": view})
+    return spark.table("prediction_output_f3").withColumn("count", F.round("count", 4))
