@@ -84,18 +84,16 @@ def _median(arr):
 MAD_TO_SIGMA = 1.4826  # normal-consistent scale of the median absolute deviation
 
 
-def spike_multiplier(k: float) -> float:
-    return k * MAD_TO_SIGMA
-
-
 def clean_spikes(df: DataFrame, id_col: str = "result_type", date_col: str = "test_date",
-                 value_col: str = "count", half_window: int = 3, k: float = 3.0) -> DataFrame:
+                 value_col: str = "count", half_window: int = 3, k: float = 3.0,
+                 min_scale: float = 1.0) -> DataFrame:
     """Replace spikes and dips by the rolling median (Hampel filter).
 
     A value is a spike when it is more than ``k`` robust standard deviations
-    (1.4826 x rolling median absolute deviation) from the rolling median of
-    the centred window of ``2*half_window+1`` rows.  Expects a regular
-    (filled) series.
+    (1.4826 x rolling median absolute deviation, at least ``min_scale``)
+    from the rolling median of the centred window of ``2*half_window+1``
+    rows.  The floor keeps flat stretches (MAD 0) from flagging unit noise.
+    Expects a regular (filled) series.
     """
     w = (Window.partitionBy(id_col).orderBy(date_col)
          .rowsBetween(-half_window, half_window))
@@ -103,7 +101,8 @@ def clean_spikes(df: DataFrame, id_col: str = "result_type", date_col: str = "te
     x = df.select("*", win.alias("_win"))
     x = x.withColumn("_med", _median(F.col("_win")))
     x = x.withColumn("_mad", _median(F.transform("_win", lambda v: F.abs(v - F.col("_med")))))
-    spike = F.abs(F.col(value_col) - F.col("_med")) > F.lit(spike_multiplier(k)) * F.col("_mad")
+    scale = F.greatest(F.lit(MAD_TO_SIGMA) * F.col("_mad"), F.lit(float(min_scale)))
+    spike = F.abs(F.col(value_col) - F.col("_med")) > F.lit(float(k)) * scale
     return x.select(
         *[c for c in df.columns if c != value_col],
         F.when(spike, F.col("_med")).otherwise(F.col(value_col).cast("double")).alias(value_col),

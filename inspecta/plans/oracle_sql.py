@@ -225,10 +225,11 @@ sm AS (SELECT *, list_median(win) AS med FROM sw),
 sd AS (SELECT *, list_median(list_transform(win, lambda v: abs(v - med))) AS mad FROM sm)"""
 
 
-SQL["clean_spikes"] = f"""WITH {F3}, {_spike_sql(3.0 * 1.4826)}
+_THR = "CAST(3.0 AS DOUBLE) * greatest(CAST(1.4826 AS DOUBLE) * mad, CAST(1.0 AS DOUBLE))"
+SQL["clean_spikes"] = f"""WITH {F3}, {_spike_sql(0)}
 SELECT result_type, test_date,
-       round(CASE WHEN abs(count - med) > CAST({3.0 * 1.4826!r} AS DOUBLE) * mad THEN med ELSE count END, 6) AS count,
-       abs(count - med) > CAST({3.0 * 1.4826!r} AS DOUBLE) * mad AS is_spike
+       round(CASE WHEN abs(count - med) > {_THR} THEN med ELSE count END, 6) AS count,
+       abs(count - med) > {_THR} AS is_spike
 FROM sd"""
 
 # Bank-holiday rules (England & Wales) evaluated in SQL; Easter by the
