@@ -67,7 +67,7 @@ def _pipeline(reg_param: float, max_iter: int) -> Pipeline:
     return Pipeline(stages=[upper, idx, ohe, num, vec, lab, lr])
 
 
-def fit_pass_fail(training: DataFrame, reg_param: float = 0.0, max_iter: int = 100,
+def fit_pass_fail(training: DataFrame, reg_param: float = 0.0, max_iter: int = 20,
                   balance: bool = True) -> PipelineModel:
     """Fit the classifier; ``balance`` adds inverse-frequency class weights."""
     df = with_class_weights(training) if balance else training.withColumn("weight", F.lit(1.0))

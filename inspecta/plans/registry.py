@@ -414,9 +414,18 @@ def q_lookup(spark, d):
 
 
 def _model(spark, d):
-    model = fit_pass_fail(_training_set(spark, d))
-    path = save_model(model, scratch_dir(spark, "model"))
-    return load_model(path)
+    return fit_pass_fail(_training_set(spark, d))
+
+
+@query
+def q_model_round_trip(spark, d):
+    """Fit, replace the stored model (save with overwrite), load it back and score."""
+    path = scratch_dir(spark, "model")
+    save_model(fit_pass_fail(_training_set(spark, d)), path)
+    save_model(fit_pass_fail(_training_set(spark, d), balance=False), path)  # replace
+    h = _enriched_history(spark, d)
+    return score(load_model(path), h.select("registration", *FEATURES)).select(
+        "registration", "predicted_last_test_result", "pass_probability")
 
 
 @query
