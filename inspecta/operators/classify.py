@@ -134,3 +134,10 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def lookup_one(spark: SparkSession, view: str, registration: str, key: str = "registration") -> DataFrame:
+    """Single-key lookup through parameterised SQL (at most one row, no order)."""
+    return spark.sql(
+        f"SELECT * EXCEPT (motTests) FROM IDENTIFIER(:t) WHERE {key} = :reg LIMIT 1",
+        args={"t": view, "reg": registration})

@@ -387,3 +387,8 @@ SQL["prediction_view"] = SQL["prediction_output"]
 SQL["budget_overruns"] = """
 SELECT event_id, value AS costAmount, CAST(50.0 AS DOUBLE) AS budgetAmount
 FROM events WHERE value > 50.0"""
+# Schema inference keeps ISO timestamps as text (timestamp inference is off by default).
+SQL["feed_infer"] = f"""WITH {F4}
+SELECT registration, modification, strftime(lastMotTestDate, '%Y-%m-%dT%H:%M:%S.%f') AS lastMotTestDate,
+       feed_date
+FROM feed WHERE kind = 'delta'"""

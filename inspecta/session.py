@@ -64,3 +64,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/inspecta/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Suggested settings for a large cluster (about 100 TB input, ~1000 executors).
+# Shuffle partitions start high and AQE coalesces them to ~256 MB each; skewed
+# sort-merge joins are split; explicit broadcasts in this package are all
+# size-checked, so the automatic threshold stays modest.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.files.maxRecordsPerFile": "5000000",
+    "spark.ui.enabled": "false",
+}

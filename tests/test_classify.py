@@ -53,3 +53,22 @@ def test_lookup_score_one_row_per_key(model, spark, train):
     out = lookup_score(model, df, keys).collect()
     assert len(out) == 1 and out[0].registration == "R1"
     assert "predicted_last_test_result_probs" not in out[0].asDict()
+
+
+def test_save_load_round_trip(model, train, tmp_path):
+    from inspecta.operators.classify import load_model, save_model
+    path = save_model(model, str(tmp_path / "m"))
+    save_model(model, path)   # replace in place
+    a = score(model, train.limit(20)).select("pass_probability").collect()
+    b = score(load_model(path), train.limit(20)).select("pass_probability").collect()
+    assert [r[0] for r in a] == pytest.approx([r[0] for r in b])
+
+
+def test_lookup_one_parameterised(spark):
+    from inspecta.operators.classify import lookup_one
+    from inspecta.schema import VEHICLE
+    df = spark.createDataFrame([{"registration": "K1", "make": "A"}, {"registration": "K2", "make": "B"}],
+                               VEHICLE)
+    df.createOrReplaceTempView("vehicles_t")
+    rows = lookup_one(spark, "vehicles_t", "K2").collect()
+    assert len(rows) == 1 and rows[0].make == "B" and "motTests" not in rows[0].asDict()

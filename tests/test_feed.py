@@ -86,3 +86,17 @@ def test_budget_overruns_batch_and_stream(spark):
     q.processAllAvailable()
     q.stop()
     assert [r.costAmount for r in spark.table("alerts_t").collect()] == [75.5]
+
+
+def test_csv_export_and_drop_stage(spark):
+    root = tempfile.mkdtemp()
+    _write(f"{root}/delta-light-vehicle_02-02-2026", "a.json.gz", [GOOD])
+    from inspecta.sources.sinks import drop_stage, write_csv
+    good, _ = split_corrupt(read_feed(spark, root))
+    out = write_csv(good, root + "/csv")
+    back = spark.read.option("header", True).csv(out).collect()
+    assert back[0].registration == "A1" and back[0].motTestCount == "1" and back[0].date == "01-02-2026"
+    spark.range(3).write.mode("overwrite").saveAsTable("inspecta_stage_t")
+    drop_stage(spark, "inspecta_stage_t")
+    drop_stage(spark, "inspecta_stage_t")   # missing table is fine
+    assert not spark.catalog.tableExists("inspecta_stage_t")
