@@ -33,8 +33,12 @@ def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, as_of=N
 
 
 def analytics(main: DataFrame, as_of=None, horizon: int = 30, years: int = 3) -> dict[str, DataFrame]:
-    """main -> daily counts -> training series -> forecast -> chart view."""
-    counts = daily_counts(main, as_of)
+    """main -> daily counts -> training series -> forecast -> chart view.
+
+    The counts table is small and read by three stages (training, cutoff,
+    blend); it is checkpointed once, like the table the original job writes.
+    """
+    counts = daily_counts(main, as_of).checkpoint(eager=True)
     train = forecast_training(counts, as_of, years)
     fits = fit_forecast(clean_spikes(fill_daily(train).drop("filled")), horizon)
     fc = forecast(fits)

@@ -21,7 +21,7 @@ from inspecta.operators.classify import (
     save_model, score, what_if_score,
 )
 from inspecta.functions.columns import pass_probability
-from inspecta.plans.pipelines import register_views, weekly_delta_ingest
+from inspecta.plans.pipelines import analytics, register_views, weekly_delta_ingest
 from inspecta.session import scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
 from inspecta.sources.feed import (
@@ -495,3 +495,11 @@ def q_prediction_view(spark, d):
     view = prediction_output(spark.table("daily_counts_f3"), spark.table("forecast_f3"), fx.AS_OF_HISTORY)
     register_views(spark, {"prediction_output_f3": view})
     return spark.table("prediction_output_f3").withColumn("count", F.round("count", 4))
+
+
+@query
+def q_analytics_chain(spark, d):
+    """main -> daily counts -> training -> searched-order forecast -> chart view."""
+    frames = analytics(_enriched_history(spark, d), fx.AS_OF_HISTORY)
+    register_views(spark, {"prediction_output_chain": frames["prediction_output"]})
+    return spark.table("prediction_output_chain")
