@@ -33,17 +33,22 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
     return path
 
 
-def create_main(df: DataFrame, path: str, files_per_day: int = 4, day_col: str = "lastMotTestDate") -> str:
+def create_main(df: DataFrame, path: str, num_partitions: int | None = None,
+                day_col: str = "lastMotTestDate") -> str:
     """Main table partitioned by day of ``lastMotTestDate`` (``p_day``).
 
-    Rows are clustered by (day, hash(registration) mod files_per_day) before
-    the write, so one hot day is written by several tasks and each task
-    writes to few day folders.
+    Rows are range-partitioned on (day, registration) before the write: the
+    sampled range bounds split a hot day over several tasks in proportion to
+    its size and pack small days together, so files per day follow the data
+    and every task writes a few contiguous day folders.
     """
     out = df.withColumn("p_day", F.to_date(day_col))
-    salt = F.pmod(F.xxhash64("registration"), F.lit(files_per_day))
-    out = out.repartition("p_day", salt)
-    out.write.mode("overwrite").partitionBy("p_day").parquet(path)
+    keys = [F.col("p_day"), F.col("registration")]
+    out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
+           else out.repartitionByRange(*keys))
+    # a full replacement: static overwrite (no per-partition staging and renames)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("p_day").parquet(path))
     return path
 
 
