@@ -11,13 +11,23 @@ from inspecta.functions.columns import (
 from inspecta.schema import FAILED, NEVER_MOT, PASSED
 
 
+def _odometer_type(df: DataFrame | None, tests: str):
+    """Declared type of motTests[].odometerValue (numbers round, text is parsed)."""
+    if df is None:
+        return None
+    try:
+        return df.schema[tests].dataType.elementType["odometerValue"].dataType
+    except (KeyError, AttributeError):
+        return None
+
+
 def derived_columns(as_of=None, on_bad: str = "error", tests: str = "motTests",
-                    first_used: str = "firstUsedDate") -> dict:
+                    first_used: str = "firstUsedDate", df: DataFrame | None = None) -> dict:
     last = last_test(tests)
     return {
         "last_test_date": last.getField("completedDate"),
         "last_test_result": F.coalesce(last.getField("testResult"), F.lit(NEVER_MOT)),
-        "mileage": to_mileage(last.getField("odometerValue"), on_bad),
+        "mileage": to_mileage(last.getField("odometerValue"), on_bad, _odometer_type(df, tests)),
         "vehicle_age": vehicle_age(first_used, as_of),
         "pass_count": count_results(tests, PASSED),
         "fail_count": count_results(tests, FAILED),
@@ -31,7 +41,7 @@ def enrich(df: DataFrame, as_of=None, on_bad: str = "error") -> DataFrame:
     unchanged, existing derived columns are replaced.  ``on_bad`` chooses
     what an odometer text that is not an integer does: raise or NULL.
     """
-    return df.withColumns(derived_columns(as_of, on_bad))
+    return df.withColumns(derived_columns(as_of, on_bad, df=df))
 
 
 def enrich_flat(vehicles: DataFrame, tests: DataFrame, as_of=None, on_bad: str = "error",

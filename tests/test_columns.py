@@ -92,3 +92,15 @@ def test_pass_probability(spark):
                                "p array<struct<label:string,prob:double>>")
     got = [r[0] for r in df.select(pass_probability("p")).collect()]
     assert got == [0.7, None, None]
+
+
+def test_numeric_odometer_rounds(spark):
+    from pyspark.sql import types as T
+    test = T.StructType([T.StructField("completedDate", T.TimestampNTZType()),
+                         T.StructField("testResult", T.StringType()),
+                         T.StructField("odometerValue", T.DoubleType())])
+    schema = T.StructType([T.StructField("registration", T.StringType()),
+                           T.StructField("firstUsedDate", T.DateType()),
+                           T.StructField("motTests", T.ArrayType(test))])
+    df = spark.createDataFrame([("n", None, [(TS(2020, 1, 1), "PASSED", 12.5)])], schema)
+    assert enrich(df, dt.date(2021, 1, 1)).first().mileage == 13
