@@ -392,3 +392,4 @@ SQL["feed_infer"] = f"""WITH {F4}
 SELECT registration, modification, strftime(lastMotTestDate, '%Y-%m-%dT%H:%M:%S.%f') AS lastMotTestDate,
        feed_date
 FROM feed WHERE kind = 'delta'"""
+SQL["read_latest_feed"] = SQL["latest_feed"]

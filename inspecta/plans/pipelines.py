@@ -23,10 +23,9 @@ def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None) -> in
 def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, as_of=None,
                         latest_only: bool = False, **upsert_kw) -> int:
     """Delta feed -> valid -> dedupe -> enrich -> upsert -> next table version."""
-    from inspecta.sources.feed import latest_feed
-    df = read_feed(spark, feed_root, kind="delta")
-    if latest_only:
-        df = latest_feed(df)
+    from inspecta.sources.feed import read_latest_feed
+    df = (read_latest_feed(spark, feed_root, kind="delta") if latest_only
+          else read_feed(spark, feed_root, kind="delta"))
     good, _bad = split_corrupt(df)
     prepared = prepare_delta(good.drop("_source_file"), as_of)
     return write_version(upsert(read_latest(spark, table), prepared, **upsert_kw), table)

@@ -25,7 +25,8 @@ from inspecta.plans.pipelines import analytics, register_views, weekly_delta_ing
 from inspecta.session import scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
 from inspecta.sources.feed import (
-    feed_glob, feed_stats, latest_feed, read_feed, read_feed_zip, split_corrupt, write_feed_zip,
+    feed_glob, feed_stats, latest_feed, read_feed, read_feed_zip, read_latest_feed, split_corrupt,
+    write_feed_zip,
 )
 from inspecta.sources.sinks import (
     create_main, read_latest, stage, to_flat, write_daily_counts, write_table, write_version,
@@ -503,3 +504,10 @@ def q_analytics_chain(spark, d):
     frames = analytics(_enriched_history(spark, d), fx.AS_OF_HISTORY)
     register_views(spark, {"prediction_output_chain": frames["prediction_output"]})
     return spark.table("prediction_output_chain")
+
+
+@query
+def q_read_latest_feed(spark, d):
+    """Newest delta folder only, chosen from the file listing."""
+    root = fx.write_feed_fixture(spark, d)
+    return _with_n_tests(read_latest_feed(spark, root, kind="delta")).select(*FEED_COLS)

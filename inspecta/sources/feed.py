@@ -49,6 +49,19 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
+def _read_json(spark: SparkSession, pattern: str, schema: T.StructType | None, corrupt: bool,
+               sampling_ratio: float) -> DataFrame:
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    if schema is not None:
+        reader = reader.schema(_with_corrupt(schema) if corrupt else schema)
+    else:
+        reader = reader.option("samplingRatio", sampling_ratio).option("prefersDecimal", False)
+    df = reader.json(pattern)
+    return tag_feed_date(df.withColumn("_source_file", F.col("_metadata.file_path")))
+
+
 def read_feed(spark: SparkSession, root: str, kind: str | None = None,
               schema: T.StructType | None = VEHICLE, corrupt: bool = True,
               limit: int | None = None, sampling_ratio: float = 1.0,
@@ -60,18 +73,11 @@ def read_feed(spark: SparkSession, root: str, kind: str | None = None,
     * PERMISSIVE parsing: a malformed line becomes a row with only
       ``_corrupt_record`` set (see ``split_corrupt``); blank lines are skipped;
     * ``_source_file`` and the feed date tags are added;
-    * ``limit`` keeps the first n records read (no order guarantee).
+    * ``limit`` keeps the first n records read (no order guarantee);
+    * ``partitions`` hash-partitions the parsed rows by ``key`` (gz files
+      are one task each).
     """
-    reader = spark.read.option("mode", "PERMISSIVE")
-    if corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    if schema is not None:
-        reader = reader.schema(_with_corrupt(schema) if corrupt else schema)
-    else:
-        reader = reader.option("samplingRatio", sampling_ratio).option("prefersDecimal", False)
-    df = reader.json(feed_glob(root, kind, ext))
-    df = df.withColumn("_source_file", F.col("_metadata.file_path"))
-    df = tag_feed_date(df)
+    df = _read_json(spark, feed_glob(root, kind, ext), schema, corrupt, sampling_ratio)
     if limit is not None:
         df = df.limit(limit)
     if partitions:
@@ -79,6 +85,25 @@ def read_feed(spark: SparkSession, root: str, kind: str | None = None,
     return df
 
 
+def read_latest_feed(spark: SparkSession, root: str, kind: str = "delta",
+                     schema: T.StructType | None = VEHICLE, corrupt: bool = True,
+                     ext: str = "*.json.gz") -> DataFrame:
+    """Read only the newest dated feed folder.
+
+    The folder is chosen from a path-only ``binaryFile`` listing (contents
+    are not read), so older deltas are never opened or parsed.  Folders
+    without a date in their name are ignored.
+    """
+    listing = (spark.read.format("binaryFile").load(feed_glob(root, kind, ext))
+               .select(feed_folder("path").alias("folder"), feed_date_from_path(F.col("path")).alias("d"))
+               .where(F.col("d").isNotNull()))
+    newest = listing.orderBy(F.col("d").desc(), F.col("folder").desc()).limit(1).collect()
+    if not newest:
+        raise FileNotFoundError(f"no dated {kind} feed folder under {root}")
+    pattern = f"{root.rstrip('/')}/{newest[0]['folder']}/{ext}"
+    return _read_json(spark, pattern, schema, corrupt, 1.0)
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, bad rows: file, key, raw text).
 
@@ -95,6 +120,7 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def feed_folder(path_col: str = "_source_file"):
+    """Name of the folder holding a file."""
     return F.regexp_extract(F.col(path_col), r"/([^/]+)/[^/]*$", 1)
 
 

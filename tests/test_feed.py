@@ -100,3 +100,14 @@ def test_csv_export_and_drop_stage(spark):
     drop_stage(spark, "inspecta_stage_t")
     drop_stage(spark, "inspecta_stage_t")   # missing table is fine
     assert not spark.catalog.tableExists("inspecta_stage_t")
+
+
+def test_read_latest_feed_reads_one_folder(spark):
+    from inspecta.sources.feed import read_latest_feed
+    root = tempfile.mkdtemp()
+    _write(f"{root}/delta-light-vehicle_02-02-2026", "a.json.gz", [GOOD])
+    _write(f"{root}/delta-light-vehicle_09-02-2026", "a.json.gz", [GOOD.replace("A1", "A2")])
+    _write(f"{root}/delta-light-vehicle_undated", "a.json.gz", [GOOD.replace("A1", "A3")])
+    df = read_latest_feed(spark, root)
+    assert [r.registration for r in df.collect()] == ["A2"]
+    assert {r._source_file.rsplit("/", 2)[-2] for r in df.collect()} == {"delta-light-vehicle_09-02-2026"}
