@@ -393,3 +393,9 @@ SELECT registration, modification, strftime(lastMotTestDate, '%Y-%m-%dT%H:%M:%S.
        feed_date
 FROM feed WHERE kind = 'delta'"""
 SQL["read_latest_feed"] = SQL["latest_feed"]
+SQL["sql_enrich"] = SQL["enrich"]
+SQL["sql_dedupe"] = SQL["dedupe_delta"]
+SQL["sql_daily_counts"] = SQL["daily_counts"]
+SQL["sql_forecast_training"] = SQL["forecast_training"]
+SQL["sql_logreg_training"] = SQL["pass_fail_training"]
+SQL["sql_prediction_output"] = SQL["prediction_output"]

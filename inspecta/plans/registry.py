@@ -22,6 +22,10 @@ from inspecta.operators.classify import (
 )
 from inspecta.functions.columns import pass_probability
 from inspecta.plans.pipelines import analytics, register_views, weekly_delta_ingest
+from inspecta.plans.spark_sql import (
+    daily_counts_sql, dedupe_sql, enrich_sql, forecast_training_sql, logreg_training_sql,
+    prediction_output_sql,
+)
 from inspecta.session import scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
 from inspecta.sources.feed import (
@@ -511,3 +515,38 @@ def q_read_latest_feed(spark, d):
     """Newest delta folder only, chosen from the file listing."""
     root = fx.write_feed_fixture(spark, d)
     return _with_n_tests(read_latest_feed(spark, root, kind="delta")).select(*FEED_COLS)
+
+
+# ---- the same steps written in Spark SQL --------------------------------------------
+@query
+def q_sql_enrich(spark, d):
+    e = enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY)
+    return _with_n_tests(e).select(*ENRICH_COLS)
+
+
+@query
+def q_sql_dedupe(spark, d):
+    return dedupe_sql(spark, fx.delta(spark, d)).select(
+        "registration", "modification", "lastMotTestDate", "event_id")
+
+
+@query
+def q_sql_daily_counts(spark, d):
+    return daily_counts_sql(spark, enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY),
+                            fx.AS_OF_HISTORY)
+
+
+@query
+def q_sql_forecast_training(spark, d):
+    return forecast_training_sql(spark, _f3(spark, d), fx.AS_OF_HISTORY)
+
+
+@query
+def q_sql_logreg_training(spark, d):
+    return logreg_training_sql(spark, enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY))
+
+
+@query
+def q_sql_prediction_output(spark, d):
+    out = prediction_output_sql(spark, _f3(spark, d), _ar1_forecast(spark, d), fx.AS_OF_HISTORY)
+    return out.withColumn("count", F.round("count", 4))

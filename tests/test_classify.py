@@ -72,3 +72,12 @@ def test_lookup_one_parameterised(spark):
     df.createOrReplaceTempView("vehicles_t")
     rows = lookup_one(spark, "vehicles_t", "K2").collect()
     assert len(rows) == 1 and rows[0].make == "B" and "motTests" not in rows[0].asDict()
+
+
+def test_reg_lookup_sql(spark):
+    from inspecta.plans.spark_sql import reg_lookup_sql
+    df = spark.createDataFrame([("K1", 10, 3, "A", "M", "RED"), ("K2", 20, 4, "B", "N", "BLUE")],
+                               "registration string, mileage bigint, vehicle_age bigint, make string, "
+                               "model string, primaryColour string")
+    rows = reg_lookup_sql(spark, df, "K2").collect()
+    assert len(rows) == 1 and rows[0].mileage == 20
