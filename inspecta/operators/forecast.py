@@ -8,6 +8,8 @@ span in days (``years`` x 366), not by the data volume.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -188,28 +190,41 @@ FIT_SCHEMA = ("result_type string, p int, d int, q int, n bigint, aic double, si
               "coefs array<double>, last_date date, forecast array<double>, status string")
 
 
-def _design(z, e, dow, p, q, start):
-    """Regressors [1, z lags, e lags, weekday dummies] for rows start..n-1."""
+def _design(z, e, dow, p, q, start, hol_z=None):
+    """Regressors [1, z lags, e lags, weekday dummies, holiday] for rows start..n-1."""
     n = len(z)
     rows = np.arange(start, n)
     cols = [np.ones(len(rows))]
     cols += [z[rows - i] for i in range(1, p + 1)]
     cols += [e[rows - j] for j in range(1, q + 1)]
     cols += [(dow[rows] == k).astype(float) for k in range(1, 7)]
+    if hol_z is not None:
+        cols.append(hol_z[rows])
     return np.column_stack(cols), rows
 
 
-def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, horizon: int):
-    """Hannan-Rissanen two-stage least squares ARIMA(p,d,q) + weekday effects.
+def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, horizon: int,
+                     hol: np.ndarray | None = None, hol_future: np.ndarray | None = None):
+    """Hannan-Rissanen two-stage least squares ARIMA(p,d,q) + weekday and holiday effects.
 
-    Returns (n_eff, aic, sigma2, coefs, forecast path, status).  Short or
-    constant series fall back to the mean (status 'fallback').
+    ``hol`` flags holidays of the observed days and ``hol_future`` those of
+    the forecast days; the holiday effect is a level shift on the day, so
+    the regressor is the flag differenced like the series.  Returns
+    (n_eff, aic, sigma2, coefs, forecast path, status).  Short or constant
+    series fall back to the recent mean (status 'fallback').
     """
     y = np.asarray(y, dtype=float)
     z = np.diff(y, n=d) if d else y.copy()
     zdow = dow[d:]
     n = len(z)
-    k = 1 + p + q + 6
+    hol_z = None
+    if hol is not None and hol_future is not None:
+        h_all = np.concatenate([np.asarray(hol, float), np.asarray(hol_future, float)])
+        hz_all = np.diff(h_all, n=d) if d else h_all
+        hz, hz_future = hz_all[:n], hz_all[n:]
+        if np.any(hz != 0):
+            hol_z = hz
+    k = 1 + p + q + 6 + (1 if hol_z is not None else 0)
     m = max(p, q) + 7 if q else 0  # long-AR order of the first stage
     start = max(p, q + m)
     if n - start < k + 5 or np.allclose(z, z[0]):
@@ -220,7 +235,7 @@ def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, hor
         X1 = np.column_stack([np.ones(n - m)] + [z[m - i:n - i] for i in range(1, m + 1)])
         b1, *_ = np.linalg.lstsq(X1, z[m:], rcond=None)
         e[m:] = z[m:] - X1 @ b1
-    X, rows = _design(z, e, zdow, p, q, start)
+    X, rows = _design(z, e, zdow, p, q, start, hol_z)
     b, *_ = np.linalg.lstsq(X, z[rows], rcond=None)
     resid = z[rows] - X @ b
     n_eff = len(rows)
@@ -235,6 +250,8 @@ def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, hor
         wd = (last_dow + h) % 7
         x = [1.0] + [zf[-i] for i in range(1, p + 1)] + [ef[-j] for j in range(1, q + 1)]
         x += [1.0 if wd == kk else 0.0 for kk in range(1, 7)]
+        if hol_z is not None:
+            x.append(float(hz_future[h - 1]))
         val = float(np.dot(b, x))
         zf.append(val)
         ef.append(0.0)
@@ -244,13 +261,19 @@ def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, hor
     return n_eff, aic, sigma2, [float(v) for v in b], path, "ok"
 
 
-def _fit_group(horizon: int):
+def _fit_group(horizon: int, holiday_days: frozenset | None):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("test_date")
         dates = pd.to_datetime(pdf["test_date"])
         dow = dates.dt.dayofweek.to_numpy()  # Monday = 0
         p, d, q = (int(pdf[c].iloc[0]) for c in ("p", "d", "q"))
-        n, aic, s2, coefs, path, status = fit_arima_series(pdf["y"].to_numpy(), dow, p, d, q, horizon)
+        hol = hol_f = None
+        if holiday_days is not None:
+            future = [dates.iloc[-1].date() + _dt.timedelta(days=h) for h in range(1, horizon + 1)]
+            hol = np.array([x.date() in holiday_days for x in dates], dtype=float)
+            hol_f = np.array([x in holiday_days for x in future], dtype=float)
+        n, aic, s2, coefs, path, status = fit_arima_series(
+            pdf["y"].to_numpy(), dow, p, d, q, horizon, hol, hol_f)
         return pd.DataFrame([{
             "result_type": pdf["result_type"].iloc[0], "p": p, "d": d, "q": q, "n": n,
             "aic": aic, "sigma2": s2, "coefs": coefs, "last_date": dates.iloc[-1].date(),
@@ -260,20 +283,29 @@ def _fit_group(horizon: int):
 
 def fit_forecast(train: DataFrame, horizon: int = 30, orders=CANDIDATE_ORDERS,
                  id_col: str = "result_type", date_col: str = "test_date",
-                 value_col: str = "count") -> DataFrame:
+                 value_col: str = "count", holidays: DataFrame | str | None = "GB",
+                 holiday_years: tuple[int, int] = (1990, 2100)) -> DataFrame:
     """Fit every candidate order to every series: one task per (series, order).
 
     Input must be a regular daily series (``fill_daily``/``clean_spikes``).
     Each row is copied once per candidate order with ``explode`` (no join),
-    then grouped; a group is one daily series.  Returns one row per
-    (series, order) with AIC, coefficients and the forecast path.
+    then grouped; a group is one daily series.  ``holidays`` ('GB', a
+    calendar DataFrame with ``holiday_date``, or None) adds a holiday
+    effect; the calendar is a bounded set (8 days per year) shipped with the
+    task.  Returns one row per (series, order) with AIC, coefficients and
+    the forecast path.
     """
+    holiday_days = None
+    if holidays is not None:
+        cal = (gb_holidays(train.sparkSession, *holiday_years) if isinstance(holidays, str)
+               else holidays)
+        holiday_days = frozenset(r[0] for r in cal.select("holiday_date").distinct().collect())
     grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"))
                      for p, d, q in orders])
     x = (train.select(F.col(id_col).alias("result_type"), F.col(date_col).alias("test_date"),
                       F.col(value_col).cast("double").alias("y"), F.explode(grid).alias("o"))
          .select("result_type", "test_date", "y", "o.p", "o.d", "o.q"))
-    return x.groupBy("result_type", "p", "d", "q").applyInPandas(_fit_group(horizon), FIT_SCHEMA)
+    return x.groupBy("result_type", "p", "d", "q").applyInPandas(_fit_group(horizon, holiday_days), FIT_SCHEMA)
 
 
 def best_fits(fits: DataFrame) -> DataFrame:

@@ -100,3 +100,19 @@ def test_gb_holidays_2024_and_substitutes(spark):
     y22 = {r.holiday_name: r.holiday_date for r in gb_holidays(spark, 2022, 2022).collect()}
     assert y22["NewYear"] == D(2022, 1, 3) and y22["Christmas"] == D(2022, 12, 27)
     assert y22["BoxingDay"] == D(2022, 12, 26) and y22["GoodFriday"] == D(2022, 4, 15)
+
+
+def test_holiday_effect_is_learnt():
+    import datetime as _d
+    start = _d.date(2023, 1, 1)
+    days = [start + _d.timedelta(days=i) for i in range(200)]
+    hol_days = {days[30], days[60], days[90], days[120], days[150], days[190 + 5 - 5]}
+    dow = np.array([d.weekday() for d in days])
+    hol = np.array([d in hol_days for d in days], dtype=float)
+    y = 100 - 40 * hol
+    future_hol = np.zeros(10)
+    future_hol[3] = 1
+    for d_ in (0, 1):
+        _, _, _, _, path, status = fit_arima_series(y, dow, 0, d_, 0, 10, hol, future_hol)
+        assert status == "ok"
+        assert path[3] == pytest.approx(60, abs=1e-6) and path[4] == pytest.approx(100, abs=1e-6)
