@@ -95,11 +95,14 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def upsert(main: DataFrame, delta: DataFrame, key: str = "registration", strategy: str = "auto",
            max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS, duplicates: str = "dedupe",
-           checkpoint: bool = True) -> DataFrame:
+           checkpoint: bool = True, buckets: int | None = None) -> DataFrame:
     """Apply an enriched, deduped delta to ``main``; returns the new main rows.
 
     ``duplicates='error'`` raises when the delta has two records for a key
-    (what a MERGE does on duplicate matched source rows).
+    (what a MERGE does on duplicate matched source rows).  With
+    ``buckets=N`` and ``main`` read from a table bucketed by the key into N
+    buckets (``write_bucketed``), the join form hash-partitions only the
+    delta into the same N buckets: main is joined in place.
     """
     if duplicates == "error":
         _check_unique(delta, key)
@@ -109,7 +112,7 @@ def upsert(main: DataFrame, delta: DataFrame, key: str = "registration", strateg
         raise ValueError("duplicates must be 'dedupe' or 'error'")
     if checkpoint:
         delta = _checkpointed(delta)
-    chosen = choose_strategy(delta, key, strategy, max_broadcast_keys)
+    chosen = "shuffle" if buckets else choose_strategy(delta, key, strategy, max_broadcast_keys)
     cols = main.columns
     set_cols = [c for c in MERGE_SET_COLUMNS if c in cols and c in delta.columns]
     extra = [c for c in cols if c != key and c not in set_cols]
@@ -125,7 +128,10 @@ def upsert(main: DataFrame, delta: DataFrame, key: str = "registration", strateg
     m_null = main.where(F.col(key).isNull())
     d_null = writes.where(F.col(key).isNull())
     m = main.where(F.col(key).isNotNull()).alias("m")
-    dd = d.where(F.col(key).isNotNull()).alias("d")
+    dd = d.where(F.col(key).isNotNull())
+    if buckets:
+        dd = dd.repartition(buckets, key)   # co-partitioned with the bucketed main
+    dd = dd.alias("d")
     j = m.join(dd, F.col(f"m.{key}") == F.col(f"d.{key}"), "full_outer")
     m_has, d_has = F.col(f"m.{key}").isNotNull(), F.col(f"d.{key}").isNotNull()
     take_delta = d_has & (F.col("d.modification") != DELETED)

@@ -33,7 +33,8 @@ from inspecta.sources.feed import (
     write_feed_zip,
 )
 from inspecta.sources.sinks import (
-    create_main, read_latest, stage, to_flat, write_daily_counts, write_table, write_version,
+    create_main, read_latest, stage, to_flat, write_bucketed, write_daily_counts, write_table,
+    write_version,
 )
 
 ENRICH_COLS = ["registration", "make", "model", "primaryColour", "fuelType", "engineSize",
@@ -550,3 +551,14 @@ def q_sql_logreg_training(spark, d):
 def q_sql_prediction_output(spark, d):
     out = prediction_output_sql(spark, _f3(spark, d), _ar1_forecast(spark, d), fx.AS_OF_HISTORY)
     return out.withColumn("count", F.round("count", 4))
+
+
+@query
+def q_upsert_bucketed(spark, d):
+    """Full-outer merge against a main table bucketed by registration (main not shuffled)."""
+    main, prepared = _merge_inputs(spark, d)
+    path = scratch_dir(spark, "main-bucketed")
+    table = "inspecta_main_" + path.rsplit("-", 1)[-1]
+    write_bucketed(main, table, path, buckets=8)
+    out = upsert(spark.table(table), prepared, buckets=8)
+    return _with_n_tests(out).select(*UPSERT_COLS)

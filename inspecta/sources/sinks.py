@@ -144,3 +144,17 @@ def to_flat(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> str:
     to_flat(df).write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+# ---- bucketed main table: co-located merges without shuffling main ------------
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
+                   key: str = "registration") -> str:
+    """Save ``df`` as an external table at ``path``, bucketed and sorted by ``key``.
+
+    Each bucket is written by one task (one file per bucket).  Joins on
+    ``key`` against a side hash-partitioned into the same number of buckets
+    need no shuffle of this table.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return table

@@ -64,3 +64,14 @@ def test_enrich_flat_combines_map_side(spark):
     p = plan(enrich_flat(h.drop("motTests"), fx.tests_flat(spark, SF_SMOKE), fx.AS_OF_HISTORY))
     # count_if is rewritten to a partial count; max_by runs as a partial sort aggregate
     assert "partial_max_by" in p and "partial_count" in p
+
+
+def test_bucketed_upsert_shuffles_only_the_delta(spark, tmp_path):
+    from inspecta.sources.sinks import write_bucketed
+    write_bucketed(fx.main_table(spark, SF_SMOKE), "plan_main_b", str(tmp_path / "mb"), 4)
+    prepared = prepare_delta(fx.delta(spark, SF_SMOKE), fx.AS_OF_DELTA)
+    out = upsert(spark.table("plan_main_b"), prepared, buckets=4)
+    p = plan(out, "simple")
+    assert "FullOuter" in p
+    # the only hash exchange is the delta's repartition into the buckets
+    assert p.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in p
