@@ -185,8 +185,34 @@ def prediction_output(counts: DataFrame, forecast: DataFrame, as_of=None, days:
 # ---- order search + fit + forecast (FC5-FC7) ------------------------------------
 # Candidate (p, d, q) orders searched per series; the best is chosen by AIC.
 CANDIDATE_ORDERS = [(p, d, q) for p in (0, 1, 2) for d in (0, 1) for q in (0, 1)]
+_COMMON_START = 2 + 1 + 7 + 1  # max q + long-AR order for max(p, q) = 2, plus one
+KPSS_CRITICAL_5PCT = 0.463     # level stationarity, 5 % (Kwiatkowski et al. 1992)
+
+
+def kpss_level(y: np.ndarray) -> float:
+    """KPSS statistic for level stationarity with a Newey-West variance."""
+    y = np.asarray(y, dtype=float)
+    n = len(y)
+    e = y - y.mean()
+    s = np.cumsum(e)
+    lags = int(np.floor(4 * (n / 100) ** 0.25))
+    lrv = e @ e / n
+    for j in range(1, lags + 1):
+        lrv += 2 * (1 - j / (lags + 1)) * (e[j:] @ e[:-j]) / n
+    return float((s @ s) / (n * n * max(lrv, 1e-12)))
+
+
+def choose_d(y: np.ndarray, max_d: int = 1) -> int:
+    """Smallest d for which the differenced series passes the KPSS test."""
+    z = np.asarray(y, dtype=float)
+    for d in range(max_d):
+        if len(z) < 10 or np.allclose(z, z[0]) or kpss_level(z) <= KPSS_CRITICAL_5PCT:
+            return d
+        z = np.diff(z)
+    return max_d
 
 FIT_SCHEMA = ("result_type string, p int, d int, q int, n bigint, aic double, sigma2 double, "
+              "log_likelihood double, has_holiday_effect boolean, kpss_d int, "
               "coefs array<double>, last_date date, forecast array<double>, status string")
 
 
@@ -226,7 +252,9 @@ def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, hor
             hol_z = hz
     k = 1 + p + q + 6 + (1 if hol_z is not None else 0)
     m = max(p, q) + 7 if q else 0  # long-AR order of the first stage
-    start = max(p, q + m)
+    # every candidate order is scored on the same sample (start after the
+    # longest lag any candidate of the search needs), so AICs are comparable
+    start = max(p, q + m, _COMMON_START)
     if n - start < k + 5 or np.allclose(z, z[0]):
         level = float(np.mean(y[-28:])) if len(y) else float("nan")
         return n, float("nan"), float("nan"), [], [level] * horizon, "fallback"
@@ -240,7 +268,8 @@ def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, hor
     resid = z[rows] - X @ b
     n_eff = len(rows)
     sigma2 = float(resid @ resid / n_eff)
-    aic = float(n_eff * np.log(max(sigma2, 1e-12)) + 2 * (k + 1))
+    loglik = -0.5 * n_eff * (np.log(2 * np.pi * max(sigma2, 1e-12)) + 1)
+    aic = float(-2 * loglik + 2 * (k + 1))
     e[rows] = resid
     # recursive forecast of z, future shocks 0, weekday effect of each day
     zf, ef = list(z), list(e)
@@ -274,9 +303,13 @@ def _fit_group(horizon: int, holiday_days: frozenset | None):
             hol_f = np.array([x in holiday_days for x in future], dtype=float)
         n, aic, s2, coefs, path, status = fit_arima_series(
             pdf["y"].to_numpy(), dow, p, d, q, horizon, hol, hol_f)
+        loglik = (-0.5 * n * (np.log(2 * np.pi * max(s2, 1e-12)) + 1)) if status == "ok" else float("nan")
+        kd = choose_d(pdf["y"].to_numpy())
         return pd.DataFrame([{
             "result_type": pdf["result_type"].iloc[0], "p": p, "d": d, "q": q, "n": n,
-            "aic": aic, "sigma2": s2, "coefs": coefs, "last_date": dates.iloc[-1].date(),
+            "aic": aic, "sigma2": s2, "log_likelihood": float(loglik),
+            "has_holiday_effect": len(coefs) == 1 + p + q + 6 + 1, "kpss_d": kd,
+            "coefs": coefs, "last_date": dates.iloc[-1].date(),
             "forecast": path, "status": status}])
     return fit
 
@@ -309,9 +342,14 @@ def fit_forecast(train: DataFrame, horizon: int = 30, orders=CANDIDATE_ORDERS,
 
 
 def best_fits(fits: DataFrame) -> DataFrame:
-    """Lowest-AIC order per series (fallback fits only when nothing else fits)."""
+    """Order per series: d from the KPSS test, then (p, q) by lowest AIC.
+
+    AIC compares models of the same differenced series only; fallback fits
+    are used only when nothing else fits.
+    """
     w = Window.partitionBy("result_type").orderBy(
-        (F.col("status") != "ok").asc(), F.col("aic").asc_nulls_last(), "p", "d", "q")
+        (F.col("status") != "ok").asc(), (F.col("d") != F.col("kpss_d")).asc(),
+        F.col("aic").asc_nulls_last(), "p", "d", "q")
     return fits.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -326,8 +364,10 @@ def forecast(fits: DataFrame, horizon: int | None = None) -> DataFrame:
 
 
 def evaluate_forecast(fits: DataFrame) -> DataFrame:
-    """One row per (series, order): AIC, variance, fit status, chosen flag."""
+    """One row per (series, order): AIC, log-likelihood, variance, holiday
+    effect, fit status and whether the order was chosen."""
     b = best_fits(fits).select("result_type", "p", "d", "q", F.lit(True).alias("chosen"))
     return (fits.join(b, ["result_type", "p", "d", "q"], "left")
-            .select("result_type", "p", "d", "q", "n", "aic", "sigma2", "status",
+            .select("result_type", "p", "d", "q", "n", "aic", "log_likelihood", "sigma2",
+                    "has_holiday_effect", "kpss_d", "status",
                     F.coalesce("chosen", F.lit(False)).alias("chosen")))

@@ -116,3 +116,11 @@ def test_holiday_effect_is_learnt():
         _, _, _, _, path, status = fit_arima_series(y, dow, 0, d_, 0, 10, hol, future_hol)
         assert status == "ok"
         assert path[3] == pytest.approx(60, abs=1e-6) and path[4] == pytest.approx(100, abs=1e-6)
+
+
+def test_kpss_chooses_differencing():
+    from inspecta.operators.forecast import choose_d
+    rng = np.random.default_rng(7)
+    noise = rng.normal(size=400)
+    assert choose_d(10 + noise) == 0          # stationary around a level
+    assert choose_d(np.cumsum(noise)) == 1    # random walk
