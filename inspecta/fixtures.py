@@ -52,8 +52,8 @@ def tests_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor("o_totalprice").cast("string").alias("odometerValue")))
 
 
-def vehicles_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicle attributes without the test list (one row per customer)."""
+def _vehicle_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer attributes keyed by the bigint customer key."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -61,7 +61,7 @@ def vehicles_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
                       .select("n_nationkey", "n_name", "r_name"))
     return (c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
-            .select(F.col("c_custkey").cast("string").alias("registration"),
+            .select(F.col("c_custkey").alias("_key"),
                     F.col("c_mktsegment").alias("make"),
                     F.col("n_name").alias("model"),
                     F.lower("r_name").alias("primaryColour"),
@@ -70,24 +70,33 @@ def vehicles_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("c_nationkey") * 100 + 1000).cast("string").alias("engineSize")))
 
 
+def vehicles_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicle attributes without the test list (one row per customer)."""
+    v = _vehicle_attrs(spark, sf_dir)
+    return v.select(F.col("_key").cast("string").alias("registration"), *[c for c in v.columns if c != "_key"])
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one nested vehicle record per customer (VEHICLE schema + date tags).
 
-    Tests are pre-aggregated per vehicle before the join; a vehicle's list is
-    what the feed itself carries per record.
+    Tests are pre-aggregated per vehicle (on the integer key) before the
+    join; a vehicle's list is what the feed itself carries per record.
     """
-    t = tests_flat(spark, sf_dir)
-    per_vehicle = (t.groupBy("registration")
-                   .agg(F.array_sort(F.collect_list(F.struct(*[F.col(f.name) for f in MOT_TEST.fields])))
-                        .alias("motTests"),
-                        F.min("completedDate").alias("_first"),
-                        F.max("completedDate").alias("_last")))
-    v = vehicles_flat(spark, sf_dir).join(per_vehicle, "registration", "left")
-    first_day = F.to_date("_first")
+    o = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 7 != 0)
+    test = F.struct(F.col("o_orderdate").alias("completedDate"),
+                    F.col("o_orderkey").alias("motTestNumber"),
+                    status_result(F.col("o_orderstatus")).alias("testResult"),
+                    F.floor("o_totalprice").cast("string").alias("odometerValue"))
+    per_vehicle = (o.groupBy(F.col("o_custkey").alias("_key"))
+                   .agg(F.sort_array(F.collect_list(test)).alias("motTests")))
+    v = _vehicle_attrs(spark, sf_dir).join(per_vehicle, "_key", "left")
+    first_day = F.to_date(F.element_at("motTests", 1).getField("completedDate"))
     out = v.select(
-        "registration", "make", "model", "primaryColour", "secondaryColour", "fuelType", "engineSize",
+        F.col("_key").cast("string").alias("registration"),
+        "make", "model", "primaryColour", "secondaryColour", "fuelType", "engineSize",
         first_day.alias("manufactureDate"), first_day.alias("registrationDate"),
-        first_day.alias("firstUsedDate"), F.col("_last").alias("lastMotTestDate"),
+        first_day.alias("firstUsedDate"),
+        F.element_at("motTests", -1).getField("completedDate").alias("lastMotTestDate"),
         F.lit(CREATED).alias("modification"),
         F.coalesce("motTests", F.array().cast(VEHICLE["motTests"].dataType)).alias("motTests"),
         F.lit(BULK_FEED_DATE.strftime("%d-%m-%Y")).alias("date"),

@@ -76,7 +76,7 @@ def fill_daily(df: DataFrame, id_col: str = "result_type", date_col: str = "test
 
 
 def _median(arr):
-    s = F.array_sort(arr)
+    s = F.sort_array(arr)
     n = F.size(s)
     lo = F.element_at(s, F.floor((n + 1) / 2).cast("int"))
     hi = F.element_at(s, F.floor(n / 2 + 1).cast("int"))
