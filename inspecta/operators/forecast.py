@@ -328,6 +328,8 @@ def fit_forecast(train: DataFrame, horizon: int = 30, orders=CANDIDATE_ORDERS,
     task.  Returns one row per (series, order) with AIC, coefficients and
     the forecast path.
     """
+    from inspecta.session import ship_package
+    ship_package(train.sparkSession)
     holiday_days = None
     if holidays is not None:
         cal = (gb_holidays(train.sparkSession, *holiday_years) if isinstance(holidays, str)

@@ -83,3 +83,29 @@ CLUSTER_CONF = {
     "spark.sql.files.maxRecordsPerFile": "5000000",
     "spark.ui.enabled": "false",
 }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``inspecta`` importable in Python workers (once per application).
+
+    Grouped-map and map-in-pandas functions are unpickled on the executors,
+    which import this package.  When it is not installed there (e.g. the
+    job was started from another directory), the package is zipped and
+    added with ``addPyFile``, Spark's way of shipping code to executors.
+    """
+    import os
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="inspecta-pyfiles-")  # code artifact on the driver
+    archive = shutil.make_archive(os.path.join(out_dir, "inspecta"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="inspecta")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

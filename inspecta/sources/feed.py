@@ -186,6 +186,8 @@ def read_feed_zip(spark: SparkSession, root: str, kind: str | None = "delta",
     Each archive is one task; members are parsed with ``from_json`` in the
     JVM (PERMISSIVE: a bad line gives ``_corrupt_record``).
     """
+    from inspecta.session import ship_package
+    ship_package(spark)
     prefix = "{" + DELTA_PREFIX + "," + BULK_PREFIX + "}" if kind is None else KIND_PREFIX[kind]
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{prefix}*.zip")
     lines = files.select("path", "content").mapInPandas(_zip_lines, _LINES)
@@ -214,6 +216,8 @@ def write_feed_zip(files: DataFrame, root: str) -> DataFrame:
             out.write(buf.getvalue())
         return pd.DataFrame({"archive": [target], "members": [len(pdf)]})
 
+    from inspecta.session import ship_package
+    ship_package(files.sparkSession)
     with_folder = files.select("path", "content",
                                F.regexp_extract("path", r"/([^/]+)/[^/]*$", 1).alias("folder"))
     return with_folder.groupBy("folder").applyInPandas(pack, "archive string, members long")
