@@ -90,13 +90,13 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_vehicle = (o.groupBy(F.col("o_custkey").alias("_key"))
                    .agg(F.sort_array(F.collect_list(test)).alias("motTests")))
     v = _vehicle_attrs(spark, sf_dir).join(per_vehicle, "_key", "left")
-    first_day = F.to_date(F.element_at("motTests", 1).getField("completedDate"))
+    first_day = F.to_date(F.try_element_at("motTests", F.lit(1)).getField("completedDate"))
     out = v.select(
         F.col("_key").cast("string").alias("registration"),
         "make", "model", "primaryColour", "secondaryColour", "fuelType", "engineSize",
         first_day.alias("manufactureDate"), first_day.alias("registrationDate"),
         first_day.alias("firstUsedDate"),
-        F.element_at("motTests", -1).getField("completedDate").alias("lastMotTestDate"),
+        F.try_element_at("motTests", F.lit(-1)).getField("completedDate").alias("lastMotTestDate"),
         F.lit(CREATED).alias("modification"),
         F.coalesce("motTests", F.array().cast(VEHICLE["motTests"].dataType)).alias("motTests"),
         F.lit(BULK_FEED_DATE.strftime("%d-%m-%Y")).alias("date"),

@@ -90,6 +90,8 @@ def choose_strategy(delta: DataFrame, key: str, strategy: str, max_broadcast_key
 def _checkpointed(df: DataFrame) -> DataFrame:
     # Reliable checkpoint in the shared folder: the delta is read twice
     # (size check + merge) and its lineage (read, dedupe, enrich) is cut.
+    from inspecta.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

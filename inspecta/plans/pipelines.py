@@ -37,6 +37,8 @@ def analytics(main: DataFrame, as_of=None, horizon: int = 30, years: int = 3) ->
     The counts table is small and read by three stages (training, cutoff,
     blend); it is checkpointed once, like the table the original job writes.
     """
+    from inspecta.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(main.sparkSession)
     counts = daily_counts(main, as_of).checkpoint(eager=True)
     train = forecast_training(counts, as_of, years)
     fits = fit_forecast(clean_spikes(fill_daily(train).drop("filled")), horizon)
