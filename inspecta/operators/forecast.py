@@ -213,7 +213,8 @@ def choose_d(y: np.ndarray, max_d: int = 1) -> int:
 
 FIT_SCHEMA = ("result_type string, p int, d int, q int, n bigint, aic double, sigma2 double, "
               "log_likelihood double, has_holiday_effect boolean, kpss_d int, "
-              "coefs array<double>, last_date date, forecast array<double>, status string")
+              "coefs array<double>, last_date date, forecast array<double>, "
+              "standard_error array<double>, status string")
 
 
 def _design(z, e, dow, p, q, start, hol_z=None):
@@ -290,6 +291,27 @@ def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, hor
     return n_eff, aic, sigma2, [float(v) for v in b], path, "ok"
 
 
+def forecast_standard_errors(coefs, p: int, d: int, q: int, sigma2: float, horizon: int) -> list[float]:
+    """h-step forecast standard errors from the psi-weights of the fitted ARMA.
+
+    psi_0 = 1, psi_j = theta_j + sum_i phi_i psi_{j-i}; with one difference
+    the weights are cumulated.  Var(h) = sigma2 * sum_{j<h} psi_j^2.
+    """
+    if not coefs or not np.isfinite(sigma2):
+        return [float("nan")] * horizon
+    phi = coefs[1:1 + p]
+    theta = coefs[1 + p:1 + p + q]
+    psi = np.zeros(horizon)
+    psi[0] = 1.0
+    for j in range(1, horizon):
+        v = theta[j - 1] if j <= q else 0.0
+        v += sum(phi[i - 1] * psi[j - i] for i in range(1, p + 1) if j - i >= 0)
+        psi[j] = v
+    if d:
+        psi = np.cumsum(psi)
+    return [float(np.sqrt(sigma2 * np.sum(psi[:h] ** 2))) for h in range(1, horizon + 1)]
+
+
 def _fit_group(horizon: int, holiday_days: frozenset | None):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("test_date")
@@ -305,12 +327,13 @@ def _fit_group(horizon: int, holiday_days: frozenset | None):
             pdf["y"].to_numpy(), dow, p, d, q, horizon, hol, hol_f)
         loglik = (-0.5 * n * (np.log(2 * np.pi * max(s2, 1e-12)) + 1)) if status == "ok" else float("nan")
         kd = choose_d(pdf["y"].to_numpy())
+        se = forecast_standard_errors(coefs, p, d, q, s2, horizon) if status == "ok" else [float("nan")] * horizon
         return pd.DataFrame([{
             "result_type": pdf["result_type"].iloc[0], "p": p, "d": d, "q": q, "n": n,
             "aic": aic, "sigma2": s2, "log_likelihood": float(loglik),
             "has_holiday_effect": len(coefs) == 1 + p + q + 6 + 1, "kpss_d": kd,
             "coefs": coefs, "last_date": dates.iloc[-1].date(),
-            "forecast": path, "status": status}])
+            "forecast": path, "standard_error": se, "status": status}])
     return fit
 
 
@@ -355,14 +378,27 @@ def best_fits(fits: DataFrame) -> DataFrame:
     return fits.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def forecast(fits: DataFrame, horizon: int | None = None) -> DataFrame:
-    """(forecast_timestamp, result_type, forecast_value) of the best order."""
+
+
+def forecast(fits: DataFrame, horizon: int | None = None, confidence_level: float = 0.95) -> DataFrame:
+    """Forecasts of the best order per series with prediction intervals.
+
+    (forecast_timestamp, result_type, forecast_value, standard_error,
+    confidence_level, prediction_interval_lower_bound, ..._upper_bound).
+    """
+    from statistics import NormalDist
+    z = NormalDist().inv_cdf(0.5 + confidence_level / 2)
     b = best_fits(fits)
-    x = b.select("result_type", "last_date", F.posexplode("forecast").alias("i", "forecast_value"))
+    x = b.select("result_type", "last_date",
+                 F.posexplode(F.arrays_zip("forecast", "standard_error")).alias("i", "f"))
     if horizon is not None:
         x = x.where(F.col("i") < horizon)
+    v, se = F.col("f.forecast"), F.col("f.standard_error")
     return x.select(F.date_add("last_date", F.col("i") + 1).cast("timestamp_ntz").alias("forecast_timestamp"),
-                    "result_type", "forecast_value")
+                    "result_type", v.alias("forecast_value"), se.alias("standard_error"),
+                    F.lit(confidence_level).alias("confidence_level"),
+                    (v - F.lit(z) * se).alias("prediction_interval_lower_bound"),
+                    (v + F.lit(z) * se).alias("prediction_interval_upper_bound"))
 
 
 def evaluate_forecast(fits: DataFrame) -> DataFrame:

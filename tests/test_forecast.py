@@ -124,3 +124,26 @@ def test_kpss_chooses_differencing():
     noise = rng.normal(size=400)
     assert choose_d(10 + noise) == 0          # stationary around a level
     assert choose_d(np.cumsum(noise)) == 1    # random walk
+
+
+def test_standard_errors_grow_and_random_walk_matches_sqrt_h():
+    from inspecta.operators.forecast import forecast_standard_errors
+    # white noise around a level: constant error; random walk: sigma * sqrt(h)
+    flat = forecast_standard_errors([5.0] + [0.0] * 6, 0, 0, 0, 4.0, 5)
+    assert flat == pytest.approx([2.0] * 5)
+    walk = forecast_standard_errors([0.0] + [0.0] * 6, 0, 1, 0, 4.0, 4)
+    assert walk == pytest.approx([2.0 * np.sqrt(h) for h in range(1, 5)])
+    ar = forecast_standard_errors([0.0, 0.5] + [0.0] * 6, 1, 0, 0, 1.0, 3)
+    assert ar == pytest.approx([1.0, np.sqrt(1.25), np.sqrt(1.3125)])
+
+
+def test_forecast_intervals_bracket_the_value(spark):
+    rows = []
+    for i in range(90):
+        day = D(2024, 1, 1) + dt.timedelta(days=i)
+        rows += [(day, "PASSED", 50 + (i % 7) * 3 + (i * 7919) % 5)]
+    fc = forecast(fit_forecast(_series(spark, rows), horizon=10)).collect()
+    assert len(fc) == 10
+    for r in fc:
+        assert r.prediction_interval_lower_bound < r.forecast_value < r.prediction_interval_upper_bound
+        assert r.confidence_level == 0.95
