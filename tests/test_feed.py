@@ -111,3 +111,28 @@ def test_read_latest_feed_reads_one_folder(spark):
     df = read_latest_feed(spark, root)
     assert [r.registration for r in df.collect()] == ["A2"]
     assert {r._source_file.rsplit("/", 2)[-2] for r in df.collect()} == {"delta-light-vehicle_09-02-2026"}
+
+
+def test_stream_upsert_in_single_file_batches_equals_sequential_batch_upserts(spark):
+    import datetime as dt
+    from inspecta.operators.enrich import enrich
+    from inspecta.operators.merge import prepare_delta, upsert
+    from inspecta.schema import VEHICLE
+    from inspecta.streaming.streams import start_upsert
+    root, table, ckpt = tempfile.mkdtemp(), tempfile.mkdtemp() + "/main", tempfile.mkdtemp()
+    as_of = dt.date(2026, 2, 1)
+    base = {f: None for f in VEHICLE.fieldNames()}
+    main = enrich(spark.createDataFrame([{**base, "registration": "A1", "make": "OLD"},
+                                         {**base, "registration": "B2", "make": "OLD"}], VEHICLE), as_of)
+    write_version(main, table)
+    first = [GOOD.replace('"modification":"UPDATED"', '"modification":"DELETED"')]
+    second = [GOOD.replace("2024-01-02T10:00:00", "2024-01-09T10:00:00").replace("ford", "kia"),
+              GOOD.replace("A1", "C3")]
+    _write(f"{root}/delta-light-vehicle_02-02-2026", "a.json.gz", first)
+    _write(f"{root}/delta-light-vehicle_09-02-2026", "b.json.gz", second)
+    q = start_upsert(stream_feed(spark, root, max_files_per_trigger=1), table, ckpt, as_of)
+    q.awaitTermination()
+    got = {r.registration: (r.make, r.modification) for r in read_latest(spark, table).collect()}
+    # batch 1 deletes A1; batch 2 re-inserts it (not matched any more) and inserts C3
+    assert got == {"A1": ("kia", "UPDATED"), "B2": ("OLD", None), "C3": ("ford", "UPDATED")}
+    assert table_versions(table) == [1, 2, 3]
