@@ -402,3 +402,4 @@ SQL["sql_prediction_output"] = SQL["prediction_output"]
 # The sample load keeps the first 10,000 records; below that size it is every bulk record.
 SQL["feed_limit"] = f"WITH {F4} SELECT registration, feed_date FROM feed WHERE kind = 'bulk' LIMIT 10000"
 SQL["upsert_bucketed"] = SQL["upsert"]
+SQL["bulk_load"] = SQL["enrich"]

@@ -21,7 +21,7 @@ from inspecta.operators.classify import (
     save_model, score, what_if_score,
 )
 from inspecta.functions.columns import pass_probability
-from inspecta.plans.pipelines import analytics, register_views, weekly_delta_ingest
+from inspecta.plans.pipelines import analytics, bulk_load, register_views, weekly_delta_ingest
 from inspecta.plans.spark_sql import (
     daily_counts_sql, dedupe_sql, enrich_sql, forecast_training_sql, logreg_training_sql,
     prediction_output_sql,
@@ -562,3 +562,12 @@ def q_upsert_bucketed(spark, d):
     write_bucketed(main, table, path, buckets=8)
     out = upsert(spark.table(table), prepared, buckets=8)
     return _with_n_tests(out).select(*UPSERT_COLS)
+
+
+@query
+def q_bulk_load(spark, d):
+    """Bulk feed folder -> enrich -> first version of the main table, read back."""
+    root = fx.write_feed_fixture(spark, d)
+    table = scratch_dir(spark, "bulk-main")
+    bulk_load(spark, root, table, fx.AS_OF_HISTORY)
+    return _with_n_tests(read_latest(spark, table)).select(*ENRICH_COLS)
