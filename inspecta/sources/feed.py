@@ -148,76 +148,109 @@ def write_feed(df: DataFrame, root: str, folder: str, mode: str = "overwrite") -
 _LINES = T.StructType([T.StructField("_source_file", T.StringType()),
                        T.StructField("line", T.StringType())])
 _BATCH = 10_000
+_CHUNK = 1 << 20
+
+
+def _fs_path(path: str):
+    """pyarrow filesystem + path for a Hadoop-style URI (file:/, hdfs://, s3a://...)."""
+    from pyarrow import fs as pafs
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    elif "://" not in path:
+        path = "file://" + path
+    return pafs.FileSystem.from_uri(path)
 
 
 def _zip_lines(batches):
-    """binaryFile rows -> one row per non-blank line of every member.
+    """Archive paths -> one row per non-blank line of every member.
 
-    One archive is held in memory by one task (binaryFile reads whole
-    files); output is streamed in batches of ``_BATCH`` lines.
+    Each archive is opened through the filesystem layer and read member by
+    member, line by line: memory stays bounded by the read buffers and the
+    output batch of ``_BATCH`` lines, whatever the archive size.
     """
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
+        for path in pdf["path"]:
             folder = path[:-4] if path.endswith(".zip") else path
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            fs, p = _fs_path(path)
+            with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
                 for name in sorted(zf.namelist()):
                     if name.endswith("/"):
                         continue
-                    raw = zf.read(name)
-                    if name.endswith(".gz"):
-                        raw = gzip.decompress(raw)
                     member = f"{folder}/{name.rsplit('/', 1)[-1]}"
-                    buf = []
-                    for line in io.TextIOWrapper(io.BytesIO(raw), encoding="utf-8"):
-                        line = line.strip()
-                        if line:
-                            buf.append(line)
-                        if len(buf) >= _BATCH:
+                    with zf.open(name) as m:
+                        stream = gzip.GzipFile(fileobj=m) if name.endswith(".gz") else m
+                        buf = []
+                        for line in io.TextIOWrapper(stream, encoding="utf-8"):
+                            line = line.strip()
+                            if line:
+                                buf.append(line)
+                            if len(buf) >= _BATCH:
+                                yield pd.DataFrame({"_source_file": member, "line": buf})
+                                buf = []
+                        if buf:
                             yield pd.DataFrame({"_source_file": member, "line": buf})
-                            buf = []
-                    if buf:
-                        yield pd.DataFrame({"_source_file": member, "line": buf})
 
 
 def read_feed_zip(spark: SparkSession, root: str, kind: str | None = "delta",
                   schema: T.StructType = VEHICLE) -> DataFrame:
     """Read ``*.zip`` feed archives of gz NDJSON members.
 
-    Each archive is one task; members are parsed with ``from_json`` in the
-    JVM (PERMISSIVE: a bad line gives ``_corrupt_record``).
+    Spark lists the archives (paths only, contents are not loaded); each
+    archive is streamed by one task, and lines are parsed with ``from_json``
+    in the JVM (PERMISSIVE: a bad line gives ``_corrupt_record``).
     """
     from inspecta.session import ship_package
     ship_package(spark)
     prefix = "{" + DELTA_PREFIX + "," + BULK_PREFIX + "}" if kind is None else KIND_PREFIX[kind]
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{prefix}*.zip")
-    lines = files.select("path", "content").mapInPandas(_zip_lines, _LINES)
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{prefix}*.zip").select("path")
+    lines = files.mapInPandas(_zip_lines, _LINES)
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = lines.select("_source_file", F.from_json("line", _with_corrupt(schema), opts).alias("r"))
     return tag_feed_date(parsed.select("r.*", "_source_file"))
 
 
+class _Sink(io.RawIOBase):
+    """Write-only, non-seekable view of an output stream (zip uses data descriptors)."""
+
+    def __init__(self, out):
+        self._out, self._n = out, 0
+
+    def writable(self):
+        return True
+
+    def write(self, b):
+        self._out.write(bytes(b))
+        self._n += len(b)
+        return len(b)
+
+    def tell(self):
+        return self._n
+
+
 def write_feed_zip(files: DataFrame, root: str) -> DataFrame:
     """Pack each feed folder's gz files into ``root/<folder>.zip``.
 
-    ``files`` is a ``binaryFile`` DataFrame of the gz files.  One task per
-    folder builds the archive and writes it through pyarrow's filesystem
-    layer (local, HDFS or object stores).  Returns (archive, members).
+    ``files`` lists the gz files (a ``binaryFile`` DataFrame; only ``path``
+    is used, contents are not loaded).  One task per folder streams the
+    members into the archive through pyarrow's filesystem layer (local, HDFS
+    or object stores), chunk by chunk.  Returns (archive, members).
     """
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        from pyarrow import fs as pafs
         folder = pdf["folder"].iloc[0]
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_STORED) as zf:
-            for path, content in sorted(zip(pdf["path"], pdf["content"])):
-                zf.writestr(path.rsplit("/", 1)[-1], bytes(content))
         target = f"{root.rstrip('/')}/{folder}.zip"
-        fs, p = pafs.FileSystem.from_uri(target if "://" in target else "file://" + target)
-        with fs.open_output_stream(p) as out:
-            out.write(buf.getvalue())
-        return pd.DataFrame({"archive": [target], "members": [len(pdf)]})
+        fs, p = _fs_path(target)
+        paths = sorted(pdf["path"])
+        with fs.open_output_stream(p, compression=None) as out, \
+                zipfile.ZipFile(_Sink(out), "w", zipfile.ZIP_STORED) as zf:
+            for path in paths:
+                sfs, sp = _fs_path(path)
+                with sfs.open_input_stream(sp, compression=None) as src, \
+                        zf.open(path.rsplit("/", 1)[-1], "w", force_zip64=True) as dst:
+                    while chunk := src.read(_CHUNK):
+                        dst.write(chunk)
+        return pd.DataFrame({"archive": [target], "members": [len(paths)]})
 
     from inspecta.session import ship_package
     ship_package(files.sparkSession)
-    with_folder = files.select("path", "content",
-                               F.regexp_extract("path", r"/([^/]+)/[^/]*$", 1).alias("folder"))
+    with_folder = files.select("path", F.regexp_extract("path", r"/([^/]+)/[^/]*$", 1).alias("folder"))
     return with_folder.groupBy("folder").applyInPandas(pack, "archive string, members long")
