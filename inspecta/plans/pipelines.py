@@ -14,15 +14,25 @@ from inspecta.sources.feed import read_feed, split_corrupt
 from inspecta.sources.sinks import read_latest, write_version
 
 
-def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None) -> int:
-    """Bulk feed -> enrich -> first version of the main table."""
-    good, _bad = split_corrupt(read_feed(spark, feed_root, kind="bulk"))
+def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None,
+              partitions: int | None = None) -> int:
+    """Bulk feed -> enrich -> first version of the main table.
+
+    gz files cannot be split, so one large file is parsed by one task;
+    ``partitions`` hash-spreads the parsed rows by registration so that
+    enrichment and the write are balanced whatever the file sizes.
+    """
+    good, _bad = split_corrupt(read_feed(spark, feed_root, kind="bulk", partitions=partitions))
     return write_version(enrich(good.drop("_source_file"), as_of), table)
 
 
 def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, as_of=None,
                         latest_only: bool = False, **upsert_kw) -> int:
-    """Delta feed -> valid -> dedupe -> enrich -> upsert -> next table version."""
+    """Delta feed -> valid -> dedupe -> enrich -> upsert -> next table version.
+
+    The dedupe shuffles the delta by registration, which also rebalances
+    rows parsed from a single large gz file.
+    """
     from inspecta.sources.feed import read_latest_feed
     df = (read_latest_feed(spark, feed_root, kind="delta") if latest_only
           else read_feed(spark, feed_root, kind="delta"))
