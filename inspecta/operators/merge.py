@@ -156,7 +156,8 @@ def merge_actions(main: DataFrame, delta: DataFrame, key: str = "registration",
     Only key columns move; main is not shuffled in the broadcast form.
     """
     mk = main.select(key)
-    dk = delta.select(key, "modification")
+    # keys + action only, read twice (size check and join): checkpointed once
+    dk = _checkpointed(delta.select(key, "modification"))
     chosen = choose_strategy(dk, key, strategy, max_broadcast_keys)
     is_del = F.col("modification") == DELETED
     if chosen == "broadcast":
