@@ -53,6 +53,7 @@ def main():
     delta = spark.read.parquet(f"{base}/delta")
     counts = spark.read.parquet(f"{base}/counts")
     enriched = enrich(history, fx.AS_OF_HISTORY)
+    enriched.write.parquet(f"{base}/enriched")
     write_bucketed(main, "plans_main_b", f"{base}/main_b", 16)
     prepared = prepare_delta(delta, fx.AS_OF_DELTA)
     cases = [
@@ -65,9 +66,10 @@ def main():
          upsert(main, prepared, strategy="broadcast")),
         ("upsert (bucketed main): only the delta is hash-partitioned",
          upsert(spark.table("plans_main_b"), prepared, buckets=16)),
-        ("daily_counts: pushed filter, narrow read schema, partial count",
-         daily_counts(spark.read.parquet(f"{base}/history").transform(
-             lambda h: enrich(h, fx.AS_OF_HISTORY)), fx.AS_OF_HISTORY)),
+        ("daily_counts on the stored enriched table: pushed filter, narrow read schema, partial count",
+         daily_counts(spark.read.parquet(f"{base}/enriched"), fx.AS_OF_HISTORY)),
+        ("daily_counts straight from nested records: nested-column pruning to two test fields",
+         daily_counts(enrich(history, fx.AS_OF_HISTORY), fx.AS_OF_HISTORY)),
         ("forecast_training: scalar subquery over a semi join",
          forecast_training(counts, fx.AS_OF_HISTORY)),
         ("fit_forecast: one grouped-map task per (series, order)",
