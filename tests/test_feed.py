@@ -136,3 +136,18 @@ def test_stream_upsert_in_single_file_batches_equals_sequential_batch_upserts(sp
     # batch 1 deletes A1; batch 2 re-inserts it (not matched any more) and inserts C3
     assert got == {"A1": ("kia", "UPDATED"), "B2": ("OLD", None), "C3": ("ford", "UPDATED")}
     assert table_versions(table) == [1, 2, 3]
+
+
+def test_job_runner_end_to_end(spark, tmp_path):
+    from inspecta.plans.jobs import main as run
+    root = tempfile.mkdtemp()
+    _write(f"{root}/bulk-light-vehicle_02-02-2026", "a.json.gz",
+           [GOOD, GOOD.replace("A1", "B2").replace("PASSED", "FAILED")])
+    _write(f"{root}/delta-light-vehicle_09-02-2026", "b.json.gz", [GOOD.replace("A1", "C3")])
+    table = str(tmp_path / "main")
+    assert run(["bulk-load", "--feed", root, "--table", table, "--as-of", "2024-02-01"]) == 0
+    assert run(["weekly", "--feed", root, "--table", table, "--as-of", "2024-02-01", "--latest-only"]) == 0
+    assert sorted(r.registration for r in read_latest(spark, table).collect()) == ["A1", "B2", "C3"]
+    assert run(["counts", "--table", table, "--out", str(tmp_path / "counts"), "--as-of", "2024-02-01"]) == 0
+    got = {r.result_type: r["count"] for r in spark.read.parquet(str(tmp_path / "counts")).collect()}
+    assert got == {"PASSED": 2, "FAILED": 1}

@@ -102,3 +102,14 @@ def test_duplicates_error(spark):
     delta = enrich(_delta(spark).where("registration = 'upd'"), AS_OF)
     with pytest.raises(ValueError):
         upsert(_main(spark), delta, duplicates="error")
+
+
+def test_feed_date_order_lets_a_later_delete_win(spark):
+    t = dt.datetime
+    df = _rows(spark, [
+        {"registration": "x", "modification": "UPDATED", "lastMotTestDate": t(2024, 1, 5), "make": "U"},
+        {"registration": "x", "modification": "DELETED", "lastMotTestDate": t(2024, 1, 1), "make": "D"},
+    ], extra=False).withColumn(
+        "feed_date", F.when(F.col("make") == "D", F.lit(dt.date(2024, 2, 1))).otherwise(F.lit(dt.date(2024, 1, 6))))
+    assert dedupe_delta(df).first().make == "U"                      # newest test date (reference order)
+    assert dedupe_delta(df, order="feed_date").first().make == "D"   # newest feed first
