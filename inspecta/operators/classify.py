@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inspecta.functions.columns import pass_probability
@@ -36,11 +36,9 @@ def pass_fail_training(enriched: DataFrame) -> DataFrame:
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Inverse-frequency weights n / (k * n_c) per class (k classes)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    everything = Window.partitionBy()  # over the k class rows only
-    return counts.select(
-        label, "n_class",
-        (F.sum("n_class").over(everything)
-         / (F.count(F.lit(1)).over(everything) * F.col("n_class"))).alias("weight"))
+    n = counts.agg(F.sum("n_class")).scalar()          # scalar subqueries over k rows
+    k = counts.agg(F.count(F.lit(1))).scalar()
+    return counts.select(label, "n_class", (n / (k * F.col("n_class"))).cast("double").alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
