@@ -18,7 +18,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspecta.schema import DELETED, CREATED, UPDATED, FAILED, PASSED, MOT_TEST, VEHICLE
+from inspecta.schema import CREATED, DELETED, FAILED, PASSED, UPDATED, VEHICLE
 
 # Fixed run dates of the fixtures (CURRENT_DATE would make results drift).
 AS_OF_HISTORY = _dt.date(2001, 8, 1)

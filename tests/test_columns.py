@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from inspecta.functions.columns import (
     count_results, feed_date_from_path, feed_date_string, last_test_result, to_mileage,

@@ -1,7 +1,6 @@
 """Driver contract: entry() smoke run and every oracle query on sf0.001."""
 
 import datetime as dt
-import hashlib
 import math
 
 import duckdb

@@ -5,7 +5,6 @@ import datetime as dt
 import io
 import re
 
-from pyspark.sql import functions as F
 
 from inspecta import fixtures as fx
 from inspecta.operators.counts import daily_counts
