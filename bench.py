@@ -30,7 +30,9 @@ def main() -> None:
     from inspecta.plans.registry import QUERIES
     from inspecta.session import get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    # one shuffle partition per core at these sizes; AQE coalesces further
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=parts,
                         extra={"spark.driver.memory": "16g"})
     times = {}
     for name in (only or HEADLINE):
