@@ -403,3 +403,10 @@ SQL["sql_prediction_output"] = SQL["prediction_output"]
 SQL["feed_limit"] = f"WITH {F4} SELECT registration, feed_date FROM feed WHERE kind = 'bulk' LIMIT 10000"
 SQL["upsert_bucketed"] = SQL["upsert"]
 SQL["bulk_load"] = SQL["enrich"]
+SQL["normalise_feed"] = f"""WITH {F4}
+SELECT registration, modification, lastMotTestDate, date,
+       CASE WHEN kind = 'bulk' THEN 'bulk-light-vehicle_02-02-2026'
+            WHEN feed_date = DATE '2024-01-14' THEN 'delta-light-vehicle_15-01-2024'
+            ELSE 'delta-light-vehicle_31-01-2024' END AS folder,
+       n_tests
+FROM feed"""

@@ -19,7 +19,7 @@ def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None,
     """Bulk feed -> enrich -> first version of the main table.
 
     gz files cannot be split, so one large file is parsed by one task;
-    ``partitions`` hash-spreads the parsed rows by registration so that
+    ``partitions`` spreads the parsed rows round-robin so that
     enrichment and the write are balanced whatever the file sizes.
     """
     good, _bad = split_corrupt(read_feed(spark, feed_root, kind="bulk", partitions=partitions))

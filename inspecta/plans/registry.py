@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inspecta import fixtures as fx
 from inspecta.operators.counts import daily_counts
@@ -26,11 +27,12 @@ from inspecta.plans.spark_sql import (
     daily_counts_sql, dedupe_sql, enrich_sql, forecast_training_sql, logreg_training_sql,
     prediction_output_sql,
 )
+from inspecta.schema import VEHICLE
 from inspecta.session import scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
 from inspecta.sources.feed import (
-    feed_glob, feed_stats, latest_feed, read_feed, read_feed_zip, read_latest_feed, split_corrupt,
-    write_feed_zip,
+    feed_glob, feed_stats, latest_feed, normalise_feed, read_feed, read_feed_zip, read_latest_feed,
+    split_corrupt, write_feed_zip,
 )
 from inspecta.sources.sinks import (
     create_main, read_latest, stage, to_flat, write_bucketed, write_daily_counts, write_table,
@@ -571,3 +573,15 @@ def q_bulk_load(spark, d):
     table = scratch_dir(spark, "bulk-main")
     bulk_load(spark, root, table, fx.AS_OF_HISTORY)
     return _with_n_tests(read_latest(spark, table)).select(*ENRICH_COLS)
+
+
+@query
+def q_normalise_feed(spark, d):
+    """Feed folders rewritten as one NDJSON dataset per folder with the date tag."""
+    root = fx.write_feed_fixture(spark, d)
+    out = normalise_feed(spark, root, scratch_dir(spark, "normalised"))
+    schema = T.StructType(VEHICLE.fields + [T.StructField("date", T.StringType()),
+                                            T.StructField("folder", T.StringType())])
+    back = spark.read.schema(schema).json(out)
+    return _with_n_tests(back).select("registration", "modification", "lastMotTestDate", "date",
+                                      "folder", "n_tests")

@@ -74,14 +74,15 @@ def read_feed(spark: SparkSession, root: str, kind: str | None = None,
       ``_corrupt_record`` set (see ``split_corrupt``); blank lines are skipped;
     * ``_source_file`` and the feed date tags are added;
     * ``limit`` keeps the first n records read (no order guarantee);
-    * ``partitions`` hash-partitions the parsed rows by ``key`` (gz files
-      are one task each).
+    * ``partitions`` spreads the parsed rows round-robin over that many
+      partitions (gz files are one task each); round-robin, not by key, so
+      many copies of one record cannot pile up in one task.
     """
     df = _read_json(spark, feed_glob(root, kind, ext), schema, corrupt, sampling_ratio)
     if limit is not None:
         df = df.limit(limit)
     if partitions:
-        df = df.repartition(partitions, key)
+        df = df.repartition(partitions)
     return df
 
 
@@ -135,6 +136,23 @@ def latest_feed(df: DataFrame) -> DataFrame:
     return df.where(F.col("feed_date") == newest)
 
 
+def normalise_feed(spark: SparkSession, root: str, out: str, kind: str | None = None,
+                   schema: T.StructType = VEHICLE) -> str:
+    """One NDJSON dataset per feed folder, every record tagged with ``date``.
+
+    A single job: parsed records (corrupt lines dropped) are written as JSON
+    partitioned by their source folder (``out/folder=<name>/part-*.json``);
+    records keep their fields plus the ``date`` text (dd-MM-yyyy or '').
+    """
+    good, _bad = split_corrupt(read_feed(spark, root, kind, schema))
+    cols = [c for c in schema.fieldNames()] + ["date"]
+    # no repartition by folder: a large folder stays spread over its read tasks
+    (good.select(*cols, feed_folder().alias("folder"))
+     .write.mode("overwrite").option("timestampNTZFormat", TS_WRITE_FORMAT)
+     .partitionBy("folder").json(out))
+    return out
+
+
 def write_feed(df: DataFrame, root: str, folder: str, mode: str = "overwrite") -> str:
     """Write records as gz NDJSON into ``root/folder``; NULL fields are omitted."""
     path = f"{root.rstrip('/')}/{folder}"
