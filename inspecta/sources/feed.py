@@ -7,7 +7,7 @@ Layout (one JSON object per line):
     <root>/delta-light-vehicle_DD-MM-YYYY.zip        (same content, zipped)
 
 gz files cannot be split, so each file is one read task; ``partitions``
-spreads the parsed rows by key afterwards when later stages need it.
+spreads the parsed rows round-robin afterwards when later stages need it.
 """
 
 from __future__ import annotations
@@ -65,8 +65,7 @@ def _read_json(spark: SparkSession, pattern: str, schema: T.StructType | None, c
 def read_feed(spark: SparkSession, root: str, kind: str | None = None,
               schema: T.StructType | None = VEHICLE, corrupt: bool = True,
               limit: int | None = None, sampling_ratio: float = 1.0,
-              partitions: int | None = None, key: str = "registration",
-              ext: str = "*.json.gz") -> DataFrame:
+              partitions: int | None = None, ext: str = "*.json.gz") -> DataFrame:
     """Read feed folders (``kind`` 'delta', 'bulk' or both) as a DataFrame.
 
     * explicit ``schema`` (default) or inference when ``schema=None``;
