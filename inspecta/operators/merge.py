@@ -112,6 +112,7 @@ def upsert(main: DataFrame, delta: DataFrame, key: str = "registration", strateg
         pass
     else:
         raise ValueError("duplicates must be 'dedupe' or 'error'")
+    delta = valid_delta(delta)   # other or NULL modifications never act (no-op on prepared deltas)
     if checkpoint:
         delta = _checkpointed(delta)
     chosen = "shuffle" if buckets else choose_strategy(delta, key, strategy, max_broadcast_keys)
@@ -157,7 +158,7 @@ def merge_actions(main: DataFrame, delta: DataFrame, key: str = "registration",
     """
     mk = main.select(key)
     # keys + action only, read twice (size check and join): checkpointed once
-    dk = _checkpointed(delta.select(key, "modification"))
+    dk = _checkpointed(valid_delta(delta).select(key, "modification"))
     chosen = choose_strategy(dk, key, strategy, max_broadcast_keys)
     is_del = F.col("modification") == DELETED
     if chosen == "broadcast":

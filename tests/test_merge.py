@@ -113,3 +113,15 @@ def test_feed_date_order_lets_a_later_delete_win(spark):
         "feed_date", F.when(F.col("make") == "D", F.lit(dt.date(2024, 2, 1))).otherwise(F.lit(dt.date(2024, 1, 6))))
     assert dedupe_delta(df).first().make == "U"                      # newest test date (reference order)
     assert dedupe_delta(df, order="feed_date").first().make == "D"   # newest feed first
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_unprepared_modifications_never_act(spark, strategy):
+    main = _main(spark)
+    raw = enrich(_rows(spark, [
+        {"registration": "keep", "modification": None, "lastMotTestDate": dt.datetime(2024, 1, 2)},
+        {"registration": "del", "modification": "NOISE", "lastMotTestDate": dt.datetime(2024, 1, 2)},
+    ]), AS_OF)
+    out = upsert(main, raw, strategy=strategy)
+    assert sorted(r.registration for r in out.collect()) == ["cre", "del", "keep", "upd"]
+    assert {r.action: r.rows for r in merge_report(main, raw).collect()} == {"keep": 4}
