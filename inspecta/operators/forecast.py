@@ -54,6 +54,7 @@ def fill_daily(df: DataFrame, id_col: str = "result_type", date_col: str = "test
                value_col: str = "count") -> DataFrame:
     """One row per day between each series' first and last day.
 
+    Input has one row per series and day (e.g. ``forecast_training``).
     Missing days are interpolated linearly between the neighbouring
     observed days; ``filled`` marks them.  Values become double.
     """
@@ -70,7 +71,8 @@ def fill_daily(df: DataFrame, id_col: str = "result_type", date_col: str = "test
                  F.last(obs_day, ignorenulls=True).over(before).alias("_d0"),
                  F.first("_y", ignorenulls=True).over(after).alias("_y1"),
                  F.first(obs_day, ignorenulls=True).over(after).alias("_d1"))
-    frac = F.datediff(date_col, "_d0") / F.datediff("_d1", "_d0")
+    # observed days have _d0 == _d1; try_divide keeps ANSI from raising there
+    frac = F.try_divide(F.datediff(date_col, "_d0").cast("double"), F.datediff("_d1", "_d0").cast("double"))
     value = F.coalesce(F.col("_y"), F.col("_y0") + (F.col("_y1") - F.col("_y0")) * frac)
     return j.select(id_col, date_col, value.alias(value_col), F.col("_y").isNull().alias("filled"))
 
