@@ -34,7 +34,7 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=parts,
                         extra={"spark.driver.memory": "16g"})
-    times = {}
+    times, errors = {}, {}
     for name in (only or HEADLINE):
         fn = QUERIES[name]
 
@@ -43,11 +43,17 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up (JIT, file listing cache)
-        times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        try:
+            once()  # warm-up (JIT, file listing cache)
+            times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        except Exception as e:  # noqa: BLE001 - report, keep timing the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total_median", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
+    out = {"metric": "headline_total_median", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
