@@ -65,6 +65,13 @@ def write_daily_counts(df: DataFrame, path: str, mode: str = "overwrite") -> str
     return path
 
 
+def read_daily_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Read the counts table with its declared schema (works when a refresh
+    found no rows and wrote no data files)."""
+    from inspecta.schema import DAILY_COUNTS
+    return spark.read.schema(DAILY_COUNTS + ", p_month date").parquet(path)
+
+
 def drop_stage(spark: SparkSession, name: str) -> None:
     """Drop a staging table if it exists."""
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})

@@ -151,3 +151,11 @@ def test_job_runner_end_to_end(spark, tmp_path):
     assert run(["counts", "--table", table, "--out", str(tmp_path / "counts"), "--as-of", "2024-02-01"]) == 0
     got = {r.result_type: r["count"] for r in spark.read.parquet(str(tmp_path / "counts")).collect()}
     assert got == {"PASSED": 2, "FAILED": 1}
+
+
+def test_empty_counts_refresh_reads_back(spark, tmp_path):
+    from inspecta.sources.sinks import read_daily_counts, write_daily_counts
+    empty = spark.createDataFrame([], "test_date timestamp_ntz, result_type string, count bigint")
+    write_daily_counts(empty, str(tmp_path / "c"))
+    back = read_daily_counts(spark, str(tmp_path / "c"))
+    assert back.count() == 0 and back.columns == ["test_date", "result_type", "count", "p_month"]
