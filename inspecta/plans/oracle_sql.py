@@ -410,3 +410,4 @@ SELECT registration, modification, lastMotTestDate, date,
             ELSE 'delta-light-vehicle_31-01-2024' END AS folder,
        n_tests
 FROM feed"""
+SQL["budget_overruns_stream"] = SQL["budget_overruns"]

@@ -585,3 +585,16 @@ def q_normalise_feed(spark, d):
     back = spark.read.schema(schema).json(out)
     return _with_n_tests(back).select("registration", "modification", "lastMotTestDate", "date",
                                       "folder", "n_tests")
+
+
+@query
+def q_budget_overruns_stream(spark, d):
+    """Budget alerts as a file stream (availableNow) into a parquet sink, read back."""
+    src, sink, ckpt = (scratch_dir(spark, n) for n in ("budget-in", "budget-out", "budget-ckpt"))
+    fx.budget_envelopes(spark, d).write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema("event_id bigint, data string").parquet(src)
+    q = (budget_overruns(stream).select("event_id", "costAmount", "budgetAmount")
+         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)
