@@ -411,3 +411,6 @@ SELECT registration, modification, lastMotTestDate, date,
        n_tests
 FROM feed"""
 SQL["budget_overruns_stream"] = SQL["budget_overruns"]
+SQL["sql_reg_lookup"] = f"""WITH {F1}
+SELECT registration, mileage, vehicle_age, make, model, primaryColour FROM enriched
+WHERE registration = (SELECT CAST(user_id AS VARCHAR) FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)"""

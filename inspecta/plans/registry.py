@@ -25,7 +25,7 @@ from inspecta.functions.columns import pass_probability
 from inspecta.plans.pipelines import analytics, bulk_load, register_views, weekly_delta_ingest
 from inspecta.plans.spark_sql import (
     daily_counts_sql, dedupe_sql, enrich_sql, forecast_training_sql, logreg_training_sql,
-    prediction_output_sql,
+    prediction_output_sql, reg_lookup_sql,
 )
 from inspecta.schema import VEHICLE
 from inspecta.session import scratch_dir
@@ -598,3 +598,11 @@ def q_budget_overruns_stream(spark, d):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+@query
+def q_sql_reg_lookup(spark, d):
+    """Parameterised single-registration lookup (the vehicle of the latest event)."""
+    latest = (fx.delta(spark, d).orderBy(F.col("lastMotTestDate").desc(), F.col("event_id").desc())
+              .select("registration").first()[0])
+    return reg_lookup_sql(spark, enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY), latest)
