@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inspecta.llm import exact_dedup, secrets, sentencepiece_bpe
+from inspecta.llm import exact_dedup, secrets, sentencepiece_bpe, simhash_dedup
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
 
@@ -25,11 +25,15 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_rows(found)
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model())
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_secrets, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_secrets, op8_simhash, op10_sentencepiece)}
 
 SQL = {
     "op3_exact_dedup": """
