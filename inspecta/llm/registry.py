@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inspecta.llm import exact_dedup, secrets, sentencepiece_bpe, simhash_dedup
+from inspecta.llm import exact_dedup, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
 
@@ -16,13 +17,18 @@ def piece_model() -> str:
     return str(public_tokenizers.path(PIECE_MODEL))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(table(spark, sf_dir, "documents"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(spark, table(spark, sf_dir, "documents"), scratch_dir(spark, "blob-ledger"))
-    return secrets.digest_rows(found)
+    found = secret_scan.find_secrets(spark, table(spark, sf_dir, "documents"), scratch_dir(spark, "blob-ledger"))
+    return secret_scan.digest_rows(found)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,10 +36,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model())
+    return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_secrets, op8_simhash, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op5_secrets, op8_simhash, op10_sentencepiece)}
 
 SQL = {
     "op3_exact_dedup": """

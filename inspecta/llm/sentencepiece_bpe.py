@@ -20,21 +20,20 @@ encoded whole.  An empty table gives no rows.  Other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from inspecta.llm.base import id_text
 
 SPACE = "▁"
 CACHE = 400_000        # segments in each of the two cache generations of a Python worker
 CACHED_CHARS = 48      # longer segments are encoded again each time
-SCHEMA = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_corrected long")
-FULL = SCHEMA + ", ids array<int>, decoded string"
+SCHEMA = "doc_id long, ids binary, decoded string, n_corrected long"
 
 
 class Encoder:
@@ -150,12 +149,13 @@ def encoder(model_file: str) -> Encoder:
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
-           full: bool = False, batch_chars: int = 4_000_000) -> DataFrame:
-    """Encode and decode every text.  ``full`` adds the ids and the decoded text."""
+           batch_chars: int = 4_000_000) -> DataFrame:
+    """Per row of ``docs``: doc_id, ids (little-endian unsigned 32-bit numbers, begin
+    and end included), the text decoded from them, and n_corrected (on the first row
+    of each batch: segments of the batch that the library encoded otherwise)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
-    schema = FULL if full else SCHEMA
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(_parse_datatype_string(SCHEMA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -163,15 +163,17 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for ids, texts in _by_size(batch, batch_chars):
                 raw, wrong = enc.encode_batch(texts)
-                rows = [np.frombuffer(r, "<u4").tolist() for r in raw]
-                plain = [enc.lib.decode(r) for r in rows]
-                cols = [ids, [len(r) // 4 for r in raw], [hashlib.sha256(r).hexdigest() for r in raw],
-                        [hashlib.sha256(p.encode("utf-8")).hexdigest() for p in plain],
-                        [wrong] + [0] * (len(ids) - 1)]
-                if full:
-                    cols += [rows, plain]
+                plain = [enc.lib.decode(np.frombuffer(r, "<u4").tolist()) for r in raw]
+                cols = [ids, raw, plain, [wrong] + [0] * (len(ids) - 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
-    return id_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def digest_rows(encoded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and n_corrected."""
+    return encoded.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                          "n_corrected")
 
 
 def _by_size(batch: pa.RecordBatch, chars: int):
