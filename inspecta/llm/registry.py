@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspecta.llm import exact_dedup, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup
+from inspecta.llm import (exact_dedup, language_id, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup,
+                           toxicity)
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
 
@@ -31,6 +32,16 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_rows(found)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -39,7 +50,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op5_secrets, op8_simhash, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op5_secrets, op6_toxicity,
+                                 op7_language_id, op8_simhash, op10_sentencepiece)}
 
 SQL = {
     "op3_exact_dedup": """
