@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspecta.llm import (exact_dedup, language_id, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup,
+from inspecta.llm import (decontaminate, exact_dedup, language_id, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup,
                            toxicity)
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
@@ -27,6 +27,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "similarity", "start", "n_windows")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(spark, table(spark, sf_dir, "documents"), scratch_dir(spark, "blob-ledger"))
     return secret_scan.digest_rows(found)
@@ -50,7 +55,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op5_secrets, op6_toxicity,
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op4_decontaminate, op5_secrets, op6_toxicity,
                                  op7_language_id, op8_simhash, op10_sentencepiece)}
 
 SQL = {
@@ -59,6 +64,28 @@ SQL = {
                row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 as kept,
                sha256(coalesce(text, '')) as text_sha256
         from documents window g as (partition by coalesce(text, ''))""",
+    # every window of an item's size that shares a shingle with it, compared exactly
+    "op4_decontaminate": r"""
+        with d as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents),
+        i as (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from benchmark),
+        it as (select item_id, w, len(w) as n, least(len(w), 5) as k from i where len(w) > 0),
+        ks as (select distinct k from it),
+        ish as (select item_id, n, k, array_to_string(w[p:p + k - 1], ' ') as s from (select *, unnest(range(1, n - k + 2)) as p from it)),
+        ic as (select item_id, s, count(*) as c from ish group by all),
+        dp as (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as p from d, ks where len(w) >= k),
+        dsh as (select doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') as s from dp),
+        hit as (select distinct dsh.doc_id, ic.item_id, dsh.p from dsh join it using (k) join ic on ic.item_id = it.item_id and ic.s = dsh.s),
+        win as (select distinct h.doc_id, h.item_id, it.n, it.k, least(it.n, len(d.w)) as size, len(d.w) as total,
+                       unnest(range(greatest(1, h.p - least(it.n, len(d.w)) + it.k), least(h.p, len(d.w) - least(it.n, len(d.w)) + 1) + 1)) as st
+                from hit h join it using (item_id) join d using (doc_id)),
+        wc as (select win.doc_id, win.item_id, win.st, dsh.s, win.n - win.k + 1 as im, win.size - win.k + 1 as m, count(*) as c
+               from win join dsh on dsh.doc_id = win.doc_id and dsh.k = win.k and dsh.p between win.st and win.st + win.size - win.k
+               group by all),
+        sim as (select wc.doc_id, wc.item_id, st, im, m, sum(least(wc.c, ic.c)) as common
+                from wc join ic on ic.item_id = wc.item_id and ic.s = wc.s group by all),
+        ok as (select doc_id, item_id, st - 1 as st, common / (m + im - common) as j from sim where common / (m + im - common) >= 0.8)
+        select doc_id, item_id, max(j) as similarity, min(st) filter (where j = best) as start, count(*) as n_windows
+        from (select *, max(j) over (partition by doc_id, item_id) as best from ok) group by doc_id, item_id""",
     # each match of gap and rule together gives both lengths; running sums give the positions
     "op5_secrets": r"""
         with t as (select doc_id, coalesce(text, '') as text from documents),
