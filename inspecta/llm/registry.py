@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspecta.llm import (decontaminate, exact_dedup, language_id, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup,
+from inspecta.llm import (decontaminate, exact_dedup, html_extract, language_id, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup,
                            toxicity)
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
@@ -18,6 +18,10 @@ def piece_model() -> str:
     return str(public_tokenizers.path(PIECE_MODEL))
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -55,7 +59,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_exact_dedup, op4_decontaminate, op5_secrets, op6_toxicity,
+QUERIES = {f.__name__: f for f in (op1_html_extract, op2_substring_dedup, op3_exact_dedup, op4_decontaminate, op5_secrets, op6_toxicity,
                                  op7_language_id, op8_simhash, op10_sentencepiece)}
 
 SQL = {
