@@ -59,8 +59,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (op1_html_extract, op2_substring_dedup, op3_exact_dedup, op4_decontaminate, op5_secrets, op6_toxicity,
-                                 op7_language_id, op8_simhash, op10_sentencepiece)}
+                                 op7_language_id, op8_simhash, op10_sentencepiece, pipeline)}
 
 SQL = {
     "op3_exact_dedup": """
