@@ -1,28 +1,34 @@
-"""Count-min sketch of 64-bit keys, merged from partition sketches.
-
-Each task counts the keys of its partition into ``DEPTH`` rows of cells; it sends
-the cells it touched, by block, with counts that stop at 2.  Blocks are merged in
-a shuffle and become bitmaps of the cells with 2 or more.  What is broadcast is
-these bitmaps: ``DEPTH * cells / 8`` bytes, at most ``DEPTH * MAX_CELLS / 8``
-(256 MiB), whatever the input.  Beyond that size the sketch only overestimates
-more keys, and the exact pass behind it sorts them out; no key is lost.
+"""Count-min sketches of 64-bit keys, merged from partition sketches.
+
+Each task counts the keys of its partition into rows of cells; it sends the cells
+it touched, by block, with counts that stop at 2.  Blocks are merged in a shuffle
+and become bitmaps of the cells that reached ``least``.  What is broadcast is these
+bitmaps: ``depth * cells / 8`` bytes, ``cells`` being at most ``MAX_CELLS`` (128 MiB
+a row), whatever the input.  Beyond that size a sketch only overestimates more
+keys, and the exact pass behind it sorts them out; no key is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-DEPTH = 2
 BLOCK = 1 << 16
 MIN_CELLS = 1 << 20
 MAX_CELLS = 1 << 30
 CELLS_PER_KEY = 8
-_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+
+
+class Shape(NamedTuple):
+    cells: int
+    depth: int = 2      # rows; a key is estimated by the least of its cells
+    least: int = 2      # count (1 or 2) whose cells are marked
 
 
 def cells_for(keys: float) -> int:
@@ -35,67 +41,71 @@ def cell(keys: np.ndarray, row: int, cells: int) -> np.ndarray:
     return (keys * np.uint64(_ODD[row])) >> shift
 
 
-def repeated_bitmaps(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], cells: int) -> Broadcast:
-    """Broadcast bitmaps (DEPTH, cells / 8) of the cells counted twice or more.
-    ``keys_of`` gives the keys (uint64) of an Arrow batch of ``rows``."""
+def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]], shapes: list[Shape]) -> Broadcast:
+    """Broadcast list of bitmaps (depth, cells / 8), one per shape.  ``keys_of``
+    gives, for an Arrow batch of ``rows``, the keys (uint64) of each sketch."""
+    lines = [(k, r) for k, shape in enumerate(shapes) for r in range(shape.depth)]
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the cells touched so far, sorted, with counts up to 2; memory follows the partition
-        held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint8)) for _ in range(DEPTH)]
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint8)) for _ in lines]
         for batch in batches:
             keys = keys_of(batch)
-            for r in range(DEPTH):
-                c, n = np.unique(cell(keys, r, cells), return_counts=True)
-                held[r] = _merged(*held[r], c, np.minimum(n, 2).astype(np.uint8))
-        for r, (c, n) in enumerate(held):
-            block = c // np.uint64(BLOCK)
-            first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(c) else []
-            at = (c % np.uint64(BLOCK)).astype("<u2")
-            ends = np.concatenate([first[1:], [len(c)]]) if len(c) else []
+            for i, (k, r) in enumerate(lines):
+                c, n = np.unique(cell(keys[k], r, shapes[k].cells), return_counts=True)
+                held[i] = _merged(*held[i], c, np.minimum(n, 2).astype(np.uint8))
+        for i, (c, n) in enumerate(held):
             if len(c):
+                block = c // np.uint64(BLOCK)
+                first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+                ends = np.concatenate([first[1:], [len(c)]])
+                at = (c % np.uint64(BLOCK)).astype("<u2")
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(first), r, np.int32)), pa.array(block[first].astype(np.int64)),
+                    pa.array(np.full(len(first), i, np.int32)), pa.array(block[first].astype(np.int64)),
                     pa.array([at[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
                     pa.array([np.packbits(n[a:b] > 1).tobytes() for a, b in zip(first, ends)], pa.binary())],
-                    names=["row", "block", "at", "twice"])
+                    names=["line", "block", "at", "twice"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once: dict[tuple[int, int], np.ndarray] = {}
+        counts: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for row, block, at, twice in zip(*(c.to_pylist() for c in batch.columns)):
-                count = once.setdefault((row, block), np.zeros(BLOCK, np.uint8))
+            for line, block, at, twice in zip(*(c.to_pylist() for c in batch.columns)):
+                count = counts.setdefault((line, block), np.zeros(BLOCK, np.uint8))
                 at = np.frombuffer(at, "<u2")
                 add = 1 + np.unpackbits(np.frombuffer(twice, np.uint8), count=len(at))
                 count[at] = np.minimum(count[at] + add, 2)
-        for (row, block), count in once.items():
-            yield pa.RecordBatch.from_arrays([
-                pa.array([row], pa.int32()), pa.array([block], pa.int64()),
-                pa.array([np.packbits(count > 1, bitorder="little").tobytes()], pa.binary())], names=["row", "block", "bits"])
-
-    parts = max(8, min(256, DEPTH * cells // BLOCK // 64))
-    merged = (rows.mapInArrow(partial, "row int, block long, at binary, twice binary")
-              .repartition(parts, "row", "block")
-              .mapInArrow(merge, "row int, block long, bits binary"))
-    bits = np.zeros((DEPTH, cells // 8), np.uint8)
-    for row, block, b in merged.toLocalIterator(prefetchPartitions=True):
-        at = block * (BLOCK // 8)
-        bits[row, at:at + BLOCK // 8] = np.frombuffer(bytes(b), np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(bits)
+        for (line, block), count in counts.items():
+            bits = np.packbits(count >= shapes[lines[line][0]].least, bitorder="little")
+            yield pa.RecordBatch.from_arrays([pa.array([line], pa.int32()), pa.array([block], pa.int64()),
+                                              pa.array([bits.tobytes()], pa.binary())], names=["line", "block", "bits"])
+
+    blocks = sum(s.depth * s.cells // BLOCK for s in shapes)
+    parts = max(8, min(512, blocks // 64))
+    merged = (rows.mapInArrow(partial, "line int, block long, at binary, twice binary")
+              .repartition(parts, "line", "block")
+              .mapInArrow(merge, "line int, block long, bits binary"))
+    out = [np.zeros((s.depth, s.cells // 8), np.uint8) for s in shapes]
+    for line, block, bits in merged.toLocalIterator():
+        k, r = lines[line]
+        out[k][r, block * (BLOCK // 8):(block + 1) * (BLOCK // 8)] = np.frombuffer(bytes(bits), np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(out)
 
 
 def _merged(c0, n0, c1, n1):
     c = np.concatenate([c0, c1])
+    if not len(c):
+        return c, n0
     order = np.argsort(c, kind="stable")
     c, n = c[order], np.concatenate([n0, n1])[order]
-    first = np.concatenate([[True], c[1:] != c[:-1]]) if len(c) else np.zeros(0, bool)
-    at = np.flatnonzero(first)
-    return c[at], np.minimum(np.add.reduceat(n, at), 2).astype(np.uint8) if len(c) else n
+    at = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+    return c[at], np.minimum(np.add.reduceat(n, at), 2).astype(np.uint8)
 
 
-def estimated_repeated(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """True where every row's cell was counted twice or more."""
+def is_marked(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """True where the key's cell is marked in every row."""
     out = np.ones(len(keys), bool)
     cells = bits.shape[1] * 8
-    for r in range(DEPTH):
+    for r in range(len(bits)):
         c = cell(keys, r, cells)
         out &= (bits[r][c >> np.uint64(3)] >> (c & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
     return out

@@ -67,7 +67,7 @@ class Chunk:
 
     def estimated(self, bits: np.ndarray) -> np.ndarray:
         """Starts (word numbers) of windows estimated as repeated."""
-        return self.at[sketch.estimated_repeated(self.key[self.place], bits)]
+        return self.at[sketch.is_marked(self.key[self.place], bits)]
 
     def digests(self, at: np.ndarray) -> np.ndarray:
         import xxhash
@@ -99,15 +99,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         cells = sketch.cells_for(size / 6.5 * 2 / (window - anchor + 2))
 
-    def keys_of(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([c.anchor_keys() for _, c in chunks(batch, 0, window, anchor)] or [np.zeros(0, np.uint64)])
+    def keys_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [np.concatenate([c.anchor_keys() for _, c in chunks(batch, 0, window, anchor)] or [np.zeros(0, np.uint64)])]
 
-    shared = sketch.repeated_bitmaps(rows.select("text"), keys_of, cells)
+    shared = sketch.marked(rows.select("text"), keys_of, [sketch.Shape(cells)])
 
     def emit(batch: pa.RecordBatch) -> dict:
         keys, out, doc = batch.column(0).to_numpy(), [], []
         for part, c in chunks(batch, 1, window, anchor):
-            at = c.estimated(shared.value)
+            at = c.estimated(shared.value[0])
             out.append(c.digests(at))
             owner = np.repeat(np.arange(len(c.counts)), c.counts)[at]
             doc.append(keys[part.start:part.stop][owner])
@@ -122,7 +122,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         out: dict[str, list] = {"n_words": [], "n_removed": [], "kept_text": []}
         singles = batch.column(2)
         for part, c in chunks(batch, 1, window, anchor):
-            at = c.estimated(shared.value)
+            at = c.estimated(shared.value[0])
             known = [None if s is None else {(d["d1"], d["d2"]) for d in s}
                      for s in singles.slice(part.start, len(part)).to_pylist()]
             if any(known):
