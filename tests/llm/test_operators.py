@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 
 from inspecta.llm import (decontaminate, exact_dedup, html_extract, language_id, secret_scan, sentencepiece_bpe,
-                          simhash_dedup, substring_dedup, toxicity)
+                          simhash_dedup, substring_dedup, suffix_dedup, toxicity)
 from inspecta.llm.components import components
 from inspecta.llm.registry import QUERIES, piece_model
+from inspecta.llm.sketch import Shape
 from inspecta.session import scratch_dir
 from tests.conftest import SF_SMOKE
 
@@ -43,7 +44,7 @@ ODD = [(1, None), (2, ""), (3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (5
 def test_empty_tables(spark):
     none = frame(spark, [(1, "x")]).where("false")
     model = toxicity.fit(none, spark.createDataFrame([], "doc_id long, toxic int"))
-    out = [exact_dedup.classify(none), substring_dedup.remove_repeats(none), simhash_dedup.near_duplicates(none),
+    out = [exact_dedup.classify(none), substring_dedup.remove_repeats(none), suffix_dedup.remove_repeats(none), simhash_dedup.near_duplicates(none),
            secret_scan.find_secrets(spark, none, scratch_dir(spark, "led")), toxicity.score(none, model),
            language_id.predict(none, language_id.fit(none)), sentencepiece_bpe.encode(none, piece_model()),
            decontaminate.find_leaks(none, spark.createDataFrame([], "item_id long, text string")),
@@ -102,6 +103,47 @@ def test_substring_dedup_short_windows(spark):
     assert sorted(str((r.doc_id, r.n_words, r.n_removed, r.kept_text)) for r in got) == brute_windows(rows, 3)
 
 
+# ---- suffix dedup --------------------------------------------------------------
+def brute_suffixes(rows, n):
+    cut = [(i, (t or "").encode()) for i, t in rows]
+    low: dict = {}
+    for i, b in cut:
+        if i is not None:
+            for k in range(len(b) - n + 1):
+                low[b[k:k + n]] = min(i, low.get(b[k:k + n], i))
+    out = []
+    for i, b in cut:
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - n + 1 if i is not None else 0):
+            if low[b[k:k + n]] < i:
+                gone[k:k + n] = True
+        spans = int((gone[:-1] & ~gone[1:]).sum())
+        out.append(str((i, len(b), int(gone.sum()), spans, bytes(x for x, g in zip(b, gone) if not g))))
+    return sorted(out)
+
+
+def suffix_rows(df):
+    return sorted(str((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))) for r in df.collect())
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_suffix_dedup(spark, texts, tight):
+    rows = texts + ODD[:3] + [(3, "a b c d" * 20), (3, "a b c d" * 20), (None, "a b c d" * 20), (None, "a b c d" * 20)] + [
+        (901, "é" * 60), (900, "éx" + "é" * 40), (902, "x" * 49), (903, "x" * 50), (899, "x" * 50), (904, "word " * 3000),
+        (905, "q" + "word " * 30 + texts[0][1][40:140] + "z"), (-4, "😀" * 13)]
+    # crowded sketches change the work, not the result
+    shapes = (Shape(1 << 16, 1), Shape(1 << 16, 1, 1), Shape(1 << 16, 1), Shape(1 << 16, 1)) if tight else None
+    got = suffix_dedup.remove_repeats(frame(spark, rows), shapes=shapes)
+    assert suffix_rows(got) == brute_suffixes(rows, 50)
+
+
+def test_suffix_dedup_short_digits(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), "".join(rng.choice(list("ab"), 60))) for i in rng.permutation(60)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), length=9, digit=4)
+    assert suffix_rows(got) == brute_suffixes(rows, 9)
+
+
 # ---- SimHash -------------------------------------------------------------------
 def brute_fingerprint(text):
     import xxhash
