@@ -40,10 +40,12 @@ def frequent_digests(rows: DataFrame, tracked: int = TRACKED, top: int = TOP,
                      min_rows: int = MIN_ROWS) -> DataFrame:
     """Verified winners (w_sha, w_keep, w_size) of ``rows`` (doc_id, sha);
     at most about ``top`` rows."""
+    # the last merge has a key, of one value: without a key, a partition that has no
+    # rows gives an empty summary, which this Spark version can't combine
     keyed = rows.select(F.xxhash64("sha").alias("h"), F.spark_partition_id().alias("p"))
     one = (keyed.groupBy((F.col("p") % GROUPS).alias("g"))
            .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
-           .agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+           .groupBy((F.col("g") >= 0).alias("all")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
            .select(F.explode(F.expr(f"approx_top_k_estimate(s, {top})")).alias("e"))
            .where(F.col("e.count") >= min_rows)
            .select(F.col("e.item").alias("h")))
