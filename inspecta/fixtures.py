@@ -4,8 +4,10 @@ The test data is a TPC-H-like star schema plus an ``events`` table; these
 functions map it onto the vehicle feed so every operator runs on data that
 grows with the tables.  Each mapping is a Spark job over the whole table.
 
-F1 history   customer (+ nation, region) with its orders as the test list
-F2 delta     events as change records against an F1 main table
+F1 history   customer (+ nation, region) with its orders as the test list, and
+             supplier as vehicles that were never tested
+F2 delta     events as change records against the F1 main table; some name
+             vehicles that main doesn't have
 F3 series    orders per day per status as daily count series
 F4 feed      F1/F2 written as gz NDJSON feed folders (see sources.feed)
 F5 alerts    events as base64 budget envelopes
@@ -23,8 +25,10 @@ from inspecta.schema import CREATED, DELETED, FAILED, PASSED, UPDATED, VEHICLE
 # Fixed run dates of the fixtures (CURRENT_DATE would make results drift).
 AS_OF_HISTORY = _dt.date(2001, 8, 1)
 AS_OF_DELTA = _dt.date(2024, 1, 31)
-BULK_FEED_DATE = _dt.date(2026, 2, 1)
+BULK_FEED_DATE = _dt.date(2026, 3, 13)
 ABANDONED = "ABANDONED"
+UNTESTED_PREFIX = "S"     # vehicles without tests
+NEW_PREFIX = "N"          # vehicles that only the delta has
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +42,9 @@ def status_result(status: Column) -> Column:
 
 
 def tests_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per test: the orders of vehicles that have a history.
-
-    Vehicles whose key is a multiple of 7 are given no tests so that the
-    never-tested path is exercised (the left join keeps them).
-    """
+    """One row per test: every order."""
     o = table(spark, sf_dir, "orders")
-    return (o.where(F.col("o_custkey") % 7 != 0)
-            .select(F.col("o_custkey").cast("string").alias("registration"),
+    return (o.select(F.col("o_custkey").cast("string").alias("registration"),
                     F.col("o_orderdate").alias("completedDate"),
                     F.col("o_orderkey").alias("motTestNumber"),
                     status_result(F.col("o_orderstatus")).alias("testResult"),
@@ -53,36 +52,43 @@ def tests_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vehicle_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer attributes keyed by the bigint customer key."""
+    """Vehicle attributes: customers by their bigint key, then suppliers, whose
+    ``_key`` is NULL, so that no order is theirs."""
     c = table(spark, sf_dir, "customer")
+    u = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     # nation / region are fixed 25 / 5 row dimensions: broadcasting them is bounded.
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
                       .select("n_nationkey", "n_name", "r_name"))
-    return (c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
-            .select(F.col("c_custkey").alias("_key"),
-                    F.col("c_mktsegment").alias("make"),
+    owners = c.select(F.col("c_custkey").alias("_key"), F.col("c_custkey").cast("string").alias("registration"),
+                      F.col("c_mktsegment").alias("make"), F.col("c_nationkey").alias("_nation"),
+                      F.col("c_acctbal").alias("_balance")).unionByName(
+        u.select(F.lit(None).cast("bigint").alias("_key"),
+                 F.concat(F.lit(UNTESTED_PREFIX), F.col("s_suppkey").cast("string")).alias("registration"),
+                 F.lit("BUILDING").alias("make"), F.col("s_nationkey").alias("_nation"),
+                 F.col("s_acctbal").alias("_balance")))
+    return (owners.join(geo, owners._nation == geo.n_nationkey, "left")
+            .select("_key", "registration", "make",
                     F.col("n_name").alias("model"),
                     F.lower("r_name").alias("primaryColour"),
                     F.lit("Not Stated").alias("secondaryColour"),
-                    F.when(F.col("c_acctbal") >= 0, "PETROL").otherwise("DIESEL").alias("fuelType"),
-                    (F.col("c_nationkey") * 100 + 1000).cast("string").alias("engineSize")))
+                    F.when(F.col("_balance") >= 0, "PETROL").otherwise("DIESEL").alias("fuelType"),
+                    (F.col("_nation") * 100 + 1000).cast("string").alias("engineSize")))
 
 
 def vehicles_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicle attributes without the test list (one row per customer)."""
-    v = _vehicle_attrs(spark, sf_dir)
-    return v.select(F.col("_key").cast("string").alias("registration"), *[c for c in v.columns if c != "_key"])
+    """Vehicle attributes without the test list (one row per vehicle)."""
+    return _vehicle_attrs(spark, sf_dir).drop("_key")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """one nested vehicle record per customer (VEHICLE schema + date tags).
+    """one nested vehicle record per customer and supplier (VEHICLE schema + date tags).
 
     Tests are pre-aggregated per vehicle (on the integer key) before the
     join; a vehicle's list is what the feed itself carries per record.
     """
-    o = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 7 != 0)
+    o = table(spark, sf_dir, "orders")
     test = F.struct(F.col("o_orderdate").alias("completedDate"),
                     F.col("o_orderkey").alias("motTestNumber"),
                     status_result(F.col("o_orderstatus")).alias("testResult"),
@@ -92,8 +98,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _vehicle_attrs(spark, sf_dir).join(per_vehicle, "_key", "left")
     first_day = F.to_date(F.try_element_at("motTests", F.lit(1)).getField("completedDate"))
     out = v.select(
-        F.col("_key").cast("string").alias("registration"),
-        "make", "model", "primaryColour", "secondaryColour", "fuelType", "engineSize",
+        "registration", "make", "model", "primaryColour", "secondaryColour", "fuelType", "engineSize",
         first_day.alias("manufactureDate"), first_day.alias("registrationDate"),
         first_day.alias("firstUsedDate"),
         F.try_element_at("motTests", F.lit(-1)).getField("completedDate").alias("lastMotTestDate"),
@@ -113,6 +118,13 @@ def modification_of(event_id: Column) -> Column:
             .otherwise(F.lit(UPDATED)))
 
 
+def delta_registration(user_id: Column, event_id: Column) -> Column:
+    """The vehicle of an event: its user's, or one that main doesn't have (half of the
+    CREATED events, and half of one kind of DELETED ones)."""
+    new = (event_id % 20).isin(11, 17)
+    return F.when(new, F.concat(F.lit(NEW_PREFIX), user_id.cast("string"))).otherwise(user_id.cast("string"))
+
+
 def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as change records (VEHICLE schema + date tags).
 
@@ -129,7 +141,7 @@ def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("value").cast("string").alias("odometerValue"))
     day = F.to_date("ts")
     return e.select(
-        F.col("user_id").cast("string").alias("registration"),
+        delta_registration(F.col("user_id"), F.col("event_id")).alias("registration"),
         F.upper("event_type").alias("make"),
         F.col("event_type").alias("model"),
         F.lit("silver").alias("primaryColour"),
@@ -147,10 +159,9 @@ def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def main_table(spark: SparkSession, sf_dir: str, as_of=AS_OF_DELTA) -> DataFrame:
-    """F2 main: enriched F1 vehicles except every fifth key (so inserts occur)."""
+    """F2 main: all enriched F1 vehicles."""
     from inspecta.operators.enrich import enrich
-    h = history(spark, sf_dir)
-    return enrich(h.where(F.col("registration").cast("bigint") % 5 != 0), as_of)
+    return enrich(history(spark, sf_dir), as_of)
 
 
 def series_counts(spark: SparkSession, sf_dir: str, with_abandoned: bool = False) -> DataFrame:
@@ -172,7 +183,7 @@ def budget_envelopes(spark: SparkSession, sf_dir: str, budget: float = 50.0) ->
 
 
 # ---- F4: feed folders ----------------------------------------------------------
-BULK_FOLDER = "bulk-light-vehicle_02-02-2026"
+BULK_FOLDER = "bulk-light-vehicle_14-03-2026"
 DELTA_OLD_FOLDER = "delta-light-vehicle_15-01-2024"
 DELTA_NEW_FOLDER = "delta-light-vehicle_31-01-2024"
 DELTA_SPLIT = "2024-01-15 00:00:00"
@@ -195,6 +206,21 @@ def write_feed_fixture(spark: SparkSession, sf_dir: str, root: str | None = None
     return root
 
 
+def weekly_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two weeks of delta records.  The second adds, for every vehicle the first
+    changed, a DELETED record without any date."""
+    e = delta(spark, sf_dir).select(*VEHICLE.fieldNames())
+    first = e.where(F.col("lastMotTestDate") < _split_col())
+    # a vehicle with dated records in the second week too would be decided by those
+    later = e.where(F.col("lastMotTestDate") >= _split_col())
+    second = later.withColumn("registration", F.concat(F.lit("W"), "registration"))
+    gone = first.where(F.col("modification").isin(CREATED, UPDATED)).select("registration").distinct()
+    deletes = gone.select(*[F.lit(DELETED).alias(f.name) if f.name == "modification"
+                            else F.col("registration") if f.name == "registration"
+                            else F.lit(None).cast(f.dataType).alias(f.name) for f in VEHICLE.fields])
+    return first, second.unionByName(deletes)
+
+
 def write_corrupt_feed_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """F2 as one delta folder where 'error' events are truncated JSON lines and
     every 'view' event is followed by a blank line (gz text files)."""

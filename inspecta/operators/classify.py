@@ -2,15 +2,18 @@
 
 Training and serving share one PipelineModel whose first stage upper-cases
 the categorical features, so raw (mixed-case) serving inputs see the same
-encoding as training.  Categorical features keep unseen values in an
-extra bucket; the label keeps a fixed alphabetical order (FAILED, PASSED).
+encoding as training.  A NULL number is scored with the training mean.
+Categorical features keep unseen values in an extra bucket; the label keeps a
+fixed alphabetical order (FAILED, PASSED).  The values of a categorical feature
+are collected to the driver (``StringIndexer``), so a feature whose vocabulary
+grows with the data should be left out of ``features`` or bucketed before.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,36 +49,43 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
 
 
-def _pipeline(reg_param: float, max_iter: int) -> Pipeline:
-    upper = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"upper({c}) AS {c}_u" for c in CATEGORICAL) + " FROM __THIS__")
-    idx = StringIndexer(inputCols=[f"{c}_u" for c in CATEGORICAL],
-                        outputCols=[f"{c}_i" for c in CATEGORICAL], handleInvalid="keep")
-    ohe = OneHotEncoder(inputCols=[f"{c}_i" for c in CATEGORICAL],
-                        outputCols=[f"{c}_v" for c in CATEGORICAL], handleInvalid="keep")
-    num = SQLTransformer(statement="SELECT *, CAST(mileage AS DOUBLE) AS mileage_d, "
-                                   "CAST(vehicle_age AS DOUBLE) AS vehicle_age_d FROM __THIS__")
-    vec = VectorAssembler(inputCols=["mileage_d", "vehicle_age_d"] + [f"{c}_v" for c in CATEGORICAL],
-                          outputCol="features", handleInvalid="keep")
-    lab = StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="alphabetAsc",
-                        handleInvalid="error")
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                            family="binomial", regParam=reg_param, maxIter=max_iter,
-                            standardization=True)
-    return Pipeline(stages=[upper, idx, ohe, num, vec, lab, lr])
-
-
-def fit_pass_fail(training: DataFrame, reg_param: float = 0.0, max_iter: int = 20,
-                  balance: bool = True) -> PipelineModel:
-    """Fit the classifier; ``balance`` adds inverse-frequency class weights."""
-    df = with_class_weights(training) if balance else training.withColumn("weight", F.lit(1.0))
-    # several estimators (indexers, encoder, LR iterations) scan the set:
-    # keep it materialised for the fit (recomputable from lineage if lost)
-    df = df.persist()
+def _pipeline(reg_param: float, max_iter: int, features: list[str], tol: float) -> Pipeline:
+    unknown = set(features) - set(FEATURES)
+    if unknown or not features:
+        raise ValueError(f"features must be some of {FEATURES}")
+    cats, nums = ([f for f in group if f in features] for group in (CATEGORICAL, NUMERIC))
+    stages, inputs = [], []
+    if cats:
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"upper({c}) AS {c}_u" for c in cats) + " FROM __THIS__"))
+        stages.append(StringIndexer(inputCols=[f"{c}_u" for c in cats], outputCols=[f"{c}_i" for c in cats],
+                                    handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}_i" for c in cats], outputCols=[f"{c}_v" for c in cats],
+                                    handleInvalid="keep"))
+        inputs += [f"{c}_v" for c in cats]
+    if nums:
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"CAST({c} AS DOUBLE) AS {c}_d" for c in nums) + " FROM __THIS__"))
+        stages.append(Imputer(inputCols=[f"{c}_d" for c in nums], outputCols=[f"{c}_f" for c in nums], strategy="mean"))
+        inputs = [f"{c}_f" for c in nums] + inputs
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
+    stages.append(StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error"))
+    stages.append(LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", family="binomial",
+                                     regParam=reg_param, maxIter=max_iter, tol=tol, standardization=True))
+    return Pipeline(stages=stages)
+
+
+def fit_pass_fail(training: DataFrame, reg_param: float = 0.0, max_iter: int = 20, balance: bool = True,
+                  features: list[str] = FEATURES, tol: float = 1e-6) -> PipelineModel:
+    """Fit the classifier on some ``features``; ``balance`` adds inverse-frequency class weights."""
+    # the class counts and several estimators scan the set: keep it
+    # materialised for the fit (recomputable from lineage if lost)
+    training = training.persist()
     try:
-        return _pipeline(reg_param, max_iter).fit(df)
+        df = with_class_weights(training) if balance else training.withColumn("weight", F.lit(1.0))
+        return _pipeline(reg_param, max_iter, features, tol).fit(df)
     finally:
-        df.unpersist()
+        training.unpersist()
 
 
 def _labels(model: PipelineModel) -> list[str]:
@@ -132,10 +142,3 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def lookup_one(spark: SparkSession, view: str, registration: str, key: str = "registration") -> DataFrame:
-    """Single-key lookup through parameterised SQL (at most one row, no order)."""
-    return spark.sql(
-        f"SELECT * EXCEPT (motTests) FROM IDENTIFIER(:t) WHERE {key} = :reg LIMIT 1",
-        args={"t": view, "reg": registration})

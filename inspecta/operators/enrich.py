@@ -64,7 +64,7 @@ def enrich_flat(vehicles: DataFrame, tests: DataFrame, as_of=None, on_bad: str =
         *[c for c in vehicles.columns],
         F.col("_last.completedDate").alias("last_test_date"),
         F.coalesce(F.col("_last.testResult"), F.lit(NEVER_MOT)).alias("last_test_result"),
-        to_mileage(F.col("_last.odometerValue"), on_bad).alias("mileage"),
+        to_mileage(F.col("_last.odometerValue"), on_bad, tests.schema["odometerValue"].dataType).alias("mileage"),
         vehicle_age("firstUsedDate", as_of).alias("vehicle_age"),
         F.coalesce("pass_count", F.lit(0)).cast("bigint").alias("pass_count"),
         F.coalesce("fail_count", F.lit(0)).cast("bigint").alias("fail_count"),

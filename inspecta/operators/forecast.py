@@ -1,17 +1,14 @@
 """Daily count series: training set, gap fill, cleaning, holidays, forecasts.
 
-The warehouse forecaster is re-expressed as Spark stages that scale with the
-number of series (one group per series, or per series x candidate order).
-Every group is one daily series, so its size is bounded by the training
-span in days (``years`` x 366), not by the data volume.
+The warehouse forecaster is re-expressed as Spark aggregates and windows over
+all series at once.  A window holds one daily series, so its size is bounded by
+the training span in days (``years`` x 366), not by the data volume.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +29,7 @@ def complete_dates(counts: DataFrame, n_types: int = 2, date_col: str = "test_da
 
 def training_cutoff(counts: DataFrame, n_types: int = 2, date_col: str = "test_date") -> DataFrame:
     """One row: the day of the latest complete timestamp (NULL if none)."""
-    complete = complete_dates(counts, n_types, date_col)
-    return (counts.join(complete, date_col, "left_semi")
+    return (complete_dates(counts, n_types, date_col)
             .agg(F.to_date(F.max(date_col)).alias("cutoff")))
 
 
@@ -85,6 +81,7 @@ def _median(arr):
     return (lo + hi) / 2
 
 
+MIN_VARIANCE = 1e-12   # keeps the likelihood of a series without noise finite
 MAD_TO_SIGMA = 1.4826  # normal-consistent scale of the median absolute deviation
 
 
@@ -115,15 +112,19 @@ def clean_spikes(df: DataFrame, id_col: str = "result_type", date_col: str = "te
 
 # ---- holidays (FC4, J8) -------------------------------------------------------
 def with_holidays(df: DataFrame, date_col: str = "test_date", calendar: DataFrame | None = None,
-                  first_year: int | None = None, last_year: int | None = None) -> DataFrame:
-    """Left join of a holiday calendar on the day (broadcast: 8 rows / year)."""
+                  horizon: int = 0) -> DataFrame:
+    """Left join of a holiday calendar on the day.
+
+    Without a ``calendar`` the rule-based one is made for the years from the
+    series' first day to its last plus ``horizon`` days, and broadcast: 8 rows a
+    year.  A given calendar is joined without a hint."""
     if calendar is None:
-        spark = df.sparkSession
-        if first_year is None or last_year is None:
-            raise ValueError("give a calendar or the year range")
-        calendar = gb_holidays(spark, first_year, last_year)
-    cal = F.broadcast(calendar.select(F.col("holiday_date"), "holiday_name"))
-    return (df.join(cal, F.to_date(df[date_col]) == cal.holiday_date, "left").drop("holiday_date"))
+        lo, hi = df.agg(F.year(F.min(F.to_date(date_col))),
+                        F.year(F.date_add(F.max(F.to_date(date_col)), horizon))).first()
+        # a holiday of the next year may be observed in this one
+        calendar = F.broadcast(gb_holidays(df.sparkSession, (lo or 1) - 1, (hi or 1) + 1))
+    cal = calendar.select("holiday_date", "holiday_name")
+    return df.join(cal, F.to_date(df[date_col]) == cal.holiday_date, "left").drop("holiday_date")
 
 
 def holiday_effect(df: DataFrame, id_col: str = "result_type", value_col: str = "count") -> DataFrame:
@@ -139,7 +140,9 @@ def holiday_effect(df: DataFrame, id_col: str = "result_type", value_col: str =
 # ---- closed-form AR(1) baseline (FC5 SQL form) --------------------------------
 def ar1_baseline(train: DataFrame, id_col: str = "result_type", date_col: str = "test_date",
                  value_col: str = "count") -> DataFrame:
-    """y_t = c + phi * y_{t-1} by least squares per series, plus the last point."""
+    """y_t = c + phi * y_{t-1} by least squares per series, plus the last point.
+
+    Expects a regular (filled) series: the previous row is the previous day."""
     w = Window.partitionBy(id_col).orderBy(date_col)
     y = F.col(value_col).cast("double")
     x = train.select(id_col, date_col, y.alias("_y"), F.lag(y).over(w).alias("_lag"))
@@ -184,230 +187,80 @@ def prediction_output(counts: DataFrame, forecast: DataFrame, as_of=None, days:
     return around(actual.unionByName(fc), "test_date", days, as_of)
 
 
-# ---- order search + fit + forecast (FC5-FC7) ------------------------------------
-# Candidate (p, d, q) orders searched per series; the best is chosen by AIC.
-CANDIDATE_ORDERS = [(p, d, q) for p in (0, 1, 2) for d in (0, 1) for q in (0, 1)]
-_COMMON_START = 2 + 1 + 7 + 1  # max q + long-AR order for max(p, q) = 2, plus one
-KPSS_CRITICAL_5PCT = 0.463     # level stationarity, 5 % (Kwiatkowski et al. 1992)
-
-
-def kpss_level(y: np.ndarray) -> float:
-    """KPSS statistic for level stationarity with a Newey-West variance."""
-    y = np.asarray(y, dtype=float)
-    n = len(y)
-    e = y - y.mean()
-    s = np.cumsum(e)
-    lags = int(np.floor(4 * (n / 100) ** 0.25))
-    lrv = e @ e / n
-    for j in range(1, lags + 1):
-        lrv += 2 * (1 - j / (lags + 1)) * (e[j:] @ e[:-j]) / n
-    return float((s @ s) / (n * n * max(lrv, 1e-12)))
-
-
-def choose_d(y: np.ndarray, max_d: int = 1) -> int:
-    """Smallest d for which the differenced series passes the KPSS test."""
-    z = np.asarray(y, dtype=float)
-    for d in range(max_d):
-        if len(z) < 10 or np.allclose(z, z[0]) or kpss_level(z) <= KPSS_CRITICAL_5PCT:
-            return d
-        z = np.diff(z)
-    return max_d
-
-FIT_SCHEMA = ("result_type string, p int, d int, q int, n bigint, aic double, sigma2 double, "
-              "log_likelihood double, has_holiday_effect boolean, kpss_d int, "
-              "coefs array<double>, last_date date, forecast array<double>, "
-              "standard_error array<double>, status string")
-
-
-def _design(z, e, dow, p, q, start, hol_z=None):
-    """Regressors [1, z lags, e lags, weekday dummies, holiday] for rows start..n-1."""
-    n = len(z)
-    rows = np.arange(start, n)
-    cols = [np.ones(len(rows))]
-    cols += [z[rows - i] for i in range(1, p + 1)]
-    cols += [e[rows - j] for j in range(1, q + 1)]
-    cols += [(dow[rows] == k).astype(float) for k in range(1, 7)]
-    if hol_z is not None:
-        cols.append(hol_z[rows])
-    return np.column_stack(cols), rows
-
-
-def fit_arima_series(y: np.ndarray, dow: np.ndarray, p: int, d: int, q: int, horizon: int,
-                     hol: np.ndarray | None = None, hol_future: np.ndarray | None = None):
-    """Hannan-Rissanen two-stage least squares ARIMA(p,d,q) + weekday and holiday effects.
-
-    ``hol`` flags holidays of the observed days and ``hol_future`` those of
-    the forecast days; the holiday effect is a level shift on the day, so
-    the regressor is the flag differenced like the series.  Returns
-    (n_eff, aic, sigma2, coefs, forecast path, status).  Short or constant
-    series fall back to the recent mean (status 'fallback').
-    """
-    y = np.asarray(y, dtype=float)
-    z = np.diff(y, n=d) if d else y.copy()
-    zdow = dow[d:]
-    n = len(z)
-    hol_z = None
-    if hol is not None and hol_future is not None:
-        h_all = np.concatenate([np.asarray(hol, float), np.asarray(hol_future, float)])
-        hz_all = np.diff(h_all, n=d) if d else h_all
-        hz, hz_future = hz_all[:n], hz_all[n:]
-        if np.any(hz != 0):
-            hol_z = hz
-    k = 1 + p + q + 6 + (1 if hol_z is not None else 0)
-    m = max(p, q) + 7 if q else 0  # long-AR order of the first stage
-    # every candidate order is scored on the same sample (start after the
-    # longest lag any candidate of the search needs), so AICs are comparable
-    start = max(p, q + m, _COMMON_START)
-    if n - start < k + 5 or np.allclose(z, z[0]):
-        level = float(np.mean(y[-28:])) if len(y) else float("nan")
-        return n, float("nan"), float("nan"), [], [level] * horizon, "fallback"
-    e = np.zeros(n)
-    if q:
-        X1 = np.column_stack([np.ones(n - m)] + [z[m - i:n - i] for i in range(1, m + 1)])
-        b1, *_ = np.linalg.lstsq(X1, z[m:], rcond=None)
-        e[m:] = z[m:] - X1 @ b1
-    X, rows = _design(z, e, zdow, p, q, start, hol_z)
-    b, *_ = np.linalg.lstsq(X, z[rows], rcond=None)
-    resid = z[rows] - X @ b
-    n_eff = len(rows)
-    sigma2 = float(resid @ resid / n_eff)
-    loglik = -0.5 * n_eff * (np.log(2 * np.pi * max(sigma2, 1e-12)) + 1)
-    aic = float(-2 * loglik + 2 * (k + 1))
-    e[rows] = resid
-    # recursive forecast of z, future shocks 0, weekday effect of each day
-    zf, ef = list(z), list(e)
-    last_dow = int(zdow[-1]) if len(zdow) else 0
-    path = []
-    for h in range(1, horizon + 1):
-        wd = (last_dow + h) % 7
-        x = [1.0] + [zf[-i] for i in range(1, p + 1)] + [ef[-j] for j in range(1, q + 1)]
-        x += [1.0 if wd == kk else 0.0 for kk in range(1, 7)]
-        if hol_z is not None:
-            x.append(float(hz_future[h - 1]))
-        val = float(np.dot(b, x))
-        zf.append(val)
-        ef.append(0.0)
-        path.append(val)
-    if d:
-        path = list(y[-1] + np.cumsum(path))
-    return n_eff, aic, sigma2, [float(v) for v in b], path, "ok"
-
-
-def forecast_standard_errors(coefs, p: int, d: int, q: int, sigma2: float, horizon: int) -> list[float]:
-    """h-step forecast standard errors from the psi-weights of the fitted ARMA.
-
-    psi_0 = 1, psi_j = theta_j + sum_i phi_i psi_{j-i}; with one difference
-    the weights are cumulated.  Var(h) = sigma2 * sum_{j<h} psi_j^2.
-    """
-    if not coefs or not np.isfinite(sigma2):
-        return [float("nan")] * horizon
-    phi = coefs[1:1 + p]
-    theta = coefs[1 + p:1 + p + q]
-    psi = np.zeros(horizon)
-    psi[0] = 1.0
-    for j in range(1, horizon):
-        v = theta[j - 1] if j <= q else 0.0
-        v += sum(phi[i - 1] * psi[j - i] for i in range(1, p + 1) if j - i >= 0)
-        psi[j] = v
-    if d:
-        psi = np.cumsum(psi)
-    return [float(np.sqrt(sigma2 * np.sum(psi[:h] ** 2))) for h in range(1, horizon + 1)]
-
-
-def _fit_group(horizon: int, holiday_days: frozenset | None):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("test_date")
-        dates = pd.to_datetime(pdf["test_date"])
-        dow = dates.dt.dayofweek.to_numpy()  # Monday = 0
-        p, d, q = (int(pdf[c].iloc[0]) for c in ("p", "d", "q"))
-        hol = hol_f = None
-        if holiday_days is not None:
-            future = [dates.iloc[-1].date() + _dt.timedelta(days=h) for h in range(1, horizon + 1)]
-            hol = np.array([x.date() in holiday_days for x in dates], dtype=float)
-            hol_f = np.array([x in holiday_days for x in future], dtype=float)
-        n, aic, s2, coefs, path, status = fit_arima_series(
-            pdf["y"].to_numpy(), dow, p, d, q, horizon, hol, hol_f)
-        loglik = (-0.5 * n * (np.log(2 * np.pi * max(s2, 1e-12)) + 1)) if status == "ok" else float("nan")
-        kd = choose_d(pdf["y"].to_numpy())
-        se = forecast_standard_errors(coefs, p, d, q, s2, horizon) if status == "ok" else [float("nan")] * horizon
-        return pd.DataFrame([{
-            "result_type": pdf["result_type"].iloc[0], "p": p, "d": d, "q": q, "n": n,
-            "aic": aic, "sigma2": s2, "log_likelihood": float(loglik),
-            "has_holiday_effect": len(coefs) == 1 + p + q + 6 + 1, "kpss_d": kd,
-            "coefs": coefs, "last_date": dates.iloc[-1].date(),
-            "forecast": path, "standard_error": se, "status": status}])
-    return fit
-
-
-def fit_forecast(train: DataFrame, horizon: int = 30, orders=CANDIDATE_ORDERS,
-                 id_col: str = "result_type", date_col: str = "test_date",
-                 value_col: str = "count", holidays: DataFrame | str | None = "GB",
-                 holiday_years: tuple[int, int] = (1990, 2100)) -> DataFrame:
-    """Fit every candidate order to every series: one task per (series, order).
-
-    Input must be a regular daily series (``fill_daily``/``clean_spikes``).
-    Each row is copied once per candidate order with ``explode`` (no join),
-    then grouped; a group is one daily series.  ``holidays`` ('GB', a
-    calendar DataFrame with ``holiday_date``, or None) adds a holiday
-    effect; the calendar is a bounded set (8 days per year) shipped with the
-    task.  Returns one row per (series, order) with AIC, coefficients and
-    the forecast path.
-    """
-    from inspecta.session import ship_package
-    ship_package(train.sparkSession)
-    holiday_days = None
-    if holidays is not None:
-        cal = (gb_holidays(train.sparkSession, *holiday_years) if isinstance(holidays, str)
-               else holidays)
-        holiday_days = frozenset(r[0] for r in cal.select("holiday_date").distinct().collect())
-    grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"))
-                     for p, d, q in orders])
-    x = (train.select(F.col(id_col).alias("result_type"), F.col(date_col).alias("test_date"),
-                      F.col(value_col).cast("double").alias("y"), F.explode(grid).alias("o"))
-         .select("result_type", "test_date", "y", "o.p", "o.d", "o.q"))
-    return x.groupBy("result_type", "p", "d", "q").applyInPandas(_fit_group(horizon, holiday_days), FIT_SCHEMA)
-
-
-def best_fits(fits: DataFrame) -> DataFrame:
-    """Order per series: d from the KPSS test, then (p, q) by lowest AIC.
-
-    AIC compares models of the same differenced series only; fallback fits
-    are used only when nothing else fits.
+# ---- candidate models, choice and forecast (FC5-FC7) ------------------------------
+def fit_forecast(train: DataFrame, id_col: str = "result_type", date_col: str = "test_date",
+                 value_col: str = "count") -> DataFrame:
+    """Three closed-form models per series, all by Spark aggregates over the days.
+
+    * ``ar1``      y_t = c + phi * y_{t-1} by least squares
+    * ``drift``    y_t = y_{t-1} + mean step
+    * ``weekday``  y_t = mean of its weekday
+
+    Input is a regular daily series (``fill_daily`` / ``clean_spikes``).  All are
+    measured on the days that have a day before them, so their AIC compares.
+    One row per (series, model): n (those days), sigma2, log_likelihood, aic,
+    chosen (lowest AIC, then model name), the parameters phi, c and weekdays
+    (weekday -> mean; 1 is Sunday), last_value and last_date.  A series too short
+    for a model (no day before, or ar1 without variance) has NULL there and the
+    model can't be chosen; a series with no fitting model has no forecast.
     """
-    w = Window.partitionBy("result_type").orderBy(
-        (F.col("status") != "ok").asc(), (F.col("d") != F.col("kpss_d")).asc(),
-        F.col("aic").asc_nulls_last(), "p", "d", "q")
-    return fits.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
-
-
-def forecast(fits: DataFrame, horizon: int | None = None, confidence_level: float = 0.95) -> DataFrame:
-    """Forecasts of the best order per series with prediction intervals.
+    w = Window.partitionBy(id_col).orderBy(date_col)
+    y = F.col(value_col).cast("double")
+    x = train.select(F.col(id_col).alias("result_type"), F.col(date_col).alias("test_date"), y.alias("y"),
+                     F.lag(y).over(w).alias("y0"), F.dayofweek(date_col).alias("wd"))
+    means = x.groupBy("result_type", "wd").agg(F.avg("y").alias("m"))
+    week = means.groupBy("result_type").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("wd", "m")))).alias("weekdays"))
+    base = x.groupBy("result_type").agg(
+        F.regr_slope("y", "y0").alias("phi"), F.regr_intercept("y", "y0").alias("c"),
+        F.avg(F.col("y") - F.col("y0")).alias("step"), F.count("y0").alias("n"),
+        F.max_by("y", "test_date").alias("last_value"), F.max("test_date").alias("last_date"))
+    params = base.join(week, "result_type")     # one row per series on both sides
+    e = x.where("y0 is not null").join(params, "result_type").withColumn("fitted", F.array(
+        F.struct(F.lit("ar1").alias("model"), F.lit(2).alias("k"), (F.col("c") + F.col("phi") * F.col("y0")).alias("v")),
+        F.struct(F.lit("drift").alias("model"), F.lit(1).alias("k"), (F.col("y0") + F.col("step")).alias("v")),
+        F.struct(F.lit("weekday").alias("model"), F.lit(7).alias("k"), F.element_at("weekdays", F.col("wd")).alias("v"))))
+    sq = (e.withColumn("f", F.explode("fitted")).groupBy("result_type", "f.model", "f.k")
+          .agg(F.avg((F.col("y") - F.col("f.v")) * (F.col("y") - F.col("f.v"))).alias("sigma2")))
+    s2 = F.greatest(F.col("sigma2"), F.lit(MIN_VARIANCE))
+    loglik = -F.col("n") / 2 * (F.log(F.lit(2 * math.pi) * s2) + 1)
+    fits = (sq.join(params, "result_type").withColumn("log_likelihood", F.when(F.col("sigma2").isNotNull(), loglik))
+            .withColumn("aic", 2 * (F.col("k") + 1) - 2 * F.col("log_likelihood")))
+    best = F.row_number().over(Window.partitionBy("result_type").orderBy(F.col("aic").asc_nulls_last(), "model"))
+    return fits.select(
+        "result_type", "model", "n", "sigma2", "log_likelihood", "aic",
+        ((best == 1) & F.col("aic").isNotNull()).alias("chosen"),
+        F.when(F.col("model") == "ar1", F.col("phi")).when(F.col("model") == "drift", F.lit(1.0)).alias("phi"),
+        F.when(F.col("model") == "ar1", F.col("c")).when(F.col("model") == "drift", F.col("step")).alias("c"),
+        F.when(F.col("model") == "weekday", F.col("weekdays")).alias("weekdays"), "last_value", "last_date")
+
+
+def forecast(fits: DataFrame, horizon: int = 30, confidence_level: float = 0.95) -> DataFrame:
+    """Forecasts of the chosen model per series with prediction intervals.
 
     (forecast_timestamp, result_type, forecast_value, standard_error,
     confidence_level, prediction_interval_lower_bound, ..._upper_bound).
+    ``drift`` is the recursion with phi = 1.
     """
     from statistics import NormalDist
     z = NormalDist().inv_cdf(0.5 + confidence_level / 2)
-    b = best_fits(fits)
-    x = b.select("result_type", "last_date",
-                 F.posexplode(F.arrays_zip("forecast", "standard_error")).alias("i", "f"))
-    if horizon is not None:
-        x = x.where(F.col("i") < horizon)
-    v, se = F.col("f.forecast"), F.col("f.standard_error")
-    return x.select(F.date_add("last_date", F.col("i") + 1).cast("timestamp_ntz").alias("forecast_timestamp"),
-                    "result_type", v.alias("forecast_value"), se.alias("standard_error"),
+    x = fits.where("chosen").withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    day = F.date_add("last_date", F.col("h"))
+    phi, h = F.col("phi"), F.col("h")
+    phi_h = F.pow(phi, h)
+    unit = F.abs(phi) == 1.0
+    path = F.when(phi == 1.0, F.col("c") * h).otherwise(F.col("c") * (1 - phi_h) / (1 - phi)) + phi_h * F.col("last_value")
+    value = F.when(F.col("weekdays").isNotNull(), F.element_at("weekdays", F.dayofweek(day))).otherwise(path)
+    spread = F.when(F.col("weekdays").isNotNull(), F.lit(1.0)).when(unit, h.cast("double")).otherwise(
+        (1 - F.pow(phi, 2 * h)) / (1 - phi * phi))
+    se = F.sqrt(F.col("sigma2") * spread)
+    return x.select(day.cast("timestamp_ntz").alias("forecast_timestamp"), "result_type",
+                    value.alias("forecast_value"), se.alias("standard_error"),
                     F.lit(confidence_level).alias("confidence_level"),
-                    (v - F.lit(z) * se).alias("prediction_interval_lower_bound"),
-                    (v + F.lit(z) * se).alias("prediction_interval_upper_bound"))
+                    (value - F.lit(z) * se).alias("prediction_interval_lower_bound"),
+                    (value + F.lit(z) * se).alias("prediction_interval_upper_bound"))
 
 
 def evaluate_forecast(fits: DataFrame) -> DataFrame:
-    """One row per (series, order): AIC, log-likelihood, variance, holiday
-    effect, fit status and whether the order was chosen."""
-    b = best_fits(fits).select("result_type", "p", "d", "q", F.lit(True).alias("chosen"))
-    return (fits.join(b, ["result_type", "p", "d", "q"], "left")
-            .select("result_type", "p", "d", "q", "n", "aic", "log_likelihood", "sigma2",
-                    "has_holiday_effect", "kpss_d", "status",
-                    F.coalesce("chosen", F.lit(False)).alias("chosen")))
+    """One row per (series, model): days, variance, log-likelihood, AIC and
+    whether the model was chosen."""
+    return fits.select("result_type", "model", "n", "sigma2", "log_likelihood", "aic", "chosen")

@@ -73,18 +73,21 @@ def _check_unique(delta: DataFrame, key: str) -> None:
         raise ValueError(f"delta has more than one record for some {key}; dedupe it first")
 
 
-def _bounded_key_count(keys: DataFrame, bound: int) -> int:
-    """Exact number of keys, counting at most bound + 1 (a cheap size check)."""
-    return keys.limit(bound + 1).count()
-
-
 def choose_strategy(delta: DataFrame, key: str, strategy: str, max_broadcast_keys: int) -> str:
-    if strategy in ("broadcast", "shuffle"):
+    """'broadcast' if the (checkpointed) delta has at most ``max_broadcast_keys`` keys.
+
+    The count is a partial sum per task.  A broadcast that is asked for is
+    checked too: beyond the bound it is refused."""
+    if strategy == "shuffle":
         return strategy
-    if strategy != "auto":
+    if strategy not in ("auto", "broadcast"):
         raise ValueError("strategy must be 'auto', 'broadcast' or 'shuffle'")
-    n = _bounded_key_count(delta.select(key).where(F.col(key).isNotNull()), max_broadcast_keys)
-    return "broadcast" if n <= max_broadcast_keys else "shuffle"
+    n = delta.where(F.col(key).isNotNull()).count()
+    if n <= max_broadcast_keys:
+        return "broadcast"
+    if strategy == "broadcast":
+        raise ValueError(f"{n} delta keys exceed the broadcast bound of {max_broadcast_keys}")
+    return "shuffle"
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
@@ -98,26 +101,33 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 def upsert(main: DataFrame, delta: DataFrame, key: str = "registration", strategy: str = "auto",
            max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS, duplicates: str = "dedupe",
            checkpoint: bool = True, buckets: int | None = None) -> DataFrame:
-    """Apply an enriched, deduped delta to ``main``; returns the new main rows.
+    """Apply an enriched delta to ``main``; returns the new main rows.
 
-    ``duplicates='error'`` raises when the delta has two records for a key
-    (what a MERGE does on duplicate matched source rows).  With
+    A delta with two records for a key: ``duplicates='dedupe'`` keeps the one
+    ``dedupe_delta`` would, ``'error'`` raises (what a MERGE does on duplicate
+    matched source rows), ``'trust'`` skips the test for a delta that is known
+    to be deduped.  Records with a NULL key are all inserted.  A column that
+    the MERGE sets and main has must be in the delta.  With
     ``buckets=N`` and ``main`` read from a table bucketed by the key into N
     buckets (``write_bucketed``), the join form hash-partitions only the
     delta into the same N buckets: main is joined in place.
     """
-    if duplicates == "error":
-        _check_unique(delta, key)
-    elif duplicates == "dedupe":
-        pass
-    else:
-        raise ValueError("duplicates must be 'dedupe' or 'error'")
+    missing = [c for c in MERGE_SET_COLUMNS if c in main.columns and c not in delta.columns]
+    if missing:
+        raise ValueError(f"the delta lacks columns that the merge sets: {missing}")
     delta = valid_delta(delta)   # other or NULL modifications never act (no-op on prepared deltas)
+    if duplicates == "dedupe":
+        named = dedupe_delta(delta.where(F.col(key).isNotNull()), key)
+        delta = named.unionByName(delta.where(F.col(key).isNull()))
+    elif duplicates not in ("error", "trust"):
+        raise ValueError("duplicates must be 'dedupe', 'error' or 'trust'")
     if checkpoint:
         delta = _checkpointed(delta)
+    if duplicates == "error":
+        _check_unique(delta, key)
     chosen = "shuffle" if buckets else choose_strategy(delta, key, strategy, max_broadcast_keys)
     cols = main.columns
-    set_cols = [c for c in MERGE_SET_COLUMNS if c in cols and c in delta.columns]
+    set_cols = [c for c in MERGE_SET_COLUMNS if c in cols]
     extra = [c for c in cols if c != key and c not in set_cols]
     d = delta.select(key, *set_cols)
     writes = d.where(F.col("modification") != DELETED)
@@ -170,11 +180,15 @@ def merge_actions(main: DataFrame, delta: DataFrame, key: str = "registration",
         unmatched = dk.join(matched_keys, key, "left_anti").select(
             key, F.when(is_del, "ignore").otherwise("insert").alias("action"))
         return on_main.unionByName(unmatched)
-    j = mk.withColumn("_m", F.lit(True)).join(dk, key, "full_outer")
+    # NULL keys never match: routed around the join, so that they can't meet in one task
+    null_main = mk.where(F.col(key).isNull()).select(key, F.lit("keep").alias("action"))
+    null_delta = dk.where(F.col(key).isNull()).select(key, F.when(is_del, "ignore").otherwise("insert").alias("action"))
+    j = (mk.where(F.col(key).isNotNull()).withColumn("_m", F.lit(True))
+         .join(dk.where(F.col(key).isNotNull()), key, "full_outer"))
     return j.select(key, F.when(F.col("modification").isNull(), "keep")
                     .when(F.col("_m").isNull() & is_del, "ignore")
                     .when(F.col("_m").isNull(), "insert")
-                    .when(is_del, "delete").otherwise("update").alias("action"))
+                    .when(is_del, "delete").otherwise("update").alias("action")).unionByName(null_main).unionByName(null_delta)
 
 
 def merge_report(main: DataFrame, delta: DataFrame, key: str = "registration", **kw) -> DataFrame:
@@ -183,8 +197,10 @@ def merge_report(main: DataFrame, delta: DataFrame, key: str = "registration", *
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_KEYS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """``df``, checkpointed so that counting and joining don't run its pipeline
+    twice, with a broadcast hint when it has at most ``max_rows`` rows."""
+    df = _checkpointed(df)
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def new_vehicles(main: DataFrame, delta: DataFrame, key: str = "registration",

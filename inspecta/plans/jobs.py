@@ -1,10 +1,13 @@
 """Command-line job runner: ``spark-submit inspecta/plans/jobs.py CMD ...`` or ``python -m inspecta.plans.jobs CMD ...``.
 
     python -m inspecta.plans.jobs bulk-load   --feed ROOT --table PATH [--as-of YYYY-MM-DD]
-    python -m inspecta.plans.jobs weekly      --feed ROOT --table PATH [--latest-only]
+    python -m inspecta.plans.jobs weekly      --feed ROOT --table PATH --checkpoint PATH [--order last_test|feed_date]
     python -m inspecta.plans.jobs counts      --table PATH --out PATH [--days 60]
     python -m inspecta.plans.jobs forecast    --counts PATH --out PATH [--horizon 30]
+    python -m inspecta.plans.jobs view        --counts PATH --forecast PATH --name NAME
     python -m inspecta.plans.jobs train       --table PATH --model PATH
+    python -m inspecta.plans.jobs score       --table PATH --model PATH --out PATH
+    python -m inspecta.plans.jobs lookup      --table PATH --model PATH --registration REG
 
 Each command is one Spark application over the named inputs; outputs are
 parquet tables (versioned for the main table) or a saved ML pipeline.
@@ -32,7 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     w = sub.add_parser("weekly")
     w.add_argument("--feed", required=True)
     w.add_argument("--table", required=True)
-    w.add_argument("--latest-only", action="store_true")
+    w.add_argument("--checkpoint", required=True)
+    w.add_argument("--order", choices=["last_test", "feed_date"], default="last_test")
     c = sub.add_parser("counts")
     c.add_argument("--table", required=True)
     c.add_argument("--out", required=True)
@@ -44,20 +48,30 @@ def main(argv: list[str] | None = None) -> int:
     t = sub.add_parser("train")
     t.add_argument("--table", required=True)
     t.add_argument("--model", required=True)
-    for p in (b, w, c, f, t):
+    v = sub.add_parser("view")
+    for o in ("--counts", "--forecast", "--name"):
+        v.add_argument(o, required=True)
+    s = sub.add_parser("score")
+    for o in ("--table", "--model", "--out"):
+        s.add_argument(o, required=True)
+    k = sub.add_parser("lookup")
+    for o in ("--table", "--model", "--registration"):
+        k.add_argument(o, required=True)
+    for p in (b, w, c, f, t, v, s, k):
         p.add_argument("--as-of")
         p.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     as_of = _date(a.as_of)
 
-    from inspecta.sources.sinks import read_latest, write_daily_counts, write_table
+    from inspecta.sources.sinks import read_daily_counts, read_latest, write_daily_counts, write_table
     if a.cmd == "bulk-load":
         from inspecta.plans.pipelines import bulk_load
         print("version", bulk_load(spark, a.feed, a.table, as_of, a.partitions))
     elif a.cmd == "weekly":
         from inspecta.plans.pipelines import weekly_delta_ingest
-        print("version", weekly_delta_ingest(spark, a.feed, a.table, as_of, latest_only=a.latest_only))
+        for batch, action, rows in weekly_delta_ingest(spark, a.feed, a.table, a.checkpoint, as_of, a.order):
+            print("batch", batch, action, rows)
     elif a.cmd == "counts":
         from inspecta.operators.counts import daily_counts
         write_daily_counts(daily_counts(read_latest(spark, a.table), as_of, a.days), a.out)
@@ -65,12 +79,22 @@ def main(argv: list[str] | None = None) -> int:
         from inspecta.operators.forecast import (
             clean_spikes, fill_daily, fit_forecast, forecast, forecast_training,
         )
-        train = forecast_training(spark.read.parquet(a.counts), as_of)
-        fits = fit_forecast(clean_spikes(fill_daily(train).drop("filled")), a.horizon)
-        write_table(forecast(fits), a.out, "overwrite")
+        train = forecast_training(read_daily_counts(spark, a.counts), as_of)
+        fits = fit_forecast(clean_spikes(fill_daily(train).drop("filled")))
+        write_table(forecast(fits, a.horizon), a.out, "overwrite")
+    elif a.cmd == "view":
+        from inspecta.plans.pipelines import create_chart_view
+        create_chart_view(spark, a.name, a.counts, a.forecast, as_of)
     elif a.cmd == "train":
         from inspecta.operators.classify import fit_pass_fail, pass_fail_training, save_model
         save_model(fit_pass_fail(pass_fail_training(read_latest(spark, a.table))), a.model)
+    elif a.cmd == "score":
+        from inspecta.operators.classify import load_model, score
+        write_table(score(load_model(a.model), read_latest(spark, a.table).drop("motTests")), a.out, "overwrite")
+    elif a.cmd == "lookup":
+        from inspecta.operators.classify import load_model, lookup_score
+        keys = spark.createDataFrame([(a.registration,)], "registration string")
+        lookup_score(load_model(a.model), read_latest(spark, a.table), keys).show(truncate=False)
     return 0
 
 

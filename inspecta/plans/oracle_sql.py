@@ -28,7 +28,7 @@ t AS (
          CASE o_orderstatus WHEN 'F' THEN 'PASSED' WHEN 'O' THEN 'FAILED'
                             WHEN 'P' THEN 'ABANDONED' END AS testResult,
          CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS odometerValue
-  FROM orders WHERE o_custkey % 7 <> 0
+  FROM orders
 ),
 tagg AS (
   SELECT registration,
@@ -42,13 +42,18 @@ tagg AS (
          count(*) AS n_tests
   FROM t GROUP BY registration
 ),
+owners AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS registration, c_mktsegment AS make, c_nationkey AS nation, c_acctbal AS balance
+  FROM customer
+  UNION ALL SELECT 'S' || CAST(s_suppkey AS VARCHAR), 'BUILDING', s_nationkey, s_acctbal FROM supplier
+),
 v AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS registration, c_mktsegment AS make, n_name AS model,
+  SELECT registration, make, n_name AS model,
          lower(r_name) AS primaryColour, 'Not Stated' AS secondaryColour,
-         CASE WHEN c_acctbal >= 0 THEN 'PETROL' ELSE 'DIESEL' END AS fuelType,
-         CAST(c_nationkey * 100 + 1000 AS VARCHAR) AS engineSize
-  FROM customer LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region
-                           ON n_regionkey = r_regionkey) g ON c_nationkey = g.n_nationkey
+         CASE WHEN balance >= 0 THEN 'PETROL' ELSE 'DIESEL' END AS fuelType,
+         CAST(nation * 100 + 1000 AS VARCHAR) AS engineSize
+  FROM owners LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region
+                         ON n_regionkey = r_regionkey) g ON nation = g.n_nationkey
 ),
 hist AS (
   SELECT v.*, CAST(first_ts AS DATE) AS manufactureDate, CAST(first_ts AS DATE) AS registrationDate,
@@ -57,7 +62,7 @@ hist AS (
          CAST(coalesce(n_tests, 0) AS BIGINT) AS n_tests,
          CAST(coalesce(n_pass, 0) AS BIGINT) AS n_pass,
          CAST(coalesce(n_fail, 0) AS BIGINT) AS n_fail,
-         '01-02-2026' AS date, DATE '2026-02-01' AS feed_date
+         '13-03-2026' AS date, DATE '2026-03-13' AS feed_date
   FROM v LEFT JOIN tagg USING (registration)
 ),
 enriched AS ({enrich_sql("hist", AS_OF_HISTORY)})"""
@@ -92,10 +97,29 @@ WHERE CAST(last_test_date AS DATE) >= {AS_OF_HISTORY} - 60
   AND last_test_result IN ('PASSED', 'FAILED')
 GROUP BY 1, 2"""
 
+def newest(name: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT * FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY registration ORDER BY lastMotTestDate DESC, event_id DESC) = 1
+)"""
+
+
+def delta_enriched(name: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT {src}.*, lastMotTestDate AS last_test_date, test_result AS last_test_result,
+         CAST(odometer AS BIGINT) AS mileage,
+         CAST(year({AS_OF_DELTA}) - year(firstUsedDate) AS BIGINT) AS vehicle_age,
+         CAST(test_result = 'PASSED' AS BIGINT) AS pass_count,
+         CAST(test_result = 'FAILED' AS BIGINT) AS fail_count, CAST(1 AS BIGINT) AS n_tests
+  FROM {src}
+)"""
+
+
 # ---- F2: delta records against a main table --------------------------------
 F2 = F1 + f""",
 ev AS (
-  SELECT CAST(user_id AS VARCHAR) AS registration, upper(event_type) AS make, event_type AS model,
+  SELECT CASE WHEN event_id % 20 IN (11, 17) THEN 'N' ELSE '' END || CAST(user_id AS VARCHAR) AS registration,
+         upper(event_type) AS make, event_type AS model,
          'silver' AS primaryColour, CAST(NULL AS VARCHAR) AS secondaryColour, 'ELECTRIC' AS fuelType,
          CAST(NULL AS VARCHAR) AS engineSize, CAST(ts AS DATE) AS manufactureDate,
          CAST(ts AS DATE) AS registrationDate, CAST(ts AS DATE) AS firstUsedDate,
@@ -109,20 +133,10 @@ ev AS (
   FROM events
 ),
 valid AS (SELECT * FROM ev WHERE modification IN ('CREATED', 'UPDATED', 'DELETED')),
-dd AS (
-  SELECT * FROM valid
-  QUALIFY row_number() OVER (PARTITION BY registration ORDER BY lastMotTestDate DESC, event_id DESC) = 1
-),
-de AS (
-  SELECT dd.*, lastMotTestDate AS last_test_date, test_result AS last_test_result,
-         CAST(odometer AS BIGINT) AS mileage,
-         CAST(year({AS_OF_DELTA}) - year(firstUsedDate) AS BIGINT) AS vehicle_age,
-         CAST(test_result = 'PASSED' AS BIGINT) AS pass_count,
-         CAST(test_result = 'FAILED' AS BIGINT) AS fail_count, CAST(1 AS BIGINT) AS n_tests
-  FROM dd
-),
+{newest('dd', 'valid')},
+{delta_enriched('de', 'dd')},
 mall AS ({enrich_sql("hist", AS_OF_DELTA)}),
-mn AS (SELECT * FROM mall WHERE CAST(registration AS BIGINT) % 5 <> 0)"""
+mn AS (SELECT * FROM mall)"""
 
 SET_COLS = ["modification", "make", "model", "primaryColour", "secondaryColour", "fuelType",
             "engineSize", "manufactureDate", "registrationDate", "firstUsedDate", "lastMotTestDate",
@@ -132,22 +146,58 @@ _set = ",\n  ".join(f"CASE WHEN d.registration IS NOT NULL THEN d.{c} ELSE m.{c}
 
 SQL["valid_delta"] = f"WITH {F2} SELECT registration, modification, lastMotTestDate, event_id FROM valid"
 SQL["dedupe_delta"] = f"WITH {F2} SELECT registration, modification, lastMotTestDate, event_id FROM dd"
-SQL["upsert"] = f"""WITH {F2}
-SELECT coalesce(m.registration, d.registration) AS registration,
+def merged(main: str, delta: str) -> str:
+    return f"""SELECT coalesce(m.registration, d.registration) AS registration,
   {_set},
   m.date AS date, m.feed_date AS feed_date
-FROM mn m FULL OUTER JOIN de d ON m.registration = d.registration
+FROM {main} m FULL OUTER JOIN {delta} d ON m.registration = d.registration
 WHERE d.registration IS NULL OR d.modification <> 'DELETED'"""
-SQL["upsert_broadcast"] = SQL["upsert"]
-SQL["upsert_shuffle"] = SQL["upsert"]
-SQL["merge_report"] = f"""WITH {F2}
-SELECT CASE WHEN d.registration IS NULL THEN 'keep'
+
+
+def actions(main: str, delta: str) -> str:
+    return f"""SELECT CASE WHEN d.registration IS NULL THEN 'keep'
             WHEN m.registration IS NULL AND d.modification = 'DELETED' THEN 'ignore'
             WHEN m.registration IS NULL THEN 'insert'
-            WHEN d.modification = 'DELETED' THEN 'delete' ELSE 'update' END AS action,
-       count(*) AS rows
-FROM mn m FULL OUTER JOIN de d ON m.registration = d.registration
-GROUP BY 1"""
+            WHEN d.modification = 'DELETED' THEN 'delete' ELSE 'update' END AS action
+FROM {main} m FULL OUTER JOIN {delta} d ON m.registration = d.registration"""
+
+
+SQL["upsert"] = f"WITH {F2} {merged('mn', 'de')}"
+SQL["upsert_broadcast"] = SQL["upsert"]
+SQL["upsert_shuffle"] = SQL["upsert"]
+SQL["merge_report"] = f"WITH {F2} SELECT action, count(*) AS rows FROM ({actions('mn', 'de')}) GROUP BY 1"
+# records of one event type lose their key, the others are deduped by it
+ODD = F2 + f""",
+named AS (SELECT * FROM valid WHERE model <> 'error'),
+{newest('ddn', 'named')},
+{delta_enriched('den', 'ddn')},
+nameless AS (SELECT * FROM valid WHERE model = 'error'),
+{delta_enriched('denull', 'nameless')}"""
+SQL["upsert_odd_keys"] = f"""WITH {ODD}
+{merged('mn', 'den')}
+UNION ALL
+SELECT NULL, {", ".join(SET_COLS)}, NULL, NULL FROM denull WHERE modification <> 'DELETED'"""
+SQL["merge_report_null_keys"] = f"""WITH {ODD},
+mo AS (SELECT * FROM mn WHERE fuelType <> 'DIESEL'),
+acts AS (
+  {actions('mo', 'den')}
+  UNION ALL SELECT 'keep' FROM mn WHERE fuelType = 'DIESEL'
+  UNION ALL SELECT CASE modification WHEN 'DELETED' THEN 'ignore' ELSE 'insert' END FROM denull
+)
+SELECT action, count(*) AS rows FROM acts GROUP BY 1"""
+# week 1, then week 2 with new vehicles and deletes of all that week 1 changed
+SQL["weekly_delta_ingest"] = f"""WITH {F2},
+v1 AS (SELECT * FROM valid WHERE lastMotTestDate < TIMESTAMP '2024-01-15'),
+{newest('dd1', 'v1')},
+{delta_enriched('de1', 'dd1')},
+m1 AS ({merged('mn', 'de1')}),
+v2 AS (SELECT * REPLACE ('W' || registration AS registration) FROM valid WHERE lastMotTestDate >= TIMESTAMP '2024-01-15'),
+{newest('dd2', 'v2')},
+{delta_enriched('de2', 'dd2')}
+SELECT * FROM m1 WHERE registration NOT IN (SELECT registration FROM v1 WHERE modification <> 'DELETED')
+UNION ALL
+SELECT registration, {", ".join(SET_COLS)}, NULL, NULL FROM de2 WHERE modification <> 'DELETED'"""
+SQL["weekly_rows_affected"] = SQL["merge_report"]
 SQL["new_vehicles"] = f"""WITH {F2}
 SELECT registration, modification, lastMotTestDate, last_test_result, mileage
 FROM de WHERE modification <> 'DELETED'
@@ -161,76 +211,83 @@ SELECT registration, modification, lastMotTestDate, event_id,
 FROM ev"""
 
 # ---- F3: daily count series ------------------------------------------------
-F3 = """
-f3 AS (
-  SELECT o_orderdate AS test_date,
-         CASE o_orderstatus WHEN 'F' THEN 'PASSED' ELSE 'FAILED' END AS result_type,
-         count(*) AS count
-  FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2
-),
-complete AS (
-  SELECT test_date FROM f3 GROUP BY test_date HAVING count(DISTINCT result_type) = 2
+def training(src: str, n_types: int, p: str = "") -> str:
+    """{p}complete and {p}train of the counts ``src`` (test_date, result_type, count)."""
+    return f"""
+{p}complete AS (
+  SELECT test_date FROM {src} GROUP BY test_date HAVING count(DISTINCT result_type) = {n_types}
 ),
-train AS (
+{p}train AS (
   SELECT CAST(test_date AS DATE) AS test_date, result_type, CAST(sum(count) AS BIGINT) AS count
-  FROM f3
-  WHERE CAST(test_date AS DATE) >= CAST(DATE '2001-08-01' - INTERVAL 3 YEAR AS DATE)
-    AND CAST(test_date AS DATE) <= (SELECT CAST(max(test_date) AS DATE) FROM f3
-                                    WHERE test_date IN (SELECT test_date FROM complete))
+  FROM {src}
+  WHERE CAST(test_date AS DATE) BETWEEN CAST({AS_OF_HISTORY} - INTERVAL 3 YEAR AS DATE)
+                                    AND (SELECT CAST(max(test_date) AS DATE) FROM {p}complete)
   GROUP BY 1, 2
-),
-s AS (SELECT CAST(test_date AS DATE) AS test_date, result_type, CAST(count AS DOUBLE) AS y FROM f3),
-span AS (SELECT result_type, min(test_date) AS lo, max(test_date) AS hi FROM s GROUP BY 1),
-grid AS (
+)"""
+
+
+def daily_filled(src: str, p: str = "") -> str:
+    """{p}filled: a row per day from the daily series ``src``, gaps interpolated."""
+    return f"""
+{p}s AS (SELECT CAST(test_date AS DATE) AS test_date, result_type, CAST(count AS DOUBLE) AS y FROM {src}),
+{p}span AS (SELECT result_type, min(test_date) AS lo, max(test_date) AS hi FROM {p}s GROUP BY 1),
+{p}grid AS (
   SELECT result_type, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS test_date
-  FROM span
+  FROM {p}span
 ),
-gj AS (
-  SELECT g.result_type, g.test_date, s.y,
-    last_value(s.y IGNORE NULLS) OVER (PARTITION BY g.result_type ORDER BY g.test_date
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y0,
-    last_value(CASE WHEN s.y IS NOT NULL THEN g.test_date END IGNORE NULLS) OVER (
-      PARTITION BY g.result_type ORDER BY g.test_date
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d0,
-    first_value(s.y IGNORE NULLS) OVER (PARTITION BY g.result_type ORDER BY g.test_date
-      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y1,
-    first_value(CASE WHEN s.y IS NOT NULL THEN g.test_date END IGNORE NULLS) OVER (
-      PARTITION BY g.result_type ORDER BY g.test_date
-      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS d1
-  FROM grid g LEFT JOIN s ON g.result_type = s.result_type AND g.test_date = s.test_date
+{p}near AS (
+  SELECT g.result_type, g.test_date,
+         max(s.test_date) FILTER (WHERE s.test_date <= g.test_date) AS d0,
+         min(s.test_date) FILTER (WHERE s.test_date >= g.test_date) AS d1
+  FROM {p}grid g JOIN {p}s s ON g.result_type = s.result_type AND abs(s.test_date - g.test_date) <= 400
+  GROUP BY ALL
 ),
-filled AS (
-  SELECT result_type, test_date,
-         coalesce(y, y0 + (y1 - y0) * (CAST(test_date - d0 AS DOUBLE) / CAST(d1 - d0 AS DOUBLE))) AS count,
-         y IS NULL AS filled
-  FROM gj
+{p}filled AS (
+  SELECT n.result_type, n.test_date,
+         CASE WHEN d0 = d1 THEN a.y
+              ELSE a.y + (b.y - a.y) * (CAST(n.test_date - d0 AS DOUBLE) / CAST(d1 - d0 AS DOUBLE)) END AS count,
+         d0 <> d1 AS filled
+  FROM {p}near n JOIN {p}s a ON a.result_type = n.result_type AND a.test_date = d0
+                 JOIN {p}s b ON b.result_type = n.result_type AND b.test_date = d1
+)"""
+
+
+def counts_of_orders(name: str, statuses: str) -> str:
+    return f"""
+{name} AS (
+  SELECT o_orderdate AS test_date,
+         CASE o_orderstatus WHEN 'F' THEN 'PASSED' WHEN 'O' THEN 'FAILED' ELSE 'ABANDONED' END AS result_type,
+         count(*) AS count
+  FROM orders WHERE o_orderstatus IN ({statuses}) GROUP BY 1, 2
 )"""
 
+
+F3 = f"""{counts_of_orders('f3', "'F', 'O'")}, {training('f3', 2)}, {daily_filled('f3')}"""
+
 SQL["complete_dates"] = f"WITH {F3} SELECT test_date FROM complete"
-SQL["training_cutoff"] = f"""WITH {F3}
-SELECT CAST(max(test_date) AS DATE) AS cutoff FROM f3 WHERE test_date IN (SELECT test_date FROM complete)"""
+SQL["training_cutoff"] = f"WITH {F3} SELECT CAST(max(test_date) AS DATE) AS cutoff FROM complete"
 SQL["forecast_training"] = f"WITH {F3} SELECT * FROM train"
 SQL["fill_daily"] = f"WITH {F3} SELECT result_type, test_date, round(count, 6) AS count, filled FROM filled"
 
 
-def _spike_sql(mult: float) -> str:
+def without_spikes(src: str, p: str = "") -> str:
+    """{p}clean: values over 3 robust deviations from the rolling median become the median."""
     return f"""
-sw AS (
+{p}sw AS (
   SELECT result_type, test_date, count,
          list(count) OVER (PARTITION BY result_type ORDER BY test_date
                            ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS win
-  FROM filled
+  FROM {src}
 ),
-sm AS (SELECT *, list_median(win) AS med FROM sw),
-sd AS (SELECT *, list_median(list_transform(win, lambda v: abs(v - med))) AS mad FROM sm)"""
+{p}sm AS (SELECT *, list_median(win) AS med FROM {p}sw),
+{p}sd AS (SELECT *, list_median(list_transform(win, lambda v: abs(v - med))) AS mad FROM {p}sm),
+{p}sx AS (SELECT *, abs(count - med) > CAST(3.0 AS DOUBLE) * greatest(CAST(1.4826 AS DOUBLE) * mad, CAST(1.0 AS DOUBLE)) AS is_spike
+          FROM {p}sd),
+{p}clean AS (SELECT result_type, test_date, CASE WHEN is_spike THEN med ELSE count END AS count, is_spike FROM {p}sx)"""
 
 
-_THR = "CAST(3.0 AS DOUBLE) * greatest(CAST(1.4826 AS DOUBLE) * mad, CAST(1.0 AS DOUBLE))"
-SQL["clean_spikes"] = f"""WITH {F3}, {_spike_sql(0)}
-SELECT result_type, test_date,
-       round(CASE WHEN abs(count - med) > {_THR} THEN med ELSE count END, 6) AS count,
-       abs(count - med) > {_THR} AS is_spike
-FROM sd"""
+SQL["clean_spikes"] = f"""WITH {F3}, {without_spikes('filled')}
+SELECT result_type, test_date, round(count, 6) AS count, is_spike FROM clean"""
 
 # Bank-holiday rules (England & Wales) evaluated in SQL; Easter by the
 # anonymous Gregorian computus.  DuckDB dayofweek: 0 = Sunday.
@@ -275,11 +332,11 @@ mw AS (SELECT *, avg(count) OVER (PARTITION BY result_type) AS mean FROM wh)
 SELECT result_type, holiday_name, round(avg(count - mean), 6) AS effect, count(*) AS days
 FROM mw WHERE holiday_name IS NOT NULL GROUP BY 1, 2"""
 
-AR1 = """
+AR1 = f"""{daily_filled('train', 't_')},
 lagged AS (
   SELECT result_type, test_date, CAST(count AS DOUBLE) AS y,
          lag(CAST(count AS DOUBLE)) OVER (PARTITION BY result_type ORDER BY test_date) AS ylag
-  FROM train
+  FROM t_filled
 ),
 ar1 AS (
   SELECT result_type, regr_slope(y, ylag) AS phi, regr_intercept(y, ylag) AS c,
@@ -312,7 +369,7 @@ WHERE test_date >= DATE '2001-08-01' - 30 AND test_date <= DATE '2001-08-01' + 3
 F4 = F2 + """,
 feed AS (
   SELECT registration, modification, lastMotTestDate, firstUsedDate, make, engineSize,
-         DATE '2026-02-01' AS feed_date, '01-02-2026' AS date, n_tests, 'bulk' AS kind
+         DATE '2026-03-13' AS feed_date, '13-03-2026' AS date, n_tests, 'bulk' AS kind
   FROM hist
   UNION ALL
   SELECT registration, modification, lastMotTestDate, firstUsedDate, make, engineSize,
@@ -325,12 +382,12 @@ FEED_COLS = "registration, modification, lastMotTestDate, firstUsedDate, make, e
 
 SQL["feed_round_trip"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed"
 SQL["feed_stats"] = f"""WITH {F4}
-SELECT CASE WHEN kind = 'bulk' THEN 'bulk-light-vehicle_02-02-2026'
+SELECT CASE WHEN kind = 'bulk' THEN 'bulk-light-vehicle_14-03-2026'
             WHEN feed_date = DATE '2024-01-14' THEN 'delta-light-vehicle_15-01-2024'
             ELSE 'delta-light-vehicle_31-01-2024' END AS folder, count(*) AS records
 FROM feed GROUP BY 1"""
 SQL["latest_feed"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed WHERE kind = 'delta' AND feed_date = DATE '2024-01-30'"
-SQL["feed_zip"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed WHERE kind = 'delta'"
+SQL["feed_zip"] = SQL["feed_round_trip"]
 SQL["feed_corrupt_split"] = f"""WITH {F2}
 SELECT registration, modification, lastMotTestDate, DATE '2024-01-30' AS feed_date
 FROM ev WHERE model <> 'error'"""
@@ -344,14 +401,18 @@ SELECT registration, modification, last_test_result, mileage, vehicle_age FROM d
 SQL["main_by_day"] = f"""WITH {F1}
 SELECT CAST(lastMotTestDate AS DATE) AS p_day, count(*) AS vehicles FROM hist GROUP BY 1"""
 SQL["counts_by_month"] = f"""WITH {F3}
-SELECT test_date, result_type, count, CAST(date_trunc('month', test_date) AS DATE) AS p_month FROM f3"""
+SELECT test_date, result_type, count, CAST(date_trunc('month', test_date) AS DATE) AS p_month FROM f3
+WHERE test_date >= TIMESTAMP '2001-05-10'"""
 SQL["flat_export"] = f"""WITH {F1}
 SELECT date, registration, make, model, primaryColour, secondaryColour, fuelType, engineSize,
        coalesce(strftime(manufactureDate, '%Y-%m-%d'), '') AS manufactureDate,
        coalesce(strftime(registrationDate, '%Y-%m-%d'), '') AS registrationDate,
        coalesce(strftime(firstUsedDate, '%Y-%m-%d'), '') AS firstUsedDate,
        coalesce(strftime(lastMotTestDate, '%Y-%m-%dT%H:%M:%S'), '') AS lastMotTestDate,
-       modification, CAST(n_tests AS INTEGER) AS motTestCount
+       modification, CAST(n_tests AS INTEGER) AS motTestCount,
+       '[' || coalesce(array_to_string(list_transform(tests, lambda x:
+         '{{"completedDate":"' || strftime(x.completedDate, '%Y-%m-%dT%H:%M:%S.%g') || '","motTestNumber":' || x.motTestNumber
+         || ',"testResult":"' || x.testResult || '","odometerValue":"' || x.odometerValue || '"}}'), ','), '') || ']' AS motTests
 FROM hist"""
 SQL["versioned_upsert"] = SQL["upsert"]
 
@@ -382,7 +443,6 @@ WHERE registration IN (SELECT registration FROM ev)"""
 # Each delta record keeps the feed date of its folder; the merge does not set it.
 SQL["stream_ingest"] = SQL["feed_round_trip"]
 SQL["stream_upsert"] = SQL["upsert"]
-SQL["weekly_delta_ingest"] = SQL["upsert"]
 SQL["prediction_view"] = SQL["prediction_output"]
 SQL["budget_overruns"] = """
 SELECT event_id, value AS costAmount, CAST(50.0 AS DOUBLE) AS budgetAmount
@@ -391,26 +451,125 @@ FROM events WHERE value > 50.0"""
 SQL["feed_infer"] = f"""WITH {F4}
 SELECT registration, modification, strftime(lastMotTestDate, '%Y-%m-%dT%H:%M:%S.%f') AS lastMotTestDate,
        feed_date
-FROM feed WHERE kind = 'delta'"""
+FROM feed"""
 SQL["read_latest_feed"] = SQL["latest_feed"]
-SQL["sql_enrich"] = SQL["enrich"]
-SQL["sql_dedupe"] = SQL["dedupe_delta"]
-SQL["sql_daily_counts"] = SQL["daily_counts"]
-SQL["sql_forecast_training"] = SQL["forecast_training"]
-SQL["sql_logreg_training"] = SQL["pass_fail_training"]
-SQL["sql_prediction_output"] = SQL["prediction_output"]
-# The sample load keeps the first 10,000 records; below that size it is every bulk record.
-SQL["feed_limit"] = f"WITH {F4} SELECT registration, feed_date FROM feed WHERE kind = 'bulk' LIMIT 10000"
+SQL["feed_limit"] = f"""WITH {F4}
+SELECT registration, feed_date FROM feed WHERE kind = 'bulk' ORDER BY registration LIMIT 100"""
 SQL["upsert_bucketed"] = SQL["upsert"]
 SQL["bulk_load"] = SQL["enrich"]
 SQL["normalise_feed"] = f"""WITH {F4}
 SELECT registration, modification, lastMotTestDate, date,
-       CASE WHEN kind = 'bulk' THEN 'bulk-light-vehicle_02-02-2026'
+       CASE WHEN kind = 'bulk' THEN 'bulk-light-vehicle_14-03-2026'
             WHEN feed_date = DATE '2024-01-14' THEN 'delta-light-vehicle_15-01-2024'
             ELSE 'delta-light-vehicle_31-01-2024' END AS folder,
        n_tests
 FROM feed"""
 SQL["budget_overruns_stream"] = SQL["budget_overruns"]
-SQL["sql_reg_lookup"] = f"""WITH {F1}
-SELECT registration, mileage, vehicle_age, make, model, primaryColour FROM enriched
-WHERE registration = (SELECT CAST(user_id AS VARCHAR) FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)"""
+
+# ---- classifier on one category: the weighted share of passes of each make ---------
+def pass_share(name: str, balanced: bool) -> str:
+    weight = "sum(count(*)) OVER () / (2 * count(*))" if balanced else "1"
+    return f"""
+{name}w AS (SELECT last_test_result, CAST({weight} AS DOUBLE) AS w FROM tr GROUP BY 1),
+{name} AS (
+  SELECT make, sum(w) FILTER (WHERE last_test_result = 'PASSED') / sum(w) AS p
+  FROM tr JOIN {name}w USING (last_test_result) GROUP BY 1
+)"""
+
+
+SCORED = "CASE WHEN p > 0.5 THEN 'PASSED' ELSE 'FAILED' END AS predicted_last_test_result, round(p, 4) AS pass_probability"
+SQL["score"] = f"""WITH {F1}, {TRAIN}, {pass_share('sh', True)}
+SELECT registration, {SCORED} FROM enriched JOIN sh USING (make)"""
+SQL["model_round_trip"] = f"""WITH {F1}, {TRAIN}, {pass_share('sh', False)}
+SELECT registration, {SCORED} FROM enriched JOIN sh USING (make)"""
+SQL["score_all_features"] = f"WITH {F1} SELECT registration, true AS has_probability FROM enriched"
+SQL["lookup_score"] = f"""WITH {F2}, {TRAIN}, {pass_share('sh', True)}
+SELECT registration, mileage, vehicle_age, make, model, primaryColour, {SCORED}
+FROM enriched JOIN sh USING (make) WHERE registration IN (SELECT registration FROM ev)"""
+SQL["what_if_score"] = f"""WITH {F1}, {TRAIN}, {pass_share('sh', True)}
+SELECT CAST(40000 AS BIGINT) AS mileage, CAST(7 AS BIGINT) AS vehicle_age, 'Machinery' AS make, 'any' AS model,
+       'blue' AS primaryColour, {SCORED} FROM sh WHERE make = 'MACHINERY'"""
+
+
+# ---- candidate models per series, chosen by AIC, and their forecasts ----------------
+def models(src: str) -> str:
+    return f"""
+x AS (SELECT result_type, test_date, count AS y,
+             lag(count) OVER (PARTITION BY result_type ORDER BY test_date) AS y0 FROM {src}),
+week AS (SELECT result_type, dayofweek(test_date) AS wd, avg(y) AS m FROM x GROUP BY 1, 2),
+base AS (
+  SELECT result_type, regr_slope(y, y0) AS phi, regr_intercept(y, y0) AS c, avg(y - y0) AS step,
+         count(y0) AS n, arg_max(y, test_date) AS last_value, max(test_date) AS last_date
+  FROM x GROUP BY 1
+),
+fitted AS (
+  SELECT x.result_type, y, c + phi * y0 AS ar1, y0 + step AS drift, m AS weekday
+  FROM x JOIN base USING (result_type)
+         JOIN week ON week.result_type = x.result_type AND wd = dayofweek(test_date)
+  WHERE y0 IS NOT NULL
+),
+sq AS (
+  SELECT result_type, 'ar1' AS model, 2 AS k, avg((y - ar1) ** 2) AS sigma2 FROM fitted GROUP BY 1
+  UNION ALL SELECT result_type, 'drift', 1, avg((y - drift) ** 2) FROM fitted GROUP BY 1
+  UNION ALL SELECT result_type, 'weekday', 7, avg((y - weekday) ** 2) FROM fitted GROUP BY 1
+),
+likely AS (
+  SELECT *, -n / 2.0 * (ln(2 * pi() * greatest(sigma2, 1e-12)) + 1) AS log_likelihood FROM sq JOIN base USING (result_type)
+),
+fits AS (
+  SELECT *, 2 * (k + 1) - 2 * log_likelihood AS aic,
+         row_number() OVER (PARTITION BY result_type ORDER BY 2 * (k + 1) - 2 * log_likelihood NULLS LAST, model) = 1 AS chosen
+  FROM likely
+),
+steps AS (
+  SELECT f.*, CAST(last_date + h AS TIMESTAMP) AS forecast_timestamp, h,
+         CASE model WHEN 'ar1' THEN phi WHEN 'drift' THEN 1.0 END AS a,
+         CASE model WHEN 'ar1' THEN c WHEN 'drift' THEN step END AS b, m
+  FROM (SELECT *, CAST(unnest(range(1, 31)) AS INTEGER) AS h FROM fits WHERE chosen) f
+       LEFT JOIN week ON week.result_type = f.result_type AND wd = dayofweek(last_date + h)
+),
+ahead AS (
+  SELECT forecast_timestamp, result_type,
+         CASE WHEN model = 'weekday' THEN m WHEN a = 1 THEN b * h + last_value
+              ELSE b * (1 - pow(a, h)) / (1 - a) + pow(a, h) * last_value END AS forecast_value,
+         sqrt(sigma2 * CASE WHEN model = 'weekday' THEN 1 WHEN abs(a) = 1 THEN h
+                            ELSE (1 - pow(a, 2 * h)) / (1 - a * a) END) AS standard_error
+  FROM steps
+)"""
+
+
+Z = "1.959963984540054"     # of a 95 % interval
+FITS = f"""{counts_of_orders('f3a', "'F', 'O', 'P'")}, {training('f3a', 3, 'a_')}, {daily_filled('a_train', 'a_')},
+{without_spikes('a_filled', 'a_')}, {models('a_clean')}"""
+SQL["fit_forecast"] = f"""WITH {FITS}
+SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(log_likelihood, 4) AS log_likelihood, round(aic, 4) AS aic,
+       round(CASE model WHEN 'ar1' THEN phi WHEN 'drift' THEN 1.0 END, 4) AS phi,
+       round(CASE model WHEN 'ar1' THEN c WHEN 'drift' THEN step END, 4) AS c, round(last_value, 4) AS last_value, last_date
+FROM fits"""
+SQL["evaluate_forecast"] = f"""WITH {FITS}
+SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(log_likelihood, 4) AS log_likelihood,
+       round(aic, 4) AS aic, chosen FROM fits"""
+SQL["forecast"] = f"""WITH {FITS}
+SELECT forecast_timestamp, result_type, round(forecast_value, 4) AS forecast_value, round(standard_error, 4) AS standard_error,
+       CAST(0.95 AS DOUBLE) AS confidence_level,
+       round(forecast_value - {Z} * standard_error, 4) AS prediction_interval_lower_bound,
+       round(forecast_value + {Z} * standard_error, 4) AS prediction_interval_upper_bound
+FROM ahead"""
+
+
+def chart(counts: str) -> str:
+    """Days within 30 of the run date: counts before it, forecasts (not below 0) from it."""
+    return f"""
+SELECT test_date, chart_series, round(value, 4) AS count FROM (
+  SELECT CAST(forecast_timestamp AS DATE) AS test_date, result_type || ' - FORECAST' AS chart_series,
+         CASE WHEN forecast_value < 0 THEN 0.0 ELSE forecast_value END AS value
+  FROM ahead WHERE CAST(forecast_timestamp AS DATE) BETWEEN {AS_OF_HISTORY} AND {AS_OF_HISTORY} + 30
+  UNION ALL
+  SELECT CAST(test_date AS DATE), result_type || ' - ACTUAL', CAST(count AS DOUBLE)
+  FROM {counts} WHERE CAST(test_date AS DATE) BETWEEN {AS_OF_HISTORY} - 30 AND {AS_OF_HISTORY} - 1
+)"""
+
+
+SQL["forecast_blend"] = f"""WITH {counts_of_orders('f3', "'F', 'O'")}, {FITS} {chart('f3')}"""
+SQL["analytics_chain"] = f"""WITH {F1}, {DAILY}, {training('daily', 2, 'a_')}, {daily_filled('a_train', 'a_')},
+{without_spikes('a_filled', 'a_')}, {models('a_clean')} {chart('daily')}"""

@@ -9,9 +9,9 @@ from inspecta.operators.enrich import enrich
 from inspecta.operators.forecast import (
     clean_spikes, fill_daily, fit_forecast, forecast, forecast_training, prediction_output,
 )
-from inspecta.operators.merge import prepare_delta, upsert
+from inspecta.schema import ACTUAL_SUFFIX, FORECAST_SUFFIX
 from inspecta.sources.feed import read_feed, split_corrupt
-from inspecta.sources.sinks import read_latest, write_version
+from inspecta.sources.sinks import write_version
 
 
 def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None,
@@ -26,19 +26,20 @@ def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None,
     return write_version(enrich(good.drop("_source_file"), as_of), table)
 
 
-def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, as_of=None,
-                        latest_only: bool = False, **upsert_kw) -> int:
-    """Delta feed -> valid -> dedupe -> enrich -> upsert -> next table version.
+def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, checkpoint: str, as_of=None,
+                        order: str = "last_test", **upsert_kw) -> list[tuple[int, str, int]]:
+    """New delta files -> valid -> dedupe -> enrich -> upsert -> next table version.
 
-    The dedupe shuffles the delta by registration, which also rebalances
-    rows parsed from a single large gz file.
+    The job is a file stream that runs until it has taken all files present
+    (``availableNow``).  ``checkpoint`` remembers them, so each is applied once
+    and a vehicle that a later delta deletes stays deleted.  Returns the rows
+    affected: (batch, action, rows); empty if there was no new file.
     """
-    from inspecta.sources.feed import read_latest_feed
-    df = (read_latest_feed(spark, feed_root, kind="delta") if latest_only
-          else read_feed(spark, feed_root, kind="delta"))
-    good, _bad = split_corrupt(df)
-    prepared = prepare_delta(good.drop("_source_file"), as_of)
-    return write_version(upsert(read_latest(spark, table), prepared, **upsert_kw), table)
+    from inspecta.streaming.streams import start_upsert, stream_feed
+    report: list[tuple[int, str, int]] = []
+    start_upsert(stream_feed(spark, feed_root, kind="delta"), table, checkpoint, as_of, order=order,
+                 report=report, **upsert_kw).awaitTermination()
+    return report
 
 
 def analytics(main: DataFrame, as_of=None, horizon: int = 30, years: int = 3) -> dict[str, DataFrame]:
@@ -51,8 +52,7 @@ def analytics(main: DataFrame, as_of=None, horizon: int = 30, years: int = 3) ->
     ensure_checkpoint_dir(main.sparkSession)
     counts = daily_counts(main, as_of).checkpoint(eager=True)
     train = forecast_training(counts, as_of, years)
-    fits = fit_forecast(clean_spikes(fill_daily(train).drop("filled")), horizon)
-    fc = forecast(fits)
+    fc = forecast(fit_forecast(clean_spikes(fill_daily(train).drop("filled"))), horizon)
     return {"daily_counts": counts, "forecast": fc,
             "prediction_output": prediction_output(counts, fc, as_of)}
 
@@ -62,3 +62,22 @@ def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> list[st
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return sorted(frames)
+
+
+def create_chart_view(spark: SparkSession, name: str, counts_path: str, forecast_path: str,
+                      as_of=None, days: int = 30) -> str:
+    """A persistent view of the session's catalog that blends the stored counts and
+    forecasts when it is read; without ``as_of`` it moves with the current day."""
+    day = "current_date()" if as_of is None else f"DATE '{as_of}'"
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {name} AS
+        SELECT * FROM (
+          SELECT to_date(test_date) AS test_date, result_type || '{ACTUAL_SUFFIX}' AS chart_series,
+                 CAST(count AS DOUBLE) AS count
+          FROM parquet.`{counts_path}` WHERE to_date(test_date) < {day}
+          UNION ALL
+          SELECT to_date(forecast_timestamp), result_type || '{FORECAST_SUFFIX}',
+                 if(forecast_value IS NULL, NULL, greatest(forecast_value, 0D))
+          FROM parquet.`{forecast_path}` WHERE to_date(forecast_timestamp) >= {day})
+        WHERE test_date BETWEEN {day} - INTERVAL {int(days)} DAY AND {day} + INTERVAL {int(days)} DAY""")
+    return name

@@ -19,23 +19,21 @@ from inspecta.operators.forecast import (
 )
 from inspecta.operators.classify import (
     FEATURES, class_weights, fit_pass_fail, load_model, lookup, lookup_score, pass_fail_training,
-    save_model, score, what_if_score,
+    save_model, score, what_if, what_if_score,
 )
 from inspecta.functions.columns import pass_probability
-from inspecta.plans.pipelines import analytics, bulk_load, register_views, weekly_delta_ingest
-from inspecta.plans.spark_sql import (
-    daily_counts_sql, dedupe_sql, enrich_sql, forecast_training_sql, logreg_training_sql,
-    prediction_output_sql, reg_lookup_sql,
+from inspecta.plans.pipelines import (
+    analytics, bulk_load, create_chart_view, register_views, weekly_delta_ingest,
 )
 from inspecta.schema import VEHICLE
 from inspecta.session import scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
 from inspecta.sources.feed import (
     feed_glob, feed_stats, latest_feed, normalise_feed, read_feed, read_feed_zip, read_latest_feed,
-    split_corrupt, write_feed_zip,
+    split_corrupt, write_feed, write_feed_zip,
 )
 from inspecta.sources.sinks import (
-    create_main, read_latest, stage, to_flat, write_bucketed, write_daily_counts, write_table,
+    create_main, read_latest, stage, write_bucketed, write_csv, write_daily_counts, write_table,
     write_version,
 )
 
@@ -149,6 +147,29 @@ def q_upsert_shuffle(spark, d):
     return _upsert(spark, d, "shuffle")
 
 
+def _odd_delta(spark, d):
+    """Every record of the delta, not deduped; those of one event type lose their key."""
+    e = valid_delta(fx.delta(spark, d))
+    return enrich(e.withColumn("registration", F.when(F.col("model") != "error", F.col("registration"))), fx.AS_OF_DELTA)
+
+
+@query
+def q_upsert_odd_keys(spark, d):
+    """Repeated keys are deduped by the merge, records without a key are all inserted."""
+    main = fx.main_table(spark, d, fx.AS_OF_DELTA)
+    return _with_n_tests(upsert(main, _odd_delta(spark, d).drop("event_id"), strategy="shuffle")).select(*UPSERT_COLS)
+
+
+@query
+def q_merge_report_null_keys(spark, d):
+    """Merge actions when both sides have NULL keys (joined by a shuffle)."""
+    main = fx.main_table(spark, d, fx.AS_OF_DELTA)
+    main = main.withColumn("registration", F.when(F.col("fuelType") != "DIESEL", F.col("registration")))
+    odd = _odd_delta(spark, d)
+    delta = dedupe_delta(odd.where("registration is not null")).unionByName(odd.where("registration is null"))
+    return merge_report(main, delta, strategy="shuffle")
+
+
 @query
 def q_merge_report(spark, d):
     main, prepared = _merge_inputs(spark, d)
@@ -218,8 +239,7 @@ def q_clean_spikes(spark, d):
 
 
 def _holidays(spark, d):
-    return with_holidays(fill_daily(_f3_daily(spark, d)).drop("filled"),
-                         first_year=1990, last_year=2030)
+    return with_holidays(fill_daily(_f3_daily(spark, d)).drop("filled"))
 
 
 @query
@@ -234,12 +254,12 @@ def q_holiday_effect(spark, d):
 
 @query
 def q_ar1_baseline(spark, d):
-    p = ar1_baseline(_training(spark, d))
+    p = ar1_baseline(fill_daily(_training(spark, d)))
     return p.withColumn("phi", F.round("phi", 6)).withColumn("c", F.round("c", 6))
 
 
 def _ar1_forecast(spark, d, horizon=30):
-    return ar1_forecast(ar1_baseline(_training(spark, d)), horizon)
+    return ar1_forecast(ar1_baseline(fill_daily(_training(spark, d))), horizon)
 
 
 @query
@@ -248,32 +268,35 @@ def q_prediction_output(spark, d):
     return out.withColumn("count", F.round("count", 4))
 
 
-def _multi_series_fits(spark, d, horizon=30):
+def _fits(spark, d):
     counts = fx.series_counts(spark, d, with_abandoned=True)
     train = forecast_training(counts, fx.AS_OF_HISTORY, n_types=3)
-    clean = clean_spikes(fill_daily(train).drop("filled"))
-    return fit_forecast(clean, horizon)
+    return fit_forecast(clean_spikes(fill_daily(train).drop("filled")))
+
+
+def _rounded(df, digits=4):
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType == T.DoubleType() else f.name for f in df.schema])
 
 
 @query
 def q_fit_forecast(spark, d):
-    return _multi_series_fits(spark, d).drop("coefs", "forecast")
+    return _rounded(_fits(spark, d).drop("weekdays", "chosen"))
 
 
 @query
 def q_forecast(spark, d):
-    return forecast(_multi_series_fits(spark, d))
+    return _rounded(forecast(_fits(spark, d)))
 
 
 @query
 def q_evaluate_forecast(spark, d):
-    return evaluate_forecast(_multi_series_fits(spark, d))
+    return _rounded(evaluate_forecast(_fits(spark, d)))
 
 
 @query
 def q_forecast_blend(spark, d):
-    """Blend of actual counts with the searched-order forecast (model output)."""
-    return prediction_output(_f3(spark, d), forecast(_multi_series_fits(spark, d)), fx.AS_OF_HISTORY)
+    """Blend of actual counts with the chosen model's forecast."""
+    return _rounded(prediction_output(_f3(spark, d), forecast(_fits(spark, d)), fx.AS_OF_HISTORY))
 
 
 # ---- feed I/O (SRC1-SRC10) ------------------------------------------------------
@@ -316,9 +339,9 @@ def q_feed_corrupt_rows(spark, d):
 @query
 def q_feed_zip(spark, d):
     root = fx.write_feed_fixture(spark, d)
-    gz = spark.read.format("binaryFile").load(feed_glob(root, "delta"))
-    write_feed_zip(gz, root).collect()  # writes one archive per folder
-    good, _bad = split_corrupt(read_feed_zip(spark, root, kind="delta"))
+    gz = spark.read.format("binaryFile").load(feed_glob(root))
+    write_feed_zip(gz, root).write.format("noop").mode("overwrite").save()  # writes one archive per folder
+    good, _bad = split_corrupt(read_feed_zip(spark, root, kind=None))
     return _with_n_tests(good).select(*FEED_COLS)
 
 
@@ -326,15 +349,15 @@ def q_feed_zip(spark, d):
 def q_feed_infer(spark, d):
     """Schema inferred from the data (dates stay text, as autodetect would see them)."""
     root = fx.write_feed_fixture(spark, d)
-    return read_feed(spark, root, kind="delta", schema=None).select(
+    return read_feed(spark, root, kind=None, schema=None).select(
         "registration", "modification", "lastMotTestDate", "feed_date")
 
 
 @query
 def q_feed_limit(spark, d):
-    """First n records of the bulk feed (the reference's sample load)."""
+    """The first 100 records of the bulk feed by registration (a sample load)."""
     root = fx.write_feed_fixture(spark, d)
-    return read_feed(spark, root, kind="bulk", limit=10_000).select("registration", "feed_date")
+    return read_feed(spark, root, kind="bulk", limit=100, limit_order=["registration"]).select("registration", "feed_date")
 
 
 # ---- sinks (SNK1-SNK3, SNK6, SNK8) ------------------------------------------------
@@ -361,15 +384,19 @@ def q_counts_by_month(spark, d):
     path = scratch_dir(spark, "counts")
     counts = fx.series_counts(spark, d)
     write_daily_counts(counts, path)
-    # refresh the last two months only: other months must stay as written
-    recent_counts = counts.where(F.col("test_date") >= F.lit("2001-06-01").cast("timestamp_ntz"))
-    write_daily_counts(recent_counts, path)
+    # a refresh from the middle of a month: the table holds the last run only
+    write_daily_counts(counts.where(F.col("test_date") >= F.lit("2001-05-10").cast("timestamp_ntz")), path)
     return spark.read.parquet(path).select("test_date", "result_type", "count", "p_month")
 
 
 @query
 def q_flat_export(spark, d):
-    return to_flat(fx.history(spark, d)).drop("motTests")
+    """Written as CSV and read back (quotes doubled), all 15 columns."""
+    path = scratch_dir(spark, "flat")
+    write_csv(fx.history(spark, d), path)
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    text = [F.coalesce(c, F.lit("")).alias(c) for c in back.columns if c != "motTestCount"]
+    return back.select(*text, F.col("motTestCount").cast("int"))
 
 
 @query
@@ -421,40 +448,56 @@ def q_lookup(spark, d):
         "registration", "mileage", "vehicle_age", "make", "model", "primaryColour")
 
 
-def _model(spark, d):
-    return fit_pass_fail(_training_set(spark, d))
+def _model(spark, d, balance=True):
+    # on one category, without a penalty and to convergence, the fitted probability
+    # is the weighted share of passes of that category
+    return fit_pass_fail(_training_set(spark, d), balance=balance, features=["make"], max_iter=200, tol=1e-12)
+
+
+def _scored(df):
+    return df.select(*[c for c in df.columns if c not in ("predicted_last_test_result_probs", "pass_probability")],
+                     F.round("pass_probability", 4).alias("pass_probability"))
 
 
 @query
 def q_model_round_trip(spark, d):
     """Fit, replace the stored model (save with overwrite), load it back and score."""
     path = scratch_dir(spark, "model")
-    save_model(fit_pass_fail(_training_set(spark, d)), path)
-    save_model(fit_pass_fail(_training_set(spark, d), balance=False), path)  # replace
+    save_model(_model(spark, d), path)
+    save_model(_model(spark, d, balance=False), path)  # replace
     h = _enriched_history(spark, d)
-    return score(load_model(path), h.select("registration", *FEATURES)).select(
+    return _scored(score(load_model(path), h.select("registration", *FEATURES))).select(
         "registration", "predicted_last_test_result", "pass_probability")
 
 
 @query
 def q_score(spark, d):
     h = _enriched_history(spark, d)
-    return score(_model(spark, d), h.select("registration", *FEATURES)).select(
+    return _scored(score(_model(spark, d), h.select("registration", *FEATURES))).select(
         "registration", "predicted_last_test_result", "pass_probability")
 
 
+@query
+def q_score_all_features(spark, d):
+    """All features: every vehicle gets a probability, those without a mileage too."""
+    model = fit_pass_fail(_training_set(spark, d))
+    h = _enriched_history(spark, d)
+    p = F.col("pass_probability")
+    return score(model, h.select("registration", *FEATURES)).select(
+        "registration", (~F.isnan(p) & p.between(0.0, 1.0)).alias("has_probability"))
+
+
 @query
 def q_lookup_score(spark, d):
     h = _enriched_history(spark, d)
-    return lookup_score(_model(spark, d), h, _lookup_keys(spark, d))
+    return _scored(lookup_score(_model(spark, d), h, _lookup_keys(spark, d)))
 
 
 @query
 def q_what_if_score(spark, d):
-    """Every vehicle's features with twice its mileage, as what-if scenarios."""
-    h = _enriched_history(spark, d).where(F.col("mileage").isNotNull())
-    scen = h.select((F.col("mileage") * 2).alias("mileage"), "vehicle_age", "make", "model", "primaryColour")
-    return what_if_score(_model(spark, d), scen)
+    """One scenario of the dashboard: parameters in, probability out."""
+    scenario = what_if(spark, 40_000, 7, "Machinery", "any", "blue")
+    return _scored(what_if_score(_model(spark, d), scenario))
 
 
 # ---- streams (SRC9, STR1-STR3) and end-to-end jobs --------------------------------
@@ -487,14 +530,30 @@ def q_budget_overruns(spark, d):
 
 @query
 def q_weekly_delta_ingest(spark, d):
-    """Feed delta folders -> dedupe -> enrich -> upsert into a versioned main table."""
-    root = fx.write_feed_fixture(spark, d)
-    table = scratch_dir(spark, "weekly-main")
+    """Two weeks of delta folders, each applied by its own run, then a run without new
+    files.  The second week also deletes, by records without a date, every vehicle
+    that the first week changed; a vehicle must not come back."""
+    root, table, ckpt = (scratch_dir(spark, n) for n in ("weekly-feed", "weekly-main", "weekly-ckpt"))
     write_version(fx.main_table(spark, d, fx.AS_OF_DELTA), table)
-    weekly_delta_ingest(spark, root, table, fx.AS_OF_DELTA)
+    first, second = fx.weekly_folders(spark, d)
+    for folder, rows in ((fx.DELTA_OLD_FOLDER, first), (fx.DELTA_NEW_FOLDER, second)):
+        write_feed(rows, root, folder)
+        weekly_delta_ingest(spark, root, table, ckpt, fx.AS_OF_DELTA)
+    if weekly_delta_ingest(spark, root, table, ckpt, fx.AS_OF_DELTA):
+        raise AssertionError("a run without new files must not change the table")
     return _with_n_tests(read_latest(spark, table)).select(*UPSERT_COLS)
 
 
+@query
+def q_weekly_rows_affected(spark, d):
+    """The rows affected that a weekly run returns."""
+    root, table, ckpt = (scratch_dir(spark, n) for n in ("weekly-feed", "weekly-main", "weekly-ckpt"))
+    write_version(fx.main_table(spark, d, fx.AS_OF_DELTA), table)
+    write_feed(fx.delta(spark, d).select(*VEHICLE.fieldNames()), root, fx.DELTA_NEW_FOLDER)
+    got = weekly_delta_ingest(spark, root, table, ckpt, fx.AS_OF_DELTA)
+    return spark.createDataFrame([(a, n) for _, a, n in got], "action string, rows bigint")
+
+
 @query
 def q_prediction_view(spark, d):
     """Counts and AR(1) forecast registered as views; the chart view read back by name."""
@@ -507,10 +566,14 @@ def q_prediction_view(spark, d):
 
 @query
 def q_analytics_chain(spark, d):
-    """main -> daily counts -> training -> searched-order forecast -> chart view."""
+    """main -> daily counts -> training -> forecast -> stored tables -> chart view."""
     frames = analytics(_enriched_history(spark, d), fx.AS_OF_HISTORY)
-    register_views(spark, {"prediction_output_chain": frames["prediction_output"]})
-    return spark.table("prediction_output_chain")
+    counts, fc = scratch_dir(spark, "chain-counts"), scratch_dir(spark, "chain-forecast")
+    write_daily_counts(frames["daily_counts"], counts)
+    write_table(frames["forecast"], fc, "overwrite")
+    name = "prediction_output_" + counts.rsplit("-", 1)[-1]
+    create_chart_view(spark, name, counts, fc, fx.AS_OF_HISTORY)
+    return _rounded(spark.table(name))
 
 
 @query
@@ -520,41 +583,7 @@ def q_read_latest_feed(spark, d):
     return _with_n_tests(read_latest_feed(spark, root, kind="delta")).select(*FEED_COLS)
 
 
-# ---- the same steps written in Spark SQL --------------------------------------------
-@query
-def q_sql_enrich(spark, d):
-    e = enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY)
-    return _with_n_tests(e).select(*ENRICH_COLS)
-
-
-@query
-def q_sql_dedupe(spark, d):
-    return dedupe_sql(spark, fx.delta(spark, d)).select(
-        "registration", "modification", "lastMotTestDate", "event_id")
-
-
-@query
-def q_sql_daily_counts(spark, d):
-    return daily_counts_sql(spark, enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY),
-                            fx.AS_OF_HISTORY)
-
-
-@query
-def q_sql_forecast_training(spark, d):
-    return forecast_training_sql(spark, _f3(spark, d), fx.AS_OF_HISTORY)
-
-
-@query
-def q_sql_logreg_training(spark, d):
-    return logreg_training_sql(spark, enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY))
-
-
-@query
-def q_sql_prediction_output(spark, d):
-    out = prediction_output_sql(spark, _f3(spark, d), _ar1_forecast(spark, d), fx.AS_OF_HISTORY)
-    return out.withColumn("count", F.round("count", 4))
-
-
+# ---- further jobs and layouts -------------------------------------------------------
 @query
 def q_upsert_bucketed(spark, d):
     """Full-outer merge against a main table bucketed by registration (main not shuffled)."""
@@ -598,11 +627,3 @@ def q_budget_overruns_stream(spark, d):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
-
-
-@query
-def q_sql_reg_lookup(spark, d):
-    """Parameterised single-registration lookup (the vehicle of the latest event)."""
-    latest = (fx.delta(spark, d).orderBy(F.col("lastMotTestDate").desc(), F.col("event_id").desc())
-              .select("registration").first()[0])
-    return reg_lookup_sql(spark, enrich_sql(spark, fx.history(spark, d), fx.AS_OF_HISTORY), latest)

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 # Fixed values that must equal the reference's for right results:
 # result labels, merge actions, default label, feed folder prefixes,
-# feed date format and the flat-export column order.
+# feed date format, the flat-export column order and the merged columns.
 PASSED = "PASSED"
 FAILED = "FAILED"
 NEVER_MOT = "NEVER MOT"
@@ -24,6 +24,16 @@ FLAT_COLUMNS = [
     "motTestCount", "motTests",
 ]
 
+# Columns a MERGE update / insert sets (everything else on a matched row
+# keeps main's value; on an inserted row it is NULL).
+MERGE_SET_COLUMNS = [
+    "modification", "motTests", "engineSize", "make", "model",
+    "lastMotTestDate", "manufactureDate", "primaryColour",
+    "registrationDate", "fuelType", "secondaryColour", "firstUsedDate",
+    "last_test_date", "last_test_result", "mileage", "vehicle_age",
+    "pass_count", "fail_count",
+]
+
 # Timestamps are wall-clock values (no zone), like the warehouse TIMESTAMP
 # read back in UTC.  timestamp_ntz keeps them stable under any session zone.
 TS = T.TimestampNTZType()
@@ -51,16 +61,6 @@ VEHICLE = T.StructType([
     T.StructField("motTests", T.ArrayType(MOT_TEST)),
 ])
 
-# Columns a MERGE update / insert sets (everything else on a matched row
-# keeps main's value; on an inserted row it is NULL).
-MERGE_SET_COLUMNS = [
-    "modification", "motTests", "engineSize", "make", "model",
-    "lastMotTestDate", "manufactureDate", "primaryColour",
-    "registrationDate", "fuelType", "secondaryColour", "firstUsedDate",
-    "last_test_date", "last_test_result", "mileage", "vehicle_age",
-    "pass_count", "fail_count",
-]
-
 DERIVED = T.StructType([
     T.StructField("last_test_date", TS),
     T.StructField("last_test_result", T.StringType()),

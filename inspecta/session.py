@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) a private temporary
-    folder is created and registered.
+    used as is.  Only where it is unset on a local master (tests) a private
+    temporary folder is created and registered; on a cluster an unset folder
+    is an error, since executors could not read each other's files.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -53,13 +54,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             base = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset
             base = None
+    if not base and sc.getCheckpointDir():
+        base = sc.getCheckpointDir().rsplit("/", 1)[0]   # Spark adds a folder of its own
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="inspecta-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) by the session's Hadoop configuration, for any scheme Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)

@@ -64,7 +64,7 @@ def _read_json(spark: SparkSession, pattern: str, schema: T.StructType | None, c
 
 def read_feed(spark: SparkSession, root: str, kind: str | None = None,
               schema: T.StructType | None = VEHICLE, corrupt: bool = True,
-              limit: int | None = None, sampling_ratio: float = 1.0,
+              limit: int | None = None, limit_order: list[str] | None = None, sampling_ratio: float = 1.0,
               partitions: int | None = None, ext: str = "*.json.gz") -> DataFrame:
     """Read feed folders (``kind`` 'delta', 'bulk' or both) as a DataFrame.
 
@@ -72,14 +72,15 @@ def read_feed(spark: SparkSession, root: str, kind: str | None = None,
     * PERMISSIVE parsing: a malformed line becomes a row with only
       ``_corrupt_record`` set (see ``split_corrupt``); blank lines are skipped;
     * ``_source_file`` and the feed date tags are added;
-    * ``limit`` keeps the first n records read (no order guarantee);
+    * ``limit`` keeps the first n records by ``limit_order`` (a top-k: each task
+      keeps n); without an order, any n;
     * ``partitions`` spreads the parsed rows round-robin over that many
       partitions (gz files are one task each); round-robin, not by key, so
       many copies of one record cannot pile up in one task.
     """
     df = _read_json(spark, feed_glob(root, kind, ext), schema, corrupt, sampling_ratio)
     if limit is not None:
-        df = df.limit(limit)
+        df = (df.orderBy(*limit_order) if limit_order else df).limit(limit)
     if partitions:
         df = df.repartition(partitions)
     return df

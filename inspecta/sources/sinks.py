@@ -52,15 +52,15 @@ def create_main(df: DataFrame, path: str, num_partitions: int | None = None,
     return path
 
 
-def write_daily_counts(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Counts table partitioned by month (``p_month``).
+def write_daily_counts(df: DataFrame, path: str) -> str:
+    """Replace the counts table, partitioned by month (``p_month``).
 
-    With ``mode='overwrite'`` only the months present in ``df`` are replaced
-    (dynamic partition overwrite), so a refresh of recent days leaves older
-    months in place.
+    A refresh replaces the whole table: its window usually starts inside a
+    month, so keeping months that it doesn't hold, or only replacing those it
+    does, would mix counts of two runs.
     """
     out = df.withColumn("p_month", F.trunc(F.to_date("test_date"), "MONTH"))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("p_month").parquet(path))
     return path
 
@@ -78,42 +78,35 @@ def drop_stage(spark: SparkSession, name: str) -> None:
 
 
 # ---- versioned tables: copy-on-write without a table format -----------------
-def _fs(path: str):
-    from pyarrow import fs as pafs
-    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
-
-
-def table_versions(path: str) -> list[int]:
-    """Committed versions (folders ``v=N`` holding a ``_SUCCESS`` marker)."""
-    from pyarrow import fs as pafs
-    fs, root = _fs(path)
-    try:
-        infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-    except FileNotFoundError:
+def table_versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions (folders ``v=N`` holding a ``_SUCCESS`` marker), listed
+    through Hadoop's file system, so any path that Spark writes works."""
+    from inspecta.session import hadoop_path
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
         return []
-    out = []
-    for i in infos:
-        name = i.path.rstrip("/").rsplit("/", 1)[-1]
-        if i.type == pafs.FileType.Directory and name.startswith("v="):
-            if fs.get_file_info(f"{i.path}/_SUCCESS").type == pafs.FileType.File:
-                out.append(int(name[2:]))
-    return sorted(out)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = [(i.getPath().getName(), i) for i in fs.listStatus(root) if i.isDirectory()]
+    return sorted(int(name[2:]) for name, i in found
+                  if name.startswith("v=") and name[2:].isdigit() and fs.exists(new(i.getPath(), "_SUCCESS")))
 
 
 def write_version(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Write ``df`` as the next version; readers switch when it is committed.
 
     The job commit writes ``_SUCCESS`` last, so a failed or running write is
-    never visible, and the previous version stays readable meanwhile.
+    never visible, and the previous version stays readable meanwhile.  One
+    writer at a time: the number is not locked, and a second writer that took
+    the same one fails, as its folder exists.
     """
-    versions = table_versions(path)
+    versions = table_versions(df.sparkSession, path)
     n = (versions[-1] + 1) if versions else 1
-    write_table(df, f"{path.rstrip('/')}/v={n:06d}", "overwrite", partition_by)
+    write_table(df, f"{path.rstrip('/')}/v={n:06d}", "errorifexists", partition_by)
     return n
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    versions = table_versions(path)
+    versions = table_versions(spark, path)
     if not versions:
         raise FileNotFoundError(f"no committed version under {path}")
     return spark.read.parquet(f"{path.rstrip('/')}/v={versions[-1]:06d}")
@@ -149,7 +142,8 @@ def to_flat(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    to_flat(df).write.mode("overwrite").option("header", True).csv(path)
+    """Flat CSV with a header; quotes inside a field are doubled (RFC 4180)."""
+    to_flat(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 

@@ -20,7 +20,10 @@ BUDGET = T.StructType([T.StructField("costAmount", T.DoubleType()),
 def stream_feed(spark: SparkSession, root: str, kind: str | None = "delta",
                 schema: T.StructType = VEHICLE, max_files_per_trigger: int | None = None,
                 ext: str = "*.json.gz") -> DataFrame:
-    """Streaming read of feed folders; rows carry the source file and feed date."""
+    """Streaming read of feed folders; rows carry the source file and feed date.
+
+    ``max_files_per_trigger`` splits new files over batches, which changes the
+    order they apply in (see ``start_upsert``)."""
     r = (spark.readStream.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
@@ -38,23 +41,35 @@ def ingest(stream: DataFrame, sink: str, checkpoint: str, available_now: bool =
 
 
 def start_upsert(stream: DataFrame, table: str, checkpoint: str, as_of=None,
-                 key: str = "registration", available_now: bool = True, **upsert_kw):
+                 key: str = "registration", available_now: bool = True, order: str = "last_test",
+                 report: list | None = None, **upsert_kw):
     """Apply each micro-batch of delta records to a versioned main table.
 
     Per batch: valid modifications -> dedupe -> enrich -> upsert -> new
     table version.  Replaying a batch after a failure is harmless: applying
-    the same delta twice gives the same table as applying it once.
+    the same delta twice gives the same table as applying it once.  Records
+    with a NULL key are dropped here: they would be inserted again by a replay.
+
+    Batches apply in the order the source finds the files, so a limit on files
+    per trigger (``stream_feed``) makes a later file win over an earlier one
+    whatever its dates; without it all new files are one batch, deduped together
+    by ``order`` ('last_test' or 'feed_date').  ``report`` collects one
+    (batch, action, rows) entry per merge action of each batch.
     """
-    from inspecta.operators.merge import prepare_delta, upsert
+    from inspecta.operators.merge import merge_report, prepare_delta, upsert
     from inspecta.sources.sinks import read_latest, write_version
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_file")
-        prepared = prepare_delta(good, as_of, key)
-        spark = batch.sparkSession
-        current = read_latest(spark, table)
-        write_version(upsert(current, prepared, key, **upsert_kw), table)
-
+        good = batch.where(F.col(CORRUPT).isNull() & F.col(key).isNotNull()).drop(CORRUPT, "_source_file")
+        # cut here: the report and the merge read it
+        prepared = prepare_delta(good, as_of, key, order).checkpoint(eager=True)
+        current = read_latest(batch.sparkSession, table)
+        if report is not None:
+            report.extend((epoch_id, r["action"], r["rows"]) for r in merge_report(current, prepared, key).collect())
+        write_version(upsert(current, prepared, key, duplicates="trust", checkpoint=False, **upsert_kw), table)
+
+    from inspecta.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(stream.sparkSession)
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
