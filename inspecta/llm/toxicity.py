@@ -52,26 +52,33 @@ QUOTES = re.compile("[\"“”„«»‹›]")
 
 
 class LevenshteinAutomaton:
-    """Accepts the words within one edit of ``word``; a state is the row of edit
-    distances to the prefixes of ``word``, cut off at 2."""
+    """Accepts the words within one edit of ``word``.
+
+    A state is the set of places in ``word`` that are reached without an edit and
+    with one, as two bit masks; a step moves all places at once."""
 
     def __init__(self, word: str):
-        self.word = word
+        self.end = 1 << len(word)
+        self.all = (self.end << 1) - 1
+        self.moves: dict[str, int] = {}
+        for i, ch in enumerate(word):
+            self.moves[ch] = self.moves.get(ch, 0) | 2 << i
 
-    def start(self) -> tuple[int, ...]:
-        return tuple(min(i, 2) for i in range(len(self.word) + 1))
+    def start(self) -> tuple[int, int]:
+        return 1, 3 & self.all
 
-    def step(self, state: tuple[int, ...], ch: str) -> tuple[int, ...]:
-        out = [min(state[0] + 1, 2)]
-        for i, w in enumerate(self.word):
-            out.append(min(out[i] + 1, state[i] + (w != ch), state[i + 1] + 1, 2))
-        return tuple(out)
+    def step(self, state: tuple[int, int], ch: str) -> tuple[int, int]:
+        exact, edited = state
+        moves = self.moves.get(ch, 0)
+        same = exact << 1 & moves
+        # a move, a character too many, another character, a character too few
+        return same, (edited << 1 & moves | exact | exact << 1 | same << 1) & self.all
 
-    def accepts(self, state: tuple[int, ...]) -> bool:
-        return state[-1] < 2
+    def accepts(self, state: tuple[int, int]) -> bool:
+        return bool((state[0] | state[1]) & self.end)
 
-    def alive(self, state: tuple[int, ...]) -> bool:
-        return min(state) < 2
+    def alive(self, state: tuple[int, int]) -> bool:
+        return bool(state[0] | state[1])
 
 
 class Lexicon:
@@ -86,17 +93,22 @@ class Lexicon:
             for ch in t:
                 node = node.setdefault(ch, {})
             node[""] = t
-        # one edit leaves the first or the last half of a term as it is
-        half = FUZZY_LENGTH // 2
-        self.heads = {t[:half] for t in long}
-        self.tails = {t[-half:] for t in long}
-        self.half = half
+        # one edit leaves the first or the second half of a term as it is
+        self.heads, self.tails = {t[:len(t) // 2] for t in long}, {t[len(t) // 2:] for t in long}
+        self.head_sizes, self.tail_sizes = (sorted({len(x) for x in h}) for h in (self.heads, self.tails))
+        self.least = FUZZY_LENGTH // 2
+        self.starts, self.ends = {h[:self.least] for h in self.heads}, {t[-self.least:] for t in self.tails}
         self.cache: dict[str, float] = {}
 
+    def near(self, words: set[str]) -> list[str]:
+        """The words that share a half with a term, so that a lookup may succeed."""
+        n, starts, ends = self.least, self.starts, self.ends
+        return [w for w in words if len(w) >= FUZZY_LENGTH - 1 and (
+            w[:n] in starts and any(w[:k] in self.heads for k in self.head_sizes)
+            or w[-n:] in ends and any(w[-k:] in self.tails for k in self.tail_sizes))]
+
     def fuzzy(self, word: str) -> float:
         """Strength of the best term within one edit of ``word``, else 0."""
-        if len(word) < FUZZY_LENGTH - 1 or not (word[:self.half] in self.heads or word[-self.half:] in self.tails):
-            return 0.0
         got = self.cache.get(word)
         if got is None:
             if len(self.cache) > 200_000:
@@ -105,8 +117,6 @@ class Lexicon:
         return got
 
     def _search(self, word: str) -> float:
-        if len(word) > 1 + max(map(len, self.terms)):
-            return 0.0
         auto, best = LevenshteinAutomaton(word), 0.0
         todo = [(self.trie, auto.start())]
         while todo:
@@ -126,15 +136,9 @@ def features(text: str, lex: Lexicon) -> list[float]:
     """Sums over hits: plain exact, plain misspelled, quoted, abusive context, density."""
     low = text.lower()
     words = WORD.findall(low)
-    strength = {}
-    for w in set(words):
-        s = lex.terms.get(w)
-        if s is not None:
-            strength[w] = (s, True)
-        else:
-            s = lex.fuzzy(w)
-            if s:
-                strength[w] = (s, False)
+    distinct = set(words)
+    strength = {w: (s, False) for w in lex.near(distinct) if (s := lex.fuzzy(w))}
+    strength.update((w, (lex.terms[w], True)) for w in distinct & lex.terms.keys())
     if not strength:
         return [0.0] * 5
     at = [i for i, w in enumerate(words) if w in strength]
@@ -235,9 +239,12 @@ def _weights(rows: DataFrame, terms: dict[str, float]) -> tuple[list[float], flo
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted per row of ``docs``."""
+    made: list = []      # one scorer per task
+
     def run(batch: pa.RecordBatch) -> dict:
-        one = model.scorer()
-        return {"doc_id": batch.column(0), "score": [one(t) for t in batch.column(1).to_pylist()]}
+        if not made:
+            made.append(model.scorer())
+        return {"doc_id": batch.column(0), "score": [made[0](t) for t in batch.column(1).to_pylist()]}
     scored = map_rows(id_text(docs, id_col, text_col), run, "doc_id long, score double")
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
