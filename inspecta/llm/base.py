@@ -48,6 +48,7 @@ def map_rows(df: DataFrame, fn: Callable, schema: str, max_rows: int = 0) -> Dat
     Arrow batch; ``schema`` is the DDL of the result."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
+    ship_package(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
