@@ -74,10 +74,20 @@ def test_lookup_one_parameterised(spark):
     assert len(rows) == 1 and rows[0].make == "B" and "motTests" not in rows[0].asDict()
 
 
-def test_reg_lookup_sql(spark):
-    from inspecta.plans.spark_sql import reg_lookup_sql
-    df = spark.createDataFrame([("K1", 10, 3, "A", "M", "RED"), ("K2", 20, 4, "B", "N", "BLUE")],
-                               "registration string, mileage bigint, vehicle_age bigint, make string, "
-                               "model string, primaryColour string")
-    rows = reg_lookup_sql(spark, df, "K2").collect()
-    assert len(rows) == 1 and rows[0].mileage == 20
+def test_null_numbers_are_imputed(model, spark, train):
+    rows = train.limit(5).withColumn("mileage", F.lit(None).cast("bigint")).withColumn("vehicle_age", F.lit(None).cast("bigint"))
+    got = [r.pass_probability for r in score(model, rows).collect()]
+    assert len(got) == 5 and all(p == p and 0 <= p <= 1 for p in got)
+    mean = train.agg(F.avg("mileage"), F.avg("vehicle_age")).first()
+    at_mean = train.limit(5).withColumn("mileage", F.lit(mean[0])).withColumn("vehicle_age", F.lit(mean[1]))
+    assert got == pytest.approx([r.pass_probability for r in score(model, at_mean).collect()])
+
+
+def test_features_argument(spark, train):
+    from inspecta.operators.classify import fit_pass_fail
+    one = fit_pass_fail(train, features=["make"], max_iter=100, tol=1e-10, balance=False)
+    shares = {r.make: r.p for r in train.groupBy("make").agg(F.avg((F.col("last_test_result") == "PASSED").cast("int")).alias("p")).collect()}
+    for r in score(one, train).select("make", "pass_probability").distinct().collect():
+        assert r.pass_probability == pytest.approx(shares[r.make], abs=1e-4)
+    with pytest.raises(ValueError):
+        fit_pass_fail(train, features=["colour"])

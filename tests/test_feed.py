@@ -2,6 +2,8 @@ import datetime as dt
 import gzip
 import os
 import tempfile
+
+import pytest
 import zipfile
 
 from pyspark.sql import functions as F
@@ -68,10 +70,55 @@ def test_stream_processes_each_file_once(spark):
 
 def test_versioned_table(spark):
     path = tempfile.mkdtemp() + "/main"
-    assert table_versions(path) == []
+    assert table_versions(spark, path) == []
     write_version(spark.range(3), path)
     write_version(spark.range(5), path)
-    assert table_versions(path) == [1, 2] and read_latest(spark, path).count() == 5
+    assert table_versions(spark, path) == [1, 2] and read_latest(spark, path).count() == 5
+
+
+def test_versions_by_uri_and_taken_number(spark):
+    path = "file:" + tempfile.mkdtemp() + "/main"       # the form Spark itself reports
+    write_version(spark.range(3), path)
+    assert table_versions(spark, path) == [1] and read_latest(spark, path).count() == 3
+    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path + "/v=000002")
+    with pytest.raises(Exception, match="already exists"):
+        write_version(spark.range(4), path)
+    assert table_versions(spark, path) == [1]
+
+
+def test_null_keys_are_dropped_by_the_stream_and_rows_reported(spark):
+    import datetime as dt
+    from inspecta.operators.enrich import enrich
+    from inspecta.plans.pipelines import weekly_delta_ingest
+    from inspecta.schema import VEHICLE
+    root, table, ckpt = tempfile.mkdtemp(), tempfile.mkdtemp() + "/main", tempfile.mkdtemp()
+    base = {f: None for f in VEHICLE.fieldNames()}
+    write_version(enrich(spark.createDataFrame([{**base, "registration": r} for r in ("A1", "B2")], VEHICLE),
+                         dt.date(2026, 2, 1)), table)
+    nameless = '{"modification":"UPDATED","make":"x"}'
+    _write(f"{root}/delta-light-vehicle_02-02-2026", "a.json.gz", [GOOD, nameless, nameless])
+    got = weekly_delta_ingest(spark, root, table, ckpt, dt.date(2026, 2, 1))
+    assert sorted((a, n) for _, a, n in got) == [("keep", 1), ("update", 1)]
+    assert read_latest(spark, table).count() == 2
+    assert weekly_delta_ingest(spark, root, table, ckpt, dt.date(2026, 2, 1)) == []
+
+
+def test_counts_refresh_replaces_the_table(spark, tmp_path):
+    import datetime as dt
+    from inspecta.sources.sinks import read_daily_counts, write_daily_counts
+    t = dt.datetime
+    rows = [(t(2024, 5, 1), "PASSED", 1), (t(2024, 6, 1), "PASSED", 2), (t(2024, 6, 20), "PASSED", 3)]
+    df = spark.createDataFrame(rows, "test_date timestamp_ntz, result_type string, count bigint")
+    write_daily_counts(df, str(tmp_path / "c"))
+    write_daily_counts(df.where("test_date >= timestamp_ntz'2024-06-10'"), str(tmp_path / "c"))
+    assert [r["count"] for r in read_daily_counts(spark, str(tmp_path / "c")).collect()] == [3]
+
+
+def test_limit_takes_the_first_by_order(spark):
+    root = tempfile.mkdtemp()
+    _write(f"{root}/bulk-light-vehicle_02-02-2026", "a.json.gz", [GOOD.replace("A1", f"R{k}") for k in (5, 3, 9, 1)])
+    df = read_feed(spark, root, kind="bulk", limit=2, limit_order=["registration"])
+    assert sorted(r.registration for r in df.collect()) == ["R1", "R3"]
 
 
 def test_budget_overruns_batch_and_stream(spark):
@@ -94,7 +141,13 @@ def test_csv_export_and_drop_stage(spark):
     from inspecta.sources.sinks import drop_stage, write_csv
     good, _ = split_corrupt(read_feed(spark, root))
     out = write_csv(good, root + "/csv")
-    back = spark.read.option("header", True).csv(out).collect()
+    back = spark.read.option("header", True).option("escape", '"').csv(out).collect()
+    import csv
+    import glob
+    import json
+    with open(glob.glob(out + "/part-*.csv")[0], newline="") as f:       # readable outside Spark
+        rows = list(csv.DictReader(f))
+    assert len(rows) == 1 and json.loads(rows[0]["motTests"])[0]["testResult"] == "PASSED"
     assert back[0].registration == "A1" and back[0].motTestCount == "1" and back[0].date == "01-02-2026"
     spark.range(3).write.mode("overwrite").saveAsTable("inspecta_stage_t")
     drop_stage(spark, "inspecta_stage_t")
@@ -135,7 +188,7 @@ def test_stream_upsert_in_single_file_batches_equals_sequential_batch_upserts(sp
     got = {r.registration: (r.make, r.modification) for r in read_latest(spark, table).collect()}
     # batch 1 deletes A1; batch 2 re-inserts it (not matched any more) and inserts C3
     assert got == {"A1": ("kia", "UPDATED"), "B2": ("OLD", None), "C3": ("ford", "UPDATED")}
-    assert table_versions(table) == [1, 2, 3]
+    assert table_versions(spark, table) == [1, 2, 3]
 
 
 def test_job_runner_end_to_end(spark, tmp_path):
@@ -144,13 +197,24 @@ def test_job_runner_end_to_end(spark, tmp_path):
     _write(f"{root}/bulk-light-vehicle_02-02-2026", "a.json.gz",
            [GOOD, GOOD.replace("A1", "B2").replace("PASSED", "FAILED")])
     _write(f"{root}/delta-light-vehicle_09-02-2026", "b.json.gz", [GOOD.replace("A1", "C3")])
-    table = str(tmp_path / "main")
+    table, ckpt = str(tmp_path / "main"), str(tmp_path / "ckpt")
     assert run(["bulk-load", "--feed", root, "--table", table, "--as-of", "2024-02-01"]) == 0
-    assert run(["weekly", "--feed", root, "--table", table, "--as-of", "2024-02-01", "--latest-only"]) == 0
+    assert run(["weekly", "--feed", root, "--table", table, "--checkpoint", ckpt, "--as-of", "2024-02-01"]) == 0
     assert sorted(r.registration for r in read_latest(spark, table).collect()) == ["A1", "B2", "C3"]
     assert run(["counts", "--table", table, "--out", str(tmp_path / "counts"), "--as-of", "2024-02-01"]) == 0
     got = {r.result_type: r["count"] for r in spark.read.parquet(str(tmp_path / "counts")).collect()}
     assert got == {"PASSED": 2, "FAILED": 1}
+    # a later delta deletes a vehicle by a record without a date; runs without new files change nothing
+    _write(f"{root}/delta-light-vehicle_16-02-2026", "c.json.gz", ['{"registration":"C3","modification":"DELETED"}', '{"modification":"UPDATED"}'])
+    for _ in range(3):
+        assert run(["weekly", "--feed", root, "--table", table, "--checkpoint", ckpt, "--as-of", "2024-02-01"]) == 0
+    assert sorted(r.registration for r in read_latest(spark, table).collect()) == ["A1", "B2"]
+    assert table_versions(spark, table) == [1, 2, 3]
+    assert run(["forecast", "--counts", str(tmp_path / "counts"), "--out", str(tmp_path / "fc"), "--as-of", "2024-02-01"]) == 0
+    assert run(["view", "--counts", str(tmp_path / "counts"), "--forecast", str(tmp_path / "fc"), "--name", "chart_t",
+                "--as-of", "2024-02-01"]) == 0
+    assert {r.chart_series for r in spark.table("chart_t").collect()} == {"PASSED - ACTUAL", "FAILED - ACTUAL"}
+    spark.sql("DROP VIEW chart_t")
 
 
 def test_empty_counts_refresh_reads_back(spark, tmp_path):

@@ -1,13 +1,14 @@
 import datetime as dt
 
-import numpy as np
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from inspecta.functions.calendar import gb_holidays
 from inspecta.operators.counts import daily_counts
 from inspecta.operators.forecast import (
-    clean_spikes, fill_daily, fit_arima_series, fit_forecast, forecast, forecast_training,
+    ar1_baseline, clean_spikes, evaluate_forecast, fill_daily, fit_forecast, forecast, forecast_training,
     prediction_output, training_cutoff,
 )
 
@@ -53,17 +54,57 @@ def test_day_grain_equals_reaggregated_timestamp_grain(spark):
     assert daily_counts(df, D(2024, 4, 30)).count() == 0   # older than 60 days
 
 
-def test_constant_series_falls_back_to_level():
-    n, aic, s2, coefs, path, status = fit_arima_series(np.full(60, 7.0), np.arange(60) % 7, 1, 0, 0, 30)
-    assert status == "fallback" and path == [7.0] * 30
+def _days(spark, values, name="A", first=D(2024, 1, 1)):
+    return _series(spark, [(first + dt.timedelta(days=i), name, int(v)) for i, v in enumerate(values)])
+
+
+def _path(spark, values, horizon):
+    fits = fit_forecast(_days(spark, values))
+    chosen = [r.model for r in fits.where("chosen").collect()]
+    return chosen, [r.forecast_value for r in forecast(fits, horizon).orderBy("forecast_timestamp").collect()]
+
+
+def test_constant_series(spark):
+    chosen, path = _path(spark, [7] * 60, 30)
+    assert chosen == ["drift"] and path == [7.0] * 30
+
+
+def test_weekly_pattern_is_recovered(spark):
+    week = [100, 120, 90, 100, 130, 60, 75]
+    chosen, path = _path(spark, week * 12, 14)
+    assert chosen == ["weekday"] and path == pytest.approx(week * 2)
+
 
+def test_trend_and_mean_reversion(spark):
+    chosen, path = _path(spark, [3 * i for i in range(40)], 5)
+    assert path == pytest.approx([117 + 3 * h for h in range(1, 6)])
+    y = [1000.0]
+    for _ in range(30):
+        y.append(round(50 + 0.5 * y[-1]))
+    chosen, path = _path(spark, y, 3)
+    assert chosen == ["ar1"] and path[-1] == pytest.approx(100, abs=2)
 
-def test_weekly_pattern_is_recovered():
-    dow = np.arange(140) % 7
-    y = 100 + 20 * (dow == 5) - 30 * (dow == 6)
-    _, _, _, _, path, status = fit_arima_series(y.astype(float), dow, 0, 0, 0, 14)
-    expect = (100 + 20 * (((139 + np.arange(1, 15)) % 7) == 5) - 30 * (((139 + np.arange(1, 15)) % 7) == 6))
-    assert status == "ok" and np.allclose(path, expect, atol=1e-6)
+
+def test_short_series(spark):
+    for values, models in (([5], set()), ([5, 6], {"drift", "weekday"}), ([], set())):
+        fits = fit_forecast(_days(spark, values))
+        usable = {r.model for r in fits.where("aic is not null").collect()}
+        assert usable == models and fits.where("chosen").count() == min(1, len(models))
+        assert forecast(fits, 4).count() == 4 * min(1, len(models))
+
+
+def test_evaluation_compares_models(spark):
+    rows = evaluate_forecast(fit_forecast(_days(spark, [i * i % 11 + i for i in range(50)]))).collect()
+    assert {r.model for r in rows} == {"ar1", "drift", "weekday"} and {r.n for r in rows} == {49}
+    assert [r.aic for r in rows if r.chosen] == [min(r.aic for r in rows)]
+    for r in rows:
+        assert r.log_likelihood == pytest.approx(-r.n / 2 * (math.log(2 * math.pi * r.sigma2) + 1))
+
+
+def test_ar1_over_a_gap(spark):
+    df = _series(spark, [(D(2024, 1, 1), "A", 1), (D(2024, 1, 2), "A", 2), (D(2024, 1, 6), "A", 6)])
+    p = ar1_baseline(fill_daily(df)).first()
+    assert (p.phi, p.c, p.n) == (pytest.approx(1.0), pytest.approx(1.0), 6)
 
 
 def test_fit_forecast_gives_horizon_per_series_and_blend_is_non_negative(spark):
@@ -72,7 +113,7 @@ def test_fit_forecast_gives_horizon_per_series_and_blend_is_non_negative(spark):
         day = D(2024, 1, 1) + dt.timedelta(days=i)
         rows += [(day, "PASSED", 50 + (i % 7) * 3), (day, "FAILED", max(0, 5 - (i % 7)))]
     train = _series(spark, rows)
-    fc = forecast(fit_forecast(train, horizon=30))
+    fc = forecast(fit_forecast(train), horizon=30)
     per = {r.result_type: r.n for r in fc.groupBy("result_type").agg(F.countDistinct("forecast_timestamp").alias("n")).collect()}
     assert per == {"PASSED": 30, "FAILED": 30}
     counts = train.select(F.col("test_date").cast("timestamp_ntz").alias("test_date"), "result_type", "count")
@@ -102,39 +143,22 @@ def test_gb_holidays_2024_and_substitutes(spark):
     assert y22["BoxingDay"] == D(2022, 12, 26) and y22["GoodFriday"] == D(2022, 4, 15)
 
 
-def test_holiday_effect_is_learnt():
-    import datetime as _d
-    start = _d.date(2023, 1, 1)
-    days = [start + _d.timedelta(days=i) for i in range(200)]
-    hol_days = {days[30], days[60], days[90], days[120], days[150], days[190 + 5 - 5]}
-    dow = np.array([d.weekday() for d in days])
-    hol = np.array([d in hol_days for d in days], dtype=float)
-    y = 100 - 40 * hol
-    future_hol = np.zeros(10)
-    future_hol[3] = 1
-    for d_ in (0, 1):
-        _, _, _, _, path, status = fit_arima_series(y, dow, 0, d_, 0, 10, hol, future_hol)
-        assert status == "ok"
-        assert path[3] == pytest.approx(60, abs=1e-6) and path[4] == pytest.approx(100, abs=1e-6)
-
-
-def test_kpss_chooses_differencing():
-    from inspecta.operators.forecast import choose_d
-    rng = np.random.default_rng(7)
-    noise = rng.normal(size=400)
-    assert choose_d(10 + noise) == 0          # stationary around a level
-    assert choose_d(np.cumsum(noise)) == 1    # random walk
-
-
-def test_standard_errors_grow_and_random_walk_matches_sqrt_h():
-    from inspecta.operators.forecast import forecast_standard_errors
-    # white noise around a level: constant error; random walk: sigma * sqrt(h)
-    flat = forecast_standard_errors([5.0] + [0.0] * 6, 0, 0, 0, 4.0, 5)
-    assert flat == pytest.approx([2.0] * 5)
-    walk = forecast_standard_errors([0.0] + [0.0] * 6, 0, 1, 0, 4.0, 4)
-    assert walk == pytest.approx([2.0 * np.sqrt(h) for h in range(1, 5)])
-    ar = forecast_standard_errors([0.0, 0.5] + [0.0] * 6, 1, 0, 0, 1.0, 3)
-    assert ar == pytest.approx([1.0, np.sqrt(1.25), np.sqrt(1.3125)])
+def test_holidays_cover_the_series_own_years(spark):
+    from inspecta.operators.forecast import with_holidays
+    df = _series(spark, [(D(1955, 12, 27), "A", 1), (D(2140, 1, 1), "A", 2)])
+    got = {r.test_date: r.holiday_name for r in with_holidays(df).collect()}
+    assert got == {D(1955, 12, 27): "Christmas", D(2140, 1, 1): "NewYear"}
+
+
+def test_standard_errors(spark):
+    fits = fit_forecast(_days(spark, [10, 12, 9, 15, 11, 18, 13, 20, 16, 22, 18, 25]))
+    by = {r.model: r for r in fits.collect()}
+    for model in by:
+        only = fits.withColumn("chosen", F.col("model") == model)
+        se = [r.standard_error for r in forecast(only, 3).orderBy("forecast_timestamp").collect()]
+        s2, phi = by[model].sigma2, by[model].phi
+        growth = {"weekday": [1, 1, 1], "drift": [1, 2, 3]}.get(model) or [sum(phi ** (2 * i) for i in range(h)) for h in (1, 2, 3)]
+        assert se == pytest.approx([math.sqrt(s2 * g) for g in growth])
 
 
 def test_forecast_intervals_bracket_the_value(spark):
@@ -142,7 +166,7 @@ def test_forecast_intervals_bracket_the_value(spark):
     for i in range(90):
         day = D(2024, 1, 1) + dt.timedelta(days=i)
         rows += [(day, "PASSED", 50 + (i % 7) * 3 + (i * 7919) % 5)]
-    fc = forecast(fit_forecast(_series(spark, rows), horizon=10)).collect()
+    fc = forecast(fit_forecast(_series(spark, rows)), horizon=10).collect()
     assert len(fc) == 10
     for r in fc:
         assert r.prediction_interval_lower_bound < r.forecast_value < r.prediction_interval_upper_bound

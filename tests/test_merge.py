@@ -125,3 +125,40 @@ def test_unprepared_modifications_never_act(spark, strategy):
     out = upsert(main, raw, strategy=strategy)
     assert sorted(r.registration for r in out.collect()) == ["cre", "del", "keep", "upd"]
     assert {r.action: r.rows for r in merge_report(main, raw).collect()} == {"keep": 4}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_duplicates_are_deduped(spark, strategy):
+    t = dt.datetime
+    delta = enrich(_rows(spark, [
+        {"registration": "upd", "modification": "UPDATED", "make": "A", "lastMotTestDate": t(2024, 1, 1)},
+        {"registration": "upd", "modification": "UPDATED", "make": "B", "lastMotTestDate": t(2024, 1, 3)},
+        {"registration": "upd", "modification": "DELETED", "lastMotTestDate": t(2024, 1, 2)},
+        {"registration": None, "modification": "UPDATED", "make": "N"},
+        {"registration": None, "modification": "UPDATED", "make": "N"},
+    ]), AS_OF)
+    out = upsert(_main(spark), delta, strategy=strategy).collect()
+    assert [r.make for r in out if r.registration == "upd"] == ["B"]
+    assert sum(r.registration is None for r in out) == 2 and len(out) == 6
+
+
+def test_missing_set_column_raises(spark):
+    delta = enrich(_delta(spark), AS_OF).drop("make")
+    with pytest.raises(ValueError, match="make"):
+        upsert(_main(spark), delta)
+
+
+def test_forced_broadcast_is_size_checked(spark):
+    prepared = prepare_delta(_delta(spark), AS_OF)
+    with pytest.raises(ValueError, match="broadcast bound"):
+        upsert(_main(spark), prepared, strategy="broadcast", max_broadcast_keys=1)
+    a = upsert(_main(spark), prepared, max_broadcast_keys=1).collect()      # auto goes to the shuffle form
+    assert sorted(map(str, a)) == sorted(map(str, upsert(_main(spark), prepared).collect()))
+
+
+def test_report_with_null_keys_on_both_sides(spark):
+    main = _main(spark).unionByName(_main(spark).limit(3).withColumn("registration", F.lit(None).cast("string")))
+    delta = prepare_delta(_delta(spark), AS_OF)
+    for strategy in ("broadcast", "shuffle"):
+        got = {r.action: r.rows for r in merge_report(main, delta, strategy=strategy).collect()}
+        assert got == {"keep": 4, "delete": 1, "update": 2, "insert": 2, "ignore": 1}
