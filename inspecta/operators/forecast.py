@@ -204,10 +204,13 @@ def fit_forecast(train: DataFrame, id_col: str = "result_type", date_col: str =
     for a model (no day before, or ar1 without variance) has NULL there and the
     model can't be chosen; a series with no fitting model has no forecast.
     """
+    from inspecta.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     w = Window.partitionBy(id_col).orderBy(date_col)
     y = F.col(value_col).cast("double")
+    # a few rows a day and series, read by three aggregates: cut once
     x = train.select(F.col(id_col).alias("result_type"), F.col(date_col).alias("test_date"), y.alias("y"),
-                     F.lag(y).over(w).alias("y0"), F.dayofweek(date_col).alias("wd"))
+                     F.lag(y).over(w).alias("y0"), F.dayofweek(date_col).alias("wd")).checkpoint(eager=True)
     means = x.groupBy("result_type", "wd").agg(F.avg("y").alias("m"))
     week = means.groupBy("result_type").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("wd", "m")))).alias("weekdays"))
     base = x.groupBy("result_type").agg(
