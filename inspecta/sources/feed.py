@@ -170,58 +170,71 @@ _CHUNK = 1 << 20
 
 
 def _fs_path(path: str):
-    """pyarrow filesystem + path for a Hadoop-style URI (file:/, hdfs://, s3a://...)."""
+    """pyarrow file system and path of a Hadoop-style URI, for reads inside tasks:
+    local paths in any form, hdfs (needs libhdfs there), s3 and its s3a name, gs."""
     from pyarrow import fs as pafs
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
+    if path.startswith("file:"):
+        path = "file:///" + path[len("file:"):].lstrip("/")
+    elif path.startswith(("s3a://", "s3n://")):
+        path = "s3" + path[3:]
     elif "://" not in path:
         path = "file://" + path
     return pafs.FileSystem.from_uri(path)
 
 
+def _zip_members(batches):
+    """Archive paths -> one row per member; only the archives' directories are read."""
+    for pdf in batches:
+        rows = []
+        for path in pdf["path"]:
+            fs, p = _fs_path(path)
+            with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
+                rows += [(path, i.filename) for i in zf.infolist() if not i.is_dir()]
+        yield pd.DataFrame(rows, columns=["path", "member"])
+
+
 def _zip_lines(batches):
-    """Archive paths -> one row per non-blank line of every member.
+    """(archive, member) -> one row per non-blank line.
 
-    Each archive is opened through the filesystem layer and read member by
-    member, line by line: memory stays bounded by the read buffers and the
-    output batch of ``_BATCH`` lines, whatever the archive size.
+    The member is read line by line through the file system layer: memory stays
+    bounded by the read buffers and the output batch of ``_BATCH`` lines.
     """
     for pdf in batches:
-        for path in pdf["path"]:
+        for path, name in zip(pdf["path"], pdf["member"]):
             folder = path[:-4] if path.endswith(".zip") else path
+            source = f"{folder}/{name.rsplit('/', 1)[-1]}"
             fs, p = _fs_path(path)
-            with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
-                for name in sorted(zf.namelist()):
-                    if name.endswith("/"):
-                        continue
-                    member = f"{folder}/{name.rsplit('/', 1)[-1]}"
-                    with zf.open(name) as m:
-                        stream = gzip.GzipFile(fileobj=m) if name.endswith(".gz") else m
+            with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf, zf.open(name) as m:
+                stream = gzip.GzipFile(fileobj=m) if name.endswith(".gz") else m
+                buf = []
+                for line in io.TextIOWrapper(stream, encoding="utf-8"):
+                    line = line.strip()
+                    if line:
+                        buf.append(line)
+                    if len(buf) >= _BATCH:
+                        yield pd.DataFrame({"_source_file": source, "line": buf})
                         buf = []
-                        for line in io.TextIOWrapper(stream, encoding="utf-8"):
-                            line = line.strip()
-                            if line:
-                                buf.append(line)
-                            if len(buf) >= _BATCH:
-                                yield pd.DataFrame({"_source_file": member, "line": buf})
-                                buf = []
-                        if buf:
-                            yield pd.DataFrame({"_source_file": member, "line": buf})
+                if buf:
+                    yield pd.DataFrame({"_source_file": source, "line": buf})
 
 
 def read_feed_zip(spark: SparkSession, root: str, kind: str | None = "delta",
                   schema: T.StructType = VEHICLE) -> DataFrame:
     """Read ``*.zip`` feed archives of gz NDJSON members.
 
-    Spark lists the archives (paths only, contents are not loaded); each
-    archive is streamed by one task, and lines are parsed with ``from_json``
-    in the JVM (PERMISSIVE: a bad line gives ``_corrupt_record``).
+    Spark lists the archives (paths only, contents are not loaded) and then their
+    members; each (archive, member) is streamed by a task of its own, and lines are
+    parsed with ``from_json`` in the JVM (PERMISSIVE: a bad line gives
+    ``_corrupt_record``).
     """
-    from inspecta.session import ship_package
+    from inspecta.session import ensure_checkpoint_dir, ship_package
     ship_package(spark)
+    ensure_checkpoint_dir(spark)
     prefix = "{" + DELTA_PREFIX + "," + BULK_PREFIX + "}" if kind is None else KIND_PREFIX[kind]
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{prefix}*.zip").select("path")
-    lines = files.mapInPandas(_zip_lines, _LINES)
+    members = files.mapInPandas(_zip_members, "path string, member string").checkpoint(eager=True)
+    # round-robin over as many partitions as there are members
+    lines = members.repartition(max(1, members.count())).mapInPandas(_zip_lines, _LINES)
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = lines.select("_source_file", F.from_json("line", _with_corrupt(schema), opts).alias("r"))
     return tag_feed_date(parsed.select("r.*", "_source_file"))
