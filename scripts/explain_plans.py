@@ -70,9 +70,9 @@ def main():
          daily_counts(spark.read.parquet(f"{base}/enriched"), fx.AS_OF_HISTORY)),
         ("daily_counts straight from nested records: nested-column pruning to two test fields",
          daily_counts(enrich(history, fx.AS_OF_HISTORY), fx.AS_OF_HISTORY)),
-        ("forecast_training: scalar subquery over a semi join",
+        ("forecast_training: scalar subquery",
          forecast_training(counts, fx.AS_OF_HISTORY)),
-        ("fit_forecast: one grouped-map task per (series, order)",
+        ("fit_forecast: closed-form models by aggregates per series",
          fit_forecast(fill_daily(forecast_training(counts, fx.AS_OF_HISTORY)).drop("filled"))),
     ]
     out = ["# Physical plans of the core operators",
