@@ -352,19 +352,6 @@ fc AS (
 )"""
 SQL["ar1_baseline"] = f"""WITH {F3}, {AR1}
 SELECT result_type, round(phi, 6) AS phi, round(c, 6) AS c, last_value, last_date, n FROM ar1"""
-SQL["prediction_output"] = f"""WITH {F3}, {AR1},
-combined AS (
-  SELECT CAST(test_date AS DATE) AS test_date, result_type || ' - ACTUAL' AS chart_series,
-         CAST(count AS DOUBLE) AS count
-  FROM f3 WHERE CAST(test_date AS DATE) < DATE '2001-08-01'
-  UNION ALL
-  SELECT CAST(forecast_timestamp AS DATE), result_type || ' - FORECAST',
-         CASE WHEN forecast_value IS NOT NULL THEN greatest(forecast_value, 0.0) END
-  FROM fc WHERE CAST(forecast_timestamp AS DATE) >= DATE '2001-08-01'
-)
-SELECT test_date, chart_series, round(count, 4) AS count FROM combined
-WHERE test_date >= DATE '2001-08-01' - 30 AND test_date <= DATE '2001-08-01' + 30"""
-
 # ---- F4: feed folders written and read back ------------------------------------
 F4 = F2 + """,
 feed AS (
@@ -443,7 +430,6 @@ WHERE registration IN (SELECT registration FROM ev)"""
 # Each delta record keeps the feed date of its folder; the merge does not set it.
 SQL["stream_ingest"] = SQL["feed_round_trip"]
 SQL["stream_upsert"] = SQL["upsert"]
-SQL["prediction_view"] = SQL["prediction_output"]
 SQL["budget_overruns"] = """
 SELECT event_id, value AS costAmount, CAST(50.0 AS DOUBLE) AS budgetAmount
 FROM events WHERE value > 50.0"""
@@ -557,19 +543,21 @@ SELECT forecast_timestamp, result_type, round(forecast_value, 4) AS forecast_val
 FROM ahead"""
 
 
-def chart(counts: str) -> str:
+def chart(counts: str, ahead: str = "ahead") -> str:
     """Days within 30 of the run date: counts before it, forecasts (not below 0) from it."""
     return f"""
 SELECT test_date, chart_series, round(value, 4) AS count FROM (
   SELECT CAST(forecast_timestamp AS DATE) AS test_date, result_type || ' - FORECAST' AS chart_series,
          CASE WHEN forecast_value < 0 THEN 0.0 ELSE forecast_value END AS value
-  FROM ahead WHERE CAST(forecast_timestamp AS DATE) BETWEEN {AS_OF_HISTORY} AND {AS_OF_HISTORY} + 30
+  FROM {ahead} WHERE CAST(forecast_timestamp AS DATE) BETWEEN {AS_OF_HISTORY} AND {AS_OF_HISTORY} + 30
   UNION ALL
   SELECT CAST(test_date AS DATE), result_type || ' - ACTUAL', CAST(count AS DOUBLE)
   FROM {counts} WHERE CAST(test_date AS DATE) BETWEEN {AS_OF_HISTORY} - 30 AND {AS_OF_HISTORY} - 1
 )"""
 
 
+SQL["prediction_output"] = f"""WITH {F3}, {AR1} {chart('f3', 'fc')}"""
+SQL["prediction_view"] = SQL["prediction_output"]
 SQL["forecast_blend"] = f"""WITH {counts_of_orders('f3', "'F', 'O'")}, {FITS} {chart('f3')}"""
 SQL["analytics_chain"] = f"""WITH {F1}, {DAILY}, {training('daily', 2, 'a_')}, {daily_filled('a_train', 'a_')},
 {without_spikes('a_filled', 'a_')}, {models('a_clean')} {chart('daily')}"""
