@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inspecta.session import scratch_dir, ship_package
@@ -43,6 +43,20 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def first_by_hash(rows: DataFrame, group: str, id_: str, n: int, ranges: int = 1 << 16) -> DataFrame:
+    """The ``n`` rows of each ``group`` whose ``id_`` has the smallest hash.
+
+    Hash ranges are counted by partial sums, which tells the range that holds the
+    n-th row; only rows up to it are ranked, so no task sorts a whole group."""
+    at = rows.withColumn("_range", F.pmod(F.xxhash64(id_), F.lit(ranges)))
+    upto = F.sum("count").over(Window.partitionBy(group).orderBy("_range"))
+    cut = (at.groupBy(group, "_range").count().withColumn("upto", upto).where(F.col("upto") - F.col("count") < n)
+           .groupBy(group).agg(F.max("_range").alias("_cut")))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_range", F.xxhash64(id_), id_))
+    return (at.join(cut, group).where(F.col("_range") <= F.col("_cut")).withColumn("_rank", rank)
+            .where(F.col("_rank") <= n).select(*rows.columns))
+
+
 def map_rows(df: DataFrame, fn: Callable, schema: str, max_rows: int = 0) -> DataFrame:
     """``mapInArrow`` where ``fn(table) -> dict of columns`` (or None) handles one
     Arrow batch; ``schema`` is the DDL of the result."""

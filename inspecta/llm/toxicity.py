@@ -3,7 +3,8 @@
 1. *Lexicon*: words that are much more frequent, by smoothed log-odds over
    documents, in texts labelled toxic than in others.  Learned from a bounded
    sample of labelled rows (``fit_rows`` per label, chosen by a hash of doc_id,
-   equal texts once).
+   equal texts once).  A term has to follow many different words, which words that
+   only occur in copies of one text don't.
 2. *Misspellings*: a word that isn't a term is looked up by running its Levenshtein
    automaton over the trie of the lexicon: both advance together, and a branch of
    the trie is left as soon as the automaton can't accept any more.  Terms of
@@ -32,13 +33,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from inspecta.llm.base import id_text, map_rows, stored
+from inspecta.llm.base import first_by_hash, id_text, map_rows, stored
 
 FIT_ROWS = 12_000       # labelled rows of each label that are learned from, at most
 MIN_DOCS = 3            # toxic texts a term occurs in
 MIN_ODDS = 3.0          # smoothed log-odds of a term
+MIN_LEFTS = 0.25        # different words before a term, as a share of its toxic texts
 MAX_TERMS = 5_000       # terms, strongest support first
 FUZZY_LENGTH = 6
 AROUND = 8              # words of context on each side
@@ -81,31 +82,42 @@ class LevenshteinAutomaton:
         return bool(state[0] | state[1])
 
 
+def _trie(words: list[tuple[str, float]]) -> dict:
+    root: dict = {}
+    for word, strength in words:
+        node = root
+        for ch in word:
+            node = node.setdefault(ch, {})
+        node[""] = max(strength, node.get("", 0.0))
+    return root
+
+
 class Lexicon:
-    """Terms with strengths, their trie, and cached fuzzy lookups."""
+    """Terms with strengths, and cached fuzzy lookups in tries of their halves.
+
+    One edit leaves the first or the second half of a term as it is.  So the trie
+    of the terms is entered behind the first half, or, read backwards, before the
+    second, and the automaton runs on the rest of the word only."""
 
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
-        self.trie: dict = {}
-        long = [t for t in terms if len(t) >= FUZZY_LENGTH]
-        for t in long:
-            node = self.trie
-            for ch in t:
-                node = node.setdefault(ch, {})
-            node[""] = t
-        # one edit leaves the first or the second half of a term as it is
-        self.heads, self.tails = {t[:len(t) // 2] for t in long}, {t[len(t) // 2:] for t in long}
-        self.head_sizes, self.tail_sizes = (sorted({len(x) for x in h}) for h in (self.heads, self.tails))
+        after: dict[str, list] = {}
+        before: dict[str, list] = {}
+        for t, s in terms.items():
+            if len(t) >= FUZZY_LENGTH:
+                half = len(t) // 2
+                after.setdefault(t[:half], []).append((t[half:], s))
+                before.setdefault(t[half:], []).append((t[:half][::-1], s))
+        self.after, self.before = ({k: _trie(v) for k, v in side.items()} for side in (after, before))
+        self.head_sizes, self.tail_sizes = (sorted({len(x) for x in side}) for side in (after, before))
         self.least = FUZZY_LENGTH // 2
-        self.starts, self.ends = {h[:self.least] for h in self.heads}, {t[-self.least:] for t in self.tails}
+        self.starts, self.ends = {h[:self.least] for h in after}, {t[-self.least:] for t in before}
         self.cache: dict[str, float] = {}
 
     def near(self, words: set[str]) -> list[str]:
-        """The words that share a half with a term, so that a lookup may succeed."""
+        """The words that begin or end as a half of a term may, so that a lookup may succeed."""
         n, starts, ends = self.least, self.starts, self.ends
-        return [w for w in words if len(w) >= FUZZY_LENGTH - 1 and (
-            w[:n] in starts and any(w[:k] in self.heads for k in self.head_sizes)
-            or w[-n:] in ends and any(w[-k:] in self.tails for k in self.tail_sizes))]
+        return [w for w in words if (w[:n] in starts or w[-n:] in ends) and len(w) >= FUZZY_LENGTH - 1]
 
     def fuzzy(self, word: str) -> float:
         """Strength of the best term within one edit of ``word``, else 0."""
@@ -113,23 +125,33 @@ class Lexicon:
         if got is None:
             if len(self.cache) > 200_000:
                 self.cache.clear()
-            got = self.cache[word] = self._search(word)
+            got = 0.0
+            for k in self.head_sizes:
+                if trie := self.after.get(word[:k]):
+                    got = max(got, search(trie, word[k:]))
+            for k in self.tail_sizes:
+                if trie := self.before.get(word[-k:]):
+                    got = max(got, search(trie, word[:-k][::-1]))
+            self.cache[word] = got
         return got
 
-    def _search(self, word: str) -> float:
-        auto, best = LevenshteinAutomaton(word), 0.0
-        todo = [(self.trie, auto.start())]
-        while todo:
-            node, state = todo.pop()
-            for ch, child in node.items():
-                if ch == "":
-                    if auto.accepts(state):
-                        best = max(best, self.terms[child])
-                    continue
-                nxt = auto.step(state, ch)
-                if auto.alive(nxt):
-                    todo.append((child, nxt))
-        return best
+
+def search(trie: dict, word: str) -> float:
+    """Best strength in ``trie`` within one edit of ``word``: automaton and trie
+    advance together, and a branch that the automaton can't accept is left."""
+    auto, best = LevenshteinAutomaton(word), 0.0
+    todo = [(trie, auto.start())]
+    while todo:
+        node, state = todo.pop()
+        for ch, child in node.items():
+            if ch == "":
+                if auto.accepts(state):
+                    best = max(best, child)
+                continue
+            nxt = auto.step(state, ch)
+            if auto.alive(nxt):
+                todo.append((child, nxt))
+    return best
 
 
 def features(text: str, lex: Lexicon) -> list[float]:
@@ -188,9 +210,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_r
     marks = (labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
              .where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .withColumn("part", fold(F.col("doc_id"), 5)).where("part <> 0"))
-    # the rank limit is applied in each task before the shuffle
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    some = marks.withColumn("rank", rank).where(F.col("rank") <= fit_rows).drop("rank")
+    some = first_by_hash(marks, "toxic", "doc_id", fit_rows)
     return id_text(docs, id_col, text_col).join(F.broadcast(some), "doc_id").dropDuplicates(["text"])
 
 
@@ -204,16 +224,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return ToxicityModel({}, [], None)
 
     def words(batch: pa.RecordBatch) -> dict:
-        out, mark = [], []
+        out, left, mark = [], [], []
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = set(WORD.findall(text.lower()))
+            every = WORD.findall(text.lower())
+            found = dict(zip(every, [""] + every))       # each word with one of the words before it
             out.extend(found)
+            left.extend(found.values())
             mark.extend([y] * len(found))
-        return {"word": out, "toxic": mark}
+        return {"word": out, "left": left, "toxic": mark}
     odds = (F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0)))
-    terms = (map_rows(own.select("text", "toxic"), words, "word string, toxic int", max_rows=1000)
-             .groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-             .where(F.col("t") >= MIN_DOCS).withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
+    # a word of near copies stands behind one word everywhere; a term doesn't
+    lefts = F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("left")))
+    terms = (map_rows(own.select("text", "toxic"), words, "word string, left string, toxic int", max_rows=1000)
+             .groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"), lefts.alias("lefts"))
+             .where((F.col("t") >= MIN_DOCS) & (F.col("lefts") >= F.greatest(F.lit(MIN_DOCS), F.col("t") * MIN_LEFTS)))
+             .withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
              .where(F.length("word") <= 100)
              .orderBy(F.desc("t"), "word").limit(MAX_TERMS))
     found = {r.word: float(min(r.odds, 8.0)) / 8.0 for r in terms.select("word", "odds").collect()}
@@ -229,10 +254,10 @@ def _weights(rows: DataFrame, terms: dict[str, float]) -> tuple[list[float], flo
         lex = Lexicon(terms)
         return {"x": [features(t, lex) for t in batch.column(0).to_pylist()], "y": batch.column(1)}
     data = map_rows(rows.select("text", "toxic"), measure, "x array<double>, y double")
-    data = stored(data, "toxicity-features")
+    data = stored(data, "toxicity-features").coalesce(4)      # a bounded sample of short rows
     if data.select("y").distinct().count() < 2:    # too few rows to weigh: any plain hit decides
         return [4.0, 4.0, -1.0, 1.0, 0.0], -2.0
-    model = LogisticRegression(featuresCol="v", labelCol="y", maxIter=40, regParam=1e-3).fit(
+    model = LogisticRegression(featuresCol="v", labelCol="y", maxIter=25, regParam=1e-3).fit(
         data.select("y", array_to_vector("x").alias("v")))
     return [float(w) for w in model.coefficients], float(model.intercept)
 
