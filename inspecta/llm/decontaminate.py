@@ -144,7 +144,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         F.struct(F.lit(b).alias("b"), _block(F.col("fp"), b).alias("v")) for b in range(BLOCKS)])).alias("p")
     ).select("win", "fp", "m", "n", "p.b", "p.v")
     radius = BLOCKS * block_radius + BLOCKS - 1
-    pairs = (cuts.join(probes, ["n", "b", "v"])
+    # thousands of probes an item: sorted, never broadcast, whatever the items' own size
+    pairs = (cuts.join(probes.hint("merge"), ["n", "b", "v"])
              .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
              .select("win", "m", "item", "item_m").distinct())
     per_win = win_shingles.groupBy("win", "shingle").agg(F.count(F.lit(1)).alias("c"))
