@@ -19,6 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 BLOCK = 1 << 16
+ROWS = 1000             # rows whose keys are held at once
 MIN_CELLS = 1 << 20
 MAX_CELLS = 1 << 30
 CELLS_PER_KEY = 8
@@ -42,24 +43,25 @@ def cell(keys: np.ndarray, row: int, cells: int) -> np.ndarray:
 
 
 def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]], shapes: list[Shape]) -> Broadcast:
-    """Broadcast list of bitmaps (depth, cells / 8), one per shape.  ``keys_of``
+    """Broadcast list of bitmaps, one ``bytes`` per row of each shape.  ``keys_of``
     gives, for an Arrow batch of ``rows``, the keys (uint64) of each sketch."""
     lines = [(k, r) for k, shape in enumerate(shapes) for r in range(shape.depth)]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the cells touched so far, sorted, with counts up to 2; memory follows the partition
-        held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint8)) for _ in lines]
+        held = [(np.zeros(0, np.uint32), np.zeros(0, np.uint8)) for _ in lines]
         for batch in batches:
-            keys = keys_of(batch)
-            for i, (k, r) in enumerate(lines):
-                c, n = np.unique(cell(keys[k], r, shapes[k].cells), return_counts=True)
-                held[i] = _merged(*held[i], c, np.minimum(n, 2).astype(np.uint8))
+            for at in range(0, batch.num_rows, ROWS):
+                keys = keys_of(batch.slice(at, ROWS))
+                for i, (k, r) in enumerate(lines):
+                    c, n = np.unique(cell(keys[k], r, shapes[k].cells).astype(np.uint32), return_counts=True)
+                    held[i] = _merged(*held[i], c, np.minimum(n, 2).astype(np.uint8))
         for i, (c, n) in enumerate(held):
             if len(c):
-                block = c // np.uint64(BLOCK)
+                block = c // np.uint32(BLOCK)
                 first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
                 ends = np.concatenate([first[1:], [len(c)]])
-                at = (c % np.uint64(BLOCK)).astype("<u2")
+                at = (c % np.uint32(BLOCK)).astype("<u2")
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(first), i, np.int32)), pa.array(block[first].astype(np.int64)),
                     pa.array([at[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
@@ -84,28 +86,30 @@ def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]
     merged = (rows.mapInArrow(partial, "line int, block long, at binary, twice binary")
               .repartition(parts, "line", "block")
               .mapInArrow(merge, "line int, block long, bits binary"))
-    out = [np.zeros((s.depth, s.cells // 8), np.uint8) for s in shapes]
+    out = [[bytearray(s.cells // 8) for _ in range(s.depth)] for s in shapes]
     for line, block, bits in merged.toLocalIterator():
         k, r = lines[line]
-        out[k][r, block * (BLOCK // 8):(block + 1) * (BLOCK // 8)] = np.frombuffer(bytes(bits), np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(out)
+        out[k][r][block * (BLOCK // 8):(block + 1) * (BLOCK // 8)] = bytes(bits)
+    # plain bytes are unpickled without a second copy
+    return rows.sparkSession.sparkContext.broadcast([[bytes(r) for r in rows_] for rows_ in out])
 
 
 def _merged(c0, n0, c1, n1):
-    c = np.concatenate([c0, c1])
-    if not len(c):
-        return c, n0
-    order = np.argsort(c, kind="stable")
-    c, n = c[order], np.concatenate([n0, n1])[order]
-    at = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-    return c[at], np.minimum(np.add.reduceat(n, at), 2).astype(np.uint8)
-
-
-def is_marked(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Two sorted cell lists as one; a cell in both has count 2."""
+    if not len(c0) or not len(c1):
+        return (c0, n0) if len(c0) else (c1, n1)
+    at = np.minimum(np.searchsorted(c0, c1), len(c0) - 1)
+    known = c0[at] == c1
+    n0[at[known]] = 2
+    c1, n1 = c1[~known], n1[~known]
+    place = np.searchsorted(c0, c1)
+    return np.insert(c0, place, c1), np.insert(n0, place, n1)
+
+
+def is_marked(keys: np.ndarray, bits: list[bytes]) -> np.ndarray:
     """True where the key's cell is marked in every row."""
     out = np.ones(len(keys), bool)
-    cells = bits.shape[1] * 8
-    for r in range(len(bits)):
-        c = cell(keys, r, cells)
-        out &= (bits[r][c >> np.uint64(3)] >> (c & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    for r, row in enumerate(bits):
+        c = cell(keys, r, len(row) * 8)
+        out &= (np.frombuffer(row, np.uint8)[c >> np.uint64(3)] >> (c & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
     return out

@@ -33,14 +33,14 @@ from inspecta.llm.windows import Ranges, anchor_places
 
 WINDOW = 35
 ANCHOR = 12
-CHUNK = 4_000_000           # bytes of text that are hashed at once
+CHUNK = 1_000_000           # bytes of text that are hashed at once
 
 
 class Chunk:
     """Words, windows and anchors of some texts."""
 
-    def __init__(self, texts: list[str], window: int, anchor: int):
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+    def __init__(self, texts: list[bytes], window: int, anchor: int):
+        words = [t.split() for t in texts]
         self.counts = np.array([len(w) for w in words], np.int64)
         every = [w for doc in words for w in doc]
         self.words = words
@@ -65,7 +65,7 @@ class Chunk:
         p = self.place
         return self.key[p[np.concatenate([[True], p[1:] != p[:-1]])]] if len(p) else self.key
 
-    def estimated(self, bits: np.ndarray) -> np.ndarray:
+    def estimated(self, bits: list[bytes]) -> np.ndarray:
         """Starts (word numbers) of windows estimated as repeated."""
         return self.at[sketch.is_marked(self.key[self.place], bits)]
 
@@ -79,7 +79,7 @@ class Chunk:
 def chunks(batch: pa.RecordBatch, column: int, window: int, anchor: int):
     """(rows, Chunk) of an Arrow batch; a chunk has about CHUNK bytes, or one text."""
     from_row, texts, size = 0, [], 0
-    for i, t in enumerate(batch.column(column).to_pylist()):
+    for i, t in enumerate(batch.column(column).cast(pa.binary()).to_pylist()):
         texts.append(t)
         size += len(t)
         if size >= CHUNK:
@@ -141,7 +141,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     words = [w for w, g in zip(words, gone[a:a + n].tolist()) if not g]
                 out["n_words"].append(n)
                 out["n_removed"].append(int(k))
-                out["kept_text"].append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                out["kept_text"].append(b" ".join(words).decode("utf-8"))
         out["doc_id"] = batch.column(0)
         return out
 
