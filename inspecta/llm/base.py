@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,14 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver notice which shuffles nothing refers to any more, so that Spark
+    deletes their files now and not whenever the driver happens to collect garbage.
+    Called between the passes of a job that would else keep all of them on disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def first_by_hash(rows: DataFrame, group: str, id_: str, n: int, ranges: int = 1 << 16) -> DataFrame:
     """The ``n`` rows of each ``group`` whose ``id_`` has the smallest hash.
 

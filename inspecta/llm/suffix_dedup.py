@@ -43,13 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inspecta.llm import sketch
-from inspecta.llm.base import id_text, map_rows
+from inspecta.llm.base import id_text, map_rows, release
 from inspecta.llm.sketch import Shape, is_marked
 from inspecta.llm.windows import Ranges, anchor_places, mixed
 
 LENGTH = 50
 DIGIT = 24
-CHUNK = 1_000_000          # bytes that are hashed at once
+CHUNK = 250_000            # bytes that are hashed at once
 ROWS = 1000
 
 
@@ -98,11 +98,11 @@ class Chunk:
         return np.frombuffer(b"".join([one(data[a:a + n]) for a in starts.tolist()]), "<i8").reshape(-1, 2)
 
     # ---- what the passes have found so far ----
-    def candidates(self, digits: np.ndarray) -> np.ndarray:
+    def candidates(self, digits: list[bytes]) -> np.ndarray:
         """Units whose digit may be in two documents."""
         return np.flatnonzero(is_marked(self.digit, digits))
 
-    def claims(self, digits: np.ndarray, found: list[np.ndarray]) -> tuple[np.ndarray, "Items"]:
+    def claims(self, digits: list[bytes], found: list[list[bytes]]) -> tuple[np.ndarray, "Items"]:
         """Settled units, which are repeated whole, and what pass 3 has to check of
         the units that are marked as the first of their group."""
         cand = self.candidates(digits)
@@ -124,7 +124,7 @@ class Items:
         self.digit, self.unit = chunk.digit[alone], unit
         self.key = np.concatenate([h, mixed(self.digit ^ mixed(unit))])
 
-    def marked(self, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def marked(self, counted: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Items that may be in two documents: places, digests (n, 2), owners."""
         at = np.flatnonzero(is_marked(self.key, counted))
         of_unit = at[at >= self.windows] - self.windows
@@ -141,8 +141,7 @@ def first_key(digit: np.ndarray, unit: np.ndarray, doc: np.ndarray) -> np.ndarra
 def chunks(batch: pa.RecordBatch, length: int, digit: int):
     """(rows, Chunk) of an Arrow batch (doc_id, text); a chunk has about CHUNK bytes, or one text."""
     docs, rows, texts, size = batch.column(0).to_numpy(zero_copy_only=False), [], [], 0
-    for i, t in enumerate(batch.column(1).to_pylist()):
-        t = t.encode("utf-8", "surrogatepass")
+    for i, t in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
         rows.append(i)
         texts.append(t)
         size += len(t)
@@ -161,14 +160,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    digit: int = DIGIT, shapes: tuple[Shape, Shape, Shape, Shape] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (the
     remaining bytes) and spans (start and end of each removed run)."""
+    spark = docs.sparkSession
     every = id_text(docs, id_col, text_col)
     rows = every.where("doc_id is not null")
     if shapes is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         units = size * 2 / (length - digit + 2)
         # sizes only decide how much work the passes save
-        shapes = (Shape(sketch.cells_for(units), 1), Shape(sketch.cells_for(units / 4), 2, 1),
-                  Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 16), 1))
+        shapes = (Shape(sketch.cells_for(units / 2), 1), Shape(sketch.cells_for(units / 8), 2, 1),
+                  Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 16), 2))
     digit_shape, first_shape, group_shape, window_shape = shapes
 
     # pass 1
@@ -192,11 +192,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         d, u, doc = (batch.column(k).to_numpy() for k in range(3))
         return [first_key(d.view(np.uint64), u.view(np.uint64), doc), d.view(np.uint64)]
     found = sketch.marked(groups, firsts, [first_shape, group_shape])
+    del groups
+    release(spark)
 
     # pass 3
     def item_keys(batch: pa.RecordBatch) -> list[np.ndarray]:
         return [_joined([c.claims(digits.value[0], found.value)[1].key for _, c in chunks(batch, length, digit)])]
     counted = sketch.marked(rows, item_keys, [window_shape])
+    release(spark)
 
     def item_rows(batch: pa.RecordBatch) -> dict:
         w, d = [np.zeros((0, 2), np.int64)], []
@@ -208,7 +211,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return {"w1": w[:, 0], "w2": w[:, 1], "doc": _joined(d, np.int64)}
     own = (map_rows(rows, item_rows, "w1 long, w2 long, doc long", max_rows=ROWS)
            .groupBy("w1", "w2").agg(F.min("doc").alias("own_doc"))
-           .groupBy("own_doc").agg(F.collect_list(F.struct("w1", "w2")).alias("own")))
+           # which of a document's items are its own: 64 bits tell them apart within it
+           .groupBy("own_doc").agg(F.collect_list("w1").alias("own")))
 
     def finish(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "spans")}
@@ -218,8 +222,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             settled, items = c.claims(digits.value[0], found.value)
             at, digests, owner = items.marked(counted.value[0])
             if len(at):
-                mine = [{(x["w1"], x["w2"]) for x in s or ()} for s in batch.column(2).take(pa.array(part)).to_pylist()]
-                is_own = [tuple(x) in mine[o] for x, o in zip(digests.tolist(), owner.tolist())]
+                mine = [set(s or ()) for s in batch.column(2).take(pa.array(part)).to_pylist()]
+                is_own = [x in mine[o] for x, o in zip(digests[:, 0].tolist(), owner.tolist())]
                 at = at[~np.array(is_own, bool)]
             lo = np.concatenate([c.lo[settled], items.lo[at]])
             hi = np.concatenate([c.hi[settled], items.hi[at]])
