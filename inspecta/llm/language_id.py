@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from inspecta.llm.base import id_text, map_rows
+from inspecta.llm.base import first_by_hash, id_text, map_rows
 from inspecta.llm.toxicity import fold
 
 DIM = 4096
@@ -141,9 +140,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -> LanguageModel:
     rows = learnable(docs, id_col, text_col, lang_col)
     idf = inverse_frequencies(rows)
-    # the rank limit is applied in each task before the shuffle
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    some = rows.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= fit_rows).drop("rank")
+    some = first_by_hash(rows.select("doc_id", "lang"), "lang", "doc_id", fit_rows)
 
     def run(batch: pa.RecordBatch) -> dict:
         x, ok = vectors(batch.column(1).to_pylist(), idf)

@@ -335,6 +335,17 @@ def test_toxicity_held_out(spark):
     assert sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.01 * len(clean)
 
 
+def test_first_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    from inspecta.llm.base import first_by_hash
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") < 20, "b").otherwise("c").alias("g"))
+    for ranges in (4, 1 << 16):
+        got = first_by_hash(rows, "g", "id", 100, ranges).collect()
+        assert collections.Counter(r.g for r in got) == {"a": 100, "b": 13, "c": 100}
+    assert first_by_hash(rows.where("false"), "g", "id", 5).count() == 0
+
+
 # ---- language ------------------------------------------------------------------
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
