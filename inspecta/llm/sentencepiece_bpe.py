@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from inspecta.llm.base import id_text
 
 SPACE = "▁"
-CACHE = 400_000        # segments in each of the two cache generations of a Python worker
+CACHE = 200_000        # segments in each of the two cache generations of a task
 CACHED_CHARS = 48      # longer segments are encoded again each time
 SCHEMA = "doc_id long, ids binary, decoded string, n_corrected long"
 
@@ -160,12 +160,15 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         enc = encoder(model_file)
-        for batch in batches:
-            for ids, texts in _by_size(batch, batch_chars):
-                raw, wrong = enc.encode_batch(texts)
-                plain = [enc.lib.decode(np.frombuffer(r, "<u4").tolist()) for r in raw]
-                cols = [ids, raw, plain, [wrong] + [0] * (len(ids) - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        try:
+            for batch in batches:
+                for ids, texts in _by_size(batch, batch_chars):
+                    raw, wrong = enc.encode_batch(texts)
+                    plain = [enc.lib.decode(np.frombuffer(r, "<u4").tolist()) for r in raw]
+                    cols = [ids, raw, plain, [wrong] + [0] * (len(ids) - 1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        finally:        # the worker goes on to other stages: it keeps the vocabulary, not the segments
+            enc.cache, enc.older = {}, {}
     return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 
 
