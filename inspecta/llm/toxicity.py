@@ -7,12 +7,16 @@
    only occur in copies of one text don't.
 2. *Misspellings*: a word that isn't a term is looked up by running its Levenshtein
    automaton over the trie of the lexicon: both advance together, and a branch of
-   the trie is left as soon as the automaton can't accept any more.  Terms of
-   ``FUZZY_LENGTH`` or more characters match within one edit.
+   the trie is left as soon as the automaton can't accept any more.  Every term of
+   two or more characters matches within one edit.  Misspellings of terms shorter
+   than ``FUZZY_LENGTH`` and ``SHORT_LENGTH`` add up apart, as chance hits are more
+   common there; a word near such a term that clean texts use is not a misspelling.
+   (A term of one character has no misspellings: any character is one edit from it.)
 3. *Context*: the words around each hit tell abuse (another hit, a form of address)
    from quotation (inside quotation marks, reporting words); hits add up apart.
 4. *Weights* of these sums: a logistic regression (Spark ML) on the labelled rows
-   that the lexicon didn't use.
+   that the lexicon didn't use.  Rows with terms take part once more with their
+   terms misspelled, so that misspellings get a weight where labelled texts hold none.
 
 Labels are used only where crc32(doc_id) mod 5 isn't 0: remainders 1 to 3 for the
 lexicon, 4 for the weights.  A score depends on the text alone.
@@ -41,7 +45,8 @@ MIN_DOCS = 3            # toxic texts a term occurs in
 MIN_ODDS = 3.0          # smoothed log-odds of a term
 MIN_LEFTS = 0.25        # different words before a term, as a share of its toxic texts
 MAX_TERMS = 5_000       # terms, strongest support first
-FUZZY_LENGTH = 6
+FUZZY_LENGTH = 6        # misspellings of shorter terms have a sum of their own
+SHORT_LENGTH = 4        # and those of still shorter ones another
 AROUND = 8              # words of context on each side
 WORD = re.compile(r"[^\W_]+")
 # fixed word lists of the context scores
@@ -92,49 +97,78 @@ def _trie(words: list[tuple[str, float]]) -> dict:
     return root
 
 
-class Lexicon:
-    """Terms with strengths, and cached fuzzy lookups in tries of their halves.
+class Halves:
+    """Tries of the halves of terms that have ``least`` or more characters.
 
     One edit leaves the first or the second half of a term as it is.  So the trie
     of the terms is entered behind the first half, or, read backwards, before the
     second, and the automaton runs on the rest of the word only."""
 
-    def __init__(self, terms: dict[str, float]):
-        self.terms = terms
+    def __init__(self, terms: dict[str, float], least: int):
         after: dict[str, list] = {}
         before: dict[str, list] = {}
         for t, s in terms.items():
-            if len(t) >= FUZZY_LENGTH:
-                half = len(t) // 2
-                after.setdefault(t[:half], []).append((t[half:], s))
-                before.setdefault(t[half:], []).append((t[:half][::-1], s))
+            half = len(t) // 2
+            after.setdefault(t[:half], []).append((t[half:], s))
+            before.setdefault(t[half:], []).append((t[:half][::-1], s))
         self.after, self.before = ({k: _trie(v) for k, v in side.items()} for side in (after, before))
         self.head_sizes, self.tail_sizes = (sorted({len(x) for x in side}) for side in (after, before))
-        self.least = FUZZY_LENGTH // 2
+        self.shortest, self.longest = least - 1, max(map(len, terms), default=-1) + 1
+        self.least = least // 2
         self.starts, self.ends = {h[:self.least] for h in after}, {t[-self.least:] for t in before}
-        self.cache: dict[str, float] = {}
+
+    def may_hold(self, word: str) -> bool:
+        """Whether ``word`` begins or ends as a half of a term may, so that a lookup may succeed."""
+        return self.shortest <= len(word) <= self.longest and (word[:self.least] in self.starts or word[-self.least:] in self.ends)
+
+    def best(self, word: str) -> float:
+        got = 0.0
+        for k in self.head_sizes:
+            if trie := self.after.get(word[:k]):
+                got = max(got, search(trie, word[k:]))
+        for k in self.tail_sizes:
+            if trie := self.before.get(word[-k:]):
+                got = max(got, search(trie, word[:-k][::-1]))
+        return got
+
+
+class Lexicon:
+    """Terms with strengths, and cached fuzzy lookups in tries of their halves, one
+    pair of tries for each band of term lengths.  Words of ``known`` are ordinary
+    words near a short term."""
+
+    def __init__(self, terms: dict[str, float], known: frozenset[str] = frozenset()):
+        self.terms, self.known = terms, known
+        bands = ((FUZZY_LENGTH, None), (SHORT_LENGTH, FUZZY_LENGTH), (2, SHORT_LENGTH))
+        self.bands = [Halves({t: s for t, s in terms.items() if least <= len(t) and (over is None or len(t) < over)}, least)
+                      for least, over in bands]
+        self.cache: dict[str, tuple[int, float]] = {}
 
     def near(self, words: set[str]) -> list[str]:
-        """The words that begin or end as a half of a term may, so that a lookup may succeed."""
-        n, starts, ends = self.least, self.starts, self.ends
-        return [w for w in words if (w[:n] in starts or w[-n:] in ends) and len(w) >= FUZZY_LENGTH - 1]
+        """The words for which a lookup may succeed."""
+        used = [h.may_hold for h in self.bands if h.after]
+        return [w for w in words if any(may(w) for may in used)]
 
-    def fuzzy(self, word: str) -> float:
-        """Strength of the best term within one edit of ``word``, else 0."""
+    def misspelled(self, word: str) -> tuple[int, float]:
+        """(band, strength) of the best term within one edit of ``word`` in the
+        longest band that has one; strength 0 if none has."""
         got = self.cache.get(word)
         if got is None:
             if len(self.cache) > 200_000:
                 self.cache.clear()
-            got = 0.0
-            for k in self.head_sizes:
-                if trie := self.after.get(word[:k]):
-                    got = max(got, search(trie, word[k:]))
-            for k in self.tail_sizes:
-                if trie := self.before.get(word[-k:]):
-                    got = max(got, search(trie, word[:-k][::-1]))
+            got = 0, 0.0
+            for k, h in enumerate(self.bands):
+                if h.may_hold(word) and not (k and word in self.known) and (s := h.best(word)):
+                    got = k, s
+                    break
             self.cache[word] = got
         return got
 
+    def fuzzy(self, word: str) -> float:
+        """Strength of the best term of ``FUZZY_LENGTH`` or more characters within one edit of ``word``, else 0."""
+        k, s = self.misspelled(word)
+        return 0.0 if k else s
+
 
 def search(trie: dict, word: str) -> float:
     """Best strength in ``trie`` within one edit of ``word``: automaton and trie
@@ -156,19 +190,26 @@ def search(trie: dict, word: str) -> float:
 
 def features(text: str, lex: Lexicon) -> list[float]:
     """Sums over hits: plain exact, plain misspelled, quoted, abusive context, density."""
+    return all_features(text, lex)[:5]
+
+
+def all_features(text: str, lex: Lexicon) -> list[float]:
+    """``features``, then plain misspelled hits of terms of four and five characters and of shorter ones."""
     low = text.lower()
     words = WORD.findall(low)
     distinct = set(words)
-    strength = {w: (s, False) for w in lex.near(distinct) if (s := lex.fuzzy(w))}
-    strength.update((w, (lex.terms[w], True)) for w in distinct & lex.terms.keys())
+    # band of a misspelled term, None of an exact one
+    strength = {w: (s, k) for w in lex.near(distinct) for k, s in [lex.misspelled(w)] if s}
+    strength.update((w, (lex.terms[w], None)) for w in distinct & lex.terms.keys())
     if not strength:
-        return [0.0] * 5
+        return [0.0] * 7
     at = [i for i, w in enumerate(words) if w in strength]
     spans = [m.span() for m in WORD.finditer(low)]
-    exact = fuzzy = quoted = abusive = 0.0
+    exact = quoted = abusive = 0.0
+    fuzzy = [0.0] * len(lex.bands)
     hits = set(at)
     for i in at:
-        s, is_exact = strength[words[i]]
+        s, band = strength[words[i]]
         a, b = max(0, i - AROUND), min(len(words), i + AROUND + 1)
         before = len(QUOTES.findall(low, spans[a][0], spans[i][0]))
         after = len(QUOTES.findall(low, spans[i][1], spans[b - 1][1] + 2))
@@ -176,14 +217,31 @@ def features(text: str, lex: Lexicon) -> list[float]:
         if before % 2 and after or any(w in REPORTING for w in around[-2 * AROUND:]) and (before or after):
             quoted += s
             continue
-        if is_exact:
+        if band is None:
             exact += s
         else:
-            fuzzy += s
+            fuzzy[band] += s
         if any(w in ADDRESS for w in around) or any(k in hits for k in range(a, b) if k != i):
             abusive += s
-    total = exact + fuzzy + quoted
-    return [math.log1p(exact), math.log1p(fuzzy), math.log1p(quoted), math.log1p(abusive), total / (len(words) + 20.0)]
+    total = exact + sum(fuzzy) + quoted
+    return [math.log1p(exact), math.log1p(fuzzy[0]), math.log1p(quoted), math.log1p(abusive), total / (len(words) + 20.0),
+            *map(math.log1p, fuzzy[1:])]
+
+
+def with_misspellings(text: str, terms: dict[str, float]) -> str:
+    """``text`` in lower case with every term of two or more characters one edit
+    away: a character doubled, left out or replaced, at changing places."""
+    hits = 0
+
+    def change(m: re.Match) -> str:
+        nonlocal hits
+        word = m[0]
+        if word not in terms or len(word) < 2:
+            return word
+        hits += 1
+        i = (hits + len(word) // 2) % len(word)
+        return word[:i] + (word[i] * 2, "", "0")[hits % 3] + word[i + 1:]
+    return WORD.sub(change, text.lower())
 
 
 def fold(doc_id: Column, parts: int) -> Column:
@@ -191,16 +249,17 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 class ToxicityModel:
-    def __init__(self, terms: dict[str, float], weights: list[float], bias: float | None):
-        self.terms, self.weights, self.bias = terms, weights, bias
+    def __init__(self, terms: dict[str, float], weights: list[float], bias: float | None,
+                 known: frozenset[str] = frozenset()):
+        self.terms, self.weights, self.bias, self.known = terms, weights, bias, known
 
     def scorer(self):
-        lex = Lexicon(self.terms)
+        lex = Lexicon(self.terms, self.known)
 
         def score(text: str | None) -> float:
             if self.bias is None:
                 return 0.0
-            z = self.bias + sum(w * x for w, x in zip(self.weights, features(text or "", lex)))
+            z = self.bias + sum(w * x for w, x in zip(self.weights, all_features(text or "", lex)))
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
         return score
 
@@ -235,28 +294,45 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     odds = (F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0)))
     # a word of near copies stands behind one word everywhere; a term doesn't
     lefts = F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("left")))
-    terms = (map_rows(own.select("text", "toxic"), words, "word string, left string, toxic int", max_rows=1000)
-             .groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"), lefts.alias("lefts"))
+    counted = stored(map_rows(own.select("text", "toxic"), words, "word string, left string, toxic int", max_rows=1000)
+                     .groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"), lefts.alias("lefts"))
+                     .where((F.col("t") >= MIN_DOCS) | (F.col("c") >= MIN_DOCS)).withColumn("odds", odds), "toxicity-words")
+    terms = (counted
              .where((F.col("t") >= MIN_DOCS) & (F.col("lefts") >= F.greatest(F.lit(MIN_DOCS), F.col("t") * MIN_LEFTS)))
-             .withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
+             .where(F.col("odds") >= MIN_ODDS)
              .where(F.length("word") <= 100)
              .orderBy(F.desc("t"), "word").limit(MAX_TERMS))
     found = {r.word: float(min(r.odds, 8.0)) / 8.0 for r in terms.select("word", "odds").collect()}
-    weights, bias = _weights(rows.where("part = 4"), found)
-    return ToxicityModel(found, weights, bias)
+    known = _ordinary(counted.where((F.col("c") >= MIN_DOCS) & (F.col("odds") < MIN_ODDS)), found)
+    weights, bias = _weights(rows.where("part = 4"), found, known)
+    return ToxicityModel(found, weights, bias, known)
 
 
-def _weights(rows: DataFrame, terms: dict[str, float]) -> tuple[list[float], float]:
+def _ordinary(words: DataFrame, terms: dict[str, float]) -> frozenset[str]:
+    """Those of ``words`` that lie within one edit of a short term."""
+    def run(batch: pa.RecordBatch) -> dict:
+        lex = Lexicon(terms)
+        return {"word": [w for w in lex.near(set(batch.column(0).to_pylist())) if lex.misspelled(w)[0]]}
+    return frozenset(r.word for r in map_rows(words.select("word"), run, "word string").collect())
+
+
+def _weights(rows: DataFrame, terms: dict[str, float], known: frozenset[str]) -> tuple[list[float], float]:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
     def measure(batch: pa.RecordBatch) -> dict:
-        lex = Lexicon(terms)
-        return {"x": [features(t, lex) for t in batch.column(0).to_pylist()], "y": batch.column(1)}
+        lex, x, y = Lexicon(terms, known), [], []
+        for text, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x.append(all_features(text, lex))
+            y.append(mark)
+            if (other := with_misspellings(text, terms)) != text.lower():
+                x.append(all_features(other, lex))
+                y.append(mark)
+        return {"x": x, "y": y}
     data = map_rows(rows.select("text", "toxic"), measure, "x array<double>, y double")
     data = stored(data, "toxicity-features").coalesce(4)      # a bounded sample of short rows
     if data.select("y").distinct().count() < 2:    # too few rows to weigh: any plain hit decides
-        return [4.0, 4.0, -1.0, 1.0, 0.0], -2.0
+        return [4.0, 4.0, -1.0, 1.0, 0.0, 4.0, 4.0], -2.0
     model = LogisticRegression(featuresCol="v", labelCol="y", maxIter=25, regParam=1e-3).fit(
         data.select("y", array_to_vector("x").alias("v")))
     return [float(w) for w in model.coefficients], float(model.intercept)

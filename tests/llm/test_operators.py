@@ -318,6 +318,36 @@ def test_levenshtein_automaton_and_trie():
         assert auto.accepts(state) == (distance(a, b) <= 1)
 
 
+def test_misspelled_short_terms():
+    lex = toxicity.Lexicon({"idiot": 1.0, "moron": 0.5, "scum": 1.0, "ass": 1.0, "pathetic": 1.0}, frozenset(["oron"]))
+    for word in ("idi0t", "diot", "idiott", "mooron", "scumm", "scm", "a55", "azs"):
+        found = toxicity.all_features(f"what a {word} this is", lex)
+        assert any(found[5:]) == (word != "a55") and found[:2] == [0.0, 0.0]
+    assert lex.misspelled("idi0t") == (1, 1.0) and lex.misspelled("mooron") == (1, 0.5) and lex.misspelled("azs") == (2, 1.0)
+    # an ordinary word near a short term is none, and a long term keeps its own sum
+    assert not any(toxicity.all_features("an oron here", lex))
+    assert toxicity.all_features("a pathetik day", lex)[5:] == [0.0, 0.0]
+
+
+def test_misspelled_short_terms_are_predicted(spark):
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for i in range(1200):
+        words = [f"w{x}" for x in rng.integers(0, 400, 30)]
+        if toxic := i % 4 == 0:
+            words[int(rng.integers(2, 28))] = ("idiot", "moron", "scum")[i // 4 % 3]
+        elif i % 4 == 1:
+            words[int(rng.integers(2, 28))] = "oron"
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {"idiot", "moron", "scum"} <= model.terms.keys() and "oron" in model.known
+    one = model.scorer()
+    plain = " ".join(f"w{k}" for k in range(30))
+    assert all(one(f"{plain} {w} {plain}") >= 0.5 for w in ("idi0t", "mooron", "scumm"))
+    assert one(plain) < 0.5 and one(f"{plain} oron {plain}") < 0.5
+
+
 def test_quotation_scores_below_abuse():
     lex = toxicity.Lexicon({"moron": 1.0, "pathetic": 1.0})
     abuse, quote = toxicity.features("you are a pathetic moron", lex), toxicity.features('he wrote "moron" in the report', lex)
