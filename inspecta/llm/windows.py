@@ -65,6 +65,18 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def anchor_places(h: np.ndarray, width: int) -> np.ndarray:
     """For every ``width`` neighbours the place of the smallest hash, leftmost on a
-    tie.  The offset in the window depends on its hashes alone."""
+    tie.  The offset in the window depends on its hashes alone.  Longer inputs are
+    cut into blocks of fewer than 2**PLACE_BITS places that share ``width - 1``."""
+    block = (1 << PLACE_BITS) - 1
+    if len(h) <= block:
+        return _block_places(h, width)
+    step = block - width + 1
+    if step < 1:
+        raise ValueError(f"no anchors among {width} places of {PLACE_BITS} bits")
+    return np.concatenate([_block_places(h[a:a + block], width) + a for a in range(0, len(h) - width + 1, step)]
+                          or [np.zeros(0, np.int64)])
+
+
+def _block_places(h: np.ndarray, width: int) -> np.ndarray:
     packed = (h >> _U(PLACE_BITS) << _U(PLACE_BITS)) | np.arange(len(h), dtype=np.uint64)
     return (sliding_min(packed, width) & _U((1 << PLACE_BITS) - 1)).astype(np.int64)

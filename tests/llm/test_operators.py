@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from inspecta.llm import (decontaminate, exact_dedup, html_extract, language_id, secret_scan, sentencepiece_bpe,
-                          simhash_dedup, substring_dedup, suffix_dedup, toxicity)
+                          simhash_dedup, substring_dedup, suffix_dedup, toxicity, windows)
 from inspecta.llm.components import components
 from inspecta.llm.registry import QUERIES, piece_model
 from inspecta.llm.sketch import Shape
@@ -144,6 +144,23 @@ def test_suffix_dedup_short_digits(spark):
     assert suffix_rows(got) == brute_suffixes(rows, 9)
 
 
+@pytest.mark.parametrize("bits", [6, 8])
+def test_anchors_of_long_texts(monkeypatch, bits):
+    monkeypatch.setattr(windows, "PLACE_BITS", bits)
+    rng = np.random.default_rng(6)
+    for n in (0, 26, 27, (1 << bits) - 1, 1 << bits, 1000, 5000):
+        h = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        assert windows.anchor_places(h, 27).tolist() == [k + int(h[k:k + 27].argmin()) for k in range(n - 26)]
+    # a passage far behind in a text has the digits it has in another one
+    passage = bytes(rng.integers(97, 123, 400, dtype=np.uint8))
+    near = suffix_dedup.Chunk([passage], np.array([1]), 50, 24)
+    far = suffix_dedup.Chunk([bytes(rng.integers(97, 123, 3000, dtype=np.uint8)) + passage], np.array([2]), 50, 24)
+    assert set(near.digits().tolist()) <= set(far.digits().tolist())
+    words = [b"%d" % k for k in rng.integers(0, 10 ** 9, 700)]
+    near, far = (substring_dedup.Chunk([b" ".join(w)], 50, 12) for w in (words[500:], words))
+    assert set(near.anchor_keys().tolist()) <= set(far.anchor_keys().tolist())
+
+
 # ---- SimHash -------------------------------------------------------------------
 def brute_fingerprint(text):
     import xxhash
