@@ -17,7 +17,10 @@ decoded and white space as one space; they are joined by newlines in page order.
 Defined cases: null or empty html gives the empty text; so does a page with
 nothing but boilerplate.  A null url counts as one host.  A name test is not used
 on an element with more than ``MOST`` of the page's text.  Unclosed and stray tags
-are repaired as far as needed to keep blocks apart.  Rows that repeat vote each.
+are repaired as far as needed to keep blocks apart.  Only a script or style without
+an end tag takes the rest of the page; of other elements that are left out (``RAW``)
+an unclosed one loses its title, text field or options, and the page goes on.  Math
+and the text of objects count.  Rows that repeat vote each.
 Very long pages are read whole.  An empty table gives no rows.  Columns other than
 page_id, url and html are not read.
 """
@@ -41,9 +44,12 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"
 ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
 # fixed lists of html tags and of words that name parts of a page
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr
-output picture progress q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr""".split())
+output picture progress q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr
+object math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle
+msub msubsup msup mtable mtd mtext mtr munder munderover semantics""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object select xmp noframes".split())
+RAW = frozenset("script style textarea title noscript iframe template svg select xmp noframes annotation annotation-xml".split())
+RAW_TAGS = re.compile(rf"""<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1|\Z)|<(/?)({"|".join(sorted(RAW, key=len, reverse=True))})(?=[\s/>])(?:(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>)""", re.S | re.I)
 BAD_TAGS = frozenset("nav header footer aside form button menu dialog fieldset head".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu".split())
 BAD_WORDS = frozenset("""ad ads adv advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments
@@ -75,7 +81,8 @@ class Page:
 
     def _parse(self, text: str) -> None:
         stack, buf, link, linked, pos, n = [0], [], False, 0, 0, len(text)
-        low = None
+        low = ends = None
+        unclosed = set()
 
         def flush() -> None:
             nonlocal linked
@@ -110,7 +117,19 @@ class Page:
             elif name == "br":
                 buf.append(" ")
             elif name in RAW and not closing:
-                if not attrs.endswith("/"):
+                if attrs.endswith("/"):
+                    continue
+                if name not in ("script", "style"):
+                    if ends is None:
+                        ends = _ends(text)
+                    if m.start() in ends:
+                        pos = ends[m.start()]
+                        continue
+                    unclosed.add(name)
+                    if name in ("title", "textarea"):
+                        pos = text.find("<", pos)
+                        pos = n if pos < 0 else pos
+                else:
                     if low is None:
                         low = text.lower()
                         if len(low) != n:          # a letter whose lower case is longer
@@ -135,6 +154,8 @@ class Page:
                 self.tag.append(name)
                 self.parent.append(stack[-1])
                 label, bad = self._about(name, attrs)
+                if name in ("option", "optgroup") and "select" in unclosed:
+                    bad = 2
                 self.label.append(label)
                 self.bad.append(bad)
                 if name not in VOID and not attrs.endswith("/"):
@@ -145,6 +166,8 @@ class Page:
         """End the elements that can't hold a new ``name``."""
         if len(stack) > 1 and self.tag[stack[-1]] == "p":
             stack.pop()
+        while len(stack) > 1 and self.tag[stack[-1]] in ("option", "optgroup") and self.bad[stack[-1]] == 2:
+            stack.pop()
         ends = {"li": ("ul", "ol", "menu"), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",),
                 "dt": ("dl",), "dd": ("dl",), "body": ("html",)}.get(name)
         if ends:
@@ -204,6 +227,20 @@ class Page:
         return "\n".join(s for node, s, _ in self.blocks if inside[node] and not self.off[node])
 
 
+def _ends(text: str) -> dict[int, int]:
+    """Where each closed element of ``RAW`` starts, and where its end tag does."""
+    out, starts = {}, {}
+    for m in RAW_TAGS.finditer(text):
+        if m[3]:
+            own = starts.setdefault(m[3].lower(), [])
+            if not m[2]:
+                if not m[0].endswith("/>"):
+                    own.append(m.start())
+            elif own:
+                out[own.pop()] = m.start()
+    return out
+
+
 def votes(html: str | None) -> list[tuple[str, float]]:
     """(generalised path, share of the page's score) of a page's best containers."""
     page = Page(html or "")

@@ -456,6 +456,28 @@ def test_host_consensus(spark):
     assert (got[78], got[79], got[80]) == ("", "", "plain words")
 
 
+@pytest.mark.parametrize("tag", "svg object select template noscript iframe textarea title xmp noframes math".split())
+def test_unclosed_elements_before_an_article(tag):
+    article = "<article><p>The first paragraph of it.</p><p>And the last one.</p></article>"
+    whole = "The first paragraph of it.\nAnd the last one."
+    assert html_extract.main_text(f"<html><body><div><{tag} class=x></div>{article}</body></html>", None) == whole
+    # the end tag of a later element isn't the first one's
+    later = "<div><svg><title>t</title></svg></div>" if tag in ("math", "object") else f"<div><{tag}>x</{tag}></div>"
+    assert html_extract.main_text(f"<html><body><div><{tag} class=x></div>{article}{later}</body></html>", None) == whole
+    if tag not in ("math", "object"):
+        assert html_extract.main_text(f"<div><{tag}>left out</{tag}></div>{article}", None) == whole
+
+
+def test_elements_within_an_article():
+    page = "<article><p>So <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds.</p><object data=x><p>A table of it.</p></object></article>"
+    assert html_extract.main_text(page, None) == "So a=1 holds.\nA table of it."
+    page = "<div><select><option>One<option>Two</div><article><p>The text.</p></article>"
+    assert html_extract.main_text(page, None) == "The text."
+    assert html_extract.main_text("<article><p>Before.</p><script>x<p>after</p></article>", None) == "Before."
+    nested = "<article><p>Before.</p><svg><svg><text>a</text></svg><text>b</text></svg><p>After.</p></article>"
+    assert html_extract.main_text(nested, None) == "Before.\nAfter."
+
+
 @pytest.mark.parametrize("raw", ["<", "<p", "</div>x</p>y", "<!-- x", "<div " * 500, "<a href='x>y", "&am", "<p>" * 3000])
 def test_broken_pages(raw):
     assert isinstance(html_extract.main_text(raw, ["div"]), str)
