@@ -1,9 +1,9 @@
-"""Repeated byte strings by a depth-limited radix sort, most significant digit first.
+"""Repeated byte strings by anchors and digests, in place of a radix sort of suffixes.
 
-The suffixes of all texts are ordered only through ``LENGTH`` bytes, the threshold:
-what matters of a suffix is its first ``LENGTH`` bytes (its window), and suffixes
-with equal windows are exactly the repeats.  Passes go from coarse digits to fine
-ones; a pass goes on only with groups that can still hold windows of two documents.
+What matters of a suffix is its first ``LENGTH`` bytes, the threshold (its window):
+suffixes with equal windows are exactly the repeats.  They are grouped and never
+ordered.  Passes go from coarse keys, called digits here, to whole windows; a pass
+goes on only with groups that can still hold windows of two documents.
 
 Pass 1, counting.  The leading digit of a window is its anchor: of the ``DIGIT``-byte
 strings inside it the one with the smallest hash, at its place.  Equal windows have
