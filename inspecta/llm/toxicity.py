@@ -3,8 +3,8 @@
 1. *Lexicon*: words that are much more frequent, by smoothed log-odds over
    documents, in texts labelled toxic than in others.  Learned from a bounded
    sample of labelled rows (``fit_rows`` per label, chosen by a hash of doc_id,
-   equal texts once).  A term has to follow many different words, which words that
-   only occur in copies of one text don't.
+   equal texts once).  Texts in which a word stands between the same two words
+   count once for it, so that near copies of a text neither make nor unmake a term.
 2. *Misspellings*: a word that isn't a term is looked up by running its Levenshtein
    automaton over the trie of the lexicon: both advance together, and a branch of
    the trie is left as soon as the automaton can't accept any more.  Every term of
@@ -41,9 +41,8 @@ from pyspark.sql import functions as F
 from inspecta.llm.base import first_by_hash, id_text, map_rows, stored
 
 FIT_ROWS = 12_000       # labelled rows of each label that are learned from, at most
-MIN_DOCS = 3            # toxic texts a term occurs in
+MIN_DOCS = 3            # toxic texts a term occurs in, between different words
 MIN_ODDS = 3.0          # smoothed log-odds of a term
-MIN_LEFTS = 0.25        # different words before a term, as a share of its toxic texts
 MAX_TERMS = 5_000       # terms, strongest support first
 FUZZY_LENGTH = 6        # misspellings of shorter terms have a sum of their own
 SHORT_LENGTH = 4        # and those of still shorter ones another
@@ -283,23 +282,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return ToxicityModel({}, [], None)
 
     def words(batch: pa.RecordBatch) -> dict:
-        out, left, mark = [], [], []
+        out, sides, mark = [], [], []
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             every = WORD.findall(text.lower())
-            found = dict(zip(every, [""] + every))       # each word with one of the words before it
+            # each word with the words around one of its places
+            found = dict(zip(every, zip([""] + every, every[1:] + [""])))
             out.extend(found)
-            left.extend(found.values())
+            sides.extend(" ".join(x) for x in found.values())
             mark.extend([y] * len(found))
-        return {"word": out, "left": left, "toxic": mark}
+        return {"word": out, "sides": sides, "toxic": mark}
     odds = (F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0)))
-    # a word of near copies stands behind one word everywhere; a term doesn't
-    lefts = F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("left")))
-    counted = stored(map_rows(own.select("text", "toxic"), words, "word string, left string, toxic int", max_rows=1000)
-                     .groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"), lefts.alias("lefts"))
+    placed = (map_rows(own.select("text", "toxic"), words, "word string, sides string, toxic int", max_rows=1000)
+              .select("word", "toxic", F.xxhash64("sides").alias("sides")).distinct())
+    counted = stored(placed.groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
                      .where((F.col("t") >= MIN_DOCS) | (F.col("c") >= MIN_DOCS)).withColumn("odds", odds), "toxicity-words")
-    terms = (counted
-             .where((F.col("t") >= MIN_DOCS) & (F.col("lefts") >= F.greatest(F.lit(MIN_DOCS), F.col("t") * MIN_LEFTS)))
-             .where(F.col("odds") >= MIN_ODDS)
+    terms = (counted.where((F.col("t") >= MIN_DOCS) & (F.col("odds") >= MIN_ODDS))
              .where(F.length("word") <= 100)
              .orderBy(F.desc("t"), "word").limit(MAX_TERMS))
     found = {r.word: float(min(r.odds, 8.0)) / 8.0 for r in terms.select("word", "odds").collect()}

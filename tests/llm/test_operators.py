@@ -365,6 +365,22 @@ def test_misspelled_short_terms_are_predicted(spark):
     assert one(plain) < 0.5 and one(f"{plain} oron {plain}") < 0.5
 
 
+def test_near_copies_do_not_unmake_a_term(spark):
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(1000):
+        words = [f"w{x}" for x in rng.integers(0, 400, 30)]
+        if i < 60:
+            words[int(rng.integers(2, 28))] = "scum"
+        elif i < 400:         # near copies of one toxic text
+            words = [*(f"w{k}" for k in range(10)), "such", "scum", "at", "grey", "dawn", "comes", *(f"w{k}" for k in range(10)), f"n{i}"]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i < 400)))
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "scum" in model.terms and not {"dawn", "grey"} & model.terms.keys()
+    assert model.scorer()(" ".join(f"w{k}" for k in range(20)) + " scum " + " ".join(f"w{k}" for k in range(30, 39))) >= 0.5
+
+
 def test_quotation_scores_below_abuse():
     lex = toxicity.Lexicon({"moron": 1.0, "pathetic": 1.0})
     abuse, quote = toxicity.features("you are a pathetic moron", lex), toxicity.features('he wrote "moron" in the report', lex)
