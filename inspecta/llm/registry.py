@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspecta.llm import (decontaminate, exact_dedup, html_extract, language_id, secret_scan, sentencepiece_bpe, simhash_dedup, substring_dedup,
-                           suffix_dedup, toxicity)
+from inspecta.llm import (decontaminate, embedding_dedup, exact_dedup, html_extract, importance_resample, language_id, secret_scan,
+                          sentencepiece_bpe, simhash_dedup, substring_dedup, suffix_dedup, toxicity)
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
 
@@ -64,13 +64,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resample.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extract, op2_substring_dedup, op3_exact_dedup, op4_decontaminate, op5_secrets, op6_toxicity,
-                                 op7_language_id, op8_simhash, op9_suffix_dedup, op10_sentencepiece, pipeline)}
+                                 op7_language_id, op8_simhash, op9_suffix_dedup, op10_sentencepiece, op12_embedding_dedup, op13_importance_resample, pipeline)}
 
 SQL = {
     "op3_exact_dedup": """
@@ -124,4 +133,41 @@ SQL = {
         select t.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
                sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
         from t left join doc using (doc_id)""",
+    # all pairs of a label by brute force
+    "op12_embedding_dedup": """
+        with recursive ok as (select row_number() over () as r, vec_id, label, embedding::double[] as v from embeddings
+               where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                     and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link as (select a.r as a, b.r as b from ok a join ok b on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v)
+                 where list_cosine_similarity(a.v, b.v) >= 0.98),
+        n as (select a, count(*) as n_links from link group by a),
+        reach as (select r as a, r as b from ok union select reach.a, link.b from reach join link on link.a = reach.b),
+        low as (select a, min(vec_id) as component_id from reach join ok on ok.r = reach.b group by a)
+        select e.vec_id, coalesce(n.n_links, 0) as n_links, coalesce(low.component_id, e.vec_id) as component_id,
+               e.vec_id = coalesce(low.component_id, e.vec_id) as kept
+        from embeddings e left join ok on ok.vec_id = e.vec_id left join n on n.a = ok.r left join low on low.a = ok.r""",
+    # the CRC bit by bit
+    "op13_importance_resample": r"""
+        with recursive bits as (select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b::bigint)) as tab),
+        texts as (select 'd' as kind, doc_id as id, row_number() over () as r, text from documents union all select 'b', item_id, row_number() over (), text from benchmark),
+        words as (select kind, id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts),
+        grams as (select kind, id, r, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as f from words),
+        uses as (select kind, id, r, f, count(*) as n from grams group by all),
+        hexed as (select f, hex(encode(f)) as x from (select distinct f from uses)),
+        crc as (select f, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::bigint),
+                              lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295) % 10000 as bucket
+                from hexed, bits),
+        used as (select u.*, bucket from uses u join crc using (f)),
+        total as (select sum(n) filter (kind = 'd') as s_all, coalesce(sum(n) filter (kind = 'b'), 0) as t_all from used),
+        gain as (select bucket, floor(1000 * ln((coalesce(sum(n) filter (kind = 'b'), 0) + 1)::double * (s_all + 10000)::double
+                                                / ((coalesce(sum(n) filter (kind = 'd'), 0) + 1)::double * (t_all + 10000)::double)))::bigint as g
+                 from used, total group by bucket, s_all, t_all),
+        doc as (select r, sum(n)::bigint as n_features, floor(sum(n * g)::double / sum(n))::bigint as weight
+                from used join gain using (bucket) where kind = 'd' group by r),
+        scored as (select id as doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+                          coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || id)[1:8])::bigint + 0.5) / 4294967296)))::bigint as score
+                   from words left join doc using (r) where kind = 'd'),
+        placed as (select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as k,
+                          count(*) filter (n_words >= 20) over () as n from scored)
+        select doc_id, n_features, weight, score, case when n_words >= 20 and k <= n * 25 // 100 then k end as rank from placed""",
 }
