@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inspecta.llm import (decontaminate, embedding_dedup, exact_dedup, html_extract, importance_resample, language_id, secret_scan,
+from inspecta.llm import (decontaminate, embedding_dedup, exact_dedup, html_extract, importance_resample, language_id, periodic_runs, secret_scan,
                           sentencepiece_bpe, simhash_dedup, substring_dedup, suffix_dedup, toxicity)
 from inspecta.llm.base import table
 from inspecta.session import scratch_dir
@@ -64,6 +64,28 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
+def looped_tail(doc_id: int | None, n: int):
+    """The contract's places: in one document of ten the words from a on repeat p words."""
+    import zlib
+
+    import numpy as np
+    if doc_id is None or not n:
+        return None
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    places = np.arange(n)
+    places[a:] = a + (places[a:] - a) % p
+    return places
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest_rows(periodic_runs.find_runs(table(spark, sf_dir, "documents"), order=looped_tail))
+
+
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -79,7 +101,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extract, op2_substring_dedup, op3_exact_dedup, op4_decontaminate, op5_secrets, op6_toxicity,
-                                 op7_language_id, op8_simhash, op9_suffix_dedup, op10_sentencepiece, op12_embedding_dedup, op13_importance_resample, pipeline)}
+                                 op7_language_id, op8_simhash, op9_suffix_dedup, op10_sentencepiece, op11_periodic_runs,
+                                 op12_embedding_dedup, op13_importance_resample, pipeline)}
 
 SQL = {
     "op3_exact_dedup": """
