@@ -110,6 +110,28 @@ def clean_spikes(df: DataFrame, id_col: str = "result_type", date_col: str = "te
         spike.alias("is_spike"))
 
 
+def clean_seasonal_spikes(df: DataFrame, id_col: str = "result_type", date_col: str = "test_date",
+                          value_col: str = "count", weeks: int = 2, half_window: int = 7, k: float = 3.0,
+                          min_scale: float = 1.0) -> DataFrame:
+    """Replace spikes and dips by what the weekday usually has.
+
+    The weekly component of a day, trend included, is the median of the same weekday from
+    ``weeks`` before to ``weeks`` after it.  What is left over is tested like in
+    ``clean_spikes``: a spike is more than ``k`` robust standard deviations of the
+    ``2*half_window+1`` days around it (at least ``min_scale``) off.  Regular weekend
+    dips have nothing left over and stay.  Expects a regular (filled) series.
+    """
+    same = (Window.partitionBy(id_col, F.dayofweek(date_col)).orderBy(date_col).rowsBetween(-weeks, weeks))
+    near = Window.partitionBy(id_col).orderBy(date_col).rowsBetween(-half_window, half_window)
+    value = F.col(value_col).cast("double")
+    x = df.select("*", _median(F.collect_list(value).over(same)).alias("_base"))
+    x = x.select("*", F.collect_list(F.abs(value - F.col("_base"))).over(near).alias("_left"))
+    scale = F.greatest(F.lit(MAD_TO_SIGMA) * _median(F.col("_left")), F.lit(float(min_scale)))
+    spike = F.abs(value - F.col("_base")) > F.lit(float(k)) * scale
+    return x.select(*[c for c in df.columns if c != value_col],
+                    F.when(spike, F.col("_base")).otherwise(value).alias(value_col), spike.alias("is_spike"))
+
+
 # ---- holidays (FC4, J8) -------------------------------------------------------
 def with_holidays(df: DataFrame, date_col: str = "test_date", calendar: DataFrame | None = None,
                   horizon: int = 0) -> DataFrame:
@@ -198,11 +220,12 @@ def fit_forecast(train: DataFrame, id_col: str = "result_type", date_col: str =
 
     Input is a regular daily series (``fill_daily`` / ``clean_spikes``).  All are
     measured on the days that have a day before them, so their AIC compares.
-    One row per (series, model): n (those days), sigma2, log_likelihood, aic,
-    chosen (lowest AIC, then model name), the parameters phi, c and weekdays
-    (weekday -> mean; 1 is Sunday), last_value and last_date.  A series too short
-    for a model (no day before, or ar1 without variance) has NULL there and the
-    model can't be chosen; a series with no fitting model has no forecast.
+    One row per (series, model): n (those days), sigma2, log_likelihood, aicc,
+    chosen (lowest corrected AIC, then model name), the parameters phi, c and weekdays
+    (weekday -> mean; 1 is Sunday), last_value and last_date.  A model needs more
+    days than it has parameters, and weekday means need two weeks; without them
+    (or for ar1 without variance) aicc is NULL and the model can't be chosen.  A
+    series with no fitting model has no forecast.
     """
     from inspecta.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(train.sparkSession)
@@ -226,12 +249,15 @@ def fit_forecast(train: DataFrame, id_col: str = "result_type", date_col: str =
           .agg(F.avg((F.col("y") - F.col("f.v")) * (F.col("y") - F.col("f.v"))).alias("sigma2")))
     s2 = F.greatest(F.col("sigma2"), F.lit(MIN_VARIANCE))
     loglik = -F.col("n") / 2 * (F.log(F.lit(2 * math.pi) * s2) + 1)
+    k = F.col("k") + 1          # the variance too
+    left = F.col("n") - k - 1
     fits = (sq.join(params, "result_type").withColumn("log_likelihood", F.when(F.col("sigma2").isNotNull(), loglik))
-            .withColumn("aic", 2 * (F.col("k") + 1) - 2 * F.col("log_likelihood")))
-    best = F.row_number().over(Window.partitionBy("result_type").orderBy(F.col("aic").asc_nulls_last(), "model"))
+            .withColumn("aicc", F.when((left > 0) & ((F.col("model") != "weekday") | (F.col("n") >= 14)),
+                                       2 * k - 2 * F.col("log_likelihood") + F.try_divide(2 * k * (k + 1), left))))
+    best = F.row_number().over(Window.partitionBy("result_type").orderBy(F.col("aicc").asc_nulls_last(), "model"))
     return fits.select(
-        "result_type", "model", "n", "sigma2", "log_likelihood", "aic",
-        ((best == 1) & F.col("aic").isNotNull()).alias("chosen"),
+        "result_type", "model", "n", "sigma2", "log_likelihood", "aicc",
+        ((best == 1) & F.col("aicc").isNotNull()).alias("chosen"),
         F.when(F.col("model") == "ar1", F.col("phi")).when(F.col("model") == "drift", F.lit(1.0)).alias("phi"),
         F.when(F.col("model") == "ar1", F.col("c")).when(F.col("model") == "drift", F.col("step")).alias("c"),
         F.when(F.col("model") == "weekday", F.col("weekdays")).alias("weekdays"), "last_value", "last_date")
@@ -264,6 +290,6 @@ def forecast(fits: DataFrame, horizon: int = 30, confidence_level: float = 0.95)
 
 
 def evaluate_forecast(fits: DataFrame) -> DataFrame:
-    """One row per (series, model): days, variance, log-likelihood, AIC and
+    """One row per (series, model): days, variance, log-likelihood, corrected AIC and
     whether the model was chosen."""
-    return fits.select("result_type", "model", "n", "sigma2", "log_likelihood", "aic", "chosen")
+    return fits.select("result_type", "model", "n", "sigma2", "log_likelihood", "aicc", "chosen")

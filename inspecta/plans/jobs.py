@@ -76,12 +76,10 @@ def main(argv: list[str] | None = None) -> int:
         from inspecta.operators.counts import daily_counts
         write_daily_counts(daily_counts(read_latest(spark, a.table), as_of, a.days), a.out)
     elif a.cmd == "forecast":
-        from inspecta.operators.forecast import (
-            clean_spikes, fill_daily, fit_forecast, forecast, forecast_training,
-        )
+        from inspecta.operators.forecast import forecast_training
+        from inspecta.plans.pipelines import predict
         train = forecast_training(read_daily_counts(spark, a.counts), as_of)
-        fits = fit_forecast(clean_spikes(fill_daily(train).drop("filled")))
-        write_table(forecast(fits, a.horizon), a.out, "overwrite")
+        write_table(predict(train, a.horizon), a.out, "overwrite")
     elif a.cmd == "view":
         from inspecta.plans.pipelines import create_chart_view
         create_chart_view(spark, a.name, a.counts, a.forecast, as_of)

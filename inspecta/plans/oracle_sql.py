@@ -286,6 +286,19 @@ def without_spikes(src: str, p: str = "") -> str:
 {p}clean AS (SELECT result_type, test_date, CASE WHEN is_spike THEN med ELSE count END AS count, is_spike FROM {p}sx)"""
 
 
+def without_seasonal_spikes(src: str, p: str = "") -> str:
+    """{p}clean: values over 3 robust deviations from the median of their weekday become that median."""
+    return f"""
+{p}cb AS (SELECT result_type, test_date, count, list_median(list(count) OVER (
+            PARTITION BY result_type, dayofweek(test_date) ORDER BY test_date ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) AS usual FROM {src}),
+{p}cl AS (SELECT *, list_median(list(abs(count - usual)) OVER (
+            PARTITION BY result_type ORDER BY test_date ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING)) AS mad FROM {p}cb),
+{p}cx AS (SELECT *, abs(count - usual) > CAST(3.0 AS DOUBLE) * greatest(CAST(1.4826 AS DOUBLE) * mad, CAST(1.0 AS DOUBLE)) AS is_spike FROM {p}cl),
+{p}clean AS (SELECT result_type, test_date, CASE WHEN is_spike THEN usual ELSE count END AS count, is_spike FROM {p}cx)"""
+
+
+SQL["clean_seasonal_spikes"] = f"""WITH {F3}, {without_seasonal_spikes('filled')}
+SELECT result_type, test_date, round(count, 6) AS count, is_spike FROM clean"""
 SQL["clean_spikes"] = f"""WITH {F3}, {without_spikes('filled')}
 SELECT result_type, test_date, round(count, 6) AS count, is_spike FROM clean"""
 
@@ -503,9 +516,9 @@ likely AS (
   SELECT *, -n / 2.0 * (ln(2 * pi() * greatest(sigma2, 1e-12)) + 1) AS log_likelihood FROM sq JOIN base USING (result_type)
 ),
 fits AS (
-  SELECT *, 2 * (k + 1) - 2 * log_likelihood AS aic,
-         row_number() OVER (PARTITION BY result_type ORDER BY 2 * (k + 1) - 2 * log_likelihood NULLS LAST, model) = 1 AS chosen
-  FROM likely
+  SELECT *, aicc IS NOT NULL AND row_number() OVER (PARTITION BY result_type ORDER BY aicc NULLS LAST, model) = 1 AS chosen
+  FROM (SELECT *, CASE WHEN n - k - 2 > 0 AND (model <> 'weekday' OR n >= 14)
+                       THEN 2 * (k + 1) - 2 * log_likelihood + 2.0 * (k + 1) * (k + 2) / (n - k - 2) END AS aicc FROM likely)
 ),
 steps AS (
   SELECT f.*, CAST(last_date + h AS TIMESTAMP) AS forecast_timestamp, h,
@@ -528,13 +541,13 @@ Z = "1.959963984540054"     # of a 95 % interval
 FITS = f"""{counts_of_orders('f3a', "'F', 'O', 'P'")}, {training('f3a', 3, 'a_')}, {daily_filled('a_train', 'a_')},
 {without_spikes('a_filled', 'a_')}, {models('a_clean')}"""
 SQL["fit_forecast"] = f"""WITH {FITS}
-SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(log_likelihood, 4) AS log_likelihood, round(aic, 4) AS aic,
+SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(log_likelihood, 4) AS log_likelihood, round(aicc, 4) AS aicc,
        round(CASE model WHEN 'ar1' THEN phi WHEN 'drift' THEN 1.0 END, 4) AS phi,
        round(CASE model WHEN 'ar1' THEN c WHEN 'drift' THEN step END, 4) AS c, round(last_value, 4) AS last_value, last_date
 FROM fits"""
 SQL["evaluate_forecast"] = f"""WITH {FITS}
 SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(log_likelihood, 4) AS log_likelihood,
-       round(aic, 4) AS aic, chosen FROM fits"""
+       round(aicc, 4) AS aicc, chosen FROM fits"""
 SQL["forecast"] = f"""WITH {FITS}
 SELECT forecast_timestamp, result_type, round(forecast_value, 4) AS forecast_value, round(standard_error, 4) AS standard_error,
        CAST(0.95 AS DOUBLE) AS confidence_level,
@@ -559,5 +572,153 @@ SELECT test_date, chart_series, round(value, 4) AS count FROM (
 SQL["prediction_output"] = f"""WITH {F3}, {AR1} {chart('f3', 'fc')}"""
 SQL["prediction_view"] = SQL["prediction_output"]
 SQL["forecast_blend"] = f"""WITH {counts_of_orders('f3', "'F', 'O'")}, {FITS} {chart('f3')}"""
-SQL["analytics_chain"] = f"""WITH {F1}, {DAILY}, {training('daily', 2, 'a_')}, {daily_filled('a_train', 'a_')},
-{without_spikes('a_filled', 'a_')}, {models('a_clean')} {chart('daily')}"""
+
+
+# ---- regression with autoregressive errors: elimination, order search and forecast by recursion ----
+HOLIDAY_LIST = "['NewYear', 'GoodFriday', 'EasterMonday', 'EarlyMayBankHoliday', 'SpringBankHoliday', 'SummerBankHoliday', 'Christmas', 'BoxingDay']"
+
+
+def regressor_list(day: str, names: str) -> str:
+    return f"""([1.0] || list_transform(range(1, 7), lambda k: CASE WHEN dayofweek({day}) = k THEN 1.0 ELSE 0.0 END)
+       || list_transform({HOLIDAY_LIST}, lambda k: CASE WHEN list_contains({names}, k) THEN 1.0 ELSE 0.0 END))::DOUBLE[]"""
+
+
+def seasonal(src: str) -> str:
+    """CTEs up to ``sfits`` (every candidate) and ``sahead`` (30 days) of the regular series ``src``."""
+    return f"""
+snames AS (SELECT holiday_date, list(holiday_name) AS names FROM hol GROUP BY 1),
+sraw AS (SELECT result_type, CAST(test_date AS DATE) AS test_date, CAST(count AS DOUBLE) AS y,
+                {regressor_list('test_date', "coalesce(names, [])")} AS x
+         FROM {src} LEFT JOIN snames ON CAST(test_date AS DATE) = holiday_date),
+sprev AS (SELECT *, lag(y) OVER w AS y0, lag(x) OVER w AS x0 FROM sraw WINDOW w AS (PARTITION BY result_type ORDER BY test_date)),
+sdays AS (
+  SELECT result_type, 0 AS d, test_date, y, x, y AS raw_y, x AS raw_x FROM sprev
+  UNION ALL
+  SELECT result_type, 1, test_date, y - y0, list_transform(x, lambda v, i: CASE WHEN i = 1 THEN 1.0 ELSE v - x0[i] END), y, x
+  FROM sprev WHERE y0 IS NOT NULL
+),
+scell AS (SELECT result_type, d, i, j, sum(xy[i] * xy[j]) AS v FROM (SELECT *, list_append(x, y) AS xy FROM sdays),
+                 (SELECT unnest(range(1, 16)) AS i), (SELECT unnest(range(1, 17)) AS j) GROUP BY ALL),
+srow AS (SELECT result_type, d, i, list(v ORDER BY j) AS r FROM scell GROUP BY ALL),
+seq AS (SELECT result_type, d, list(r ORDER BY i) AS m FROM srow GROUP BY ALL),
+selim AS (
+  SELECT result_type, d, m AS orig, m, 0 AS j, CAST([] AS BOOLEAN[]) AS used FROM seq
+  UNION ALL
+  SELECT result_type, d, orig,
+         CASE WHEN ok THEN list_transform(m, lambda r, i: CASE WHEN i = j + 1 THEN list_transform(r, lambda v: v / piv)
+                ELSE list_transform(r, lambda v, c: v - r[j + 1] * m[j + 1][c] / piv) END) ELSE m END, j + 1, list_append(used, ok)
+  FROM (SELECT *, m[j + 1][j + 1] AS piv, m[j + 1][j + 1] > 1e-9 * orig[j + 1][j + 1] AS ok FROM selim WHERE j < 15)
+),
+sbeta AS (
+  SELECT result_type, d, regressors, CAST(orig[1][1] AS BIGINT) AS n, CAST(len(list_filter(used, lambda u: u)) AS INTEGER) AS rank,
+         list_transform(range(1, 16), lambda c: CASE WHEN c <= size AND used[c] THEN m[c][16] ELSE 0.0 END) AS beta
+  FROM selim JOIN (VALUES ('level', 1), ('week', 7), ('week_holidays', 15)) AS t(regressors, size) ON j = size
+),
+sres AS (
+  SELECT result_type, d, regressors, n, rank, beta, test_date, raw_y, raw_x,
+         y - list_sum(list_transform(x, lambda v, i: v * beta[i])) AS u,
+         row_number() OVER (PARTITION BY result_type, d, regressors ORDER BY test_date) AS k
+  FROM sdays JOIN sbeta USING (result_type, d)
+),
+sgam AS (
+  SELECT a.result_type, a.d, a.regressors, h, sum(a.u * coalesce(b.u, 0)) / any_value(a.n) AS g
+  FROM sres a CROSS JOIN (SELECT unnest(range(0, 8)) AS h)
+       LEFT JOIN sres b ON b.result_type = a.result_type AND b.d = a.d AND b.regressors = a.regressors AND b.k = a.k - h
+  GROUP BY ALL
+),
+sgl AS (SELECT result_type, d, regressors, list(g ORDER BY h) AS g FROM sgam GROUP BY ALL),
+ssum AS (SELECT *, sum(u) OVER (PARTITION BY result_type, d, regressors ORDER BY test_date) AS upto FROM sres),
+skp AS (
+  SELECT result_type, any_value(g) AS g, sum(upto * upto) / pow(count(*), 2) AS spread, least(7, floor(4 * pow(count(*) / 100.0, 0.25))) AS width
+  FROM ssum JOIN sgl USING (result_type, d, regressors) WHERE d = 0 AND regressors = 'level' GROUP BY result_type
+),
+skl AS (SELECT *, list_sum(list_transform(g, lambda v, i: CASE WHEN i = 1 THEN v WHEN i - 1 > width THEN 0
+                                          ELSE 2 * v * (1 - (i - 1) / (width + 1)) END)) AS long_run FROM skp),
+sks AS (SELECT result_type, CASE WHEN long_run > 1e-12 THEN spread / long_run END AS kpss FROM skl),
+sdl AS (
+  SELECT result_type, d, regressors, g, 0 AS p, CAST([] AS DOUBLE[]) AS phi, g[1] AS v FROM sgl
+  UNION ALL
+  SELECT result_type, d, regressors, g, p + 1,
+         list_append(list_transform(phi, lambda a, i: a - kappa * phi[p + 1 - i]), kappa), v * (1 - kappa * kappa)
+  FROM (SELECT *, CASE WHEN v > 1e-12 THEN (g[p + 2] - coalesce(list_sum(list_transform(phi, lambda a, i: a * g[p + 2 - i])), 0)) / v
+                       ELSE 0.0 END AS kappa FROM sdl WHERE p < 7)
+),
+slik AS (
+  SELECT *, -n / 2.0 * (ln(2 * pi() * greatest(v, 1e-12)) + 1) AS log_likelihood, rank + p + 1 AS k
+  FROM sdl JOIN sbeta USING (result_type, d, regressors) JOIN sks USING (result_type)
+),
+scrit AS (
+  SELECT *, CASE WHEN n - k - 1 > 0 AND (regressors = 'level' OR n >= 14)
+                 THEN -2 * log_likelihood + 2 * k + 2.0 * k * (k + 1) / (n - k - 1) END AS aicc,
+         CASE WHEN n - k + 1 > 0 THEN v * n / (n - k + 1) END AS sigma2,
+         CASE WHEN coalesce(kpss, 0) > 0.463 THEN 1 ELSE 0 END AS use_d
+  FROM slik
+),
+sfits AS (
+  SELECT *, d = use_d AND aicc IS NOT NULL AND row_number() OVER (
+           PARTITION BY result_type, d = use_d ORDER BY round(aicc, 6) NULLS LAST, rank, p, regressors) = 1 AS chosen
+  FROM scrit
+),
+slast AS (
+  SELECT result_type, d, regressors, max(test_date) AS last_date, arg_max(raw_y, test_date) AS last_value, arg_max(raw_x, test_date) AS last_x,
+         list(u ORDER BY test_date DESC) AS past
+  FROM sres GROUP BY ALL
+),
+sstep AS (
+  SELECT result_type, 0 AS h, phi, beta, sigma2, d, last_date, last_value, last_x, past, CAST([1.0] AS DOUBLE[]) AS psi,
+         CAST(0 AS DOUBLE) AS u, CAST(0 AS DOUBLE) AS total, CAST(0 AS DOUBLE) AS weight, CAST(0 AS DOUBLE) AS spread
+  FROM sfits JOIN slast USING (result_type, d, regressors) WHERE chosen
+  UNION ALL
+  SELECT result_type, h + 1, phi, beta, sigma2, d, last_date, last_value, last_x, list_prepend(new, past),
+         list_prepend(coalesce(list_sum(list_transform(phi, lambda a, i: a * coalesce(psi[i], 0))), 0), psi), new, total + new,
+         CASE WHEN d = 1 THEN weight + psi[1] ELSE psi[1] END,
+         spread + pow(CASE WHEN d = 1 THEN weight + psi[1] ELSE psi[1] END, 2)
+  FROM (SELECT *, coalesce(list_sum(list_transform(phi, lambda a, i: a * coalesce(past[i], 0))), 0) AS new FROM sstep WHERE h < 30)
+),
+sday AS (
+  SELECT s.*, {regressor_list('last_date + h', "coalesce(names, [])")} AS x
+  FROM sstep s LEFT JOIN snames ON holiday_date = last_date + h WHERE h > 0
+),
+sahead AS (
+  SELECT CAST(last_date + h AS TIMESTAMP) AS forecast_timestamp, result_type,
+         CASE WHEN d = 1 THEN last_value + total + list_sum(list_transform(x, lambda a, i: CASE WHEN i = 1 THEN h ELSE a - last_x[i] END * beta[i]))
+              ELSE u + list_sum(list_transform(x, lambda a, i: a * beta[i])) END AS forecast_value,
+         sqrt(sigma2 * spread) AS standard_error
+  FROM sday
+)"""
+
+
+FORECAST_COLS = f"""forecast_timestamp, result_type, round(forecast_value, 4) AS forecast_value, round(standard_error, 4) AS standard_error,
+       CAST(0.95 AS DOUBLE) AS confidence_level, round(forecast_value - {Z} * standard_error, 4) AS prediction_interval_lower_bound,
+       round(forecast_value + {Z} * standard_error, 4) AS prediction_interval_upper_bound"""
+# HOLIDAYS also joins a series named filled
+CALENDAR = HOLIDAYS[:HOLIDAYS.index("wh AS (")].rstrip().rstrip(",")
+CLEAN = f"""{counts_of_orders('f3a', "'F', 'O', 'P'")}, {training('f3a', 3, 'a_')}, {daily_filled('a_train', 'a_')},
+{without_seasonal_spikes('a_filled', 'a_')}"""
+SEASONAL = f"{CLEAN}, {CALENDAR}, {seasonal('a_clean')}"
+SQL["order_search"] = f"""WITH RECURSIVE {SEASONAL}
+SELECT result_type, d, regressors, p, n, rank, round(sigma2, 4) AS sigma2, round(log_likelihood, 4) AS log_likelihood,
+       round(aicc, 4) AS aicc, round(kpss, 4) AS kpss, chosen FROM sfits"""
+SQL["calendar_effects"] = f"""WITH RECURSIVE {SEASONAL},
+named AS (SELECT result_type, regressors, unnest(beta) AS effect,
+                 unnest(['level', 'weekday2', 'weekday3', 'weekday4', 'weekday5', 'weekday6', 'weekday7'] || {HOLIDAY_LIST}) AS effect_of
+          FROM sfits WHERE chosen)
+SELECT result_type, regressors, effect_of, round(effect, 4) AS effect FROM named WHERE effect_of <> 'level'"""
+SQL["seasonal_forecast"] = f"WITH RECURSIVE {SEASONAL} SELECT {FORECAST_COLS} FROM sahead"
+# the first 1 to 14 days of each series, as series of their own
+YOUNG = f"""{CLEAN},
+young AS (
+  SELECT a.result_type || ' ' || k AS result_type, a.test_date, a.count
+  FROM a_clean a JOIN (SELECT result_type, min(test_date) AS lo FROM a_clean GROUP BY 1) USING (result_type),
+       (SELECT unnest(range(1, 15)) AS k)
+  WHERE a.test_date < lo + CAST(k AS INTEGER)
+)"""
+SQL["young_order_search"] = f"""WITH RECURSIVE {YOUNG}, {CALENDAR}, {seasonal('young')}
+SELECT result_type, d, regressors, p, n, round(sigma2, 4) AS sigma2, round(aicc, 4) AS aicc, chosen FROM sfits"""
+SQL["young_seasonal_forecast"] = f"WITH RECURSIVE {YOUNG}, {CALENDAR}, {seasonal('young')} SELECT {FORECAST_COLS} FROM sahead"
+# the short series also for the closed-form models
+SQL["young_fit_forecast"] = f"""WITH {YOUNG}, {models('young')}
+SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(aicc, 4) AS aicc, chosen FROM fits"""
+SQL["young_forecast"] = f"WITH {YOUNG}, {models('young')} SELECT {FORECAST_COLS} FROM ahead"
+SQL["analytics_chain"] = f"""WITH RECURSIVE {F1}, {DAILY}, {training('daily', 2, 'a_')}, {daily_filled('a_train', 'a_')},
+{without_seasonal_spikes('a_filled', 'a_')}, {CALENDAR}, {seasonal('a_clean')} {chart('daily', 'sahead')}"""

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inspecta.operators.counts import daily_counts
 from inspecta.operators.enrich import enrich
-from inspecta.operators.forecast import (
-    clean_spikes, fill_daily, fit_forecast, forecast, forecast_training, prediction_output,
-)
+from inspecta.operators.forecast import clean_seasonal_spikes, fill_daily, forecast_training, prediction_output
+from inspecta.operators.seasonal import search_orders, seasonal_forecast
 from inspecta.schema import ACTUAL_SUFFIX, FORECAST_SUFFIX
 from inspecta.sources.feed import read_feed, split_corrupt
 from inspecta.sources.sinks import write_version
@@ -42,6 +41,12 @@ def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, checkpo
     return report
 
 
+def predict(train: DataFrame, horizon: int = 30) -> DataFrame:
+    """Training series -> regular grid -> cleaned -> order search -> forecast."""
+    clean = clean_seasonal_spikes(fill_daily(train).drop("filled")).drop("is_spike")
+    return seasonal_forecast(search_orders(clean), horizon)
+
+
 def analytics(main: DataFrame, as_of=None, horizon: int = 30, years: int = 3) -> dict[str, DataFrame]:
     """main -> daily counts -> training series -> forecast -> chart view.
 
@@ -52,7 +57,7 @@ def analytics(main: DataFrame, as_of=None, horizon: int = 30, years: int = 3) ->
     ensure_checkpoint_dir(main.sparkSession)
     counts = daily_counts(main, as_of).checkpoint(eager=True)
     train = forecast_training(counts, as_of, years)
-    fc = forecast(fit_forecast(clean_spikes(fill_daily(train).drop("filled"))), horizon)
+    fc = predict(train, horizon)
     return {"daily_counts": counts, "forecast": fc,
             "prediction_output": prediction_output(counts, fc, as_of)}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from inspecta.operators.merge import (
     dedupe_delta, drop_deleted, merge_report, new_vehicles, prepare_delta, upsert, valid_delta,
 )
 from inspecta.operators.forecast import (
-    ar1_baseline, ar1_forecast, clean_spikes, complete_dates, evaluate_forecast, fill_daily,
+    ar1_baseline, ar1_forecast, clean_seasonal_spikes, clean_spikes, complete_dates, evaluate_forecast, fill_daily,
     fit_forecast, forecast, forecast_training, holiday_effect, prediction_output, training_cutoff,
     with_holidays,
 )
@@ -21,6 +21,7 @@ from inspecta.operators.classify import (
     FEATURES, class_weights, fit_pass_fail, load_model, lookup, lookup_score, pass_fail_training,
     save_model, score, what_if, what_if_score,
 )
+from inspecta.operators.seasonal import effects, search_orders, seasonal_forecast
 from inspecta.functions.columns import pass_probability
 from inspecta.plans.pipelines import (
     analytics, bulk_load, create_chart_view, register_views, weekly_delta_ingest,
@@ -238,6 +239,12 @@ def q_clean_spikes(spark, d):
     return clean_spikes(fill_daily(_f3_daily(spark, d)).drop("filled")).withColumn("count", F.round("count", 6))
 
 
+@query
+def q_clean_seasonal_spikes(spark, d):
+    """Spikes against the usual value of the weekday; weekly patterns stay."""
+    return clean_seasonal_spikes(fill_daily(_f3_daily(spark, d)).drop("filled")).withColumn("count", F.round("count", 6))
+
+
 def _holidays(spark, d):
     return with_holidays(fill_daily(_f3_daily(spark, d)).drop("filled"))
 
@@ -299,6 +306,62 @@ def q_forecast_blend(spark, d):
     return _rounded(prediction_output(_f3(spark, d), forecast(_fits(spark, d)), fx.AS_OF_HISTORY))
 
 
+# ---- calendar regression, order search and forecast (FC4-FC6) --------------------
+def _clean_series(spark, d):
+    counts = fx.series_counts(spark, d, with_abandoned=True)
+    return clean_seasonal_spikes(fill_daily(forecast_training(counts, fx.AS_OF_HISTORY, n_types=3)).drop("filled"))
+
+
+def _young_series(spark, d):
+    """The first 1 to 14 days of each series, as series of their own."""
+    x = _clean_series(spark, d)
+    x = x.withColumn("lo", F.min("test_date").over(Window.partitionBy("result_type")))
+    return (x.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(14)))).where(F.datediff("test_date", "lo") < F.col("k"))
+            .select(F.concat_ws(" ", "result_type", "k").alias("result_type"), "test_date", "count"))
+
+
+CANDIDATE_COLS = ["result_type", "d", "regressors", "p", "n", "rank", "sigma2", "log_likelihood", "aicc", "kpss", "chosen"]
+
+
+@query
+def q_order_search(spark, d):
+    """Every differencing, regressor set and order with its corrected AIC."""
+    return _rounded(search_orders(_clean_series(spark, d)).select(*CANDIDATE_COLS))
+
+
+@query
+def q_calendar_effects(spark, d):
+    """Weekday and holiday effects of the chosen models."""
+    return _rounded(effects(search_orders(_clean_series(spark, d))))
+
+
+@query
+def q_seasonal_forecast(spark, d):
+    return _rounded(seasonal_forecast(search_orders(_clean_series(spark, d))))
+
+
+@query
+def q_young_order_search(spark, d):
+    """Candidates for series of 1 to 14 days."""
+    return _rounded(search_orders(_young_series(spark, d)).select(*[c for c in CANDIDATE_COLS if c not in ("rank", "log_likelihood", "kpss")]))
+
+
+@query
+def q_young_seasonal_forecast(spark, d):
+    return _rounded(seasonal_forecast(search_orders(_young_series(spark, d))))
+
+
+@query
+def q_young_fit_forecast(spark, d):
+    """The closed-form models on series of 1 to 14 days."""
+    return _rounded(fit_forecast(_young_series(spark, d)).select("result_type", "model", "n", "sigma2", "aicc", "chosen"))
+
+
+@query
+def q_young_forecast(spark, d):
+    return _rounded(forecast(fit_forecast(_young_series(spark, d))))
+
+
 # ---- feed I/O (SRC1-SRC10) ------------------------------------------------------
 FEED_COLS = ["registration", "modification", "lastMotTestDate", "firstUsedDate", "make",
              "engineSize", "feed_date", "date", "n_tests"]

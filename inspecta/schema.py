@@ -72,3 +72,7 @@ DERIVED = T.StructType([
 
 DAILY_COUNTS = "test_date timestamp_ntz, result_type string, count bigint"
 FORECAST_OUT = "forecast_timestamp timestamp_ntz, result_type string, forecast_value double"
+
+# fixed values: names of the calendar's holidays (functions/calendar.py)
+HOLIDAYS = ("NewYear", "GoodFriday", "EasterMonday", "EarlyMayBankHoliday", "SpringBankHoliday", "SummerBankHoliday",
+            "Christmas", "BoxingDay")

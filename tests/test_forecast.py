@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inspecta.functions.calendar import gb_holidays
 from inspecta.operators.counts import daily_counts
 from inspecta.operators.forecast import (
-    ar1_baseline, clean_spikes, evaluate_forecast, fill_daily, fit_forecast, forecast, forecast_training,
+    ar1_baseline, clean_seasonal_spikes, clean_spikes, evaluate_forecast, fill_daily, fit_forecast, forecast, forecast_training,
     prediction_output, training_cutoff,
 )
 
@@ -86,17 +86,35 @@ def test_trend_and_mean_reversion(spark):
 
 
 def test_short_series(spark):
-    for values, models in (([5], set()), ([5, 6], {"drift", "weekday"}), ([], set())):
+    for values, models in (([5], set()), ([5, 6], set()), ([], set()), ([10, 14, 9, 30], set()), ([10, 14, 9, 30, 12], {"drift"}),
+                           ([10, 14, 9, 30, 12, 17], {"drift", "ar1"}), ([10, 14, 9, 30, 12, 17, 20] * 2, {"drift", "ar1"}),
+                           ([10, 14, 9, 30, 12, 17, 20] * 2 + [11], {"drift", "ar1", "weekday"})):
         fits = fit_forecast(_days(spark, values))
-        usable = {r.model for r in fits.where("aic is not null").collect()}
+        usable = {r.model for r in fits.where("aicc is not null").collect()}
         assert usable == models and fits.where("chosen").count() == min(1, len(models))
-        assert forecast(fits, 4).count() == 4 * min(1, len(models))
+        ahead = forecast(fits, 8).collect()
+        assert len(ahead) == 8 * min(1, len(models))
+        assert all(r.forecast_value is not None and (r.standard_error > 0 or "weekday" in models) for r in ahead)
+
+
+def test_weekly_dips_stay_and_real_spikes_go(spark):
+    week = [100, 120, 90, 100, 130, 20, 5]
+    plain = _days(spark, week * 8)
+    assert clean_seasonal_spikes(plain).where("is_spike").count() == 0
+    assert [r["count"] for r in clean_seasonal_spikes(plain).orderBy("test_date").collect()] == week * 8
+    values = week * 8
+    values[24], values[40] = 900, 0
+    got = clean_seasonal_spikes(_days(spark, values)).orderBy("test_date").collect()
+    assert [i for i, r in enumerate(got) if r.is_spike] == [24, 40]
+    assert [r["count"] for r in got] == week * 8
+    rising = [2 * i + v for i, v in enumerate(week * 8)]
+    assert clean_seasonal_spikes(_days(spark, rising)).where("is_spike").count() <= 4      # at the ends a frame is one-sided
 
 
 def test_evaluation_compares_models(spark):
     rows = evaluate_forecast(fit_forecast(_days(spark, [i * i % 11 + i for i in range(50)]))).collect()
     assert {r.model for r in rows} == {"ar1", "drift", "weekday"} and {r.n for r in rows} == {49}
-    assert [r.aic for r in rows if r.chosen] == [min(r.aic for r in rows)]
+    assert [r.aicc for r in rows if r.chosen] == [min(r.aicc for r in rows)]
     for r in rows:
         assert r.log_likelihood == pytest.approx(-r.n / 2 * (math.log(2 * math.pi * r.sigma2) + 1))
 
