@@ -256,14 +256,15 @@ def write_feed_fixture(spark: SparkSession, sf_dir: str, root: str | None = None
 
 
 def weekly_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two weeks of delta records.  The second adds, for every vehicle the first
-    changed, a DELETED record without any date."""
+    """Two weeks of delta records.  The second changes and deletes vehicles that the first
+    changed, and adds a DELETED record without any date for every other vehicle that
+    the first created or updated."""
     e = delta(spark, sf_dir).select(*VEHICLE.fieldNames())
     first = e.where(F.col("lastMotTestDate") < _split_col())
-    # a vehicle with dated records in the second week too would be decided by those
-    later = e.where(F.col("lastMotTestDate") >= _split_col())
-    second = later.withColumn("registration", F.concat(F.lit("W"), "registration"))
-    gone = first.where(F.col("modification").isin(CREATED, UPDATED)).select("registration").distinct()
+    # a vehicle with dated records in the second week is decided by those
+    second = e.where(F.col("lastMotTestDate") >= _split_col())
+    gone = (first.where(F.col("modification").isin(CREATED, UPDATED)).select("registration").distinct()
+            .join(second.select("registration"), "registration", "left_anti"))
     deletes = gone.select(*[F.lit(DELETED).alias(f.name) if f.name == "modification"
                             else F.col("registration") if f.name == "registration"
                             else F.lit(None).cast(f.dataType).alias(f.name) for f in VEHICLE.fields])

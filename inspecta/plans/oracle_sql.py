@@ -185,18 +185,23 @@ acts AS (
   UNION ALL SELECT CASE modification WHEN 'DELETED' THEN 'ignore' ELSE 'insert' END FROM denull
 )
 SELECT action, count(*) AS rows FROM acts GROUP BY 1"""
-# week 1, then week 2 with new vehicles and deletes of all that week 1 changed
-SQL["weekly_delta_ingest"] = f"""WITH {F2},
+# week 1, then week 2 with changes of the same vehicles, and deletes of those it has no dated record of
+WEEKLY = f"""{F2},
 v1 AS (SELECT * FROM valid WHERE lastMotTestDate < TIMESTAMP '2024-01-15'),
 {newest('dd1', 'v1')},
 {delta_enriched('de1', 'dd1')},
 m1 AS ({merged('mn', 'de1')}),
-v2 AS (SELECT * REPLACE ('W' || registration AS registration) FROM valid WHERE lastMotTestDate >= TIMESTAMP '2024-01-15'),
+e2 AS (SELECT * FROM ev WHERE lastMotTestDate >= TIMESTAMP '2024-01-15'),
+v2 AS (SELECT * FROM e2 WHERE modification IN ('CREATED', 'UPDATED', 'DELETED')),
 {newest('dd2', 'v2')},
-{delta_enriched('de2', 'dd2')}
-SELECT * FROM m1 WHERE registration NOT IN (SELECT registration FROM v1 WHERE modification <> 'DELETED')
-UNION ALL
-SELECT registration, {", ".join(SET_COLS)}, NULL, NULL FROM de2 WHERE modification <> 'DELETED'"""
+{delta_enriched('de2', 'dd2')},
+gone AS (SELECT registration FROM v1 WHERE modification <> 'DELETED' AND registration NOT IN (SELECT registration FROM e2)),
+m2 AS (SELECT * FROM ({merged('m1', 'de2')}) WHERE registration NOT IN (SELECT registration FROM gone))"""
+SQL["weekly_delta_ingest"] = f"WITH {WEEKLY} SELECT * FROM m2"
+SQL["changelog_read"] = SQL["changelog_compacted"] = SQL["weekly_delta_ingest"]
+SQL["counts_incremental"] = f"""WITH {WEEKLY}
+SELECT last_test_date AS test_date, last_test_result AS result_type, count(*) AS count FROM m2
+WHERE last_test_result IN ('PASSED', 'FAILED') GROUP BY 1, 2"""
 SQL["weekly_rows_affected"] = SQL["merge_report"]
 SQL["new_vehicles"] = f"""WITH {F2}
 SELECT registration, modification, lastMotTestDate, last_test_result, mileage
@@ -722,3 +727,7 @@ SELECT result_type, model, n, round(sigma2, 4) AS sigma2, round(aicc, 4) AS aicc
 SQL["young_forecast"] = f"WITH {YOUNG}, {models('young')} SELECT {FORECAST_COLS} FROM ahead"
 SQL["analytics_chain"] = f"""WITH RECURSIVE {F1}, {DAILY}, {training('daily', 2, 'a_')}, {daily_filled('a_train', 'a_')},
 {without_seasonal_spikes('a_filled', 'a_')}, {CALENDAR}, {seasonal('a_clean')} {chart('daily', 'sahead')}"""
+SQL["upsert_bloom"] = SQL["upsert_bloom_crowded"] = SQL["upsert"]
+SQL["upsert_odd_keys_broadcast"] = SQL["upsert_odd_keys"]
+SQL["merge_observed"] = SQL["merge_report"]
+SQL["stream_log"] = SQL["upsert"]

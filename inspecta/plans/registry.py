@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inspecta import fixtures as fx
-from inspecta.operators.counts import daily_counts
+from inspecta.operators import changelog
+from inspecta.operators.counts import all_counts, apply_changes, count_changes, daily_counts
 from inspecta.operators.enrich import enrich, enrich_flat
 from inspecta.operators.merge import (
     dedupe_delta, drop_deleted, merge_report, new_vehicles, prepare_delta, upsert, valid_delta,
@@ -28,7 +29,7 @@ from inspecta.plans.pipelines import (
 )
 from inspecta.schema import VEHICLE
 from inspecta.session import scratch_dir
-from inspecta.streaming.streams import budget_overruns, ingest, start_upsert, stream_feed
+from inspecta.streaming.streams import budget_overruns, ingest, start_log, start_upsert, stream_feed
 from inspecta.sources.feed import (
     feed_glob, feed_stats, latest_feed, normalise_feed, read_feed, read_feed_zip, read_latest_feed,
     split_corrupt, write_feed, write_feed_zip,
@@ -143,6 +144,20 @@ def q_upsert_broadcast(spark, d):
     return _upsert(spark, d, "broadcast")
 
 
+@query
+def q_upsert_bloom(spark, d):
+    """Only main rows that pass a Bloom filter of the delta's keys are joined by a shuffle."""
+    return _upsert(spark, d, "bloom")
+
+
+@query
+def q_upsert_bloom_crowded(spark, d):
+    """The same with a filter of 64 bits, which most rows pass: false positives change nothing."""
+    main, prepared = _merge_inputs(spark, d)
+    out = upsert(main, prepared, strategy="bloom", bits_per_key=0.001, block_bits=64)
+    return _with_n_tests(out).select(*UPSERT_COLS)
+
+
 @query
 def q_upsert_shuffle(spark, d):
     return _upsert(spark, d, "shuffle")
@@ -161,6 +176,22 @@ def q_upsert_odd_keys(spark, d):
     return _with_n_tests(upsert(main, _odd_delta(spark, d).drop("event_id"), strategy="shuffle")).select(*UPSERT_COLS)
 
 
+@query
+def q_upsert_odd_keys_broadcast(spark, d):
+    """The same with the keys broadcast; records without a key reach no join."""
+    main = fx.main_table(spark, d, fx.AS_OF_DELTA)
+    return _with_n_tests(upsert(main, _odd_delta(spark, d).drop("event_id"), strategy="broadcast")).select(*UPSERT_COLS)
+
+
+@query
+def q_merge_observed(spark, d):
+    """Rows per merge action, observed while the new version of main is written."""
+    main, prepared = _merge_inputs(spark, d)
+    counts = Observation()
+    write_version(upsert(main, prepared, report=counts), scratch_dir(spark, "observed-main"))
+    return spark.createDataFrame([(a, n) for a, n in counts.get.items() if n], "action string, rows bigint")
+
+
 @query
 def q_merge_report_null_keys(spark, d):
     """Merge actions when both sides have NULL keys (joined by a shuffle)."""
@@ -586,6 +617,20 @@ def q_stream_upsert(spark, d):
     return _with_n_tests(read_latest(spark, table)).select(*UPSERT_COLS)
 
 
+@query
+def q_stream_log(spark, d):
+    """Delta folders, the later one found first, one file per batch: keyed state lets the
+    newest record of each vehicle win whatever the order; read merged with main."""
+    path, ckpt, root = scratch_dir(spark, "stream-log"), scratch_dir(spark, "stream-log-ckpt"), scratch_dir(spark, "stream-log-feed")
+    changelog.create(fx.main_table(spark, d, fx.AS_OF_DELTA), path, buckets=8)
+    e = fx.delta(spark, d).select(*VEHICLE.fieldNames())
+    split = F.lit(fx.DELTA_SPLIT).cast("timestamp_ntz")
+    for folder, rows in ((fx.DELTA_NEW_FOLDER, e.where(F.col("lastMotTestDate") >= split)), (fx.DELTA_OLD_FOLDER, e.where(F.col("lastMotTestDate") < split))):
+        write_feed(rows, root, folder)
+        start_log(stream_feed(spark, root, kind="delta", max_files_per_trigger=2), path, ckpt, fx.AS_OF_DELTA).awaitTermination()
+    return _with_n_tests(changelog.read(spark, path, in_turn=False)).select(*UPSERT_COLS)
+
+
 @query
 def q_budget_overruns(spark, d):
     return budget_overruns(fx.budget_envelopes(spark, d)).select("event_id", "costAmount", "budgetAmount")
@@ -594,8 +639,8 @@ def q_budget_overruns(spark, d):
 @query
 def q_weekly_delta_ingest(spark, d):
     """Two weeks of delta folders, each applied by its own run, then a run without new
-    files.  The second week also deletes, by records without a date, every vehicle
-    that the first week changed; a vehicle must not come back."""
+    files.  The second week changes and deletes vehicles that the first changed, some by
+    records without a date; a vehicle must not come back."""
     root, table, ckpt = (scratch_dir(spark, n) for n in ("weekly-feed", "weekly-main", "weekly-ckpt"))
     write_version(fx.main_table(spark, d, fx.AS_OF_DELTA), table)
     first, second = fx.weekly_folders(spark, d)
@@ -607,6 +652,45 @@ def q_weekly_delta_ingest(spark, d):
     return _with_n_tests(read_latest(spark, table)).select(*UPSERT_COLS)
 
 
+def _weeks(spark, d):
+    return [prepare_delta(w, fx.AS_OF_DELTA) for w in fx.weekly_folders(spark, d)]
+
+
+@query
+def q_changelog_read(spark, d):
+    """Two weeks appended to a change log, read merged with main."""
+    path = scratch_dir(spark, "changelog")
+    changelog.create(fx.main_table(spark, d, fx.AS_OF_DELTA), path, buckets=8)
+    for week in _weeks(spark, d):
+        changelog.append(week, path)
+    return _with_n_tests(changelog.read(spark, path)).select(*UPSERT_COLS)
+
+
+@query
+def q_changelog_compacted(spark, d):
+    """The same, some buckets compacted after the first week and all after the second."""
+    path = scratch_dir(spark, "changelog")
+    changelog.create(fx.main_table(spark, d, fx.AS_OF_DELTA), path, buckets=8)
+    for week, buckets in zip(_weeks(spark, d), ([1, 2, 5], None)):
+        changelog.append(week, path)
+        changelog.compact(spark, path, buckets)
+    if changelog.manifest(spark, path).log:
+        raise AssertionError("no bucket waits for a delta")
+    return _with_n_tests(changelog.read(spark, path)).select(*UPSERT_COLS)
+
+
+@query
+def q_counts_incremental(spark, d):
+    """Counts of main kept up to date over two weekly merges, not counted again."""
+    main = fx.main_table(spark, d, fx.AS_OF_DELTA)
+    counts, table = all_counts(main), scratch_dir(spark, "counted-main")
+    for week in _weeks(spark, d):
+        counts = apply_changes(counts, count_changes(main, week))
+        write_version(upsert(main, week, duplicates="trust"), table)
+        main = read_latest(spark, table)
+    return counts
+
+
 @query
 def q_weekly_rows_affected(spark, d):
     """The rows affected that a weekly run returns."""

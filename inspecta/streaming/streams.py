@@ -6,11 +6,14 @@ rerun picks up only new feed files (each file is processed once).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from inspecta.schema import VEHICLE
+from inspecta.operators.merge import valid_delta
+from inspecta.schema import DELETED, VEHICLE
+from inspecta.session import ship_package
 from inspecta.sources.feed import CORRUPT, _with_corrupt, feed_glob, tag_feed_date
 
 BUDGET = T.StructType([T.StructField("costAmount", T.DoubleType()),
@@ -56,7 +59,7 @@ def start_upsert(stream: DataFrame, table: str, checkpoint: str, as_of=None,
     by ``order`` ('last_test' or 'feed_date').  ``report`` collects one
     (batch, action, rows) entry per merge action of each batch.
     """
-    from inspecta.operators.merge import merge_report, prepare_delta, upsert
+    from inspecta.operators.merge import prepare_delta, upsert
     from inspecta.sources.sinks import read_latest, write_version
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
@@ -64,9 +67,10 @@ def start_upsert(stream: DataFrame, table: str, checkpoint: str, as_of=None,
         # cut here: the report and the merge read it
         prepared = prepare_delta(good, as_of, key, order).checkpoint(eager=True)
         current = read_latest(batch.sparkSession, table)
-        if report is not None:
-            report.extend((epoch_id, r["action"], r["rows"]) for r in merge_report(current, prepared, key).collect())
-        write_version(upsert(current, prepared, key, duplicates="trust", checkpoint=False, **upsert_kw), table)
+        counts = Observation() if report is not None else None      # taken by the write itself
+        write_version(upsert(current, prepared, key, duplicates="trust", checkpoint=False, report=counts, **upsert_kw), table)
+        if counts is not None:
+            report.extend((epoch_id, action, rows) for action, rows in counts.get.items() if rows)
 
     from inspecta.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(stream.sparkSession)
@@ -75,6 +79,81 @@ def start_upsert(stream: DataFrame, table: str, checkpoint: str, as_of=None,
     return w.start()
 
 
+# ---- newest record per key across batches (keyed state) --------------------------
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "true"}
+
+
+class Newest(StatefulProcessor):
+    """Keeps the rank of the newest record of a key and passes on a record that beats it.
+
+    A rank is (last test, feed date, DELETED, hash), in the chosen order of the first
+    two; a missing date is older than any.  It is kept as one text that sorts like it."""
+
+    def init(self, handle) -> None:
+        self.best = handle.getValueState("best", "rank string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+        found = None
+        for part in rows:
+            top = part.loc[part["rank"].idxmax()] if len(part) else None
+            if top is not None and (found is None or top["rank"] > found["rank"]):
+                found = top
+        known = self.best.get()[0] if self.best.exists() else None
+        if found is not None and (known is None or found["rank"] > known):
+            self.best.update((found["rank"],))
+            yield pd.DataFrame({"record": [found["record"]]})
+
+    def close(self) -> None:
+        pass
+
+
+def newest_records(stream: DataFrame, key: str = "registration", order: str = "last_test") -> DataFrame:
+    """Records of a stream that are newer than every record of their key before, in this
+    and all earlier batches; of a batch the newest.  Same columns.
+
+    The state is one short text per key, in RocksDB on the executors with its log in the
+    stream's checkpoint.  So what is passed on last for a key doesn't depend on how the
+    files are dealt into batches.  Records without a key are dropped."""
+    if order not in ("last_test", "feed_date"):
+        raise ValueError("order must be 'last_test' or 'feed_date'")
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    ship_package(stream.sparkSession)
+    text = lambda c, form: F.coalesce(F.date_format(c, form), F.lit(""))      # noqa: E731
+    dates = [text("lastMotTestDate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), text("feed_date", "yyyy-MM-dd") if "feed_date" in stream.columns else F.lit("")]
+    if order == "feed_date":
+        dates.reverse()
+    # parts have a fixed width or are empty, and a space sorts before what is in them
+    rank = F.concat_ws(" ", *dates, F.when(F.col("modification") == DELETED, "1").otherwise("0"),
+                       F.lpad(F.hex(F.xxhash64(*stream.columns)), 16, "0"))
+    rows = (valid_delta(stream).where(F.col(key).isNotNull())
+            .select(F.col(key).cast("string").alias("key"), rank.alias("rank"), F.to_json(F.struct(*stream.columns), _TIMES).alias("record")))
+    out = rows.groupBy("key").transformWithStateInPandas(Newest(), "record string", "Update", "None")
+    return out.select(F.from_json("record", stream.schema, _TIMES).alias("r")).select("r.*")
+
+
+def start_log(stream: DataFrame, path: str, checkpoint: str, as_of=None, key: str = "registration",
+              order: str = "last_test", available_now: bool = True):
+    """Append the newest records of each micro-batch to a merge-on-read table
+    (``changelog``).  An append costs the batch, not main.
+
+    Read the table with ``in_turn=False``: then the rows don't depend on the files per
+    trigger, nor on their order.  A replayed batch adds the same records again, which
+    changes nothing.  Compaction makes deletes final."""
+    from inspecta.operators import changelog
+    from inspecta.operators.merge import prepare_delta
+    good = stream.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_file")
+
+    def apply(batch: DataFrame, _epoch_id: int) -> None:
+        changelog.append(prepare_delta(batch, as_of, key, order), path)
+
+    w = (newest_records(good, key, order).writeStream.outputMode("update").foreachBatch(apply)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def decode_budget(df: DataFrame, data_col: str = "data") -> DataFrame:
     """base64 message body -> costAmount, budgetAmount."""
     body = F.from_json(F.unbase64(F.col(data_col)).cast("string"), BUDGET)
