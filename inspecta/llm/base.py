@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,12 +44,18 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver notice which shuffles nothing refers to any more, so that Spark
-    deletes their files now and not whenever the driver happens to collect garbage.
-    Called between the passes of a job that would else keep all of them on disk."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within this, Spark deletes a query's shuffle files as soon as the query has ended, and
+    not whenever the driver happens to collect its garbage.  For the passes of a job that
+    store what they find: a later pass reads the stored rows and no earlier shuffle."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def first_by_hash(rows: DataFrame, group: str, id_: str, n: int, ranges: int = 1 << 16) -> DataFrame:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from inspecta.llm.base import shuffles_dropped, stored
+
 BLOCK = 1 << 16
 ROWS = 1000             # rows whose keys are held at once
 MIN_CELLS = 1 << 20
@@ -83,9 +85,10 @@ def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]
 
     blocks = sum(s.depth * s.cells // BLOCK for s in shapes)
     parts = max(8, min(512, blocks // 64))
-    merged = (rows.mapInArrow(partial, "line int, block long, at binary, twice binary")
-              .repartition(parts, "line", "block")
-              .mapInArrow(merge, "line int, block long, bits binary"))
+    with shuffles_dropped(rows.sparkSession):
+        merged = stored(rows.mapInArrow(partial, "line int, block long, at binary, twice binary")
+                        .repartition(parts, "line", "block")
+                        .mapInArrow(merge, "line int, block long, bits binary"), "sketch")
     out = [[bytearray(s.cells // 8) for _ in range(s.depth)] for s in shapes]
     for line, block, bits in merged.toLocalIterator():
         k, r = lines[line]

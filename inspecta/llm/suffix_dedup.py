@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inspecta.llm import sketch
-from inspecta.llm.base import id_text, map_rows, release
+from inspecta.llm.base import id_text, map_rows, shuffles_dropped, stored
 from inspecta.llm.sketch import Shape, is_marked
 from inspecta.llm.windows import Ranges, anchor_places, mixed
 
@@ -168,7 +168,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         units = size * 2 / (length - digit + 2)
         # sizes only decide how much work the passes save
         shapes = (Shape(sketch.cells_for(units / 2), 1), Shape(sketch.cells_for(units / 8), 2, 1),
-                  Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 16), 2))
+                  Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 16), 1))
     digit_shape, first_shape, group_shape, window_shape = shapes
 
     # pass 1
@@ -192,14 +192,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         d, u, doc = (batch.column(k).to_numpy() for k in range(3))
         return [first_key(d.view(np.uint64), u.view(np.uint64), doc), d.view(np.uint64)]
     found = sketch.marked(groups, firsts, [first_shape, group_shape])
-    del groups
-    release(spark)
 
     # pass 3
     def item_keys(batch: pa.RecordBatch) -> list[np.ndarray]:
         return [_joined([c.claims(digits.value[0], found.value)[1].key for _, c in chunks(batch, length, digit)])]
     counted = sketch.marked(rows, item_keys, [window_shape])
-    release(spark)
 
     def item_rows(batch: pa.RecordBatch) -> dict:
         w, d = [np.zeros((0, 2), np.int64)], []
@@ -209,10 +206,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             d.append(c.docs[owner])
         w = np.concatenate(w)
         return {"w1": w[:, 0], "w2": w[:, 1], "doc": _joined(d, np.int64)}
-    own = (map_rows(rows, item_rows, "w1 long, w2 long, doc long", max_rows=ROWS)
-           .groupBy("w1", "w2").agg(F.min("doc").alias("own_doc"))
-           # which of a document's items are its own: 64 bits tell them apart within it
-           .groupBy("own_doc").agg(F.collect_list("w1").alias("own")))
+    with shuffles_dropped(spark):
+        own = stored(map_rows(rows, item_rows, "w1 long, w2 long, doc long", max_rows=ROWS)
+                     .groupBy("w1", "w2").agg(F.min("doc").alias("own_doc"))
+                     # which of a document's items are its own: 64 bits tell them apart within it
+                     .groupBy("own_doc").agg(F.collect_list("w1").alias("own")), "own-items")
 
     def finish(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept", "spans")}
