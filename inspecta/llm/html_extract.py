@@ -1,11 +1,11 @@
 """Main text of web pages by consensus host paths.
 
-1. Each page is cut into blocks of text and its containers are scored: a block's
-   characters, less twice those in links, count for the container it stands in and
-   half for the one above.  Menus, headers, footers, sidebars, notices, adverts,
-   forms, scripts, styles and comments don't count (by tag, role, or a word of the
-   class or id).  The page votes for its best containers' generalised paths: tags
-   with classes, digits as ``#``.
+1. Each page is cut into blocks of text and its containers are scored by all text below
+   them, less twice the characters in links.  Menus, headers, footers, sidebars, notices,
+   adverts, forms, scripts, styles and comments don't count (by tag, role, or the words
+   of the class or id).  The page votes for the generalised path (tags with classes,
+   digits as ``#``) of its best container: a sole ``article``, else ``main``, else the
+   lowest container that holds nearly all of the page's score and its ``h1``.
 2. Votes are summed per host and path in Spark; a host's paths with the most votes win.
 3. Each page is extracted again with the first winning path of its host that it
    has.  A page with none of them falls back to its own best container, then to
@@ -37,8 +37,9 @@ from pyspark.sql.window import Window
 
 from inspecta.llm.base import map_rows, stored
 
-PATHS = 3               # paths a page votes for, and a host keeps
-MOST = 0.6
+PATHS = 3               # paths that a host keeps
+HALF = 0.5              # of the page's text: an element with more, around an article, is a wrapper
+NEARLY = 0.8            # of a container's score: the part below that has so much is chosen
 MAX_HOSTS = 500_000     # winners are broadcast up to so many hosts, else joined by a shuffle
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
@@ -56,6 +57,11 @@ BAD_WORDS = frozenset("""ad ads adv advert advertisement advertising adverts ban
 consent cookie cookies copyright disqus footer form gdpr header login masthead menu menus modal nav navbar navigation newsletter
 notice notices notification outbrain pager pagination popup promo promotion related replies reply respond search share sharing
 sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar topbar widget alert""".split())
+ALWAYS_BAD = frozenset("comment comments disqus replies reply respond".split())
+# words that say nothing of a part's content, behind one that does: share-buttons, but not share-price
+PLAIN_WORDS = frozenset("""area bar block body bottom box button buttons center col column container content entry form group holder
+icon icons inner item items label left line link links list listing main module outer overlay page pane panel post posts right row
+section site slot small sticky text thread title top unit wrap wrapper""".split())
 CONTAINERS = frozenset("article body center dd div html main section table tbody td tr ul ol dl details figure".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 DIGITS = re.compile(r"\d+")
@@ -74,10 +80,29 @@ class Page:
             size[node] += len(s)
         for i in range(n - 1, 0, -1):
             size[self.parent[i]] += size[i]
-        # a part's name is not trusted on an element that holds most of the page
+        # what an element holds of article, main and h1 elements
+        body = [t in ("article", "main", "h1") for t in self.tag]
+        title = [0] * n
+        for node, s, _ in self.blocks:
+            if self.tag[node] == "h1":
+                title[node] += len(s)
+        for i in range(n - 1, 0, -1):
+            body[self.parent[i]] |= body[i]
+            title[self.parent[i]] += title[i]
         self.off = [False] * n
         for i in range(1, n):
-            self.off[i] = self.off[self.parent[i]] or self.bad[i] == 2 or (self.bad[i] == 1 and size[i] <= MOST * size[0])
+            wrapper = body[i] and size[i] > HALF * size[0] or title[i] and title[i] == size[i]
+            self.off[i] = self.off[self.parent[i]] or self.bad[i] == 3 or self.bad[i] > 0 and not wrapper
+        # the text below each element, less what is linked; all of it in an article
+        self.score = [0] * n
+        inside = [False] * n
+        for i in range(1, n):
+            inside[i] = inside[self.parent[i]] or self.tag[i] in ("article", "main")
+        for node, s, linked in self.blocks:
+            if not self.off[node]:
+                self.score[node] += len(s) if inside[node] else max(0, len(s) - 2 * linked)
+        for i in range(n - 1, 0, -1):
+            self.score[self.parent[i]] += self.score[i]
 
     def _parse(self, text: str) -> None:
         stack, buf, link, linked, pos, n = [0], [], False, 0, 0, len(text)
@@ -181,6 +206,7 @@ class Page:
 
     @staticmethod
     def _about(name: str, attrs: str) -> tuple[str, int]:
+        """Generalised label, and 1 or 2 for boilerplate by name or tag, 3 for what always goes."""
         label, bad = name, 2 * (name in BAD_TAGS)
         if attrs.strip():
             for key, value in ATTR.findall(attrs):
@@ -188,12 +214,16 @@ class Page:
                 if key == "class":
                     label += "".join("." + c for c in sorted({DIGITS.sub("#", c) for c in value.lower().split()}))
                 if key in ("class", "id") and name not in ("body", "main", "article"):
-                    if not bad and any(w.lower() in BAD_WORDS for w in WORDS.findall(value)):
-                        bad = 1
-                elif key == "role" and value.lower() in BAD_ROLES or key == "hidden" or \
-                        key == "aria-hidden" and value.lower() == "true" or \
+                    for token in value.split():
+                        words = [w.lower() for w in WORDS.findall(token) if not w.isdigit()]
+                        if words and words[-1] in BAD_WORDS or words and words[0] in BAD_WORDS and all(
+                                w in BAD_WORDS or w in PLAIN_WORDS for w in words):
+                            bad = max(bad, 3 if any(w in ALWAYS_BAD for w in words) else 1)
+                elif key == "role" and value.lower() in BAD_ROLES:
+                    bad = max(bad, 2)
+                elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or \
                         key == "style" and "display:none" in value.lower().replace(" ", ""):
-                    bad = 2
+                    bad = 3
         return label, bad
 
     def path(self, node: int) -> str:
@@ -203,20 +233,69 @@ class Page:
             node = self.parent[node]
         return "/".join(reversed(out))
 
-    def scored(self) -> list[tuple[float, int]]:
-        """(score, element) of the best containers, best first."""
-        score: dict[int, float] = {}
-        for node, s, linked in self.blocks:
-            value = len(s) - 2 * linked
-            if value > 0 and not self.off[node]:
-                for share in (1.0, 0.5):
-                    while node > 0 and self.tag[node] not in CONTAINERS:
-                        node = self.parent[node]
-                    score[node] = score.get(node, 0.0) + share * value
-                    if node == 0:
-                        break
-                    node = self.parent[node]
-        return sorted(((v, k) for k, v in score.items()), key=lambda x: (-x[0], x[1]))[:PATHS]
+    def _common(self, nodes: list[int]) -> int:
+        """The lowest element around all of ``nodes``."""
+        def line(k: int) -> list[int]:
+            out = [k]
+            while k > 0:
+                k = self.parent[k]
+                out.append(k)
+            return out[::-1]
+        lines = [line(k) for k in nodes]
+        out = 0
+        for step in zip(*lines):
+            if len(set(step)) > 1:
+                break
+            out = step[0]
+        return out
+
+    def best(self) -> int:
+        """The element that holds the main text; -1 if no text counts."""
+        if not self.score[0]:
+            return -1
+        live = [i for i in range(len(self.tag)) if not self.off[i] and self.score[i] > 0]
+        mains = [i for i in live if self.tag[i] == "main"]
+        scope = mains[0] if len(mains) == 1 else 0
+        within = {scope}
+        tops: list[int] = []                    # articles that stand in no other
+        nested = set()
+        for i in live:
+            if i != scope and self.parent[i] in within:
+                within.add(i)
+            if i in within and self.tag[i] == "article" and i not in nested and self.parent[i] not in nested:
+                tops.append(i)
+                nested.add(i)
+            elif self.parent[i] in nested:
+                nested.add(i)
+        titles = [i for i in live if self.tag[i] == "h1" and i in within]
+        if tops:
+            got = self._common(tops) if len(tops) > 1 else tops[0]
+            # a title that stands in front of the article, with nothing much beside them
+            outside = [i for i in titles if i not in nested]
+            if len(tops) == 1 and outside:
+                both = self._common([got, outside[0]])
+                if self.score[got] + self.score[outside[0]] >= NEARLY * self.score[both]:
+                    got = both
+            return got
+        if scope:
+            return scope
+        got = 0
+        children: dict[int, list[int]] = {}
+        for i in live:
+            if i:
+                children.setdefault(self.parent[i], []).append(i)
+        holds = {}
+        for t in titles:
+            k = t
+            while k > 0:
+                holds[k] = True
+                k = self.parent[k]
+        while True:
+            down = [c for c in children.get(got, []) if self.tag[c] in CONTAINERS and self.score[c] >= NEARLY * self.score[got]
+                    and (not titles or c in holds)]
+            if not down:
+                return got
+            got = down[0]
 
     def text(self, chosen: set[int]) -> str:
         """Blocks in the ``chosen`` elements, in page order, without boilerplate."""
@@ -242,11 +321,10 @@ def _ends(text: str) -> dict[int, int]:
 
 
 def votes(html: str | None) -> list[tuple[str, float]]:
-    """(generalised path, share of the page's score) of a page's best containers."""
+    """(generalised path, 1) of a page's best container, if any text counts."""
     page = Page(html or "")
-    best = page.scored()
-    total = sum(v for v, _ in best)
-    return [(page.path(k), v / total) for v, k in best]
+    best = page.best()
+    return [] if best < 0 else [(page.path(best), 1.0)]
 
 
 def main_text(html: str | None, paths: list[str] | None) -> str:
@@ -266,8 +344,7 @@ def main_text(html: str | None, paths: list[str] | None) -> str:
             out = page.text(at[p]) if at[p] else ""
             if out:
                 return out
-    best = page.scored()
-    return page.text({best[0][1]} if best else {0})
+    return page.text({max(0, page.best())})
 
 
 def host_of(url: Column) -> Column:
