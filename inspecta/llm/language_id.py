@@ -140,13 +140,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -> LanguageModel:
     rows = learnable(docs, id_col, text_col, lang_col)
     idf = inverse_frequencies(rows)
-    some = first_by_hash(rows.select("doc_id", "lang"), "lang", "doc_id", fit_rows)
+    some = first_by_hash(rows.select("doc_id", "lang").distinct(), "lang", "doc_id", fit_rows)
 
     def run(batch: pa.RecordBatch) -> dict:
         x, ok = vectors(batch.column(1).to_pylist(), idf)
         keep = np.flatnonzero(ok)
         return {"lang": batch.column(0).take(pa.array(keep)), "v": [x[i].tobytes() for i in keep]}
-    sampled = map_rows(rows.join(F.broadcast(some), ["doc_id", "lang"]).select("lang", "text"), run,
+    # rows that share doc_id and language count as one, whatever their number
+    picked = rows.join(F.broadcast(some), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    sampled = map_rows(picked.select("lang", "text"), run,
                        "lang string, v binary", max_rows=256)
 
     def per_language(group: pa.Table) -> pa.Table:

@@ -17,7 +17,8 @@ the pattern; ``assign`` is matched whole and short values are dropped after.
 
 Defined cases: null text equals empty text, which has no findings.  Rows that
 repeat are kept, each with the findings of its blob.  An empty table gives an
-empty result and leaves the ledger as it is.  Other columns are not read.
+empty result and leaves the ledger as it is.  A ledger that holds a blob twice gives
+its findings once.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from inspecta.llm.base import stored
+
 RULE_VERSION = 1
 KINDS = ("assign", "access", "hex")
 # fixed patterns of rule version 1: kind -> (pattern, group that holds the value, least length of it)
@@ -81,8 +84,12 @@ def scan(blobs: DataFrame) -> DataFrame:
 def update_ledger(spark: SparkSession, files: DataFrame, ledger_path: str,
                   rule_version: int = RULE_VERSION) -> DataFrame:
     """Scan the unseen blobs of ``files`` (blob, text), append them to the ledger
-    at ``ledger_path`` and return the ledger's rows of this rule version."""
-    blobs = files.dropDuplicates(["blob"])
+    at ``ledger_path`` and return the ledger's rows of this rule version, one per blob.
+
+    Only texts that may match are moved; of the others the blob alone is."""
+    tests = may_match(F.col("text"))
+    may = tests["assign"] | tests["access"] | tests["hex"]
+    blobs = files.select("blob", F.when(may, F.col("text")).alias("text")).dropDuplicates(["blob"])
     if _exists(spark, ledger_path):
         seen = spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == rule_version)
         blobs = blobs.join(seen.select("blob"), "blob", "left_anti")
@@ -92,7 +99,18 @@ def update_ledger(spark: SparkSession, files: DataFrame, ledger_path: str,
            .select("blob", F.lit(rule_version).alias("rule_version"),
                    F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("spans")))
     new.write.mode("append").parquet(ledger_path)
-    return spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == rule_version)
+    return read_ledger(spark, ledger_path, rule_version)
+
+
+def read_ledger(spark: SparkSession, ledger_path: str, rule_version: int = RULE_VERSION) -> DataFrame:
+    """The ledger's rows of a rule version, one per blob.  Two writers, or a write that was
+    done again after its commit was lost, leave a blob twice: then its rows, which are
+    equal, are made one."""
+    rows = spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == rule_version)
+    twice = rows.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.limit(1).count():
+        return rows
+    return stored(rows.groupBy("blob", "rule_version").agg(F.min("spans").alias("spans")), "ledger-once")
 
 
 def find_secrets(spark: SparkSession, docs: DataFrame, ledger_path: str, id_col: str = "doc_id",
