@@ -272,17 +272,18 @@ def weekly_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def write_corrupt_feed_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
-    """F2 as one delta folder where 'error' events are truncated JSON lines and
-    every 'view' event is followed by a blank line (gz text files)."""
+    """F1 as a bulk folder and F2 as a delta folder (gz text files) where some lines are
+    truncated JSON (vehicles on diesel, 'error' events) and others are followed by a
+    blank line (vehicles that were never tested, 'view' events)."""
     from inspecta.session import scratch_dir
     root = root or scratch_dir(spark, "feed-corrupt")
-    e = delta(spark, sf_dir)
     from inspecta.sources.feed import TS_WRITE_FORMAT
     js = F.to_json(F.struct(*[F.col(c) for c in VEHICLE.fieldNames()]),
                    {"timestampNTZFormat": TS_WRITE_FORMAT})
-    line = F.when(F.col("model") == "error", F.substring(js, 1, 25)).otherwise(js)
-    lines = e.select(line.alias("value"))
-    blanks = e.where(F.col("model") == "view").select(F.lit("").alias("value"))
-    (lines.unionByName(blanks).write.mode("overwrite").option("compression", "gzip")
-     .text(f"{root}/{DELTA_NEW_FOLDER}"))
+    bulk, e = history(spark, sf_dir), delta(spark, sf_dir)
+    for folder, rows, bad, blank in ((BULK_FOLDER, bulk, F.col("fuelType") == "DIESEL", F.col("lastMotTestDate").isNull()),
+                                     (DELTA_NEW_FOLDER, e, F.col("model") == "error", F.col("model") == "view")):
+        lines = rows.select(F.when(bad, F.substring(js, 1, 25)).otherwise(js).alias("value"))
+        blanks = rows.where(blank).select(F.lit("").alias("value"))
+        lines.unionByName(blanks).write.mode("overwrite").option("compression", "gzip").text(f"{root}/{folder}")
     return root

@@ -12,7 +12,7 @@ grows with the data should be left out of ``features`` or bucketed before.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -49,17 +49,27 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
 
 
-def _pipeline(reg_param: float, max_iter: int, features: list[str], tol: float) -> Pipeline:
+def slot(col: str, buckets: int) -> str:
+    """SQL of the slot that a category value is hashed to."""
+    return f"pmod(xxhash64('{col}', upper({col})), {buckets})"
+
+
+def _pipeline(reg_param: float, max_iter: int, features: list[str], tol: float, buckets: int | None) -> Pipeline:
     unknown = set(features) - set(FEATURES)
     if unknown or not features:
         raise ValueError(f"features must be some of {FEATURES}")
     cats, nums = ([f for f in group if f in features] for group in (CATEGORICAL, NUMERIC))
     stages, inputs = [], []
     if cats:
-        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
-            f"upper({c}) AS {c}_u" for c in cats) + " FROM __THIS__"))
-        stages.append(StringIndexer(inputCols=[f"{c}_u" for c in cats], outputCols=[f"{c}_i" for c in cats],
-                                    handleInvalid="keep"))
+        if buckets:
+            # no vocabulary comes to the driver: values share slots of a hash
+            stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+                f"CAST({slot(c, buckets)} AS DOUBLE) AS {c}_i" for c in cats) + " FROM __THIS__"))
+        else:
+            stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+                f"upper({c}) AS {c}_u" for c in cats) + " FROM __THIS__"))
+            stages.append(StringIndexer(inputCols=[f"{c}_u" for c in cats], outputCols=[f"{c}_i" for c in cats],
+                                        handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=[f"{c}_i" for c in cats], outputCols=[f"{c}_v" for c in cats],
                                     handleInvalid="keep"))
         inputs += [f"{c}_v" for c in cats]
@@ -76,18 +86,31 @@ def _pipeline(reg_param: float, max_iter: int, features: list[str], tol: float)
 
 
 def fit_pass_fail(training: DataFrame, reg_param: float = 0.0, max_iter: int = 20, balance: bool = True,
-                  features: list[str] = FEATURES, tol: float = 1e-6) -> PipelineModel:
-    """Fit the classifier on some ``features``; ``balance`` adds inverse-frequency class weights."""
+                  features: list[str] = FEATURES, tol: float = 1e-6, buckets: int | None = None) -> PipelineModel:
+    """Fit the classifier on some ``features``; ``balance`` adds inverse-frequency class weights.
+
+    Categories are indexed by a vocabulary that comes to the driver, or, with
+    ``buckets``, hashed to so many slots each, for vocabularies of any size."""
     # the class counts and several estimators scan the set: keep it
     # materialised for the fit (recomputable from lineage if lost)
     training = training.persist()
     try:
         df = with_class_weights(training) if balance else training.withColumn("weight", F.lit(1.0))
-        return _pipeline(reg_param, max_iter, features, tol).fit(df)
+        return _without_summary(_pipeline(reg_param, max_iter, features, tol, buckets).fit(df))
     finally:
         training.unpersist()
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """A model as it is when loaded.  The training summary holds on to the session, which
+    can't be sent to executors once a query of it has been observed (``Observation``)."""
+    jvm = SparkSession.active().sparkContext._jvm
+    for stage in model.stages:
+        if isinstance(stage, LogisticRegressionModel):
+            stage._java_obj.setSummary(jvm.scala.Option.empty())
+    return model
+
+
 def _labels(model: PipelineModel) -> list[str]:
     for st in model.stages:
         if st.hasParam("outputCol") and st.isDefined("outputCol") and st.getOutputCol() == "label":
@@ -108,6 +131,46 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return res.withColumn("pass_probability", pass_probability("predicted_last_test_result_probs"))
 
 
+def model_weights(model: PipelineModel) -> DataFrame:
+    """(feature, slot, value, weight): what the model adds up.  ``intercept`` is added as it
+    is; a number's ``value`` is the mean that stands for NULL; a category has a weight
+    per ``slot`` (hashed) or ``value`` (of the vocabulary)."""
+    stages = {type(s).__name__: s for s in model.stages if type(s).__name__ != "StringIndexerModel"}
+    names = next((s for s in model.stages if type(s).__name__ == "StringIndexerModel" and s.isSet("inputCols")), None)
+    coefficients = [float(w) for w in stages["LogisticRegressionModel"].coefficients]
+    rows = [("intercept", None, None, float(stages["LogisticRegressionModel"].intercept))]
+    if "ImputerModel" in stages:
+        means = stages["ImputerModel"].surrogateDF.first().asDict()
+        for c in stages["ImputerModel"].getInputCols():
+            rows.append((c.removesuffix("_d"), None, str(means[c]), coefficients.pop(0)))
+    if "OneHotEncoderModel" in stages:
+        enc = stages["OneHotEncoderModel"]
+        for k, (c, size) in enumerate(zip(enc.getInputCols(), enc.categorySizes)):
+            feature = c.removesuffix("_i")
+            values = list(names.labelsArray[k]) if names else [None] * size
+            # a vocabulary has one more place for values that training didn't have
+            for i in range(size):
+                rows.append((feature, i, values[i] if i < len(values) else None, coefficients.pop(0)))
+    if coefficients:
+        raise ValueError(f"{len(coefficients)} weights belong to no feature")
+    return SparkSession.active().createDataFrame(rows, "feature string, slot int, value string, weight double")
+
+
+def score_by_weights(weights: DataFrame, df: DataFrame, buckets: int, key: str = "registration") -> DataFrame:
+    """(key, pass_probability) from the weights of a model with hashed categories, by
+    plain joins and sums: a check of the pipeline, and a way to score without it."""
+    one = {r["feature"]: r for r in weights.where("slot is null").collect()}      # intercept and numbers
+    total = F.lit(one["intercept"]["weight"])
+    for f in NUMERIC:
+        if f in one:
+            total = total + one[f]["weight"] * F.coalesce(F.col(f).cast("double"), F.lit(float(one[f]["value"])))
+    rows = df.select(key, *FEATURES).withColumn("_id", F.monotonically_increasing_id())
+    slots = F.array(*[F.struct(F.lit(c).alias("feature"), F.expr(slot(c, buckets)).cast("int").alias("slot")) for c in CATEGORICAL])
+    cats = (rows.select("_id", key, total.alias("base"), F.inline(slots)).join(F.broadcast(weights.where("slot is not null")), ["feature", "slot"], "left")
+            .groupBy("_id", key, "base").agg(F.sum(F.coalesce("weight", F.lit(0.0))).alias("w")))
+    return cats.select(key, (1 / (1 + F.exp(-(F.col("base") + F.col("w"))))).alias("pass_probability"))
+
+
 def lookup(df: DataFrame, keys: DataFrame, key: str = "registration",
            max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS) -> DataFrame:
     """At most one row per requested key (semi join with the size-checked keys)."""

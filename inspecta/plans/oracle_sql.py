@@ -395,10 +395,17 @@ SQL["latest_feed"] = f"WITH {F4} SELECT {FEED_COLS} FROM feed WHERE kind = 'delt
 SQL["feed_zip"] = SQL["feed_round_trip"]
 SQL["feed_corrupt_split"] = f"""WITH {F2}
 SELECT registration, modification, lastMotTestDate, DATE '2024-01-30' AS feed_date
-FROM ev WHERE model <> 'error'"""
+FROM ev WHERE model <> 'error'
+UNION ALL SELECT registration, modification, lastMotTestDate, DATE '2026-03-13' FROM hist WHERE fuelType <> 'DIESEL'"""
 SQL["feed_corrupt_rows"] = f"""WITH {F2}
 SELECT CAST(NULL AS VARCHAR) AS registration, CAST(25 AS BIGINT) AS raw_length
-FROM ev WHERE model = 'error'"""
+FROM ev WHERE model = 'error'
+UNION ALL SELECT NULL, 25 FROM hist WHERE fuelType = 'DIESEL'"""
+SQL["feed_load_malformed"] = f"""WITH {F2}
+SELECT 'bulk-light-vehicle_14-03-2026' AS folder, count(*) FILTER (WHERE fuelType <> 'DIESEL') AS records FROM hist
+UNION ALL SELECT 'delta-light-vehicle_31-01-2024', count(*) FILTER (WHERE model <> 'error') FROM ev
+UNION ALL SELECT 'malformed', (SELECT count(*) FROM hist WHERE fuelType = 'DIESEL') + (SELECT count(*) FROM ev WHERE model = 'error')"""
+SQL["drop_stage"] = f"WITH {F2} SELECT count(*) AS staged, false AS still_there FROM ev"
 SQL["table_append_overwrite"] = f"""WITH {F2}
 SELECT registration, modification, last_test_result, mileage, vehicle_age FROM mn
 UNION ALL
@@ -731,3 +738,27 @@ SQL["upsert_bloom"] = SQL["upsert_bloom_crowded"] = SQL["upsert"]
 SQL["upsert_odd_keys_broadcast"] = SQL["upsert_odd_keys"]
 SQL["merge_observed"] = SQL["merge_report"]
 SQL["stream_log"] = SQL["upsert"]
+SQL["feed_load_counts"] = SQL["feed_stats"]
+SQL["feed_read_by_schema"] = SQL["feed_infer"]
+# a field is in a folder that has a value of it; a text where the feed writes dates, numbers or text
+_FIELDS = ["registration", "make", "model", "primaryColour", "secondaryColour", "fuelType", "engineSize", "manufactureDate",
+           "registrationDate", "firstUsedDate", "lastMotTestDate", "modification"]
+_TESTS = {"completedDate": "string", "motTestNumber": "bigint", "testResult": "string", "odometerValue": "string"}
+
+
+def _fields_of(folder: str, src: str, tests: str) -> str:
+    plain = [f"SELECT '{folder}' AS folder, '{c}' AS path, 'string' AS type FROM {src} HAVING count({c}) > 0" for c in _FIELDS]
+    nested = [f"SELECT '{folder}', 'motTests[].{c}', '{k}' FROM {src} HAVING {tests}" for c, k in _TESTS.items()]
+    return " UNION ALL ".join(plain + nested)
+
+
+SQL["feed_schema"] = f"""WITH {F2},
+early AS (SELECT * FROM ev WHERE lastMotTestDate < TIMESTAMP '2024-01-15'),
+late AS (SELECT * FROM ev WHERE lastMotTestDate >= TIMESTAMP '2024-01-15'),
+had AS ({_fields_of('bulk-light-vehicle_14-03-2026', 'hist', 'sum(n_tests) > 0')}
+        UNION ALL {_fields_of('delta-light-vehicle_15-01-2024', 'early', 'count(*) > 0')}
+        UNION ALL {_fields_of('delta-light-vehicle_31-01-2024', 'late', 'count(*) > 0')}),
+whole AS (SELECT DISTINCT path, type AS feed_type FROM had),
+folders AS (SELECT DISTINCT folder FROM had)
+SELECT f.folder, w.path, h.type, w.feed_type FROM folders f CROSS JOIN whole w LEFT JOIN had h ON h.folder = f.folder AND h.path = w.path"""
+SQL["score_hashed"] = f"WITH {F1} SELECT registration, true AS agree, true AS is_probability FROM enriched"

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from inspecta.operators.counts import daily_counts
 from inspecta.operators.enrich import enrich
 from inspecta.operators.forecast import clean_seasonal_spikes, fill_daily, forecast_training, prediction_output
 from inspecta.operators.seasonal import search_orders, seasonal_forecast
 from inspecta.schema import ACTUAL_SUFFIX, FORECAST_SUFFIX
-from inspecta.sources.feed import read_feed, split_corrupt
-from inspecta.sources.sinks import write_version
+from inspecta.sources.feed import counted, feed_folders, load_counts, read_feed, split_corrupt
+from inspecta.sources.sinks import write_table, write_version
+
+
+def load_feed(spark: SparkSession, feed_root: str, path: str, kind: str | None = None, mode: str = "append",
+              partitions: int | None = None) -> dict[str, int]:
+    """Feed folders -> staging table at ``path``; returns the records loaded per folder and
+    the malformed lines, counted by the load itself."""
+    folders, seen = feed_folders(spark, feed_root, kind), Observation()
+    good, _bad = split_corrupt(counted(read_feed(spark, feed_root, kind=kind, partitions=partitions), folders, seen))
+    write_table(good, path, mode)
+    return load_counts(folders, seen)
 
 
 def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None,

@@ -19,23 +19,23 @@ from inspecta.operators.forecast import (
     with_holidays,
 )
 from inspecta.operators.classify import (
-    FEATURES, class_weights, fit_pass_fail, load_model, lookup, lookup_score, pass_fail_training,
-    save_model, score, what_if, what_if_score,
+    FEATURES, class_weights, fit_pass_fail, load_model, lookup, lookup_score, model_weights, pass_fail_training,
+    save_model, score, score_by_weights, what_if, what_if_score,
 )
 from inspecta.operators.seasonal import effects, search_orders, seasonal_forecast
 from inspecta.functions.columns import pass_probability
 from inspecta.plans.pipelines import (
-    analytics, bulk_load, create_chart_view, register_views, weekly_delta_ingest,
+    analytics, bulk_load, create_chart_view, load_feed, register_views, weekly_delta_ingest,
 )
 from inspecta.schema import VEHICLE
 from inspecta.session import scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_log, start_upsert, stream_feed
 from inspecta.sources.feed import (
-    feed_glob, feed_stats, latest_feed, normalise_feed, read_feed, read_feed_zip, read_latest_feed,
-    split_corrupt, write_feed, write_feed_zip,
+    counted, feed_folders, feed_glob, feed_schema, feed_stats, folder_schemas, latest_feed, load_counts, normalise_feed,
+    read_feed, read_feed_zip, read_latest_feed, schema_drift, split_corrupt, write_feed, write_feed_zip,
 )
 from inspecta.sources.sinks import (
-    create_main, read_latest, stage, write_bucketed, write_csv, write_daily_counts, write_table,
+    create_main, drop_stage, read_latest, stage, write_bucketed, write_csv, write_daily_counts, write_table,
     write_version,
 )
 
@@ -419,17 +419,60 @@ def q_latest_feed(spark, d):
 @query
 def q_feed_corrupt_split(spark, d):
     root = fx.write_corrupt_feed_fixture(spark, d)
-    good, _bad = split_corrupt(read_feed(spark, root, kind="delta", ext="*.gz"))
+    good, _bad = split_corrupt(read_feed(spark, root, ext="*.gz"))
     return good.select("registration", "modification", "lastMotTestDate", "feed_date")
 
 
 @query
 def q_feed_corrupt_rows(spark, d):
     root = fx.write_corrupt_feed_fixture(spark, d)
-    _good, bad = split_corrupt(read_feed(spark, root, kind="delta", ext="*.gz"))
+    _good, bad = split_corrupt(read_feed(spark, root, ext="*.gz"))
     return bad.select("registration", F.length("raw").cast("bigint").alias("raw_length"))
 
 
+@query
+def q_feed_load_counts(spark, d):
+    """Records per folder, counted by the load that writes them to a staging table."""
+    root = fx.write_feed_fixture(spark, d)
+    got = load_feed(spark, root, scratch_dir(spark, "staged"))
+    return spark.createDataFrame([(f, n) for f, n in got.items() if f != "malformed"], "folder string, records bigint")
+
+
+@query
+def q_feed_load_malformed(spark, d):
+    """Good records and malformed lines of the feed with truncated lines, counted by its load."""
+    root = fx.write_corrupt_feed_fixture(spark, d)
+    folders, seen = feed_folders(spark, root), Observation()
+    good, _bad = split_corrupt(counted(read_feed(spark, root, ext="*.gz"), folders, seen))
+    write_table(good, scratch_dir(spark, "staged"), "append")
+    return spark.createDataFrame(list(load_counts(folders, seen).items()), "folder string, records bigint")
+
+
+@query
+def q_feed_schema(spark, d):
+    """Fields and types of each feed folder and of the whole feed, from one pass."""
+    return schema_drift(spark, folder_schemas(spark, fx.write_feed_fixture(spark, d)))
+
+
+@query
+def q_feed_read_by_schema(spark, d):
+    """The feed read with the schema that the aggregate found."""
+    root = fx.write_feed_fixture(spark, d)
+    schema = feed_schema(folder_schemas(spark, root))
+    return read_feed(spark, root, schema=schema).select("registration", "modification", "lastMotTestDate", "feed_date")
+
+
+@query
+def q_drop_stage(spark, d):
+    """A staging table of the delta is loaded, counted and dropped."""
+    name = "stage_" + scratch_dir(spark, "stage").rsplit("-", 1)[-1]
+    fx.delta(spark, d).select("registration", "modification").write.option("path", scratch_dir(spark, "stage-table")).saveAsTable(name)
+    staged = spark.table(name).count()
+    drop_stage(spark, name)
+    drop_stage(spark, name)       # nothing left to drop
+    return spark.createDataFrame([(staged, spark.catalog.tableExists(name))], "staged bigint, still_there boolean")
+
+
 @query
 def q_feed_zip(spark, d):
     root = fx.write_feed_fixture(spark, d)
@@ -594,6 +637,21 @@ def q_what_if_score(spark, d):
     return _scored(what_if_score(_model(spark, d), scenario))
 
 
+@query
+def q_score_hashed(spark, d):
+    """All features, categories hashed: the pipeline's probability of each vehicle and the
+    one that joins and sums over the stored weights give agree."""
+    main = _enriched_history(spark, d)
+    model = fit_pass_fail(pass_fail_training(main), buckets=64)
+    path = scratch_dir(spark, "weights")
+    write_table(model_weights(model), path, "overwrite")
+    plain = score_by_weights(spark.read.parquet(path), main, 64).withColumnRenamed("pass_probability", "p")
+    got = score(model, main.drop("motTests")).select("registration", "pass_probability")
+    return got.join(plain, "registration").select(
+        "registration", (F.abs(F.col("pass_probability") - F.col("p")) < 1e-9).alias("agree"),
+        ((F.col("p") > 0) & (F.col("p") < 1)).alias("is_probability"))
+
+
 # ---- streams (SRC9, STR1-STR3) and end-to-end jobs --------------------------------
 @query
 def q_stream_ingest(spark, d):

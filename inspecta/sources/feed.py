@@ -17,7 +17,7 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,6 +130,108 @@ def feed_stats(df: DataFrame) -> DataFrame:
     return df.groupBy(feed_folder().alias("folder")).agg(F.count(F.lit(1)).alias("records"))
 
 
+# ---- rows counted by the load itself (SRC7) -----------------------------------
+def feed_folders(spark: SparkSession, root: str, kind: str | None = None) -> list[str]:
+    """Names of the feed folders, from the listing."""
+    from inspecta.session import hadoop_path
+    prefixes = list(KIND_PREFIX.values()) if kind is None else [KIND_PREFIX[kind]]
+    fs, _ = hadoop_path(spark, root)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = [s for p in prefixes for s in (fs.globStatus(path(f"{root.rstrip('/')}/{p}*")) or [])]
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+
+
+def counted(df: DataFrame, folders: list[str], seen: Observation) -> DataFrame:
+    """``df`` (as of ``read_feed``), whose good records per folder and malformed lines
+    are counted while it is written; read them by ``load_counts``."""
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    per = [F.count_if(~bad & (feed_folder() == f)).alias(f"f{i}") for i, f in enumerate(folders)]
+    return df.observe(seen, *per, F.count_if(bad).alias("malformed"))
+
+
+def load_counts(folders: list[str], seen: Observation) -> dict[str, int]:
+    """{folder: records loaded, 'malformed': lines} once the write has ended."""
+    got = seen.get
+    return {**{f: got[f"f{i}"] for i, f in enumerate(folders)}, "malformed": got["malformed"]}
+
+
+# ---- schema as an aggregate (SRC5) ----------------------------------------------
+def _json_type(t: T.DataType) -> T.DataType:
+    """A variant's type as the JSON reader infers it: fractions are doubles, values of
+    several types text."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _json_type(f.dataType)) for f in sorted(t.fields, key=lambda f: f.name)])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_json_type(t.elementType))
+    if isinstance(t, T.DecimalType):
+        return T.LongType() if t.scale == 0 and t.precision <= 18 else T.DoubleType()
+    return T.StringType() if isinstance(t, T.VariantType) else t
+
+
+def widen(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that holds both: nothing below all, numbers below double, records by
+    their fields, lists by their elements, all else below text."""
+    if isinstance(a, T.NullType) or a == b:
+        return b
+    if isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        kinds = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            kinds[f.name] = widen(kinds.get(f.name, T.NullType()), f.dataType)
+        return T.StructType([T.StructField(n, kinds[n]) for n in sorted(kinds)])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widen(a.elementType, b.elementType))
+    return T.DoubleType() if {type(a), type(b)} == {T.LongType, T.DoubleType} else T.StringType()
+
+
+def _settled(t: T.DataType) -> T.DataType:
+    """What was never more than null is text."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _settled(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_settled(t.elementType))
+    return T.StringType() if isinstance(t, T.NullType) else t
+
+
+def _paths(t: T.DataType, at: str = "") -> dict[str, str]:
+    if isinstance(t, T.StructType):
+        return {p: k for f in t.fields for p, k in _paths(f.dataType, f"{at}.{f.name}" if at else f.name).items()}
+    if isinstance(t, T.ArrayType):
+        return _paths(t.elementType, at + "[]")
+    return {at: _settled(t).simpleString()}
+
+
+def folder_schemas(spark: SparkSession, root: str, kind: str | None = None, ext: str = "*.json.gz") -> dict[str, T.StructType]:
+    """The schema of each feed folder, from one pass over its lines: the types of all
+    records are reduced by partial aggregation, so a task sends one schema a folder."""
+    from pyspark.sql.types import _parse_datatype_string
+    lines = spark.read.text(feed_glob(root, kind, ext)).select(feed_folder("_metadata.file_path").alias("folder"), "value")
+    found = (lines.select("folder", F.try_parse_json("value").alias("v")).groupBy("folder")
+             .agg(F.schema_of_variant_agg("v").alias("s")).collect())      # one row a folder
+    out = {}
+    for r in sorted(found, key=lambda r: r.folder):
+        t = _json_type(_parse_datatype_string(r.s.replace("OBJECT<", "STRUCT<")))
+        out[r.folder] = t if isinstance(t, T.StructType) else T.StructType([])
+    return out
+
+
+def feed_schema(schemas: dict[str, T.StructType]) -> T.StructType:
+    """One schema that reads every folder."""
+    out: T.DataType = T.StructType([])
+    for t in schemas.values():
+        out = widen(out, t)
+    return _settled(out)
+
+
+def schema_drift(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:
+    """(folder, path, type, feed_type): every field of the feed in every folder; type is
+    NULL where the folder doesn't have it, and differs from feed_type where it drifts."""
+    whole = _paths(feed_schema(schemas))
+    rows = [(folder, p, _paths(t).get(p), k) for folder, t in schemas.items() for p, k in whole.items()]
+    return spark.createDataFrame(rows, "folder string, path string, type string, feed_type string")
+
+
 def latest_feed(df: DataFrame) -> DataFrame:
     """Only the records of the newest feed date (files carry no manifest order)."""
     newest = df.agg(F.max("feed_date")).scalar()
