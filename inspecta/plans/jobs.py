@@ -1,7 +1,7 @@
 """Command-line job runner: ``spark-submit inspecta/plans/jobs.py CMD ...`` or ``python -m inspecta.plans.jobs CMD ...``.
 
     python -m inspecta.plans.jobs bulk-load   --feed ROOT --table PATH [--as-of YYYY-MM-DD]
-    python -m inspecta.plans.jobs weekly      --feed ROOT --table PATH --checkpoint PATH [--order last_test|feed_date]
+    python -m inspecta.plans.jobs weekly      --feed ROOT --table PATH --checkpoint PATH [--order last_test|feed_date] [--zips]
     python -m inspecta.plans.jobs counts      --table PATH --out PATH [--days 60]
     python -m inspecta.plans.jobs forecast    --counts PATH --out PATH [--horizon 30]
     python -m inspecta.plans.jobs view        --counts PATH --forecast PATH --name NAME
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--table", required=True)
     w.add_argument("--checkpoint", required=True)
     w.add_argument("--order", choices=["last_test", "feed_date"], default="last_test")
+    w.add_argument("--zips", action="store_true")
     c = sub.add_parser("counts")
     c.add_argument("--table", required=True)
     c.add_argument("--out", required=True)
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         print("version", bulk_load(spark, a.feed, a.table, as_of, a.partitions))
     elif a.cmd == "weekly":
         from inspecta.plans.pipelines import weekly_delta_ingest
-        for batch, action, rows in weekly_delta_ingest(spark, a.feed, a.table, a.checkpoint, as_of, a.order):
+        for batch, action, rows in weekly_delta_ingest(spark, a.feed, a.table, a.checkpoint, as_of, a.order, a.zips):
             print("batch", batch, action, rows)
     elif a.cmd == "counts":
         from inspecta.operators.counts import daily_counts

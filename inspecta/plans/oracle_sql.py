@@ -762,3 +762,4 @@ whole AS (SELECT DISTINCT path, type AS feed_type FROM had),
 folders AS (SELECT DISTINCT folder FROM had)
 SELECT f.folder, w.path, h.type, w.feed_type FROM folders f CROSS JOIN whole w LEFT JOIN had h ON h.folder = f.folder AND h.path = w.path"""
 SQL["score_hashed"] = f"WITH {F1} SELECT registration, true AS agree, true AS is_probability FROM enriched"
+SQL["read_zips"] = SQL["stream_ingest_zips"] = SQL["feed_round_trip"]

@@ -36,17 +36,19 @@ def bulk_load(spark: SparkSession, feed_root: str, table: str, as_of=None,
 
 
 def weekly_delta_ingest(spark: SparkSession, feed_root: str, table: str, checkpoint: str, as_of=None,
-                        order: str = "last_test", **upsert_kw) -> list[tuple[int, str, int]]:
+                        order: str = "last_test", zips: bool = False, **upsert_kw) -> list[tuple[int, str, int]]:
     """New delta files -> valid -> dedupe -> enrich -> upsert -> next table version.
 
     The job is a file stream that runs until it has taken all files present
     (``availableNow``).  ``checkpoint`` remembers them, so each is applied once
-    and a vehicle that a later delta deletes stays deleted.  Returns the rows
-    affected: (batch, action, rows); empty if there was no new file.
+    and a vehicle that a later delta deletes stays deleted.  With ``zips`` the files are
+    the archives of the feed.  Returns the rows affected, counted by the write:
+    (batch, action, rows); empty if there was no new file.
     """
+    from inspecta.sources.zips import stream_zips
     from inspecta.streaming.streams import start_upsert, stream_feed
     report: list[tuple[int, str, int]] = []
-    start_upsert(stream_feed(spark, feed_root, kind="delta"), table, checkpoint, as_of, order=order,
+    start_upsert((stream_zips if zips else stream_feed)(spark, feed_root, kind="delta"), table, checkpoint, as_of, order=order,
                  report=report, **upsert_kw).awaitTermination()
     return report
 

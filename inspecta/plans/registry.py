@@ -28,12 +28,13 @@ from inspecta.plans.pipelines import (
     analytics, bulk_load, create_chart_view, load_feed, register_views, weekly_delta_ingest,
 )
 from inspecta.schema import VEHICLE
-from inspecta.session import scratch_dir
+from inspecta.session import hadoop_path, scratch_dir
 from inspecta.streaming.streams import budget_overruns, ingest, start_log, start_upsert, stream_feed
 from inspecta.sources.feed import (
     counted, feed_folders, feed_glob, feed_schema, feed_stats, folder_schemas, latest_feed, load_counts, normalise_feed,
     read_feed, read_feed_zip, read_latest_feed, schema_drift, split_corrupt, write_feed, write_feed_zip,
 )
+from inspecta.sources.zips import read_zips, stream_zips
 from inspecta.sources.sinks import (
     create_main, drop_stage, read_latest, stage, write_bucketed, write_csv, write_daily_counts, write_table,
     write_version,
@@ -664,6 +665,33 @@ def q_stream_ingest(spark, d):
     return _with_n_tests(good).select(*FEED_COLS)
 
 
+def _zipped_feed(spark, d):
+    """The feed's folders packed into one archive each, in a folder of their own."""
+    root = scratch_dir(spark, "feed-zips")
+    gz = spark.read.format("binaryFile").load(feed_glob(fx.write_feed_fixture(spark, d)))
+    hadoop_path(spark, root)[0].mkdirs(hadoop_path(spark, root)[1])
+    write_feed_zip(gz, root).write.format("noop").mode("overwrite").save()
+    return root
+
+
+@query
+def q_read_zips(spark, d):
+    """Archives read through the data source, one partition per member."""
+    good, _bad = split_corrupt(read_zips(spark, _zipped_feed(spark, d), kind=None))
+    return _with_n_tests(good).select(*FEED_COLS)
+
+
+@query
+def q_stream_ingest_zips(spark, d):
+    """Archives as a stream, each read once: the second run adds nothing."""
+    root = _zipped_feed(spark, d)
+    sink, ckpt = scratch_dir(spark, "zip-sink"), scratch_dir(spark, "zip-ckpt")
+    for _ in range(2):
+        ingest(stream_zips(spark, root, kind=None), sink, ckpt).awaitTermination()
+    good, _bad = split_corrupt(spark.read.parquet(sink))
+    return _with_n_tests(good).select(*FEED_COLS)
+
+
 @query
 def q_stream_upsert(spark, d):
     """Delta folders applied by foreachBatch upserts to a versioned main table."""

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import zipfile
 
 import pandas as pd
@@ -284,40 +285,39 @@ def _fs_path(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
+def zip_members(path: str) -> list[str]:
+    """Member names; only the archive's directory is read."""
+    fs, p = _fs_path(path)
+    with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
+        return [i.filename for i in zf.infolist() if not i.is_dir()]
+
+
+def zip_lines(path: str, name: str):
+    """(source, line) of the non-blank lines of a member, streamed through the file
+    system layer: memory stays bounded by the read buffers."""
+    source = f"{path.removesuffix('.zip')}/{name.rsplit('/', 1)[-1]}"
+    fs, p = _fs_path(path)
+    with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf, zf.open(name) as m:
+        stream = gzip.GzipFile(fileobj=m) if name.endswith(".gz") else m
+        for line in io.TextIOWrapper(stream, encoding="utf-8"):
+            line = line.strip()
+            if line:
+                yield source, line
+
+
 def _zip_members(batches):
-    """Archive paths -> one row per member; only the archives' directories are read."""
+    """Archive paths -> one row per member."""
     for pdf in batches:
-        rows = []
-        for path in pdf["path"]:
-            fs, p = _fs_path(path)
-            with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
-                rows += [(path, i.filename) for i in zf.infolist() if not i.is_dir()]
-        yield pd.DataFrame(rows, columns=["path", "member"])
+        yield pd.DataFrame([(path, name) for path in pdf["path"] for name in zip_members(path)], columns=["path", "member"])
 
 
 def _zip_lines(batches):
-    """(archive, member) -> one row per non-blank line.
-
-    The member is read line by line through the file system layer: memory stays
-    bounded by the read buffers and the output batch of ``_BATCH`` lines.
-    """
+    """(archive, member) -> one row per non-blank line, in batches of ``_BATCH`` lines."""
     for pdf in batches:
         for path, name in zip(pdf["path"], pdf["member"]):
-            folder = path[:-4] if path.endswith(".zip") else path
-            source = f"{folder}/{name.rsplit('/', 1)[-1]}"
-            fs, p = _fs_path(path)
-            with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf, zf.open(name) as m:
-                stream = gzip.GzipFile(fileobj=m) if name.endswith(".gz") else m
-                buf = []
-                for line in io.TextIOWrapper(stream, encoding="utf-8"):
-                    line = line.strip()
-                    if line:
-                        buf.append(line)
-                    if len(buf) >= _BATCH:
-                        yield pd.DataFrame({"_source_file": source, "line": buf})
-                        buf = []
-                if buf:
-                    yield pd.DataFrame({"_source_file": source, "line": buf})
+            rows = zip_lines(path, name)
+            while part := list(itertools.islice(rows, _BATCH)):
+                yield pd.DataFrame(part, columns=["_source_file", "line"])
 
 
 def read_feed_zip(spark: SparkSession, root: str, kind: str | None = "delta",
