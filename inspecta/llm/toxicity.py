@@ -19,7 +19,7 @@
    terms misspelled, so that misspellings get a weight where labelled texts hold none.
 
 Labels are used only where crc32(doc_id) mod 5 isn't 0: remainders 1 to 3 for the
-lexicon, 4 for the weights.  A score depends on the text alone.
+lexicon, 4 for the weights (all of 1 to 4, if 4 lacks one of the labels).  A score depends on the text alone.
 
 Defined cases: null text equals empty text; an empty text has no hits and gets the
 score of any text without hits.  Without labels of both kinds the score is 0.
@@ -43,7 +43,6 @@ from inspecta.llm.base import first_by_hash, id_text, map_rows, stored
 FIT_ROWS = 12_000       # labelled rows of each label that are learned from, at most
 MIN_DOCS = 3            # toxic texts a term occurs in, between different words
 MIN_ODDS = 3.0          # smoothed log-odds of a term
-MAX_TERMS = 5_000       # terms, strongest support first
 FUZZY_LENGTH = 6        # misspellings of shorter terms have a sum of their own
 SHORT_LENGTH = 4        # and those of still shorter ones another
 AROUND = 8              # words of context on each side
@@ -296,12 +295,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .select("word", "toxic", F.xxhash64("sides").alias("sides")).distinct())
     counted = stored(placed.groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
                      .where((F.col("t") >= MIN_DOCS) | (F.col("c") >= MIN_DOCS)).withColumn("odds", odds), "toxicity-words")
-    terms = (counted.where((F.col("t") >= MIN_DOCS) & (F.col("odds") >= MIN_ODDS))
-             .where(F.length("word") <= 100)
-             .orderBy(F.desc("t"), "word").limit(MAX_TERMS))
+    # a few words of the bounded sample, however many documents there are
+    terms = counted.where((F.col("t") >= MIN_DOCS) & (F.col("odds") >= MIN_ODDS))
     found = {r.word: float(min(r.odds, 8.0)) / 8.0 for r in terms.select("word", "odds").collect()}
     known = _ordinary(counted.where((F.col("c") >= MIN_DOCS) & (F.col("odds") < MIN_ODDS)), found)
-    weights, bias = _weights(rows.where("part = 4"), found, known)
+    # a fold without both labels can't weigh: then all of the sample does
+    kinds = rows.where("part = 4").select("toxic").distinct().count()
+    weights, bias = _weights(rows.where("part = 4") if kinds == 2 else rows, found, known)
     return ToxicityModel(found, weights, bias, known)
 
 
@@ -328,8 +328,6 @@ def _weights(rows: DataFrame, terms: dict[str, float], known: frozenset[str]) ->
         return {"x": x, "y": y}
     data = map_rows(rows.select("text", "toxic"), measure, "x array<double>, y double")
     data = stored(data, "toxicity-features").coalesce(4)      # a bounded sample of short rows
-    if data.select("y").distinct().count() < 2:    # too few rows to weigh: any plain hit decides
-        return [4.0, 4.0, -1.0, 1.0, 0.0, 4.0, 4.0], -2.0
     model = LogisticRegression(featuresCol="v", labelCol="y", maxIter=25, regParam=1e-3).fit(
         data.select("y", array_to_vector("x").alias("v")))
     return [float(w) for w in model.coefficients], float(model.intercept)
