@@ -21,7 +21,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = ["enrich", "enrich_flat", "dedupe_delta", "upsert", "upsert_shuffle", "merge_report",
             "daily_counts", "forecast_training", "fill_daily", "clean_spikes", "prediction_output",
             "feed_round_trip", "fit_forecast", "score", "budget_overruns",
-            "weekly_delta_ingest", "analytics_chain"]
+            "weekly_delta_ingest", "analytics_chain", "upsert_bloom", "changelog_read",
+            "counts_incremental", "seasonal_forecast"]
 
 
 def main() -> None:

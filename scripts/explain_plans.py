@@ -64,6 +64,8 @@ def main():
         ("dedupe_delta: partial WindowGroupLimit before the exchange", dedupe_delta(valid_delta(delta))),
         ("upsert (broadcast keys): main scanned twice, never shuffled",
          upsert(main, prepared, strategy="broadcast")),
+        ("upsert (Bloom filter of keys): main's rows that can't match pass without an exchange",
+         upsert(main, prepared, strategy="bloom")),
         ("upsert (bucketed main): only the delta is hash-partitioned",
          upsert(spark.table("plans_main_b"), prepared, buckets=16)),
         ("daily_counts on the stored enriched table: pushed filter, narrow read schema, partial count",
