@@ -525,7 +525,7 @@ sq AS (
   UNION ALL SELECT result_type, 'weekday', 7, avg((y - weekday) ** 2) FROM fitted GROUP BY 1
 ),
 likely AS (
-  SELECT *, -n / 2.0 * (ln(2 * pi() * greatest(sigma2, 1e-12)) + 1) AS log_likelihood FROM sq JOIN base USING (result_type)
+  SELECT *, CASE WHEN sigma2 IS NOT NULL THEN -n / 2.0 * (ln(2 * pi() * greatest(sigma2, 1e-12)) + 1) END AS log_likelihood FROM sq JOIN base USING (result_type)
 ),
 fits AS (
   SELECT *, aicc IS NOT NULL AND row_number() OVER (PARTITION BY result_type ORDER BY aicc NULLS LAST, model) = 1 AS chosen
