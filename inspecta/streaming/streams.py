@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
 
 from inspecta.operators.merge import valid_delta
 from inspecta.schema import DELETED, VEHICLE
-from inspecta.session import ship_package
 from inspecta.sources.feed import CORRUPT, _with_corrupt, feed_glob, tag_feed_date
 
 BUDGET = T.StructType([T.StructField("costAmount", T.DoubleType()),
@@ -84,42 +82,20 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 _TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "true"}
 
 
-class Newest(StatefulProcessor):
-    """Keeps the rank of the newest record of a key and passes on a record that beats it.
-
-    A rank is (last test, feed date, DELETED, hash), in the chosen order of the first
-    two; a missing date is older than any.  It is kept as one text that sorts like it."""
-
-    def init(self, handle) -> None:
-        self.best = handle.getValueState("best", "rank string")
-
-    def handleInputRows(self, key, rows, timerValues):
-        import pandas as pd
-        found = None
-        for part in rows:
-            top = part.loc[part["rank"].idxmax()] if len(part) else None
-            if top is not None and (found is None or top["rank"] > found["rank"]):
-                found = top
-        known = self.best.get()[0] if self.best.exists() else None
-        if found is not None and (known is None or found["rank"] > known):
-            self.best.update((found["rank"],))
-            yield pd.DataFrame({"record": [found["record"]]})
-
-    def close(self) -> None:
-        pass
-
-
 def newest_records(stream: DataFrame, key: str = "registration", order: str = "last_test") -> DataFrame:
     """Records of a stream that are newer than every record of their key before, in this
     and all earlier batches; of a batch the newest.  Same columns.
 
-    The state is one short text per key, in RocksDB on the executors with its log in the
-    stream's checkpoint.  So what is passed on last for a key doesn't depend on how the
-    files are dealt into batches.  Records without a key are dropped."""
+    A record's rank is (last test, feed date, DELETED, hash), in the chosen order of the first
+    two; a missing date is older than any.  It is one text that sorts like it.  The state is
+    a streaming aggregate: of each key the record of the highest rank and the time of the
+    batch that it came in, the earliest of equal ranks.  A batch passes on the records that
+    came in it.  The state is in RocksDB on the executors with its log in the stream's
+    checkpoint, so what is passed on last for a key doesn't depend on how the files are
+    dealt into batches.  Records without a key are dropped."""
     if order not in ("last_test", "feed_date"):
         raise ValueError("order must be 'last_test' or 'feed_date'")
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    ship_package(stream.sparkSession)
     text = lambda c, form: F.coalesce(F.date_format(c, form), F.lit(""))      # noqa: E731
     dates = [text("lastMotTestDate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), text("feed_date", "yyyy-MM-dd") if "feed_date" in stream.columns else F.lit("")]
     if order == "feed_date":
@@ -127,9 +103,12 @@ def newest_records(stream: DataFrame, key: str = "registration", order: str = "l
     # parts have a fixed width or are empty, and a space sorts before what is in them
     rank = F.concat_ws(" ", *dates, F.when(F.col("modification") == DELETED, "1").otherwise("0"),
                        F.lpad(F.hex(F.xxhash64(*stream.columns)), 16, "0"))
+    now = F.unix_micros(F.current_timestamp())        # of a stream: the time of the batch
     rows = (valid_delta(stream).where(F.col(key).isNotNull())
-            .select(F.col(key).cast("string").alias("key"), rank.alias("rank"), F.to_json(F.struct(*stream.columns), _TIMES).alias("record")))
-    out = rows.groupBy("key").transformWithStateInPandas(Newest(), "record string", "Update", "None")
+            .select(F.col(key).cast("string").alias("key"), rank.alias("rank"), (-now).alias("since"),
+                    F.to_json(F.struct(*stream.columns), _TIMES).alias("record")))
+    out = (rows.groupBy("key").agg(F.max(F.struct("rank", "since", "record")).alias("best"))
+           .where(F.col("best.since") == -now).select("best.record"))
     return out.select(F.from_json("record", stream.schema, _TIMES).alias("r")).select("r.*")
 
 

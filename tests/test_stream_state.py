@@ -9,7 +9,7 @@ from inspecta.operators import changelog
 from inspecta.operators.enrich import enrich
 from inspecta.schema import VEHICLE
 from inspecta.sources.feed import write_feed
-from inspecta.streaming.streams import start_log, stream_feed
+from inspecta.streaming.streams import newest_records, start_log, stream_feed
 
 AS_OF = dt.date(2024, 1, 31)
 
@@ -49,3 +49,23 @@ def test_result_is_independent_of_batches(spark, tmp_path, order, limit, files):
         assert got == {"A": ("a3", "x", late(8)), "N1": ("n1", None, late(2))}
     else:
         assert got == {"B": ("b2", "x", late(4)), "E": ("old", "x", late(1))}
+
+
+def test_state_needs_no_python_per_key(spark, tmp_path):
+    write_feed(_frame(spark, FILES[0][1]), str(tmp_path), OLD)
+    plan = newest_records(stream_feed(spark, str(tmp_path), kind="delta"))._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Py" not in plan
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [3, 2, 1, 0], [2, 0, 3, 1]])
+def test_only_newer_records_are_passed_on(spark, tmp_path, order):
+    root, out = str(tmp_path / "feed"), []
+    records = [("A", "UPDATED", "a1", 3), ("A", "UPDATED", "a2", 7), ("A", "UPDATED", "a3", None), ("A", "UPDATED", "a2", 7)]
+    for n, k in enumerate(order):
+        write_feed(_frame(spark, [records[k]]).coalesce(1), root, f"{OLD}x{n}")
+        stream = stream_feed(spark, root, kind="delta").drop("_source_file", "date", "feed_date")
+        (newest_records(stream).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "ckpt"))
+         .foreachBatch(lambda b, _: out.extend(r.make for r in b.collect())).trigger(availableNow=True).start().awaitTermination())
+    age = {"a3": 0, "a1": 3, "a2": 7}
+    want = [records[k][2] for n, k in enumerate(order) if all(age[records[k][2]] > age[records[j][2]] for j in order[:n])]
+    assert out == want
