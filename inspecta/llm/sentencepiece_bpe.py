@@ -4,7 +4,8 @@ A text becomes ``\\u2581`` (the dummy prefix) and the text with spaces as
 ``\\u2581``.  Symbols start as single characters; an agenda of adjacent pairs
 whose join is a piece, ordered by score and then by position, is worked off
 best first, and a join puts its new pairs on the agenda.  Characters without a
-piece become byte pieces.
+piece become byte pieces.  Short segments of the same length are worked off side by
+side, as rows of an array: each round joins the best pair of every row.
 
 No piece of such a vocabulary has ``\\u2581`` after another character (checked when
 it is loaded), so a merge never crosses the start of a run of ``\\u2581``: the text
@@ -22,8 +23,10 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +36,65 @@ from inspecta.llm.base import id_text
 SPACE = "▁"
 CACHE = 200_000        # segments in each of the two cache generations of a task
 CACHED_CHARS = 48      # longer segments are encoded again each time
+ROW_CHARS = 32         # longer segments have an agenda of their own
 SCHEMA = "doc_id long, ids binary, decoded string, n_corrected long"
 
 
+class Joins:
+    """The joins of a vocabulary as arrays.  Symbols are its pieces and their characters."""
+
+    NONE = np.int64(1 << 62)       # value of a pair whose join is no piece
+
+    def __init__(self, ids: dict[str, int], rank: dict[str, int]):
+        number = {p: k for k, p in enumerate(ids)}
+        for c in {c for p in ids for c in p}:
+            number.setdefault(c, len(number))
+        found = sorted((number[p[:k]] << 32 | number[p[k:]], rank[p] << 32 | number[p]) for p in ids
+                       for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
+        # a last entry that no pair has; a pair's value is its rank, then the joined symbol
+        self.pairs, self.values = (np.array(v, np.int64) for v in zip(*found, ((1 << 62), int(self.NONE))))
+        self.ids = np.array([ids.get(p, -1) for p in number] + [-1], np.int64)      # symbol -1 is any other character
+        self.symbol = np.full(0x110000, -1, np.int64)
+        for c, k in number.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = k
+
+    def value(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << 32 | right
+        k = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[k] == pair, self.values[k], self.NONE)
+
+    def rows(self, segments: list[str]):
+        """(places, ids) of segments of one length, as their agendas end; an id of -1 is
+        a character without a piece."""
+        n, at = len(segments[0]), np.arange(len(segments))
+        sym = self.symbol[np.frombuffer("".join(segments).encode("utf-32-le"), "<u4").reshape(-1, n)]
+        pair = self.value(sym[:, :-1], sym[:, 1:])
+        while True:
+            best = (pair >> 32).argmin(axis=1) if n > 1 else at     # the leftmost of the best score
+            value = np.take_along_axis(pair, best[:, None], 1)[:, 0] if n > 1 else np.full(len(at), self.NONE)
+            go = value != self.NONE
+            if not go.all():
+                yield at[~go], self.ids[sym[~go]]
+                if not go.any():
+                    return
+                at, sym, pair, best, value = at[go], sym[go], pair[go], best[go], value[go]
+            row = np.arange(len(at))
+            sym[row, best] = value & 0xFFFFFFFF
+            sym, pair = _without(sym, best + 1), _without(pair, best)
+            n -= 1
+            right, left = np.flatnonzero(best < n - 1), np.flatnonzero(best > 0)
+            pair[right, best[right]] = self.value(sym[right, best[right]], sym[right, best[right] + 1])
+            pair[left, best[left] - 1] = self.value(sym[left, best[left] - 1], sym[left, best[left]])
+
+
+def _without(a: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Rows without the entry in the given column of each."""
+    keep = np.ones(a.shape, bool)
+    keep[np.arange(len(a)), column] = False
+    return a[keep].reshape(len(a), a.shape[1] - 1)
+
+
 class Encoder:
     def __init__(self, model_file: str):
         import sentencepiece as sp
@@ -54,6 +113,7 @@ class Encoder:
             raise ValueError(f"not a merge-type vocabulary with byte pieces that can be cut at spaces: {bad[:3]}")
         places = {s: k for k, s in enumerate(sorted(set(score.values()), reverse=True))}
         self.rank = {p: places[s] for p, s in score.items()}
+        self.joins = Joins(self.id, self.rank)
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*")
         self.cache: dict[str, bytes] = {}     # two generations: the older one is dropped
         self.older: dict[str, bytes] = {}     # when the newer one is full
@@ -102,16 +162,32 @@ class Encoder:
                     out.extend(self.byte[b] for b in s.encode("utf-8"))
         return out
 
+    def agendas(self, segments: list[str]) -> list[list[int]]:
+        """Ids of each segment."""
+        out: list = [None] * len(segments)
+        by_size: dict[int, list[int]] = {}
+        for k, s in enumerate(segments):
+            by_size.setdefault(len(s), []).append(k)
+        for n, places in by_size.items():
+            if not 0 < n <= ROW_CHARS:
+                continue
+            for at, ids in self.joins.rows([segments[k] for k in places]):
+                whole = (ids >= 0).all(axis=1)
+                for k, i in zip(at[whole].tolist(), ids[whole].tolist()):
+                    out[places[k]] = i
+        # long segments, and those with byte pieces
+        return [self.agenda(s) if i is None else i for s, i in zip(segments, out)]
+
     def checked(self, segments: list[str]) -> tuple[dict[str, bytes], int]:
         """Encoded segments as little-endian bytes; how many the library changed."""
-        own = [self.agenda(s) for s in segments]
+        own = self.agendas(segments)
         # the library puts its own dummy prefix for the first mark of a segment
         lib = self.lib.encode([s[1:].replace(SPACE, " ") if len(s) > 1 else "" for s in segments], num_threads=1)
         out, wrong = {}, 0
         for s, a, b in zip(segments, own, lib):
             if len(s) > 1 and a != b:
                 a, wrong = b, wrong + 1
-            out[s] = b"".join(i.to_bytes(4, "little") for i in a)
+            out[s] = struct.pack(f"<{len(a)}I", *a)
         return out, wrong
 
     def encode_batch(self, texts: list[str]) -> tuple[list[bytes], int]:
@@ -158,7 +234,6 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     arrow = to_arrow_schema(_parse_datatype_string(SCHEMA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         enc = encoder(model_file)
         try:
             for batch in batches:
