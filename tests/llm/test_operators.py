@@ -445,13 +445,13 @@ def test_segments_side_by_side(texts):
     """Short segments have their agendas as rows of arrays; only others have one of their own."""
     enc = sentencepiece_bpe.Encoder(piece_model())
     words = [s for _, t in texts[:80] for s in enc.cut.findall("▁" + t.replace(" ", "▁"))]
-    words = [*dict.fromkeys(words), "▁", "a", "▁" * 9, "ab" * 16, "ab" * 17, "▁aaaaaaa", "▁é漢字\n", "\U0001f600", "▁x\U0001f600y"]
+    words = [*dict.fromkeys(words), "▁", "▁" * 9, "▁" + "a" * 31, "▁" + "a" * 32, "▁abab", "▁é漢字\n", "\U0001f600", "▁x\U0001f600y"]
     want, alone = [enc.agenda(s) for s in words], []
     one = enc.agenda
     enc.agenda = lambda s: alone.append(s) or one(s)
     out, wrong = enc.checked(words)
     assert wrong == 0 and [np.frombuffer(out[s], "<u4").tolist() for s in words] == want
-    assert "ab" * 17 in alone and "ab" * 16 not in alone and len(alone) < len(words) / 2
+    assert "▁" + "a" * 32 in alone and "▁" + "a" * 31 not in alone and len(alone) < len(words) / 2
 
 
 # ---- pages ---------------------------------------------------------------------
