@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -58,6 +59,19 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within this, queries that run hand their rows to Python by at most so many at once (Spark's
+    10,000, of long texts, are tens of MB in the executor and again in each Python worker)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def first_by_hash(rows: DataFrame, group: str, id_: str, n: int, ranges: int = 1 << 16) -> DataFrame:
     """The ``n`` rows of each ``group`` whose ``id_`` has the smallest hash.
 
@@ -72,6 +86,15 @@ def first_by_hash(rows: DataFrame, group: str, id_: str, n: int, ranges: int = 1
             .where(F.col("_rank") <= n).select(*rows.columns))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system.  A Python worker goes on to other tasks and stages, and
+    what its allocators keep for later counts as the executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+    if trim:
+        trim(0)
+
+
 def map_rows(df: DataFrame, fn: Callable, schema: str, max_rows: int = 0) -> DataFrame:
     """``mapInArrow`` where ``fn(table) -> dict of columns`` (or None) handles one
     Arrow batch; ``schema`` is the DDL of the result."""
@@ -88,4 +111,6 @@ def map_rows(df: DataFrame, fn: Callable, schema: str, max_rows: int = 0) -> Dat
                 if out is not None:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+            out = None
+            give_back()
     return df.mapInArrow(run, schema)

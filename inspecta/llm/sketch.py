@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from inspecta.llm.base import shuffles_dropped, stored
+from inspecta.llm.base import give_back, short_batches, shuffles_dropped, stored
 
 BLOCK = 1 << 16
 ROWS = 1000             # rows whose keys are held at once
@@ -58,6 +58,7 @@ def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]
                 for i, (k, r) in enumerate(lines):
                     c, n = np.unique(cell(keys[k], r, shapes[k].cells).astype(np.uint32), return_counts=True)
                     held[i] = _merged(*held[i], c, np.minimum(n, 2).astype(np.uint8))
+            give_back()
         for i, (c, n) in enumerate(held):
             if len(c):
                 block = c // np.uint32(BLOCK)
@@ -69,6 +70,8 @@ def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]
                     pa.array([at[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
                     pa.array([np.packbits(n[a:b] > 1).tobytes() for a, b in zip(first, ends)], pa.binary())],
                     names=["line", "block", "at", "twice"])
+        held = keys = c = n = block = at = None
+        give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, int], np.ndarray] = {}
@@ -85,7 +88,7 @@ def marked(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], list[np.ndarray]
 
     blocks = sum(s.depth * s.cells // BLOCK for s in shapes)
     parts = max(8, min(512, blocks // 64))
-    with shuffles_dropped(rows.sparkSession):
+    with shuffles_dropped(rows.sparkSession), short_batches(rows.sparkSession, ROWS):
         merged = stored(rows.mapInArrow(partial, "line int, block long, at binary, twice binary")
                         .repartition(parts, "line", "block")
                         .mapInArrow(merge, "line int, block long, bits binary"), "sketch")

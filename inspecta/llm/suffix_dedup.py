@@ -43,13 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inspecta.llm import sketch
-from inspecta.llm.base import id_text, map_rows, shuffles_dropped, stored
+from inspecta.llm.base import id_text, map_rows, short_batches, shuffles_dropped, stored
 from inspecta.llm.sketch import Shape, is_marked
 from inspecta.llm.windows import Ranges, anchor_places, mixed
 
 LENGTH = 50
 DIGIT = 24
-CHUNK = 250_000            # bytes that are hashed at once
+CHUNK = 100_000            # bytes that are hashed at once
 ROWS = 1000
 
 
@@ -156,6 +156,14 @@ def _joined(parts: list[np.ndarray], kind=np.uint64) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
+def shapes_for(size: int, length: int = LENGTH, digit: int = DIGIT) -> tuple[Shape, Shape, Shape, Shape]:
+    """Sketches of digits, firsts, groups and windows for ``size`` bytes of text.  They only decide
+    how much work the passes save; every Python worker holds all four in passes 3 and 4."""
+    units = size * 2 / (length - digit + 2)
+    return (Shape(sketch.cells_for(units / 2), 1), Shape(sketch.cells_for(units / 8), 2, 1),
+            Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 32), 2))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    digit: int = DIGIT, shapes: tuple[Shape, Shape, Shape, Shape] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (the
@@ -165,10 +173,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = every.where("doc_id is not null")
     if shapes is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        units = size * 2 / (length - digit + 2)
-        # sizes only decide how much work the passes save
-        shapes = (Shape(sketch.cells_for(units / 2), 1), Shape(sketch.cells_for(units / 8), 2, 1),
-                  Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 16), 2))
+        shapes = shapes_for(size, length, digit)
     digit_shape, first_shape, group_shape, window_shape = shapes
 
     # pass 1
@@ -206,7 +211,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             d.append(c.docs[owner])
         w = np.concatenate(w)
         return {"w1": w[:, 0], "w2": w[:, 1], "doc": _joined(d, np.int64)}
-    with shuffles_dropped(spark):
+    with shuffles_dropped(spark), short_batches(spark, ROWS):
         own = stored(map_rows(rows, item_rows, "w1 long, w2 long, doc long", max_rows=ROWS)
                      .groupBy("w1", "w2").agg(F.min("doc").alias("own_doc"))
                      # which of a document's items are its own: 64 bits tell them apart within it

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from inspecta.llm import (decontaminate, exact_dedup, html_extract, language_id, secret_scan, sentencepiece_bpe,
+from inspecta.llm import (base, decontaminate, exact_dedup, html_extract, language_id, secret_scan, sentencepiece_bpe,
                           simhash_dedup, substring_dedup, suffix_dedup, toxicity, windows)
 from inspecta.llm.components import components
 from inspecta.llm.registry import QUERIES, piece_model
@@ -137,6 +137,22 @@ def test_suffix_dedup(spark, texts, tight):
     assert suffix_rows(got) == brute_suffixes(rows, 50)
 
 
+def test_suffix_dedup_memory_of_a_worker(spark):
+    """The bitmaps that a worker holds, and the rows that it gets at once in the passes."""
+    held = sum(s.cells * s.depth // 8 for s in suffix_dedup.shapes_for(846_000_000))
+    assert held <= 140e6
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(name), "batch int"
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32())], names=["batch"])
+    with base.short_batches(spark, 1000):
+        got = [r.batch for r in spark.range(0, 3500, 1, 1).mapInArrow(sizes, seen).collect()]
+    assert got == [1000, 1000, 1000, 500] and spark.conf.get(name) == before
+
+
 def test_suffix_dedup_short_digits(spark):
     rng = np.random.default_rng(5)
     rows = [(int(i), "".join(rng.choice(list("ab"), 60))) for i in rng.permutation(60)]
