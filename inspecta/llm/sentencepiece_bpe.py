@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inspecta.llm.base import id_text
+from inspecta.llm.base import give_back, id_text
 
 SPACE = "▁"
-CACHE = 200_000        # segments in each of the two cache generations of a task
+CACHE = 100_000        # segments in each of the two cache generations of a task
 CACHED_CHARS = 48      # longer segments are encoded again each time
 ROW_CHARS = 32         # longer segments have an agenda of their own
 SCHEMA = "doc_id long, ids binary, decoded string, n_corrected long"
@@ -194,8 +195,10 @@ class Encoder:
         """Ids of each text, with begin and end, as little-endian bytes."""
         bos = self.lib.bos_id().to_bytes(4, "little")
         eos = self.lib.eos_id().to_bytes(4, "little")
-        cut = [self.cut.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        now = dict.fromkeys(s for segs in cut for s in segs)
+        # texts as numbers of their segments: each different segment is held once
+        now: dict[str, int | bytes] = {}
+        cut = [array("I", [now.setdefault(s, len(now)) for s in self.cut.findall(SPACE + t.replace(" ", SPACE))] if t else [])
+               for t in texts]
         missing = []
         for s in now:
             v = self.cache.get(s)
@@ -211,7 +214,8 @@ class Encoder:
         self.cache.update((s, v) for s, v in new.items() if len(s) <= CACHED_CHARS)
         if len(self.cache) > CACHE:
             self.older, self.cache = self.cache, {}
-        return [bos + b"".join(map(now.__getitem__, segs)) + eos for segs in cut], wrong
+        coded = list(now.values())     # in the order of their numbers
+        return [bos + b"".join(map(coded.__getitem__, segs)) + eos for segs in cut], wrong
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -225,7 +229,7 @@ def encoder(model_file: str) -> Encoder:
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
-           batch_chars: int = 4_000_000) -> DataFrame:
+           batch_chars: int = 1_000_000) -> DataFrame:
     """Per row of ``docs``: doc_id, ids (little-endian unsigned 32-bit numbers, begin
     and end included), the text decoded from them, and n_corrected (on the first row
     of each batch: segments of the batch that the library encoded otherwise)."""
@@ -244,6 +248,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
         finally:        # the worker goes on to other stages: it keeps the vocabulary, not the segments
             enc.cache, enc.older = {}, {}
+            give_back()
     return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 
 

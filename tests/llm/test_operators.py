@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -470,6 +471,19 @@ def test_segments_side_by_side(texts):
     assert "▁" + "a" * 32 in alone and "▁" + "a" * 31 not in alone and len(alone) < len(words) / 2
 
 
+def test_repeated_segments_are_held_once():
+    import tracemalloc
+    enc = sentencepiece_bpe.Encoder(piece_model())
+    texts = [" ".join(["alpha", "beta", "gamma", "delta"] * 250)] * 300
+    enc.encode_batch(texts[:1])
+    tracemalloc.start()
+    raw, wrong = enc.encode_batch(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert wrong == 0 and raw[0] == raw[-1] == struct.pack(f"<{len(raw[0]) // 4}I", *enc.lib.encode(texts[0], add_bos=True, add_eos=True))
+    assert peak < 12_000_000     # 300,000 segments: 4 bytes each, and the ids
+
+
 # ---- pages ---------------------------------------------------------------------
 def test_pages_of_the_table(spark):
     import html
