@@ -44,7 +44,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: token counts and digests of the ids and of the decoded text."""
     ship_package(spark)
-    return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(docs, piece_model()))
+    return sentencepiece_bpe.stored_digests(docs, piece_model())
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),

@@ -61,7 +61,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_bpe.digest_rows(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), piece_model()))
+    return sentencepiece_bpe.stored_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
 def looped_tail(doc_id: int | None, n: int):

@@ -32,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inspecta.llm.base import give_back, id_text
+from inspecta.llm.base import give_back, id_text, short_batches, stored
 
 SPACE = "▁"
 CACHE = 100_000        # segments in each of the two cache generations of a task
 CACHED_CHARS = 48      # longer segments are encoded again each time
 ROW_CHARS = 32         # longer segments have an agenda of their own
+ROWS = 500             # rows whose texts are Python strings at once, and rows that a worker gets at once
 SCHEMA = "doc_id long, ids binary, decoded string, n_corrected long"
 
 
@@ -259,14 +260,22 @@ def digest_rows(encoded: DataFrame) -> DataFrame:
                           "n_corrected")
 
 
+def stored_digests(docs: DataFrame, model_file: str) -> DataFrame:
+    """``digest_rows`` of the encoded ``docs``, stored: so the rows go to Python by few at once."""
+    with short_batches(docs.sparkSession, ROWS):
+        return stored(digest_rows(encode(docs, model_file)), "encoded")
+
+
 def _by_size(batch: pa.RecordBatch, chars: int):
     ids, texts, size = [], [], 0
-    for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        ids.append(i)
-        texts.append(t)
-        size += len(t)
-        if size >= chars:
-            yield ids, texts
-            ids, texts, size = [], [], 0
+    for at in range(0, batch.num_rows, ROWS):
+        part = batch.slice(at, ROWS)
+        for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            ids.append(i)
+            texts.append(t)
+            size += len(t)
+            if size >= chars:
+                yield ids, texts
+                ids, texts, size = [], [], 0
     if ids:
         yield ids, texts

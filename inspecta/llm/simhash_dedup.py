@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inspecta.llm.base import free_name, id_text, map_rows, stored
+from inspecta.llm.base import free_name, id_text, map_rows, short_batches, stored
 from inspecta.llm.components import components
 
 SHINGLE = 4
@@ -43,6 +43,7 @@ SMALL = 48            # points of an anchor that are compared pair by pair
 BITS = 23
 RADIUS = 3
 GENERATOR = 0b101011100011    # of the Golay code of length 23
+ROWS = 1000           # rows that a Python worker gets at once
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -75,6 +76,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_rows(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
 
 
+def stored_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    with short_batches(docs.sparkSession, ROWS):
+        return stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+
+
 @functools.lru_cache(1)
 def syndromes() -> np.ndarray:
     """Syndrome of each single bit of a 23-bit word."""
@@ -216,7 +222,7 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, chunk: int = 250_000) ->
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp, fingerprint (16 hex digits), component_id per row of ``docs``."""
-    fps = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    fps = stored_fingerprints(docs, id_col, text_col, shingle)
     return fps.join(labels(fps, max_bits), "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -242,7 +248,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is the component's id.  Columns are those of ``docs``.  Rows that share a
     doc_id stay or go together: they go if none of them names its component.  A
     row without a doc_id can't be named and stays."""
-    fps = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    fps = stored_fingerprints(docs, id_col, text_col, shingle)
     found = fps.where("doc_id is not null").distinct().join(labels(fps, max_bits), "fp")
     key = free_name(docs, "x_id")
     gone = (found.groupBy(F.col("doc_id").alias(key))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inspecta.llm.base import first_by_hash, id_text, map_rows, stored
+from inspecta.llm.base import first_by_hash, give_back, id_text, map_rows, stored
 
 FIT_ROWS = 12_000       # labelled rows of each label that are learned from, at most
 MIN_DOCS = 3            # toxic texts a term occurs in, between different words
@@ -46,6 +46,7 @@ MIN_ODDS = 3.0          # smoothed log-odds of a term
 FUZZY_LENGTH = 6        # misspellings of shorter terms have a sum of their own
 SHORT_LENGTH = 4        # and those of still shorter ones another
 AROUND = 8              # words of context on each side
+ROWS = 1000             # rows whose texts are Python strings at once
 WORD = re.compile(r"[^\W_]+")
 # fixed word lists of the context scores
 REPORTING = frozenset("""said says say saying wrote writes quote quoted quotes called calls word words term insult
@@ -353,5 +354,9 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = model.scorer()
         for batch in batches:
-            yield batch.filter(pa.array([one(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                yield part.filter(pa.array([one(t) < 0.5 for t in part.column(at).to_pylist()], pa.bool_()))
+        one = batch = part = None       # the worker goes on to other stages
+        give_back()
     return docs.mapInArrow(run, docs.schema)

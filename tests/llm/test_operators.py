@@ -484,6 +484,35 @@ def test_repeated_segments_are_held_once():
     assert peak < 12_000_000     # 300,000 segments: 4 bytes each, and the ids
 
 
+def test_texts_of_a_batch_are_not_held_at_once(spark, monkeypatch):
+    """A batch of 10,000 texts is taken up in parts, and workers get few rows at once."""
+    import pyarrow as pa
+    import tracemalloc
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(["x" * 4000] * 10_000)], names=["doc_id", "text"])
+    tracemalloc.start()
+    parts = [ids for ids, _ in sentencepiece_bpe._by_size(batch, 1_000_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(parts, []) == list(range(10_000)) and peak < 12_000_000
+
+    model, seen = toxicity.ToxicityModel({}, [], None), []
+
+    class Docs:
+        columns, schema = ["doc_id", "text"], None
+
+        def mapInArrow(self, run, schema):
+            seen.extend(b.num_rows for b in run(iter([batch])))
+    toxicity.drop_toxic(Docs(), model)
+    assert sum(seen) == 10_000 and max(seen) == toxicity.ROWS
+    name, used = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    for module in (sentencepiece_bpe, simhash_dedup):
+        monkeypatch.setattr(module, "stored", lambda df, name_: used.append(spark.conf.get(name)) or df)
+    docs, before = frame(spark, [(1, "a b")]), spark.conf.get(name)
+    sentencepiece_bpe.stored_digests(docs, piece_model())
+    simhash_dedup.stored_fingerprints(docs, "doc_id", "text", 4)
+    assert used == [str(sentencepiece_bpe.ROWS), str(simhash_dedup.ROWS)] and spark.conf.get(name) == before
+
+
 # ---- pages ---------------------------------------------------------------------
 def test_pages_of_the_table(spark):
     import html
