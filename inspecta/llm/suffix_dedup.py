@@ -18,10 +18,11 @@ repeated.  The groups' first documents are marked in a bitmap, and so are digits
 with more than one group.
 
 Pass 3 checks all units that are marked as firsts, so a wrong mark only means more
-work.  At a digit with several groups they may share a part of their windows, so
-their windows are checked one by one; at a digit with one group the unit is checked
-whole.  These items are counted as in pass 1; those that may be in two documents
-are grouped by their bytes (128 bits), again with the smallest doc_id.
+work.  At a digit with several groups they may share a part of their windows: these
+are counted, as in pass 1, by blocks, each block by the bytes that all its windows
+share; at a digit with one group the unit is counted whole.  The windows of blocks
+and the units that may be in two documents are grouped by their bytes (128 bits),
+again with the smallest doc_id.
 
 The suffixes are never gathered: groups are partial minima by digest, so a group
 that holds a third of all rows leaves each task as one row.  Documents meet only the
@@ -37,6 +38,8 @@ read.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,33 +48,40 @@ from pyspark.sql import functions as F
 from inspecta.llm import sketch
 from inspecta.llm.base import id_text, map_rows, short_batches, shuffles_dropped, stored
 from inspecta.llm.sketch import Shape, is_marked
-from inspecta.llm.windows import Ranges, anchor_places, mixed
+from inspecta.llm.windows import Digests, Ranges, anchor_places, mixed
 
 LENGTH = 50
 DIGIT = 24
 CHUNK = 100_000            # bytes that are hashed at once
 ROWS = 1000
+BLOCKS = 4                 # of the windows that have an anchor
 
 
 class Chunk:
     """Windows and units of some texts."""
 
     def __init__(self, texts: list[bytes], docs: np.ndarray, length: int, digit: int):
-        self.texts, self.docs, self.length = texts, docs, length
+        self.texts, self.docs, self.length, self.width = texts, docs, length, digit
         self.size = np.array([len(t) for t in texts], np.int64)
         self.first = np.cumsum(self.size) - self.size
         self.data = b"".join(texts)
         self.ranges = Ranges(self.data)
-        at = np.repeat(self.first + self.size, self.size)
-        starts = np.flatnonzero(np.arange(len(self.data)) + length <= at)
+        n = max(0, len(self.data) - length + 1)
         h = self.ranges.every(digit)
-        place = anchor_places(h, length - digit + 1)[starts] if len(starts) else starts
-        new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(starts) else starts
-        self.lo = starts[new]
-        self.hi = starts[np.concatenate([new[1:], [len(starts)]]) - 1] if len(starts) else starts
-        self.place = place[new]
-        self.digit = h[self.place] if len(starts) else np.zeros(0, np.uint64)
-        self.owner = np.searchsorted(self.first + self.size, self.lo, side="right")
+        place = anchor_places(h, length - digit + 1) if n else np.zeros(0, np.int64)
+        # windows that don't cross texts, and where neighbours have other anchors
+        end = self.first + self.size
+        whole = np.ones(n + length, bool)
+        for a, b in zip(np.maximum(self.first, end - length + 1).tolist(), end.tolist()):
+            whole[a:b] = False
+        whole = whole[:n]
+        new = np.ones(n + 1, bool)
+        new[1:-1] = place[1:] != place[:-1]
+        self.lo = np.flatnonzero(whole & (new[:-1] | ~np.concatenate([[False], whole])[:-1]))
+        self.hi = np.flatnonzero(whole & (new[1:] | ~np.concatenate([whole, [False]])[1:]))
+        self.place = place[self.lo]
+        self.digit = h[self.place] if n else np.zeros(0, np.uint64)
+        self.owner = np.searchsorted(end, self.lo, side="right")
 
     def digits(self) -> np.ndarray:
         """The leading digits, once per document."""
@@ -79,23 +89,33 @@ class Chunk:
         d, o = self.digit[order], self.owner[order]
         return d[np.concatenate([[True], (d[1:] != d[:-1]) | (o[1:] != o[:-1])])] if len(d) else d
 
+    @functools.cached_property
+    def words(self) -> Digests:
+        return Digests(self.data)
+
     def unit_hashes(self, units: np.ndarray) -> np.ndarray:
         """Second half of the identity of units; the first is their digit."""
-        import xxhash
-        one, data = xxhash.xxh3_64_intdigest, self.data
-        spans = zip(self.lo[units].tolist(), (self.hi[units] + self.length).tolist(), (self.place - self.lo)[units].tolist())
-        return np.array([one(data[a:b], k) for a, b, k in spans], np.uint64)
-
-    def windows(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, hashes) of the windows of some units."""
-        n = (self.hi - self.lo + 1)[units]
-        starts = np.repeat(self.lo[units], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return starts, self.ranges.hashes(starts, starts + self.length)
+        lo = self.lo[units]
+        return self.words.of(lo, self.hi[units] + self.length - lo, 0, self.place[units] - lo)
+
+    def blocks(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first start, last start, key) of the blocks of windows of some units.  A block
+        has the windows whose anchor lies ``step * b`` to ``step * b + step - 1`` bytes in, and
+        its key is of the bytes that all of them would share."""
+        step = max(1, -(-(self.length - self.width + 1) // BLOCKS))
+        place = self.place[units]
+        least, most = place - self.hi[units], place - self.lo[units]       # bytes before the anchor
+        n = most // step - least // step + 1
+        at = np.repeat(np.arange(len(units)), n)
+        b = least[at] // step + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        place, first = place[at], b * step
+        last = np.minimum(first + step - 1, self.length - self.width)
+        key = mixed(self.ranges.hashes(place - first, place - last + self.length) + b.astype(np.uint64))
+        return place - np.minimum(last, most[at]), place - np.maximum(first, least[at]), key
 
     def digests(self, starts: np.ndarray) -> np.ndarray:
-        import xxhash
-        one, data, n = xxhash.xxh3_128_digest, self.data, self.length
-        return np.frombuffer(b"".join([one(data[a:a + n]) for a in starts.tolist()]), "<i8").reshape(-1, 2)
+        size = np.full(len(starts), self.length, np.int64)
+        return np.stack([self.words.of(starts, size, k) for k in (0, 1)], axis=1).view(np.int64)
 
     # ---- what the passes have found so far ----
     def candidates(self, digits: list[bytes]) -> np.ndarray:
@@ -113,31 +133,37 @@ class Chunk:
 
 
 class Items:
-    """Windows of units whose digit has several groups, and whole units else."""
+    """Blocks of windows of units whose digit has several groups, and whole units else."""
 
     def __init__(self, chunk: Chunk, opened: np.ndarray, alone: np.ndarray, unit: np.ndarray):
         self.chunk = chunk
-        starts, h = chunk.windows(opened)
-        self.windows = len(starts)
-        self.lo = np.concatenate([starts, chunk.lo[alone]])
-        self.hi = np.concatenate([starts, chunk.hi[alone]])
-        self.digit, self.unit = chunk.digit[alone], unit
+        self.first, self.last, h = chunk.blocks(opened)
+        self.alone, self.digit, self.unit = alone, chunk.digit[alone], unit
         self.key = np.concatenate([h, mixed(self.digit ^ mixed(unit))])
 
-    def marked(self, counted: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Items that may be in two documents: places, digests (n, 2), owners."""
-        at = np.flatnonzero(is_marked(self.key, counted))
-        of_unit = at[at >= self.windows] - self.windows
-        digests = np.concatenate([
-            self.chunk.digests(self.lo[at[at < self.windows]]),
-            np.stack([self.digit[of_unit], self.unit[of_unit]], axis=1).view(np.int64)])
-        return at, digests, np.searchsorted(self.chunk.first + self.chunk.size, self.lo[at], side="right")
+    def marked(self, counted: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Windows of blocks, and units, that may be in two documents: first and last starts,
+        digests (n, 2), owners."""
+        c, hit = self.chunk, is_marked(self.key, counted)
+        block = np.flatnonzero(hit[:len(self.first)])
+        unit = np.flatnonzero(hit[len(self.first):])
+        n = (self.last - self.first + 1)[block]
+        starts = np.repeat(self.first[block], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        lo = np.concatenate([starts, c.lo[self.alone[unit]]])
+        hi = np.concatenate([starts, c.hi[self.alone[unit]]])
+        digests = np.concatenate([c.digests(starts), np.stack([self.digit[unit], self.unit[unit]], axis=1).view(np.int64)])
+        return lo, hi, digests, np.searchsorted(c.first + c.size, lo, side="right")
 
 
 def first_key(digit: np.ndarray, unit: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return mixed(digit ^ mixed(unit ^ mixed(doc.astype(np.uint64))))
 
 
+def _within(digest: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Digests told apart by the row they belong to."""
+    return digest.astype(np.int64).view(np.uint64) ^ mixed(row.astype(np.uint64))
+
+
 def chunks(batch: pa.RecordBatch, length: int, digit: int):
     """(rows, Chunk) of an Arrow batch (doc_id, text); a chunk has about CHUNK bytes, or one text."""
     docs, rows, texts, size = batch.column(0).to_numpy(zero_copy_only=False), [], [], 0
@@ -157,11 +183,11 @@ def _joined(parts: list[np.ndarray], kind=np.uint64) -> np.ndarray:
 
 
 def shapes_for(size: int, length: int = LENGTH, digit: int = DIGIT) -> tuple[Shape, Shape, Shape, Shape]:
-    """Sketches of digits, firsts, groups and windows for ``size`` bytes of text.  They only decide
+    """Sketches of digits, firsts, groups and blocks for ``size`` bytes of text.  They only decide
     how much work the passes save; every Python worker holds all four in passes 3 and 4."""
     units = size * 2 / (length - digit + 2)
     return (Shape(sketch.cells_for(units / 2), 1), Shape(sketch.cells_for(units / 8), 2, 1),
-            Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 32), 2))
+            Shape(sketch.cells_for(units / 4), 1), Shape(sketch.cells_for(size / 64), 2))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -206,7 +232,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def item_rows(batch: pa.RecordBatch) -> dict:
         w, d = [np.zeros((0, 2), np.int64)], []
         for _, c in chunks(batch, length, digit):
-            _, digests, owner = c.claims(digits.value[0], found.value)[1].marked(counted.value[0])
+            _, _, digests, owner = c.claims(digits.value[0], found.value)[1].marked(counted.value[0])
             w.append(digests)
             d.append(c.docs[owner])
         w = np.concatenate(w)
@@ -223,13 +249,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         filled = pa.RecordBatch.from_arrays([batch.column(0).fill_null(0), batch.column(1)], names=["d", "t"])
         for part, c in chunks(filled, length, digit):
             settled, items = c.claims(digits.value[0], found.value)
-            at, digests, owner = items.marked(counted.value[0])
-            if len(at):
-                mine = [set(s or ()) for s in batch.column(2).take(pa.array(part)).to_pylist()]
-                is_own = [x in mine[o] for x, o in zip(digests[:, 0].tolist(), owner.tolist())]
-                at = at[~np.array(is_own, bool)]
-            lo = np.concatenate([c.lo[settled], items.lo[at]])
-            hi = np.concatenate([c.hi[settled], items.hi[at]])
+            first, last, digests, owner = items.marked(counted.value[0])
+            if len(first):
+                mine = batch.column(2).take(pa.array(part))
+                of = np.repeat(np.arange(len(part)), mine.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                own = np.isin(_within(digests[:, 0], owner), _within(mine.flatten().to_numpy(zero_copy_only=False), of))
+                first, last = first[~own], last[~own]
+            lo = np.concatenate([c.lo[settled], first])
+            hi = np.concatenate([c.hi[settled], last])
             cover = np.bincount(lo, minlength=len(c.data) + 1) - np.bincount(hi + length, minlength=len(c.data) + 1)
             gone = np.cumsum(cover[:-1]) > 0
             for i, t, a in zip(part, c.texts, c.first.tolist()):

@@ -50,6 +50,37 @@ class Ranges:
         return mixed((self.sums[width:] - self.sums[:n]) * self.back[:n])
 
 
+class Digests:
+    """Digests of byte ranges of ``data``, whole ranges chained word by word through a
+    bijection; ``lane`` 0 and 1 have other multipliers and seeds."""
+
+    def __init__(self, data: bytes):
+        self.words = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,)).copy()
+
+    def of(self, start: np.ndarray, size: np.ndarray, lane: int = 0, seed: np.ndarray | int = 0) -> np.ndarray:
+        m1, m2 = _LANES[lane]
+        h = (size.astype(_U) + _U(lane)) * m1 ^ np.asarray(seed, _U) * m2
+        shortest, longest = (int(size.min()), int(size.max())) if len(size) else (0, 0)
+        for at in range(0, longest, 8):
+            if at + 8 <= shortest:
+                h = _step(h ^ self.words[start + at], m1, m2)
+                continue
+            some = np.flatnonzero(size > at)       # the last words: bytes behind the range don't count
+            rest = np.minimum(size[some] - at, 8).astype(_U)
+            word = self.words[start[some] + at] & (~_U(0) >> (_U(64) - _U(8) * rest))
+            h[some] = _step(h[some] ^ word, m1, m2)
+        return h
+
+
+_LANES = ((_U(0xD6E8FEB86659FD93), _U(0x9E3779B97F4A7C15)), (_U(0xC2B2AE3D27D4EB4F), _U(0xBF58476D1CE4E5B9)))
+
+
+def _step(h: np.ndarray, m1, m2) -> np.ndarray:
+    h = (h ^ (h >> _U(32))) * m1
+    h = (h ^ (h >> _U(29))) * m2
+    return h ^ (h >> _U(32))
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours."""
     if len(x) < width:

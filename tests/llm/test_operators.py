@@ -154,6 +154,31 @@ def test_suffix_dedup_memory_of_a_worker(spark):
     assert got == [1000, 1000, 1000, 500] and spark.conf.get(name) == before
 
 
+@pytest.mark.parametrize("length,digit", [(50, 24), (9, 4), (5, 2)])
+def test_suffix_dedup_blocks(length, digit):
+    """Blocks hold each window once; equal windows have equal keys and digests, others other digests."""
+    rng = np.random.default_rng(8)
+    shared = bytes(rng.integers(97, 123, 4 * length, dtype=np.uint8))
+    texts = [bytes(rng.integers(97, 123, int(n), dtype=np.uint8)) + shared for n in rng.integers(0, 3 * length, 5)]
+    texts += [shared[:length - 1], b"", shared[:length], b"a" * 3 * length]
+    c = suffix_dedup.Chunk(texts, np.arange(len(texts)), length, digit)
+    starts = [a + k for a, t in zip(c.first.tolist(), texts) for k in range(len(t) - length + 1)]
+    units = np.arange(len(c.lo))
+    first, last, key = c.blocks(units)
+    assert sorted(x for a, b in zip(first.tolist(), last.tolist()) for x in range(a, b + 1)) == starts
+    assert len(key) <= len(starts) / 2 or length < 50       # what is counted: blocks, not windows
+    keys, digests, whole = {}, {}, {}
+    for a, b, k in zip(first.tolist(), last.tolist(), key.tolist()):
+        for x in range(a, b + 1):
+            keys.setdefault(c.data[x:x + length], set()).add(k)
+    for x, d in zip(starts, c.digests(np.array(starts)).tolist()):
+        digests.setdefault(c.data[x:x + length], set()).add(tuple(d))
+    for a, b, p, h in zip(c.lo.tolist(), c.hi.tolist(), c.place.tolist(), c.unit_hashes(units).tolist()):
+        whole.setdefault((c.data[a:b + length], p - a), set()).add(h)
+    assert all(len(v) == 1 for d in (keys, digests, whole) for v in d.values())
+    assert len(set.union(*digests.values())) == len(digests) and len(set.union(*whole.values())) == len(whole)
+
+
 def test_suffix_dedup_short_digits(spark):
     rng = np.random.default_rng(5)
     rows = [(int(i), "".join(rng.choice(list("ab"), 60))) for i in rng.permutation(60)]
